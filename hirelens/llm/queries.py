@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, knn_quality, line_dedup, mixing, pii, quality_rules, token_store
+from . import decontam, jaccard_join, knn_quality, line_dedup, mixing, pii, quality_rules, substring_cover, suffix_dedup, token_store
 from .base import table
 
 #: The vocabulary file is a parameter; it stays where it is installed.
@@ -20,10 +20,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_substring_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_cover.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.report(decontam.scan(docs, table(spark, sf_dir, "benchmark")))
@@ -86,15 +94,22 @@ from streams
 """
 
 
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_jaccard_join": op1_jaccard_join,
         "op2_token_store": op2_token_store,
+        "op3_substring_cover": op3_substring_cover,
         "op4_decontaminate": op4_decontaminate,
         "op5_quality_rules": op5_quality_rules,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_line_dedup": op7_line_dedup,
         "op8_personal_data": op8_personal_data,
         "op9_curriculum_mix": op9_curriculum_mix,
+        "op10_suffix_repeats": op10_suffix_repeats,
     }
 
 
