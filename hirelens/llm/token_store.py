@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +51,7 @@ _PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 class Encoder:
     """The tokenizer with a bounded memory of pieces already encoded."""
 
-    LIMIT = 300_000
+    LIMIT = 700_000
 
     def __init__(self, path: str):
         import os
@@ -63,7 +64,7 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32."""
@@ -78,7 +79,7 @@ class Encoder:
             except KeyError:
                 if len(self.known) > self.LIMIT:
                     self.known.clear()
-                new = list({*pieces} - self.known.keys())
+                new = [p for p in dict.fromkeys(pieces) if p not in self.known]
                 self.known.update(zip(new, self._encode(new), strict=True))
                 out.append(b"".join(map(self.known.__getitem__, pieces)))
         return out
