@@ -27,6 +27,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,16 @@ _U32, _MASK, _M = np.uint64(32), np.uint64((1 << SCALE) - 1), np.uint64(SCALE)
 
 #: White space as Unicode defines it, which differs from that of Python's re.
 _SPACE = "\t-\r \x85\xa0  -     　"
-#: Where the byte-level pre-tokenizer always divides: before white space, and between its last sign and a word.
-_PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Where the byte-level pre-tokenizer always divides: before white space, between its last sign and a word,
+#: and between a word of letters and a mark that is none.
+_PIECES = re.compile(f" ?[{_LETTER}]+(?![^{_SPACE},.;:!?*#%&$])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 class Encoder:
     """The tokenizer with a bounded memory of pieces already encoded."""
 
-    LIMIT = 700_000
+    LIMIT = 1_000_000
 
     def __init__(self, path: str):
         import os
@@ -85,6 +88,12 @@ class Encoder:
         return out
 
 
+@lru_cache(1)
+def shared_encoder(path: str) -> Encoder:
+    """One for each worker process, so that tasks find the pieces of those before them."""
+    return Encoder(path)
+
+
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Used ids and their scaled frequencies, each at least 1, summing to 2**SCALE."""
     used, count = np.unique(ids, return_counts=True)
@@ -171,7 +180,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, segm
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, shard = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, shard = shared_encoder(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         parts: list[bytes] = []
         owners: list[int | None] = []
