@@ -51,7 +51,6 @@ TAG = r"#li-(?:remote|hybrid|onsite|on-site)\b"
 
 #: Fields of one piece of evidence, in the order of the metadata.
 EVIDENCE = "struct<source:string,text:string,normalized:string,strength:int,setting:string,conflict:boolean,negative_remote:boolean,office_days:bigint,remote_days:bigint>"
-NO_DAYS = F.lit(None).cast("bigint")
 
 
 def _any(*patterns: str) -> str:
@@ -140,9 +139,9 @@ def _signals(i: Column) -> Column:
     )
 
 
-def _evidence(i: Column, source: Column, strength: Column | int, setting: Column | str, conflict: Column | bool = False, negative: Column | bool = False, office: Column = NO_DAYS, remote: Column = NO_DAYS, text: Column | None = None, normalized: Column | None = None) -> Column:
+def _evidence(i: Column, source: Column, strength: Column | int, setting: Column | str, conflict: Column | bool = False, negative: Column | bool = False, office: Column | None = None, remote: Column | None = None, text: Column | None = None, normalized: Column | None = None) -> Column:
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
-    values = (source, i["text"] if text is None else text, i["normalized"] if normalized is None else normalized, lit(strength).cast("int"), lit(setting), lit(conflict), lit(negative), office, remote)
+    values = (source, i["text"] if text is None else text, i["normalized"] if normalized is None else normalized, lit(strength).cast("int"), lit(setting), lit(conflict), lit(negative), lit(office), lit(remote))
     names = ("source", "text", "normalized", "strength", "setting", "conflict", "negative_remote", "office_days", "remote_days")
     return F.struct(*(v.alias(n) for v, n in zip(values, names, strict=True))).cast(EVIDENCE)
 

@@ -47,7 +47,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("job_id"), title.alias("job_title"), F.col("c_name").alias("company_name"), F.col("c_mktsegment").alias("search_term"),
         F.col("r_name").alias("search_location"), F.col("o_orderpriority").alias("job_platform"), F.col("o_orderdate").alias("created_at_utc"),
         F.col("o_orderdate").alias("created_at_mst"), posted.alias("posted_date"), removed.alias("removed_date"),
-        F.coalesce(F.col("last_ship"), posted).cast("timestamp").alias("last_seen_at_utc"),
+        F.coalesce(F.col("last_ship"), posted).cast("timestamp_ntz").alias("last_seen_at_utc"),
         F.when(removed.isNotNull(), "Removed").otherwise("Active").alias("listing_status"),
         F.datediff(F.coalesce("last_ship", posted), posted).cast("bigint").alias("days_listed"),
         F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("avg_annual_pay_range"), L.job_level(title).alias("job_level"),
