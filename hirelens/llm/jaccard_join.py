@@ -1,20 +1,21 @@
 """Operator 1, n-gram Jaccard join: a grouped prefix join on sets of word shingles.
 
 Shingles have one order for the whole corpus, rare before frequent, then by hash.
-Of two sets with a Jaccard similarity of 3/4 or more, the first n - ceil(3n/4) + 1
-shingles in that order (the prefix) have one in common, and the smaller has at
-least 3/4 of the larger's size.
+Of two sets with a Jaccard similarity of 3/4 or more, the first n - ceil(3n/4) + k(n)
+shingles in that order (the prefix) have k of the smaller set in common, where k is a
+SHARE-th of the size, 1 at least; and the smaller has at least 3/4 of the larger's size.
 
 1. Equal sets become one class.
 2. Classes with identical prefixes and size become one group.
 3. Groups are joined on the shingles of their prefixes. Those that occur in one
-   class only are out; what is left (the runs) is small.
+   class only are out, and so are groups that share fewer than k of them with all others
+   together; what is left (the runs) is small.
 4. Groups are expanded to their members, and pairs of the right sizes verified on
    whole sets.
 
 Pairs inside a run are not all formed. First, in LEADER_ROUNDS rounds, each class
 is compared with one class of another component that shares a run; links found merge
-components. Then only pairs of classes that share a run and are still in different
+components. Then only pairs of classes that share k runs and are still in different
 components are compared, all of them, so no link between components is lost:
 the components are exact, while a group of thousands of copies costs
 about as many comparisons as it has members.
@@ -44,7 +45,9 @@ WORDS = 5
 #: Two sets link when PER * intersection >= NUM * union.
 NUM, PER = 75, 100
 SAMPLE, SAMPLE_DF, ORDER_LIMIT = 16, 3, 400_000
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
+#: A prefix is longer by a SHARE-th of the set, and so many of its shingles must be shared.
+SHARE = 10
 
 
 def shingles(text: bytes | None, codes: Codes, n: int = WORDS) -> np.ndarray:
@@ -58,8 +61,13 @@ def shingles(text: bytes | None, codes: Codes, n: int = WORDS) -> np.ndarray:
     return np.unique(windows(sums, n))
 
 
+def shared_size(n: int) -> int:
+    """k: how many shingles of their prefixes two linked sets share, if n is the size of the smaller one."""
+    return max(1, n // SHARE)
+
+
 def prefix_size(n: int) -> int:
-    return n - -(-NUM * n // PER) + 1
+    return n - -(-NUM * n // PER) + shared_size(n)
 
 
 def prefix(own: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -168,22 +176,28 @@ def link(docs: DataFrame) -> DataFrame:
     every = scratch.write(sets(texts), "sets")
     some = every.where("n_shingles > 0")
 
-    classes = some.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("id"), F.any_value("prefix_hash").alias("prefix_hash"), F.any_value("prefix").alias("prefix"))
+    same_set = ["n_shingles", "set_a", "set_b"]
+    classes = some.groupBy(*same_set).agg(F.min("doc_id").alias("id"), F.any_value("prefix_hash").alias("prefix_hash"), F.any_value("prefix").alias("prefix"))
     groups = classes.groupBy("n_shingles", "prefix_hash").agg(F.min("id").alias("group"), F.count("*").alias("members"), F.any_value("prefix").alias("prefix"))
     groups = scratch.write(groups, "groups")
+    every = scratch.write(every.drop("prefix"), "every")
+    scratch.drop("sets")
+    members = scratch.write(every.where("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("id"), F.min("prefix_hash").alias("prefix_hash")), "members")
     tokens = groups.select("group", "members", F.explode("prefix").alias("token"))
-    several = tokens.groupBy("token").agg(F.sum("members").alias("n")).where("n > 1").select("token")
-    runs = tokens.join(several, "token").select("token", "group")
-    members = scratch.write(some.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("id"), F.any_value("prefix_hash").alias("prefix_hash")), "members")
+    several = scratch.write(tokens.groupBy("token").agg(F.sum("members").alias("n")).where("n > 1").select("token"), "several")
+    shared = scratch.write(tokens.select("group", "token").join(several, "token"), "shared")
     by_group = members.join(groups.select("n_shingles", "prefix_hash", "group"), ["n_shingles", "prefix_hash"]).select("group", "id", F.col("n_shingles").alias("n"))
-    runs = scratch.write(runs.join(by_group, "group").select("token", "id", "n"), "runs")
-    scratch.drop("groups")
+    enough = shared.groupBy("group").agg(F.count("*").alias("tokens"))
+    # The smaller of two linked sets has 3/4 of n at least.
+    kept = by_group.join(enough, "group").where(F.col("tokens") >= F.greatest(F.lit(1), F.expr(f"(3 * n div 4) div {SHARE}"))).select("group", "id", "n")
+    runs = scratch.write(shared.join(kept, "group").select("token", "id", "n"), "runs")
+    scratch.drop("groups", "several", "shared")
 
     bodies = _bodies(texts, runs.select("id").distinct(), scratch)
     links, parts = _links(runs, bodies, scratch)
-    reps = members.join(parts, "id", "left").select("n_shingles", "set_a", "set_b", F.coalesce("component", "id").alias("component_id"))
-    found = every.select("doc_id", "n_shingles", "set_a", "set_b").join(reps, ["n_shingles", "set_a", "set_b"], "left")
-    found = found.groupBy("doc_id", "n_shingles", "set_a", "set_b").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    reps = members.join(parts, "id", "left").select(*same_set, F.coalesce("component", "id").alias("component_id"))
+    found = every.select("doc_id", *same_set).join(reps, same_set, "left")
+    found = found.groupBy("doc_id", *same_set).agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
     found = found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("row")).drop("row")
     nameless = docs.where("doc_id is null").select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
     return found.unionByName(nameless)
@@ -221,7 +235,9 @@ def _links(runs: DataFrame, bodies: DataFrame, scratch: Scratch) -> tuple[DataFr
             rest = placed.join(open_runs.select("token"), "token")
             rest = scratch.write(rest, "rest")
             twin = rest.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("part").alias("other"))
-            asked = rest.withColumnRenamed("id", "a").join(twin, "token").where((F.col("part") < F.col("other")) & sizes).select("a", "b").distinct()
+            asked = rest.withColumnRenamed("id", "a").join(twin, "token").where((F.col("part") < F.col("other")) & sizes)
+            least = F.greatest(F.lit(1), F.expr(f"least(first(n), first(m)) div {SHARE}"))
+            asked = asked.groupBy("a", "b").agg(F.count("*").alias("shared"), least.alias("least")).where("shared >= least").select("a", "b")
         asked = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if done is not None:
             asked = asked.join(done, ["a", "b"], "left_anti")
