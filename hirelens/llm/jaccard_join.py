@@ -14,11 +14,12 @@ SHARE-th of the size, 1 at least; and the smaller has at least 3/4 of the larger
    whole sets.
 
 Pairs inside a run are not all formed. First, in LEADER_ROUNDS rounds, each class
-is compared with one class of another component that shares a run; links found merge
-components. Then only pairs of classes that share k runs and are still in different
-components are compared, all of them, so no link between components is lost:
-the components are exact, while a group of thousands of copies costs
-about as many comparisons as it has members.
+is compared with one class of another component that shares a run, that which shares
+most with all others to begin with; links found merge components. Then each class that
+shares k runs with a larger component is compared with all members of it, which stand
+together in blocks of BLOCK sets, so no link between components is lost: the components
+are exact, while a group of thousands of copies costs about as many comparisons as it
+has members.
 
 The order of shingles only steers cost, never results. The frequent ones are found in a
 hash sample of one document in SAMPLE; at most ORDER_LIMIT of them, 16 bytes
@@ -46,6 +47,8 @@ WORDS = 5
 NUM, PER = 75, 100
 SAMPLE, SAMPLE_DF, ORDER_LIMIT = 16, 3, 400_000
 LEADER_ROUNDS = 2
+#: Sets of one component that are compared with others at once.
+BLOCK = 256
 #: A prefix is longer by a SHARE-th of the set, and so many of its shingles must be shared.
 SHARE = 10
 
@@ -143,6 +146,47 @@ def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     return two.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
+def verify_blocks(asked: DataFrame, members: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Links (a, b) between classes and members of components they are asked to be compared with.
+
+    asked is (id, part), members (id, part). Members are numbered into blocks by a hash; a class
+    goes to each block of its component, and there meets all members at once.
+    """
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("many") / BLOCK).cast("int"))
+    sizes = members.groupBy("part").agg(F.count("*").alias("many")).select("part", blocks.alias("blocks")).join(asked.select("part").distinct(), "part")
+    inside = members.join(sizes, "part").select("id", "part", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("kind"))
+    outside = asked.join(sizes, "part").select("id", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"))
+    placed = inside.unionByName(outside).join(bodies, "id").repartition("part", "block").sortWithinPartitions("part", "block", "kind", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ids, held, index = None, [], [], None
+        for batch in batches:
+            links = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "kind", "id", "body")), strict=True):
+                if row[:2] != at:
+                    at, ids, held, index = row[:2], [], [], None
+                own = np.frombuffer(row[4], np.uint64)
+                if row[2] == 0:
+                    ids.append(row[3])
+                    held.append(own)
+                    continue
+                if index is None:
+                    sizes = np.array([len(x) for x in held])
+                    shingle, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+                    order = np.argsort(shingle, kind="stable")
+                    index = shingle[order], owner[order], sizes
+                shingle, owner, sizes = index
+                low, high = np.searchsorted(shingle, own, "left"), np.searchsorted(shingle, own, "right")
+                counts = high - low
+                place = np.repeat(low - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
+                both = np.bincount(owner[place], minlength=len(sizes))
+                good = np.flatnonzero(PER * both >= NUM * (len(own) + sizes - both))
+                links += [(row[3], ids[k]) for k in good.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return placed.select("part", "block", "kind", "id", "body").mapInArrow(run, "a bigint, b bigint")
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(id, component) of every id on an edge: the smallest id that its edges reach.
 
@@ -190,8 +234,11 @@ def link(docs: DataFrame) -> DataFrame:
     enough = shared.groupBy("group").agg(F.count("*").alias("tokens"))
     # The smaller of two linked sets has 3/4 of n at least.
     kept = by_group.join(enough, "group").where(F.col("tokens") >= F.greatest(F.lit(1), F.expr(f"(3 * n div 4) div {SHARE}"))).select("group", "id", "n")
-    runs = scratch.write(shared.join(kept, "group").select("token", "id", "n"), "runs")
-    scratch.drop("groups", "several", "shared")
+    runs = scratch.write(shared.join(kept, "group").select("token", "id", "n"), "found")
+    lengths = runs.groupBy("token").agg(F.count("*").alias("length"))
+    scores = runs.join(lengths, "token").groupBy("id").agg(F.sum("length").alias("score"))
+    runs = scratch.write(runs.join(scores, "id"), "runs")
+    scratch.drop("groups", "several", "shared", "found")
 
     bodies = _bodies(texts, runs.select("id").distinct(), scratch)
     links, parts = _links(runs, bodies, scratch)
@@ -217,40 +264,33 @@ def _bodies(texts: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _links(runs: DataFrame, bodies: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The links found, and the component of every id that has one."""
-    sizes = (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
-    edges = done = parts = None
+    edges = done = None
+    parts = runs.sparkSession.createDataFrame([], "id bigint, component bigint")
     for k in range(LEADER_ROUNDS + 1):
-        if parts is None:
-            placed = runs.withColumn("part", F.col("id"))
-        else:
-            placed = runs.join(parts.select("id", "component"), "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("part"))
-        open_runs = placed.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "n", "part")).alias("lead")).where("low < high")
+        placed = runs.join(parts, "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("part"), (F.xxhash64("id", F.lit(k)) if k else F.col("score")).alias("h"))
+        ends = placed.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(F.struct("h", "id", "n", "part")).alias("lead")).where("low < high")
         if k < LEADER_ROUNDS:
             asked = (
-                placed.join(open_runs.select("token", F.col("lead.h").alias("h"), F.col("lead.id").alias("leader"), F.col("lead.n").alias("m"), F.col("lead.part").alias("other")), "token")
-                .where((F.col("part") != F.col("other")) & sizes)
-                .groupBy("id").agg(F.min(F.struct("h", "leader")).alias("best")).select(F.col("id").alias("a"), F.col("best.leader").alias("b"))
+                placed.select("token", "id", "n", "part").join(ends.select("token", F.col("lead.h").alias("h"), F.col("lead.id").alias("leader"), F.col("lead.n").alias("m"), F.col("lead.part").alias("other")), "token")
+                .where((F.col("part") != F.col("other")) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m")))
+                .groupBy("id").agg(F.max(F.struct("h", "leader")).alias("best")).select(F.least("id", "best.leader").alias("a"), F.greatest("id", "best.leader").alias("b")).distinct()
             )
+            asked = scratch.write(asked if done is None else asked.join(done, ["a", "b"], "left_anti"), f"asked{k}")
+            done = asked if done is None else done.unionByName(asked)
+            got = verify(asked, bodies)
         else:
-            rest = placed.join(open_runs.select("token"), "token")
-            rest = scratch.write(rest, "rest")
-            twin = rest.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("part").alias("other"))
-            asked = rest.withColumnRenamed("id", "a").join(twin, "token").where((F.col("part") < F.col("other")) & sizes)
-            least = F.greatest(F.lit(1), F.expr(f"least(first(n), first(m)) div {SHARE}"))
-            asked = asked.groupBy("a", "b").agg(F.count("*").alias("shared"), least.alias("least")).where("shared >= least").select("a", "b")
-        asked = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if done is not None:
-            asked = asked.join(done, ["a", "b"], "left_anti")
-        asked = scratch.write(asked, f"asked{k}")
+            many = placed.select("id", "part").distinct().groupBy("part").agg(F.count("*").alias("many"))
+            open_ = scratch.write(placed.join(ends.select("token"), "token").join(many, "part").select("token", "id", "n", "part", F.struct("many", "part").alias("rank")), "open")
+            others = open_.select("token", "rank").distinct().withColumnRenamed("rank", "other")
+            least = F.greatest(F.lit(1), F.expr(f"(3 * first(n) div 4) div {SHARE}"))
+            asked = open_.join(others, "token").where("rank < other").groupBy("id", "other").agg(F.count("*").alias("shared"), least.alias("least")).where("shared >= least")
+            asked = scratch.write(asked.select("id", F.col("other.part").alias("part")), "asked")
+            got = verify_blocks(asked, placed.select("id", "part").distinct(), bodies)
         if asked.isEmpty():
             continue
-        got = scratch.write(verify(asked, bodies), f"links{k}")
-        done = asked if done is None else done.unionByName(asked)
+        got = scratch.write(got, f"links{k}")
         edges = got if edges is None else edges.unionByName(got)
         parts = components(edges, scratch, f"parts{k}_")
-    if parts is None:
-        edges = runs.sparkSession.createDataFrame([], "a bigint, b bigint")
-        parts = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return edges, parts
 
 
