@@ -82,3 +82,19 @@ def test_ledger(spark):
     objects = spark.createDataFrame([("b", "1.jsonl"), ("b", "2.jsonl"), ("b", "x.txt")], "bucket string, object_name string")
     ledger = spark.createDataFrame([("b", "1.jsonl")], "bucket string, object_name string")
     assert [r.object_name for r in records.unseen(objects, ledger).collect()] == ["2.jsonl"]
+
+
+def test_weekly_stream(spark, sf_dir, tmp_path):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    (tmp_path / "in").mkdir()
+    shutil.copy(f"{sf_dir}/events.parquet", tmp_path / "in")
+    events = spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in").withColumn("ts", F.col("ts").cast("timestamp"))
+    query = I.weekly_stream(events, "ts", ["event_type"]).writeStream.format("memory").queryName("weekly").outputMode("append").option("checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    got = {(r.week.start.date(), r.event_type): r["count"] for r in spark.table("weekly").collect()}
+    want = duckdb.sql(f"select cast(ts as date) - cast(dayofweek(ts) as int) as week, event_type, count(distinct ts) as n from '{sf_dir}/events.parquet' group by all").fetchall()
+    assert got
+    assert set(got.items()) <= {((w, k), n) for w, k, n in want}
