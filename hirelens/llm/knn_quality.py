@@ -96,7 +96,7 @@ def vote(rows: np.ndarray, model: dict | None, neighbours: int = NEIGHBOURS) ->
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict | None:
     """The model from at most sample_docs documents of each label, picked by a hash of doc_id."""
-    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
     picked = [known.where(f"quality = {q}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for q in (0, 1)]
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * sample_docs rows of two numbers
 
@@ -105,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
             made = [terms(t or b"").tobytes() for t in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(made, pa.binary())], names=["doc_id", "quality", "f"])
 
-    chosen = docs.select("doc_id", "text").join(few, "doc_id")
+    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id")
     got = chosen.mapInArrow(run, "doc_id bigint, quality int, f binary").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("f", "ascending")])
     quality = np.array(got["quality"].to_pylist())
     if len(set(quality.tolist())) < 2:
