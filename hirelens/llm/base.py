@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -68,6 +69,20 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if large else pa.binary()).to_pylist()
 
 
+def parts_of(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in smaller ones, so that what is made of it at once stays small."""
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
+def binary_longs(column: pa.Array) -> Iterator[np.ndarray]:
+    """Each value of a binary column as unsigned longs, without a copy."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    for a, b in zip(ends, ends[1:], strict=False):
+        yield np.frombuffer(data, np.uint64, (b - a) // 8, a) if b > a else np.empty(0, np.uint64)
+
+
 def doc_key(text: str = "text"):
     """Tells rows apart that carry one doc_id; rows alike in both are one document repeated."""
     return F.xxhash64(F.col(text))

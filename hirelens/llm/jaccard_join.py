@@ -17,7 +17,7 @@ Pairs inside a run are not all formed. First, in LEADER_ROUNDS rounds, each clas
 is compared with one class of another component that shares a run, that which shares
 most with all others to begin with; links found merge components. Then each class that
 shares k runs with a larger component is compared with all members of it, which stand
-together in blocks of BLOCK sets, so no link between components is lost: the components
+together in blocks of BLOCK shingles, so no link between components is lost: the components
 are exact, while a group of thousands of copies costs about as many comparisons as it
 has members.
 
@@ -40,15 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import Codes, Scratch, doc_key, mix, prefix_sums, spans, text_bytes, windows
+from .base import Codes, Scratch, binary_longs, doc_key, mix, parts_of, prefix_sums, spans, text_bytes, windows
 
 WORDS = 5
 #: Two sets link when PER * intersection >= NUM * union.
 NUM, PER = 75, 100
 SAMPLE, SAMPLE_DF, ORDER_LIMIT = 16, 3, 400_000
 LEADER_ROUNDS = 2
-#: Sets of one component that are compared with others at once.
-BLOCK = 256
+#: Shingles of sets of one component that are compared with others at once.
+BLOCK = 300_000
 #: A prefix is longer by a SHARE-th of the set, and so many of its shingles must be shared.
 SHARE = 10
 
@@ -92,7 +92,7 @@ def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for batch in batches:
+        for batch in (x for whole in batches for x in parts_of(whole)):
             found = [shingles(t, codes) for t in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["shingle"])
 
@@ -109,7 +109,7 @@ def sets(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, (frequent, rank) = Codes(), order.value
-        for batch in batches:
+        for batch in (x for whole in batches for x in parts_of(whole)):
             rows = []
             for text in text_bytes(batch.column("text")):
                 own = shingles(text, codes)
@@ -132,10 +132,8 @@ def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
             keep = []
-            for x, y in zip(left, right, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(binary_longs(batch.column("left")), binary_longs(batch.column("right")), strict=True):
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 both = int((y[at] == x).sum())
                 keep.append(PER * both >= NUM * (len(x) + len(y) - both))
@@ -149,11 +147,11 @@ def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
 def verify_blocks(asked: DataFrame, members: DataFrame, bodies: DataFrame) -> DataFrame:
     """Links (a, b) between classes and members of components they are asked to be compared with.
 
-    asked is (id, part), members (id, part). Members are numbered into blocks by a hash; a class
+    asked is (id, part), members (id, part, n). Members are numbered into blocks by a hash; a class
     goes to each block of its component, and there meets all members at once.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("many") / BLOCK).cast("int"))
-    sizes = members.groupBy("part").agg(F.count("*").alias("many")).select("part", blocks.alias("blocks")).join(asked.select("part").distinct(), "part")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK).cast("int"))
+    sizes = members.groupBy("part").agg(F.sum("n").alias("size")).select("part", blocks.alias("blocks")).join(asked.select("part").distinct(), "part")
     inside = members.join(sizes, "part").select("id", "part", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("kind"))
     outside = asked.join(sizes, "part").select("id", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"))
     placed = inside.unionByName(outside).join(bodies, "id").repartition("part", "block").sortWithinPartitions("part", "block", "kind", "id")
@@ -162,19 +160,19 @@ def verify_blocks(asked: DataFrame, members: DataFrame, bodies: DataFrame) -> Da
         at, ids, held, index = None, [], [], None
         for batch in batches:
             links = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "kind", "id", "body")), strict=True):
+            keys = zip(*(batch.column(c).to_pylist() for c in ("part", "block", "kind", "id")), strict=True)
+            for row, own in zip(keys, binary_longs(batch.column("body")), strict=True):
                 if row[:2] != at:
                     at, ids, held, index = row[:2], [], [], None
-                own = np.frombuffer(row[4], np.uint64)
                 if row[2] == 0:
                     ids.append(row[3])
-                    held.append(own)
+                    held.append(own.copy())
                     continue
                 if index is None:
                     sizes = np.array([len(x) for x in held])
                     shingle, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
                     order = np.argsort(shingle, kind="stable")
-                    index = shingle[order], owner[order], sizes
+                    index, held = (shingle[order], owner[order], sizes), []
                 shingle, owner, sizes = index
                 low, high = np.searchsorted(shingle, own, "left"), np.searchsorted(shingle, own, "right")
                 counts = high - low
@@ -255,7 +253,7 @@ def _bodies(texts: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for batch in batches:
+        for batch in (x for whole in batches for x in parts_of(whole)):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([shingles(t, codes).tobytes() for t in text_bytes(batch.column("text"))], pa.binary())], names=["id", "body"])
 
     asked = texts.join(ids.select(F.col("id").alias("doc_id")), "doc_id")
@@ -285,7 +283,7 @@ def _links(runs: DataFrame, bodies: DataFrame, scratch: Scratch) -> tuple[DataFr
             least = F.greatest(F.lit(1), F.expr(f"(3 * first(n) div 4) div {SHARE}"))
             asked = open_.join(others, "token").where("rank < other").groupBy("id", "other").agg(F.count("*").alias("shared"), least.alias("least")).where("shared >= least")
             asked = scratch.write(asked.select("id", F.col("other.part").alias("part")), "asked")
-            got = verify_blocks(asked, placed.select("id", "part").distinct(), bodies)
+            got = verify_blocks(asked, placed.select("id", "part", "n").distinct(), bodies)
         if asked.isEmpty():
             continue
         got = scratch.write(got, f"links{k}")
