@@ -28,6 +28,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +52,29 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PIECES = re.compile(f" ?[{_LETTER}]+(?![^{_SPACE},.;:!?*#%&$])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
+#: Marks after a word of letters, from which the pre-tokenizer divides them.
+_MARKS = ",.;:!?"
+_WORD = re.compile(f"[{_LETTER}]+")
+
+
+def _alphabet() -> list[str]:
+    """The sign that stands for each byte in the vocabulary: itself if it can be seen, else the next free one."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in seen else chr(next(rest)) for b in range(256)]
+
+
+_SIGNS = dict(enumerate(_alphabet()))
+
+
 class Encoder:
-    """The tokenizer with a bounded memory of pieces already encoded."""
+    """The tokenizer with a bounded memory of words already encoded.
 
-    LIMIT = 1_000_000
+    Lines of words with one blank between them are put together from `front` (no blank before) and
+    `inner` (one blank before). Texts with other white space go by _PIECES.
+    """
+
+    LIMIT = 1_500_000
 
     def __init__(self, path: str):
         import os
@@ -63,29 +83,87 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self) -> None:
+        self.line_feed = self._encode(["\n"])[0]
+        self.front: dict[str, bytes] = {"": b""}
+        self.inner: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32."""
-        out: list[bytes] = []
-        for text in texts:
-            if any(s in text for s in self.special):  # what the library makes of them reaches over pieces
-                out += self._encode([text])
-                continue
-            pieces = _PIECES.findall(text)
-            try:
-                out.append(b"".join(map(self.known.__getitem__, pieces)))
-            except KeyError:
-                if len(self.known) > self.LIMIT:
-                    self.known.clear()
-                new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-                self.known.update(zip(new, self._encode(new), strict=True))
-                out.append(b"".join(map(self.known.__getitem__, pieces)))
-        return out
+        if len(self.front) + len(self.inner) + len(self.pieces) > self.LIMIT:
+            self.forget()
+        return [self._one(text) for text in texts]
+
+    def _one(self, text: str) -> bytes:
+        if any(s in text for s in self.special):  # what the library makes of them reaches over words
+            return self._encode([text])[0]
+        if "\n\n\n" in text or "\n\n " in text or text.endswith("\n\n"):  # line feeds that make one token
+            return self._by_pieces(text)
+        words: list[str] = []
+        found: list[bytes | None] = []
+        for line in text.split("\n"):
+            own = line.split(" ")
+            words += own
+            found.append(self.front.get(own[0]))
+            found.extend(map(self.inner.get, islice(own, 1, None)))
+            words.append("")
+            found.append(self.line_feed)
+        del found[-1]
+        try:
+            return b"".join(found)
+        except TypeError:  # some are new
+            return b"".join(found) if self._learn(words, found) else self._by_pieces(text)
+
+    def _learn(self, words: list[str], found: list[bytes | None]) -> bool:
+        """Encodes the words that are not found and puts them in; false if one has white space at an end."""
+        new: list[tuple[int, dict[str, bytes], str, str, str]] = []
+        odd: dict[str, None] = {}
+        feed, front, inner = self.line_feed, self.front, self.inner
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            word = words[k]
+            stem = word.rstrip(_MARKS)
+            letters = _WORD.fullmatch(stem)
+            if not letters:
+                if not word or word[0].isspace() or word[-1].isspace():
+                    return False
+                stem = word
+            marks = word[len(stem) :]
+            inside = k > 0 and found[k - 1] is not feed
+            known = inner if inside else front
+            if stem not in known:
+                if letters:
+                    known[stem] = self._word(" " * inside + stem)
+                else:
+                    odd[" " * inside + stem] = None
+            if marks not in front:
+                odd[marks] = None
+            new.append((k, known, word, stem, marks))
+        for text, ids in zip(odd, self._encode(list(odd)) if odd else [], strict=True):
+            if text[0] == " ":
+                inner[text[1:]] = ids
+            else:
+                front[text] = ids
+        for k, known, word, stem, marks in new:
+            found[k] = known[word] = known[stem] + front[marks] if marks else known[stem]
+        return True
+
+    def _word(self, text: str) -> bytes:
+        """Ids of one word of letters, which the pre-tokenizer leaves whole."""
+        signs = text.encode().decode("latin-1").translate(_SIGNS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(signs)]).tobytes()
+
+    def _by_pieces(self, text: str) -> bytes:
+        pieces = _PIECES.findall(text)
+        new = [p for p in dict.fromkeys(pieces) if p not in self.pieces]
+        self.pieces.update(zip(new, self._encode(new), strict=True))
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
 
 @lru_cache(1)
@@ -96,7 +174,9 @@ def shared_encoder(path: str) -> Encoder:
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Used ids and their scaled frequencies, each at least 1, summing to 2**SCALE."""
-    used, count = np.unique(ids, return_counts=True)
+    count = np.bincount(ids)
+    used = np.flatnonzero(count)
+    count = count[used]
     whole = 1 << SCALE
     scaled = 1 + (count * ((whole - len(used)) / len(ids))).astype(np.int64)
     scaled[np.argmax(scaled)] += whole - scaled.sum()
@@ -108,7 +188,9 @@ def compress(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     used, freq = frequencies(ids)
     first = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
     f64 = freq.astype(np.uint64)
-    index = np.searchsorted(used, ids)
+    number = np.zeros(int(used[-1]) + 1, np.int64)
+    number[used] = np.arange(len(used))
+    index = number[ids]
     lanes = min(LANES, len(ids))
     m = -(-len(ids) // lanes)
     lanes = -(-len(ids) // m)
