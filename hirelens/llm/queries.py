@@ -98,6 +98,62 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+WORDS = "coalesce(regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+'), cast([] as varchar[]))"
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_ORACLE = f"""
+with recursive w as (select doc_id, {WORDS.format(LOWER)} as w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i : i + 4], ' ') as x
+  from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) as i from w where len(w) > 0)
+), n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by all),
+links as (select a, b from pairs join n x on a = x.doc_id join n y on b = y.doc_id where 100 * common >= 75 * (x.n + y.n - common)),
+ways as (select a, b from links union all select b, a from links),
+reach as (select doc_id as id, doc_id as root from w union select ways.b, reach.root from reach join ways on reach.id = ways.a)
+select id as doc_id, coalesce(any_value(n), 0) as n_shingles, min(root) as component_id from reach left join n on n.doc_id = id group by id
+"""
+
+OP3_ORACLE = f"""
+with w as (select doc_id, {WORDS.format('text')} as w from documents),
+windows as (select doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) as k from (select doc_id, w, unnest(generate_series(1, len(w) - 49)) as i from w where len(w) >= 50)),
+low as (select k, min(doc_id) as first from windows group by k),
+gone as (select distinct doc_id, unnest(generate_series(i, i + 49)) as p from windows join low using (k) where doc_id > first),
+each as (select doc_id, unnest(w) as word, unnest(generate_series(1, len(w))) as p from w),
+kept as (select doc_id, count(*) as n_kept, string_agg(word, ' ' order by p) as text from each where not exists (select 1 from gone where gone.doc_id = each.doc_id and gone.p = each.p) group by doc_id)
+select w.doc_id, len(w) as n_words, len(w) - coalesce(n_kept, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256 from w left join kept on w.doc_id = kept.doc_id
+"""
+
+_BENCH_WORDS = f"coalesce(regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), cast([] as varchar[]))"
+OP4_ORACLE = f"""
+with d as (select doc_id, {_BENCH_WORDS} as w from documents),
+b as (select coalesce(cast(item_id as varchar), '') as item, {_BENCH_WORDS} as w from benchmark),
+known as (select distinct item, n, array_to_string(w[i : i + n - 1], ' ') as k from (select item, w, least(10, len(w)) as n, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) as i from b where len(w) > 0)),
+sizes as (select distinct n from known),
+windows as (select doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') as k from (select doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as i from d cross join sizes where len(w) >= n)),
+hits as (select distinct doc_id, i, n, item from windows join known using (k, n)),
+covered as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(generate_series(i, i + n - 1)) as p from hits) group by doc_id),
+items as (select doc_id, count(distinct item) as n_items, sha256(array_to_string(list_sort(list(distinct item)), ',')) as digest from hits group by doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, coalesce(digest, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered on d.doc_id = covered.doc_id left join items on d.doc_id = items.doc_id
+"""
+
+OP10_ORACLE = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (select doc_id, i, md5(substr(h, 2 * i + 1, 400)) as k from (select doc_id, h, unnest(generate_series(0, len(h) // 2 - 200)) as i from d where len(h) >= 400)),
+twice as (select k from windows group by k having count(*) > 1),
+hits as (select doc_id, i, coalesce(i > lag(i) over (partition by doc_id order by i) + 200, true) as opens from windows join twice using (k)),
+spans as (select doc_id, min(i) as a, max(i) + 200 as b from (select doc_id, i, sum(opens::int) over (partition by doc_id order by i) as s from hits) group by doc_id, s),
+gaps as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as u, a as v from spans
+  union all select doc_id, max(b), 1000000000 from spans group by doc_id
+), kept as (select d.doc_id, string_agg(substr(h, 2 * u + 1, 2 * (v - u)), '' order by u) as left_hex from gaps join d on d.doc_id = gaps.doc_id group by d.doc_id),
+sums as (select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans from spans group by doc_id)
+select d.doc_id, len(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(left_hex, h))) as kept_sha256
+from d left join sums on d.doc_id = sums.doc_id left join kept on d.doc_id = kept.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_jaccard_join": op1_jaccard_join,
@@ -114,4 +170,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": line_dedup.ORACLE, "op9_curriculum_mix": OP9_ORACLE}
+    return {
+        "op1_jaccard_join": OP1_ORACLE, "op3_substring_cover": OP3_ORACLE, "op4_decontaminate": OP4_ORACLE, "op7_line_dedup": line_dedup.ORACLE,
+        "op9_curriculum_mix": OP9_ORACLE, "op10_suffix_repeats": OP10_ORACLE,
+    }
