@@ -14,10 +14,11 @@ SHARE-th of the size, 1 at least; and the smaller has at least 3/4 of the larger
    whole sets.
 
 Pairs inside a run are not all formed. First, in LEADER_ROUNDS rounds, each class
-is compared with one class of another component that shares a run, that which shares
-most with all others to begin with; links found merge components. Then each class that
-shares k runs with a larger component is compared with all members of it, which stand
-together in blocks of BLOCK shingles, so no link between components is lost: the components
+is compared with one class of about its size in another component that shares a run, that
+which shares most with all others to begin with; links found merge components. Then classes that chose
+one leader but stand apart are compared with all others that chose it, and each class that
+shares k runs with a larger component elsewhere with all members of that. These stand
+together in blocks of BLOCK shingles. So no link between components is lost: the components
 are exact, while a group of thousands of copies costs about as many comparisons as it
 has members.
 
@@ -33,6 +34,7 @@ have no component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -262,34 +264,56 @@ def _bodies(texts: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _links(runs: DataFrame, bodies: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The links found, and the component of every id that has one."""
-    edges = done = None
+    edges = done = leaders = None
     parts = runs.sparkSession.createDataFrame([], "id bigint, component bigint")
-    for k in range(LEADER_ROUNDS + 1):
-        placed = runs.join(parts, "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("part"), (F.xxhash64("id", F.lit(k)) if k else F.col("score")).alias("h"))
-        ends = placed.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(F.struct("h", "id", "n", "part")).alias("lead")).where("low < high")
-        if k < LEADER_ROUNDS:
-            asked = (
-                placed.select("token", "id", "n", "part").join(ends.select("token", F.col("lead.h").alias("h"), F.col("lead.id").alias("leader"), F.col("lead.n").alias("m"), F.col("lead.part").alias("other")), "token")
-                .where((F.col("part") != F.col("other")) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m")))
-                .groupBy("id").agg(F.max(F.struct("h", "leader")).alias("best")).select(F.least("id", "best.leader").alias("a"), F.greatest("id", "best.leader").alias("b")).distinct()
-            )
-            asked = scratch.write(asked if done is None else asked.join(done, ["a", "b"], "left_anti"), f"asked{k}")
-            done = asked if done is None else done.unionByName(asked)
-            got = verify(asked, bodies)
-        else:
-            many = placed.select("id", "part").distinct().groupBy("part").agg(F.count("*").alias("many"))
-            open_ = scratch.write(placed.join(ends.select("token"), "token").join(many, "part").select("token", "id", "n", "part", F.struct("many", "part").alias("rank")), "open")
-            others = open_.select("token", "rank").distinct().withColumnRenamed("rank", "other")
-            least = F.greatest(F.lit(1), F.expr(f"(3 * first(n) div 4) div {SHARE}"))
-            asked = open_.join(others, "token").where("rank < other").groupBy("id", "other").agg(F.count("*").alias("shared"), least.alias("least")).where("shared >= least")
-            asked = scratch.write(asked.select("id", F.col("other.part").alias("part")), "asked")
-            got = verify_blocks(asked, placed.select("id", "part", "n").distinct(), bodies)
+    for k in range(LEADER_ROUNDS):
+        placed = runs.join(parts, "id", "left").select("token", "id", "n", F.floor(F.log("n") / math.log(4 / 3)).alias("band"), F.coalesce("component", "id").alias("part"), (F.xxhash64("id", F.lit(k)) if k else F.col("score")).alias("h"))
+        ends = placed.groupBy("token", "band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(F.struct("h", "id", "part")).alias("lead")).where("low < high")
+        chosen = (
+            placed.select("token", "band", "id", "part").join(ends.select("token", "band", F.col("lead.h").alias("h"), F.col("lead.id").alias("leader"), F.col("lead.part").alias("other")), ["token", "band"])
+            .where("part <> other")
+            .groupBy("id").agg(F.max(F.struct("h", "leader")).alias("best")).select("id", F.col("best.leader").alias("leader"))
+        )
+        chosen = scratch.write(chosen, f"chosen{k}")
+        leaders = chosen if k == 0 else leaders
+        asked = chosen.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+        asked = scratch.write(asked if done is None else asked.join(done, ["a", "b"], "left_anti"), f"asked{k}")
         if asked.isEmpty():
             continue
-        got = scratch.write(got, f"links{k}")
+        done = asked if done is None else done.unionByName(asked)
+        got = scratch.write(verify(asked, bodies), f"links{k}")
         edges = got if edges is None else edges.unionByName(got)
         parts = components(edges, scratch, f"parts{k}_")
-    return edges, parts
+    if runs.isEmpty():
+        return edges, parts
+    got = scratch.write(_rest(runs, parts, leaders, bodies, scratch), "rest")
+    edges = got if edges is None else edges.unionByName(got)
+    return edges, components(edges, scratch, "parts_")
+
+
+def _rest(runs: DataFrame, parts: DataFrame, leaders: DataFrame, bodies: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between components that the rounds left apart.
+
+    Classes that chose one leader share most with it, and so with each other: they form a bucket,
+    in which all but its largest component are compared with everything. Pairs from different buckets
+    are looked for by the shingles they share.
+    """
+    known = runs.groupBy("id").agg(F.min("n").alias("n")).join(parts, "id", "left").join(leaders, "id", "left")
+    ids = scratch.write(known.select("id", "n", F.coalesce("component", "id").alias("part"), F.coalesce("leader", "id").alias("bucket")), "ids")
+
+    sizes = ids.groupBy("bucket", "part").agg(F.count("*").alias("many")).groupBy("bucket").agg(F.max(F.struct("many", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    mixed = ids.join(sizes.select("bucket", F.col("top.part").alias("top")), "bucket")
+    inside = verify_blocks(mixed.where("part <> top").select("id", F.col("bucket").alias("part")), mixed.select("id", F.col("bucket").alias("part"), "n"), bodies)
+
+    many = ids.groupBy("part").agg(F.count("*").alias("many"))
+    placed = runs.select("token", "id").join(ids.join(many, "part"), "id").select("token", "id", "n", "bucket", F.struct("many", "part").alias("rank"))
+    ends = placed.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high"), F.min("bucket").alias("from"), F.max("bucket").alias("to")).where("low < high and from < to").select("token")
+    open_ = scratch.write(placed.join(ends, "token"), "open")
+    others = open_.select("token", F.col("rank").alias("other"), F.col("bucket").alias("far")).distinct()
+    least = F.greatest(F.lit(1), F.expr(f"(3 * first(n) div 4) div {SHARE}"))
+    asked = open_.join(others, "token").where("rank < other and bucket <> far").groupBy("id", "other").agg(F.count("*").alias("shared"), least.alias("least")).where("shared >= least")
+    asked = scratch.write(asked.select("id", F.col("other.part").alias("part")), "asked")
+    return inside.unionByName(verify_blocks(asked, ids.select("id", "part", "n"), bodies))
 
 
 def join(docs: DataFrame) -> DataFrame:
