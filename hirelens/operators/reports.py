@@ -133,10 +133,11 @@ def company_concentration(jobs: DataFrame, spec: FilterSpec, top: int = 20) -> D
     key = F.coalesce(F.concat(F.lit("company:"), company), F.lit("synthetic:missing-company"))
     shown = ladder([(company.isNull(), NO_COMPANY), (company == "Others", "Others (Company)")], company)
     sizes = active.groupBy(key.alias("name"), shown.alias("display_name"), F.coalesce(company, F.lit("")).alias("sort")).agg(jobs_of().alias("value"))
-    place = F.least(_rank(F.desc("value"), F.col("sort"), F.col("name")), F.lit(top + 1))
-    ranked = sizes.withColumn("display_order", place)
-    tail = F.col("display_order") > top
-    slices = ranked.groupBy("display_order", F.when(tail, "synthetic:tail").otherwise(F.col("name")).alias("name"), F.when(tail, "Others").otherwise(F.col("display_name")).alias("display_name")).agg(F.sum("value").alias("value"))
+    order = [F.desc("value"), F.col("sort"), F.col("name")]
+    first = sizes.orderBy(*order).limit(top)
+    slices = first.select("name", "display_name", "value", _rank(*order).alias("display_order"))  # top rows
+    rest = sizes.join(F.broadcast(first.select("name")), "name", "left_anti").agg(F.sum("value").alias("value")).where("value is not null")
+    slices = slices.unionByName(rest.select(F.lit("synthetic:tail").alias("name"), F.lit("Others").alias("display_name"), "value", F.lit(top + 1).alias("display_order")))
     total = active.agg(jobs_of().alias("total"))  # one row
     share = F.round(100.0 * F.col("value") / F.nullif("total", F.lit(0)), 1)
     return slices.crossJoin(F.broadcast(total)).select("name", "display_name", "value", F.col("value").alias("active_job_count"), share.alias("percentage"), "display_order").orderBy("display_order", "display_name").drop("display_order")
@@ -236,8 +237,9 @@ def skill_demand_salary(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, ra
         jobs_of().alias("distinct_job_count"), F.avg("avg_annual_pay_range").alias("avg_annual_pay_range"), jobs_of(F.col("avg_annual_pay_range").isNotNull()).alias("salary_job_count"),
     ).where(f"avg_annual_pay_range is not null and salary_job_count >= {least}")
     order = [F.desc("distinct_job_count"), F.desc_nulls_last("avg_annual_pay_range"), F.col("skill")]
-    ranked = sums.withColumns({"demand_rank": _rank(order[0], order[2]), "salary_rank": _rank(order[1], order[2]), "salary_coverage_pct": divide("salary_job_count", "distinct_job_count")})
-    return ranked.where(f"demand_rank <= {rank} or salary_rank <= {rank}").drop("demand_rank", "salary_rank").orderBy(*order).limit(limit)
+    paid = sums.withColumn("salary_coverage_pct", divide("salary_job_count", "distinct_job_count"))
+    either = paid.orderBy(order[0], order[2]).limit(rank).union(paid.orderBy(order[1], order[2]).limit(rank)).distinct()  # 2 * rank rows
+    return either.orderBy(*order).limit(limit)
 
 
 def skill_trend(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, k: int = 10) -> DataFrame:
