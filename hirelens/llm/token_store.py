@@ -39,7 +39,7 @@ from .base import Scratch
 
 END_ID = 2
 SEGMENT_TOKENS = 2_000_000
-LANES = 2048
+LANES = 4096
 SCALE = 20
 _LOW = np.uint64(1 << 31)
 _U32, _MASK, _M = np.uint64(32), np.uint64((1 << SCALE) - 1), np.uint64(SCALE)
@@ -207,17 +207,17 @@ def compress(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
         full = np.flatnonzero(x >= f << np.uint64(63 - SCALE))
         if len(full):
             words.append((x[full] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-            owner.append(full)
+            owner.append(full.astype(np.uint16))
             x[full] >>= _U32
         high = x // f
         state[: len(on)] = (high << _M) + (x - high * f) + first[s]
     words = np.concatenate(words)[::-1] if words else np.empty(0, np.uint32)
-    owner = np.concatenate(owner)[::-1] if owner else np.empty(0, np.int64)
+    owner = np.concatenate(owner)[::-1] if owner else np.empty(0, np.uint16)
     order = np.argsort(owner, kind="stable")
     begins = np.searchsorted(owner[order], all_lanes)
     heads = np.empty(lanes, [("state", "<u8"), ("at", "<u4"), ("size", "<u4")])
     heads["state"], heads["at"], heads["size"] = state, begins, sizes
-    table = zlib.compress(used.astype("<u4").tobytes() + freq.astype("<u4").tobytes(), 6)
+    table = zlib.compress(used.astype("<u4").tobytes() + freq.astype("<u4").tobytes(), 1)
     return table, heads.tobytes(), words[order].astype("<u4").tobytes()
 
 
