@@ -76,12 +76,12 @@ def contexts(text: bytes, size: int = MIN_BYTES, gram: int = GRAM) -> tuple[np.n
 
 
 def _ranks(codes: np.ndarray, depth: int) -> dict[int, np.ndarray]:
-    """Ranks of all suffixes by their first 8, 16, 32, ... bytes, by doubling."""
+    """Ranks of all suffixes by their first 8, 16, 32, ... bytes, by doubling; by fewer than 8 for a smaller depth."""
     word = np.zeros(len(codes), np.uint64)
     padded = np.r_[codes, np.zeros(8, np.uint8)].astype(np.uint64)
-    for k in range(8):
+    found, h = {}, min(8, 1 << (depth.bit_length() - 1))
+    for k in range(h):
         word = (word << np.uint64(8)) | padded[k : k + len(codes)]
-    found, h = {}, 8
     key = word
     while True:
         order = np.argsort(key)
