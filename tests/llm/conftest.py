@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 
@@ -15,7 +16,7 @@ def make(spark):
     def run(texts, extra=None):
         pairs = [x if isinstance(x, tuple) else (k, x) for k, x in enumerate(texts)]
         df = spark.createDataFrame([(i, t, None, None if i is None else f"s{i % 2}", None) for i, t in pairs], SCHEMA)
-        return df.withColumns(extra or {})
+        return df.withColumns({k: F.lit(v) for k, v in (extra or {}).items()})
 
     return run
 

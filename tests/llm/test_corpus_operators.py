@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hirelens.llm import base, jaccard_join, line_dedup, mixing, queries, substring_cover, suffix_dedup, token_store
 
-CLASH = {k: F.lit("clash") for k in ("n_shingles", "component_id", "place", "name", "digest", "size", "target", "mix_key", "start", "n_tokens")}
+CLASH = {k: "clash" for k in ("n_shingles", "component_id", "place", "name", "digest", "size", "target", "mix_key", "start", "n_tokens")}
 
 
 def some_texts(seed=3, n=60):

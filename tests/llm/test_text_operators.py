@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hirelens.llm import decontam, knn_quality, pii, quality_rules
 
 TEXTS = [None, "", " \n\t", "one", "a b c d " * 40, "word " * 100_000, "x\n\nx\n x\n", "é ñ z y " * 20, "The cat sat. " * 3 + "\nA | b | c |\n" * 30, "a@b.c"]
-CLASH = {"n_words": F.lit("clash"), "kept": F.lit(7), "score": F.lit("x"), "hit_starts": F.lit(1)}
+CLASH = {"n_words": "clash", "kept": 7, "score": "x", "hit_starts": 1}
 
 
 def test_base_rules(make):
@@ -87,7 +87,7 @@ def test_personal_data(make, documents, pairs):
     rng = random.Random(4)
     mixed = ["".join(rng.choices(["a", "@", ".", "1", "2", " ", "-", "+", "(", "é", "b.c", "4111111111111111", "+1 555", "127.0.0.1"], k=rng.randint(1, 40))) for _ in range(2000)]
     texts = [*PERSONAL, *mixed]
-    got = {r.doc_id: r for r in pii.scan(make(texts, {"spans": F.lit(1)})).collect()}
+    got = {r.doc_id: r for r in pii.scan(make(texts, {"spans": 1})).collect()}
     for k, text in enumerate(texts):
         base = brute.personal(text)
         assert got[k].base_sha256 == brute.sha(base), text
