@@ -12,6 +12,9 @@ columns of documents; the last returns what its files hold.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,20 +23,39 @@ from hirelens.llm.base import Scratch, table
 from hirelens.llm.queries import tokenizer_path
 
 
+CORE = ("doc_id", "text", "source")
+
+
+def keeping_columns(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage on documents whose further columns have names of their own while it runs, whatever they are called."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        safe = {c: f"carried_{k}" for k, c in enumerate(docs.columns) if c not in CORE}
+        out = stage(spark, docs.withColumnsRenamed(safe), sf_dir)
+        return out.withColumnsRenamed({v: k for k, v in safe.items()}).select(*docs.columns)
+
+    return run
+
+
+@keeping_columns
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     weights = quality_rules.train(docs, table(spark, sf_dir, "labels"))
     return quality_rules.assess(docs, weights).where("kept").select(*docs.columns)
 
 
+@keeping_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard_join.representatives(docs)
 
 
+@keeping_columns
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontam.scan(docs, table(spark, sf_dir, "benchmark"))
     return found.where(F.size("hit_starts") == 0).select(*docs.columns)
 
 
+@keeping_columns
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.training_order(mixing.curriculum(docs, whole=True)).select(*docs.columns)
 

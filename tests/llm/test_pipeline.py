@@ -45,3 +45,23 @@ def test_stages_keep_the_columns(spark, sf_dir):
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns, name
         assert stage(spark, docs.where("false"), sf_dir).count() == 0, name
+
+
+def test_stages_carry_any_column(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns({c: F.col("doc_id") for c in ("size", "kept", "n_words", "position", "words", "copies", "gone_id", "hit_starts", "quality")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        assert out.where("size <> doc_id or kept <> doc_id or copies <> doc_id or n_words <> doc_id or hit_starts <> doc_id").isEmpty(), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_stages_take_nulls_and_repeats(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    text = " ".join(f"w{k}x" for k in range(120)) + "."
+    rows = [(1, text, "en", "a", 1), (1, text, "en", "a", 1), (2, text + " end", None, None, None), (None, text, "en", "b", 1), (3, None, None, None, None), (4, "", None, "", None), (5, "z " * 40_000, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf_dir).count() >= 0, name
+    left = corpus_pipeline.STAGES[1][1](spark, docs, sf_dir)
+    assert sorted(str(r.doc_id) for r in left.collect()) == ["1", "1", "3", "4", "5", "None"]
