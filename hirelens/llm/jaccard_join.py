@@ -243,9 +243,8 @@ def link(docs: DataFrame) -> DataFrame:
     bodies = _bodies(texts, runs.select("id").distinct(), scratch)
     links, parts = _links(runs, bodies, scratch)
     reps = members.join(parts, "id", "left").select(*same_set, F.coalesce("component", "id").alias("component_id"))
-    found = every.select("doc_id", *same_set).join(reps, same_set, "left")
-    found = found.groupBy("doc_id", *same_set).agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
-    found = found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("row")).drop("row")
+    rows = every.groupBy("doc_id", *same_set).agg(F.count("*").alias("rows"))
+    found = rows.join(reps, same_set, "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("row")).drop("row")
     nameless = docs.where("doc_id is null").select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
     return found.unionByName(nameless)
 
