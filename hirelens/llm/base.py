@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -69,10 +69,12 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if large else pa.binary()).to_pylist()
 
 
-def parts_of(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """A batch in smaller ones, so that what is made of it at once stays small."""
-    for k in range(0, batch.num_rows, rows):
-        yield batch.slice(k, rows)
+def small(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in smaller ones, so that what is made of one at once stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def binary_longs(column: pa.Array) -> Iterator[np.ndarray]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Codes, Scratch, merged, prefix_sums, sliding_min, text_bytes, windows
+from .base import Codes, Scratch, merged, prefix_sums, sliding_min, small, text_bytes, windows
 
 T, K = 10, 5
 BLOCK_BYTES = 32_000_000
@@ -142,7 +142,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, t: int = T, k: int = K, block_by
 
         def run(batches: Iterator[pa.RecordBatch], known=known, first=block == 0) -> Iterator[pa.RecordBatch]:
             index, codes = Index(known.value, t, k), Codes()
-            for batch in batches:
+            for batch in small(batches):
                 rows = []
                 before = [([], [], [])] * batch.num_rows if first else list(zip(*(batch.column(x).to_pylist() for x in _FOUND_NAMES[1:]), strict=True))
                 for text, (a, b, seen) in zip(text_bytes(batch.column("text")), before, strict=True):

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import Codes, Scratch, binary_longs, doc_key, mix, parts_of, prefix_sums, spans, text_bytes, windows
+from .base import Codes, Scratch, binary_longs, doc_key, mix, prefix_sums, small, spans, text_bytes, windows
 
 WORDS = 5
 #: Two sets link when PER * intersection >= NUM * union.
@@ -94,7 +94,7 @@ def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for batch in (x for whole in batches for x in parts_of(whole)):
+        for batch in small(batches):
             found = [shingles(t, codes) for t in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["shingle"])
 
@@ -111,7 +111,7 @@ def sets(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, (frequent, rank) = Codes(), order.value
-        for batch in (x for whole in batches for x in parts_of(whole)):
+        for batch in small(batches):
             rows = []
             for text in text_bytes(batch.column("text")):
                 own = shingles(text, codes)
@@ -254,7 +254,7 @@ def _bodies(texts: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for batch in (x for whole in batches for x in parts_of(whole)):
+        for batch in small(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([shingles(t, codes).tobytes() for t in text_bytes(batch.column("text"))], pa.binary())], names=["id", "body"])
 
     asked = texts.join(ids.select(F.col("id").alias("doc_id")), "doc_id")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import text_bytes
+from .base import small, text_bytes
 
 #: Bound of the training sample, for each label, and sizes of the model.
 SAMPLE_DOCS = 1500
@@ -101,7 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * sample_docs rows of two numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             made = [terms(t or b"").tobytes() for t in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(made, pa.binary())], names=["doc_id", "quality", "f"])
 
@@ -118,7 +118,7 @@ def classify(docs: DataFrame, model: dict | None) -> DataFrame:
     kept = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = text_bytes(batch.column("text"))
             score = np.concatenate([np.empty(0), *(vote(np.stack([terms(t or b"") for t in texts[k : k + BLOCK]]), kept.value) for k in range(0, len(texts), BLOCK))])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])

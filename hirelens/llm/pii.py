@@ -20,6 +20,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .base import small
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "login", "account", "secret")
 
@@ -136,7 +138,7 @@ def scan(docs: DataFrame, redacted: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cues = automaton()
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             found = [find(t, cues) for t in texts]
             columns = [batch.column("doc_id"), *(pa.array([len(s[k]) for s in found], pa.int64()) for k in BASE_KINDS)]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import text_bytes
+from .base import small, text_bytes
 
 #: Bounds of the training sample: documents of each label, and lines of each of them.
 SAMPLE_DOCS = 1500
@@ -177,7 +177,7 @@ def assess(docs: DataFrame, weights: dict, min_content: float = MIN_CONTENT) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit, step = np.array(weights["emit"]), np.array(weights["step"])
-        for batch in batches:
+        for batch in small(batches):
             found = [judge(x, emit, step, min_content) for x in text_bytes(batch.column("text"))]
             columns = zip(*found, strict=True) if found else [[]] * len(RESULT)
             added = [pa.array(list(c), _TYPES[t]) for c, t in zip(columns, RESULT.values(), strict=True)]
@@ -195,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             made = [features([x for x in (t or b"").split(b"\n") if x.strip()][:SAMPLE_LINES]) for t in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array([m.ravel().tolist() for m in made], pa.list_(pa.float32()))], names=["doc_id", "quality", "f"])
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Codes, Scratch, doc_key, merged, mix, prefix_sums, text_bytes, windows
+from .base import Codes, Scratch, doc_key, merged, mix, prefix_sums, small, text_bytes, windows
 
 WINDOW = 50
 #: A perfect difference set of six residues modulo 31.
@@ -60,7 +60,7 @@ def removed(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> DataFram
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for batch in batches:
+        for batch in small(batches):
             found = [anchors(prefix_sums(codes.of(t.split())), window) for t in text_bytes(batch.column("text"))]
             counts = [len(a) for a, _ in found]
             if sum(counts):
@@ -75,7 +75,7 @@ def removed(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> DataFram
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for batch in batches:
+        for batch in small(batches):
             hashes, checks, places = [], [], []
             for text, marked in zip(text_bytes(batch.column("text")), batch.column("places").to_pylist(), strict=True):
                 own = codes.of(text.split())
@@ -106,7 +106,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     gone = removed(docs, Scratch(docs.sparkSession, "cover"), window).withColumnRenamed("doc_id", "gone_id").withColumnRenamed("doc_key", "gone_key")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for text, places in zip(text_bytes(batch.column("text")), batch.column("places").to_pylist(), strict=True):
                 own = (text or b"").split()

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import BYTE_CODES, Scratch, doc_key, merged, mix, prefix_sums, sliding_min, spans, text_bytes, windows
+from .base import BYTE_CODES, Scratch, doc_key, merged, mix, prefix_sums, sliding_min, small, spans, text_bytes, windows
 
 MIN_BYTES = 200
 GRAM = 64
@@ -197,7 +197,7 @@ def removed(docs: DataFrame, scratch: Scratch, size: int = MIN_BYTES, gram: int
     texts = docs.where("text is not null").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("doc_id"), doc_key().alias("doc_key"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = [contexts(t, size, gram) for t in text_bytes(batch.column("text"))]
             counts = [len(x[0]) for x in found]
             if sum(counts):
@@ -217,7 +217,7 @@ def removed(docs: DataFrame, scratch: Scratch, size: int = MIN_BYTES, gram: int
     wanted = asked.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("name", "digest", "n", "contexts", "first", "end")).alias("parts"))  # of one document
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = [(p["name"], p["digest"], p["n"], p["contexts"], text[p["first"] : p["end"]]) for text, parts in zip(text_bytes(batch.column("text")), batch.column("parts").to_pylist(), strict=True) for p in parts]
             if rows:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -288,7 +288,7 @@ def dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("doc_key").alias("gone_key"), "starts", "ends")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for text, starts, ends in zip(text_bytes(batch.column("text")), batch.column("starts").to_pylist(), batch.column("ends").to_pylist(), strict=True):
                 text = text or b""
