@@ -69,8 +69,9 @@ def removed(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> DataFram
 
     marks = scratch.write(texts.select("doc_id", "text").mapInArrow(sample, "anchor bigint, doc_id bigint, place int"), "anchors")
     shared = marks.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
+    shared = scratch.write(shared, "shared")  # on its own, so that its shuffle is gone before the next
     near = scratch.write(marks.join(shared, "anchor").select("doc_id", "place"), "near")
-    scratch.drop("anchors")
+    scratch.drop("anchors", "shared")
     near = near.groupBy("doc_id").agg(F.collect_list("place").alias("places"))  # of one document
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +96,10 @@ def removed(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> DataFram
     made = texts.join(near, "doc_id").select("doc_id", "doc_key", "text", "places").mapInArrow(extend, "hash bigint, check int, doc_id bigint, doc_key bigint, place int")
     made = scratch.write(made, "windows")
     first = made.groupBy("hash", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("hash", "check", "low")
+    first = scratch.write(first, "first")
     gone = made.join(first, ["hash", "check"]).where("doc_id > low").select("doc_id", "doc_key", "place")
     gone = scratch.write(gone.groupBy("doc_id", "doc_key").agg(F.collect_list("place").alias("places")), "gone")
-    scratch.drop("windows", "near")
+    scratch.drop("windows", "near", "first")
     return gone
 
 
