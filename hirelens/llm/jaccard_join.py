@@ -48,7 +48,7 @@ WORDS = 5
 #: Two sets link when PER * intersection >= NUM * union.
 NUM, PER = 75, 100
 SAMPLE, SAMPLE_DF, ORDER_LIMIT = 16, 3, 400_000
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 1
 #: Shingles of sets of one component that are compared with others at once.
 BLOCK = 300_000
 #: A prefix is longer by a SHARE-th of the set, and so many of its shingles must be shared.
@@ -191,9 +191,9 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(id, component) of every id on an edge: the smallest id that its edges reach.
 
     Each round links all neighbours of a node to the smallest of them, first the
-    larger, then the smaller ones; it ends when nothing changes.
+    larger, then the smaller ones; it ends when every node is linked to one that is linked to none.
     """
-    spark, k, before = edges.sparkSession, 0, None
+    k = 0
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -205,11 +205,11 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         now = scratch.write(small, f"{name}{k}")
         if k:
             scratch.drop(f"{name}{k - 1}")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        edges_now, nodes = now.agg(F.count("*"), F.countDistinct("u")).first()
+        if edges_now == nodes and now.join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
             return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
-        before, k = state, k + 1
+        k += 1
 
 
 def link(docs: DataFrame) -> DataFrame:
