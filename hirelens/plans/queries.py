@@ -22,6 +22,8 @@ from . import adapter as A
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: Queries that DuckDB's SQL cannot express; tests compare them with plain Python.
+BEYOND_SQL: dict[str, Query] = {}
 
 # -- shared SQL ------------------------------------------------------------------
 
@@ -105,6 +107,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def beyond_sql(fn: Query) -> Query:
+    BEYOND_SQL[fn.__name__] = fn
+    return fn
+
+
 def rounded(df: DataFrame, *names: str, places: int = 4) -> DataFrame:
     return df.withColumns({n: F.round(n, places) for n in names})
 
@@ -317,6 +324,12 @@ def normalize_text(spark: SparkSession, d: str) -> DataFrame:
     return A.read(spark, d, "documents").where("lang in ('en', 'de')").select("doc_id", C.normalized(F.substring("text", 1, 300)).alias("normalized"))
 
 
+@beyond_sql
+def normalize_text_all(spark: SparkSession, d: str) -> DataFrame:
+    """The whole text of every document, normalized."""
+    return A.read(spark, d, "documents").select("doc_id", C.normalized("text").alias("normalized"))
+
+
 @query("select o_orderkey, md5(concat_ws('-', coalesce(cast(o_custkey as varchar), '_dbt_utils_surrogate_key_null_'), o_orderstatus, coalesce(nullif(o_orderstatus, 'F'), '_dbt_utils_surrogate_key_null_'))) as id from orders")
 def surrogate_key(spark: SparkSession, d: str) -> DataFrame:
     return A.read(spark, d, "orders").select("o_orderkey", C.surrogate_key("o_custkey", "o_orderstatus", F.nullif("o_orderstatus", F.lit("F"))).alias("id"))
