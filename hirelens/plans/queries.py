@@ -406,6 +406,13 @@ def line_faults(spark: SparkSession, d: str) -> DataFrame:
     return records.judged(A.read(spark, d, "events").where("event_id < 1000").select("event_id", line.alias("value"))).select("event_id", "fault")
 
 
+@query("select event_id, case when event_id % 4 = 1 then 'invalid_json' when event_id % 4 = 2 then 'non_object_json' end as fault from events")
+def line_faults_all(spark: SparkSession, d: str) -> DataFrame:
+    """line_faults for the line of every event."""
+    line = C.ladder([(F.col("event_id") % 4 == 1, '{"a": NaN}'), (F.col("event_id") % 4 == 2, "[1]")], F.col("props"))
+    return records.judged(A.read(spark, d, "events").select("event_id", line.alias("value"))).select("event_id", "fault")
+
+
 # Descriptions by the order's number, and what the rules make of them.
 SETTINGS = (
     ("This role is fully remote within the United States.", "Remote"), ("This position is onsite.", "Office"), ("This role is hybrid.", "Hybrid"),

@@ -42,3 +42,8 @@ def test_normalize_text(spark, con):
     want = {i: normal(t) for i, t in con.sql("select doc_id, text from documents").fetchall()}
     got = {r.doc_id: r.normalized for r in __spark_entry__.queries()["normalize_text_all"](spark, DIR).collect()}
     assert got == want
+
+
+def test_line_faults(spark, con):
+    got = same(spark, con, "line_faults_all")
+    assert len(got) == 10_000 and max(r.event_id for r in got) == 9_999
