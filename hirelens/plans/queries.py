@@ -310,6 +310,14 @@ def json_array_strings(spark: SparkSession, d: str) -> DataFrame:
     return A.read(spark, d, "events").where("event_id % 10 = 0").select("event_id", strings.alias("strings"), F.size(strings).alias("n"))
 
 
+@query("""select event_id, ['type:' || event_type, 'k' || (props ->> '$.k'), event_type] as strings, 3 as n from events""")
+def json_array_strings_all(spark: SparkSession, d: str) -> DataFrame:
+    """json_array_strings for every event."""
+    parts = F.concat(F.lit('{"a": ["type:'), "event_type", F.lit('", 7, null, "k'), F.get_json_object("props", "$.k"), F.lit('", {"b": 1}, "'), "event_type", F.lit('"]}'))
+    strings = C.json_strings(F.parse_json(parts), "$.a")
+    return A.read(spark, d, "events").select("event_id", strings.alias("strings"), F.size(strings).alias("n"))
+
+
 @query("""select o_orderkey, k * thousand * unit as low, (k + 20) * thousand * unit as high
 from (select o_orderkey, o_orderkey % 90 + 1 as k, case when o_orderkey % 4 = 0 then 1000 else 1 end::double as thousand, case o_orderkey % 3 when 0 then 1920 when 1 then 12 else 1 end as unit from orders)""")
 def regex_extract_all_pay(spark: SparkSession, d: str) -> DataFrame:

@@ -47,3 +47,7 @@ def test_normalize_text(spark, con):
 def test_line_faults(spark, con):
     got = same(spark, con, "line_faults_all")
     assert len(got) == 10_000 and max(r.event_id for r in got) == 9_999
+
+
+def test_json_array_strings(spark, con):
+    assert len(same(spark, con, "json_array_strings_all")) == 10_000
