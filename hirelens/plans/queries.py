@@ -408,6 +408,16 @@ def not_null_checks(spark: SparkSession, d: str) -> DataFrame:
     return records.not_null_counts(rows, paths={"q": "$.q", "k": "$.n.k"})
 
 
+@query("""with v as (select case when event_id % 5 <> 0 then 1 end as q, case when event_id % 7 <> 0 then 1 end as k from events)
+select count(*) as row_count, count(*) filter (where q is null) as failed_q, count(*) filter (where k is null) as failed_k from v""")
+def not_null_checks_all(spark: SparkSession, d: str) -> DataFrame:
+    """not_null_checks over every event."""
+    q = C.ladder([(F.col("event_id") % 10 == 0, '"q": null, '), (F.col("event_id") % 5 == 0, "")], '"q": "", ')
+    k = C.ladder([(F.col("event_id") % 7 == 0, '{"z": 1}')], '{"k": [1]}')
+    rows = A.read(spark, d, "events").select(F.parse_json(F.concat(F.lit("{"), q, F.lit('"n": '), k, F.lit("}"))).alias("job_data"))
+    return records.not_null_counts(rows, paths={"q": "$.q", "k": "$.n.k"})
+
+
 @query("select event_id, case when event_id % 4 = 1 then 'invalid_json' when event_id % 4 = 2 then 'non_object_json' end as fault from events where event_id < 1000")
 def line_faults(spark: SparkSession, d: str) -> DataFrame:
     line = C.ladder([(F.col("event_id") % 4 == 1, '{"a": NaN}'), (F.col("event_id") % 4 == 2, "[1]")], F.col("props"))

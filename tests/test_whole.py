@@ -51,3 +51,7 @@ def test_line_faults(spark, con):
 
 def test_json_array_strings(spark, con):
     assert len(same(spark, con, "json_array_strings_all")) == 10_000
+
+
+def test_not_null_checks(spark, con):
+    assert same(spark, con, "not_null_checks_all")[0].row_count == 10_000
