@@ -277,6 +277,14 @@ def regex_functions(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", F.nullif(C.captured(text, r"(\d{1,3})\.(\d{1,3})\.", 2), F.lit("")).alias("second"), F.regexp_count(text, F.lit("[0-9]+")).cast("bigint").alias("numbers"), C.matches(text, r"\b(the|and)\b").alias("english"), swapped.alias("swapped"))
 
 
+@query(r"select doc_id, nullif(regexp_extract(text, '(\d{1,3})\.(\d{1,3})\.', 2), '') as second, coalesce(len(regexp_extract_all(text, '[0-9]+')), 0) as numbers, regexp_matches(text, '\b(the|and)\b') as english, regexp_replace(text, '(\w+) (\w+)', '\2 \1') as swapped from documents")
+def regex_functions_all(spark: SparkSession, d: str) -> DataFrame:
+    """regex_functions for every document, with the whole of the replaced text."""
+    text = F.col("text")
+    swapped = F.regexp_replace(text, r"(?s)^(.*?)(?<![0-9A-Za-z_])([0-9A-Za-z_]++) ([0-9A-Za-z_]++)", "$1$3 $2")
+    return A.read(spark, d, "documents").select("doc_id", F.nullif(C.captured(text, r"(\d{1,3})\.(\d{1,3})\.", 2), F.lit("")).alias("second"), F.regexp_count(text, F.lit("[0-9]+")).cast("bigint").alias("numbers"), C.matches(text, r"\b(the|and)\b").alias("english"), swapped.alias("swapped"))
+
+
 @query("select o_orderkey, try_cast(substr(o_orderpriority, 1, 1) as int) as level, try_cast(o_orderpriority as int) as none, round(o_totalprice / nullif(o_orderkey % 3, 0), 4) as share, least(100.0, greatest(0.0, o_totalprice / 1000)) as held from orders")
 def casts_and_guards(spark: SparkSession, d: str) -> DataFrame:
     price = F.col("o_totalprice")

@@ -55,3 +55,17 @@ def test_json_array_strings(spark, con):
 
 def test_not_null_checks(spark, con):
     assert same(spark, con, "not_null_checks_all")[0].row_count == 10_000
+
+
+def test_regex_functions(spark, con):
+    got = same(spark, con, "regex_functions_all")
+    length = dict(con.sql("select doc_id, length(text) from documents").fetchall())
+    assert {r.doc_id: len(r.swapped) for r in got} == length
+
+
+def test_regex_functions_beyond_a_nul(spark, tmp_path):
+    texts = ["x" * 50 + ", one two three", "a\x00b c\x00", "--\x00\n11.22. the", "one  two", "é one two", "w" * 100_000 + "\tand no"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in __spark_entry__.queries()["regex_functions_all"](spark, str(tmp_path)).collect()}
+    assert {k: r.swapped for k, r in got.items()} == {k: re.sub(r"(\w+) (\w+)", r"\2 \1", t, count=1, flags=re.A) for k, t in enumerate(texts)}
+    assert got[2].second == "22" and got[2].english and got[2].numbers == 2
