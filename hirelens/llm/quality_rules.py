@@ -4,9 +4,9 @@ Lines are content or boilerplate; Viterbi decoding picks the likeliest sequence
 of labels for a document and the share of words in content lines decides
 whether it stays. Base rules on counts go first.
 
-The field's weights are trained on a bounded sample of labelled documents: all
-lines of a document marked good count as content, those of a bad one as
-boilerplate. Without labels of both kinds, DEFAULT_WEIGHTS apply.
+The field's weights are trained on a bounded sample of labelled documents, each
+with all of its lines: those of a document marked good count as content, those
+of a bad one as boilerplate. Without labels of both kinds, DEFAULT_WEIGHTS apply.
 
 Edge cases: a null, empty or blank text has no words, so the base rules reject
 it. Rows are judged one by one, so repeated rows get equal results, and every
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from .base import small, text_bytes
 
-#: Bounds of the training sample: documents of each label, and lines of each of them.
+#: Bound of the training sample: documents of each label.
 SAMPLE_DOCS = 1500
-SAMPLE_LINES = 60
+#: Lines, with padding to the longest document, that are fitted at once; a longer document is fitted alone.
+FIT_LINES = 60_000
 #: A document stays if so large a part of its words is in content lines.
 MIN_CONTENT = 0.5
 MIN_WORDS = 50
@@ -89,38 +90,59 @@ def viterbi(rows: np.ndarray, emit: np.ndarray, step: np.ndarray) -> np.ndarray:
     return labels
 
 
-def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 150, rate: float = 0.5) -> dict:
-    """Weights by gradient ascent on the conditional likelihood of (feature rows, label) chains."""
-    documents = [(rows, label) for rows, label in documents if len(rows)]
-    if len({label for _, label in documents}) < 2:
-        return DEFAULT_WEIGHTS
+def batches_of(documents: list[tuple[np.ndarray, int]], most: int = FIT_LINES) -> list[list[tuple[np.ndarray, int]]]:
+    """documents by length, in groups of at most so many lines when padded to their longest."""
+    groups: list[list[tuple[np.ndarray, int]]] = []
+    for d in sorted(documents, key=lambda d: len(d[0])):
+        if not groups or (len(groups[-1]) + 1) * len(d[0]) > most:
+            groups.append([])
+        groups[-1].append(d)
+    return groups
+
+
+def padded(documents: list[tuple[np.ndarray, int]], share: dict[int, float]) -> tuple[np.ndarray, ...]:
+    """Feature rows, where there are any, one-hot labels, and the weight of a line of each document."""
     length, n = max(len(r) for r, _ in documents), len(documents)
-    x = np.zeros((n, length, len(FEATURES)))
+    x = np.zeros((n, length, len(FEATURES)), np.float32)
     on = np.zeros((n, length), bool)
     y = np.array([label for _, label in documents])
     for k, (rows, _) in enumerate(documents):
         x[k, : len(rows)], on[k, : len(rows)] = rows, True
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) / on.sum(1)
-    gold = np.eye(2)[y]
+    return x, on, np.eye(2)[y], np.array([share[label] for _, label in documents]) / on.sum(1)
+
+
+def gradient(x: np.ndarray, on: np.ndarray, gold: np.ndarray, weight: np.ndarray, emit: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the documents of a group add to the gradients of emit and step."""
+    length, pairs = x.shape[1], on[:, 1:] & on[:, :-1]
+    score = np.where(on[..., None], x @ emit.T, 0)
+    ahead, behind = np.zeros_like(score), np.zeros_like(score)
+    ahead[:, 0] = score[:, 0]
+    for t in range(1, length):
+        moved = np.logaddexp.reduce(ahead[:, t - 1, :, None] + step, axis=1) + score[:, t]
+        ahead[:, t] = np.where(on[:, t, None], moved, ahead[:, t - 1])
+    for t in range(length - 2, -1, -1):
+        moved = np.logaddexp.reduce(step + (behind[:, t + 1] + score[:, t + 1])[:, None, :], axis=2)
+        behind[:, t] = np.where(on[:, t + 1, None], moved, 0)
+    total = np.logaddexp.reduce(ahead[:, -1], axis=1)
+    at = np.exp(ahead + behind - total[:, None, None]) * on[..., None]
+    edge = np.exp(np.minimum(0, ahead[:, :-1, :, None] + step + (score + behind)[:, 1:, None, :] - total[:, None, None, None])) * pairs[..., None, None]
+    miss = (gold[:, None, :] * on[..., None] - at) * weight[:, None, None]
+    want = np.einsum("n,ni,nj->nij", pairs.sum(1) * weight, gold, gold).sum(0)
+    return np.einsum("ntk,ntf->kf", miss, x), want - np.einsum("ntij,n->ij", edge, weight)
+
+
+def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 150, rate: float = 0.5) -> dict:
+    """Weights by gradient ascent on the conditional likelihood of (feature rows, label) chains."""
+    documents = [(rows, label) for rows, label in documents if len(rows)]
+    counts = Counter(label for _, label in documents)
+    if len(counts) < 2:
+        return DEFAULT_WEIGHTS
+    groups = [padded(d, {label: 0.5 / n for label, n in counts.items()}) for d in batches_of(documents)]
     emit, step = np.zeros((2, len(FEATURES))), np.zeros((2, 2))
-    pairs = on[:, 1:] & on[:, :-1]
     for _ in range(rounds):
-        score = np.where(on[..., None], x @ emit.T, 0)
-        ahead, behind = np.zeros_like(score), np.zeros_like(score)
-        ahead[:, 0] = score[:, 0]
-        for t in range(1, length):
-            moved = np.logaddexp.reduce(ahead[:, t - 1, :, None] + step, axis=1) + score[:, t]
-            ahead[:, t] = np.where(on[:, t, None], moved, ahead[:, t - 1])
-        for t in range(length - 2, -1, -1):
-            moved = np.logaddexp.reduce(step + (behind[:, t + 1] + score[:, t + 1])[:, None, :], axis=2)
-            behind[:, t] = np.where(on[:, t + 1, None], moved, 0)
-        total = np.logaddexp.reduce(ahead[:, -1], axis=1)
-        at = np.exp(ahead + behind - total[:, None, None]) * on[..., None]
-        edge = np.exp(np.minimum(0, ahead[:, :-1, :, None] + step + (score + behind)[:, 1:, None, :] - total[:, None, None, None])) * pairs[..., None, None]
-        miss = (gold[:, None, :] * on[..., None] - at) * weight[:, None, None]
-        emit += rate * 8 * np.einsum("ntk,ntf->kf", miss, x) - 0.002 * emit
-        want = np.einsum("n,ni,nj->nij", pairs.sum(1) * weight, gold, gold).sum(0)
-        step += rate * (want - np.einsum("ntij,n->ij", edge, weight)) - 0.002 * step
+        found = [gradient(*group, emit, step) for group in groups]
+        emit += rate * 8 * sum(e for e, _ in found) - 0.002 * emit
+        step += rate * sum(s for _, s in found) - 0.002 * step
     return {"emit": emit.tolist(), "step": step.tolist()}
 
 
@@ -188,7 +210,7 @@ def assess(docs: DataFrame, weights: dict, min_content: float = MIN_CONTENT) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
-    """Weights from the lines of at most sample_docs documents of each label, picked by a hash of doc_id."""
+    """Weights from all lines of at most sample_docs documents of each label, picked by a hash of doc_id."""
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
     picked = [known.where(f"quality = {q}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for q in (0, 1)]
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * sample_docs rows of two numbers
@@ -196,9 +218,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            made = [features([x for x in (t or b"").split(b"\n") if x.strip()][:SAMPLE_LINES]) for t in text_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array([m.ravel().tolist() for m in made], pa.list_(pa.float32()))], names=["doc_id", "quality", "f"])
+            made = [features([x for x in (t or b"").split(b"\n") if x.strip()]) for t in text_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array([m.tobytes() for m in made], pa.binary())], names=["doc_id", "quality", "f"])
 
-    got = chosen.mapInArrow(run, "doc_id bigint, quality int, f array<float>").collect()
+    got = chosen.mapInArrow(run, "doc_id bigint, quality int, f binary").collect()
     got.sort(key=lambda r: (r.doc_id, r.quality, r.f))
-    return fit([(np.array(r.f, np.float32).reshape(-1, len(FEATURES)), 1 - r.quality) for r in got])
+    return fit([(np.frombuffer(r.f, np.float32).reshape(-1, len(FEATURES)), 1 - r.quality) for r in got])
