@@ -7,11 +7,11 @@ SHARE-th of the size, 1 at least; and the smaller has at least 3/4 of the larger
 
 1. Equal sets become one class.
 2. Classes with identical prefixes and size become one group.
-3. Groups are joined on the shingles of their prefixes. Those that occur in one
-   class only are out, and so are groups that share fewer than k of them with all others
+3. Groups are filtered one by one, no pair of groups is formed: prefix shingles that occur
+   in one class only are out, and so are groups that share fewer than k of them with all others
    together; what is left (the runs) is small.
-4. Groups are expanded to their members, and pairs of the right sizes verified on
-   whole sets.
+4. Groups are expanded to their members, and pairs of the right sizes, formed between
+   members, verified on whole sets.
 
 Pairs inside a run are not all formed. First, in LEADER_ROUNDS rounds, each class
 is compared with one class of about its size in another component that shares a run, that
