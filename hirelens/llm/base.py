@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +21,15 @@ DEFAULT_DIR = "/tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a default only where the session names none."""
+    """The folder that driver and executors share, from the session.
+
+    Where it is unset, a folder of this machine serves a local master, as in tests; a cluster,
+    whose executors would each write to a disk of their own, gets an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = DEFAULT_DIR
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -29,34 +39,73 @@ class Scratch:
     """Parquet tables in the shared folder that cut an operator's lineage.
 
     A lost executor costs the tasks of the running stage only, as finished
-    stages are read back from these files.
+    stages are read back from these files. What an operator returns may read from them, so they stay
+    until the end of the program, or of the block `with discarded():` they were made in.
     """
 
+    live: ClassVar[dict[str, SparkSession]] = {}
+    _lock = threading.Lock()
+    _writing = 0
+    _before = "false"
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
+        Scratch.live[self.root] = spark
 
     def write(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         path = f"{self.root}/{name}"
         with self.cleaned():
             df.write.option("compression", codec).parquet(path)
+        self.tables.append(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @contextmanager
     def cleaned(self):
-        before = self.spark.conf.get(CLEANUP)
-        self.spark.conf.set(CLEANUP, "true")
+        """Shuffle files are deleted after the writes inside; the session's own setting is back after the last of them, in any thread."""
+        with Scratch._lock:
+            if not Scratch._writing:
+                Scratch._before = self.spark.conf.get(CLEANUP)
+                self.spark.conf.set(CLEANUP, "true")
+            Scratch._writing += 1
         try:
             yield
         finally:
-            self.spark.conf.set(CLEANUP, before)
+            with Scratch._lock:
+                Scratch._writing -= 1
+                if not Scratch._writing:
+                    self.spark.conf.set(CLEANUP, Scratch._before)
 
     def drop(self, *names: str) -> None:
         """Deletes tables that no later step reads."""
-        jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(self.spark, f"{self.root}/{name}")
+        self.tables = [t for t in self.tables if t not in names]
+
+    def drop_all_but(self, *names: str) -> None:
+        self.drop(*(t for t in self.tables if t not in names))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def discarded():
+    """Tables of operators called inside are deleted at the end: their results must have been written by then."""
+    before = set(Scratch.live)
+    yield
+    for root in set(Scratch.live) - before:
+        _delete(Scratch.live.pop(root), root)
+
+
+@atexit.register
+def _discard_all() -> None:
+    for root, spark in Scratch.live.items():
+        with suppress(Exception):  # the session may have ended
+            _delete(spark, root)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

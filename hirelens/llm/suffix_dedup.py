@@ -3,7 +3,8 @@
 `maximal_repeats` sorts the suffixes of a bounded set of texts, scans the
 common-prefix lengths of neighbours with a stack, and reports each interval of
 the tree whose occurrences differ in the byte to their left: the maximal repeats
-of MIN_BYTES or more, with all occurrences.
+of MIN_BYTES or more, with all occurrences. A text that stands for several equal
+ones is a leaf that repeats by itself.
 
 So that a bounded set holds all occurrences of a repeat, texts are cut by content:
 
@@ -12,20 +13,32 @@ So that a bounded set holds all occurrences of a repeat, texts are cut by conten
    distance. Consecutive windows that name one place form a context: the bytes
    from the first window's start to the last window's end.
 2. Names that occur once in the corpus are out: their windows occur once.
-3. Equal contexts are aggregated; what is found twice is repeated as a whole.
-4. Different contexts of one name meet in one task, and maximal_repeats finds
-   what they share. A name with over MOST contexts is not gathered: its windows
-   are counted by hash instead, with partial aggregation, to the same result.
-
-Edge cases: null, empty and short texts lose nothing; rows without doc_id take
-part; a row stored twice is repeated; repeats may overlap; no row or extra column
-is dropped for it. Strings are judged on the input.
+3. Equal contexts are aggregated into one, with their number.
+4. Different contexts of one name form a part and meet in one task, where the
+   tree of their suffixes is built; a name with one context has a tree of one leaf.
+5. A part of more than PART contexts is cut further by content: all its windows
+   have a string in common, and each window has half of its other bytes, or more, to
+   the left of that string or to the right. With this half the common string is longer, and
+   the windows that share it form a part of their own, of shorter contexts. Equal
+   windows stay together, and after eight cuts at most a part is a single window,
+   so every part ends up small, and every repeat is settled by a tree.
+
+`repeat_groups` gives the groups as tables, `dedup` what is left of the texts. A
+repeat that runs over several contexts is a group in each of them.
+
+Edge cases: null, empty and short texts lose nothing; very long texts are searched
+in pieces of PIECE places that overlap, with the same result; rows without doc_id
+take part; a row stored twice is repeated; repeats may overlap; an empty table
+gives an empty result; extra columns, whatever their names, are not read and no row
+is dropped for them. Strings are judged on the input.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +49,8 @@ from .base import BYTE_CODES, Scratch, doc_key, merged, mix, prefix_sums, slidin
 
 MIN_BYTES = 200
 GRAM = 64
-#: Contexts of one name that one task takes, of at most 2 * MIN_BYTES bytes each.
-MOST = 4000
+#: Contexts that are compared at once, of at most 2 * MIN_BYTES bytes each; a larger part is cut by content.
+PART = 2000
 #: Bytes of contexts that are sorted at once.
 BATCH_BYTES = 1_500_000
 #: Places of a long text are searched in pieces of so many, with overlap.
@@ -96,11 +109,11 @@ def _ranks(codes: np.ndarray, depth: int) -> dict[int, np.ndarray]:
         h *= 2
 
 
-def enhanced_array(texts: list[bytes], min_len: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def enhanced_array(texts: list[bytes], min_len: int, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Suffixes in order (of those whose first min_len bytes occur twice), and the common prefixes of neighbours.
 
-    Also returns which text each place belongs to and where the texts start. No
-    common prefix goes beyond the end of a text.
+    Also returns which text each place belongs to, where the texts start, and the bytes from
+    each place to the end of its text. No common prefix goes beyond the end of a text. counts: how many equal texts each stands for.
     """
     lengths = np.array([len(t) for t in texts])
     starts = np.r_[0, np.cumsum(lengths + 1)[:-1]]
@@ -119,9 +132,11 @@ def enhanced_array(texts: list[bytes], min_len: int) -> tuple[np.ndarray, np.nda
     twice = np.zeros(len(places), bool)
     twice[1:] |= same
     twice[:-1] |= same
+    if counts is not None:
+        twice |= (counts[owner[places]] > 1) & (places == starts[owner[places]])
     places = places[twice]
     if not len(places):
-        return places, places, owner, starts
+        return places, places, owner, starts, room
     far = int(room[places].max())
     if far > 4 * top:
         ranks = _ranks(codes, far)
@@ -137,26 +152,50 @@ def enhanced_array(texts: list[bytes], min_len: int) -> tuple[np.ndarray, np.nda
     for _ in range(7):
         a, b = np.minimum(x + common, n - 1), np.minimum(y + common, n - 1)
         common += (codes[a] == codes[b]) & (common < limit)
-    return places, np.minimum(common, limit), owner, starts
+    return places, np.minimum(common, limit), owner, starts, room
 
 
-def maximal_repeats(texts: list[bytes], min_len: int = MIN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, text numbers, places in them) of each maximal repeat, with all its occurrences."""
-    places, common, owner, starts = enhanced_array(texts, min_len)
-    if not len(places):
-        return
+@dataclass
+class Tree:
+    """The maximal repeats of some texts: group g is found at the suffixes low[g] to high[g], without the last."""
+
+    owner: np.ndarray
+    offset: np.ndarray
+    length: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    #: By suffix, the length of the longest maximal repeat that starts there.
+    longest: np.ndarray
+
+
+def interval_tree(texts: list[bytes], min_len: int = MIN_BYTES, counts: list[int] | None = None) -> Tree:
+    """Scans the enhanced suffix array with a stack, in time linear in the suffixes."""
+    many = np.ones(len(texts), np.int64) if counts is None else np.array(counts, np.int64)
+    places, common, owner, starts, room = enhanced_array(texts, min_len, many)
+    which = owner[places]
+    offset = places - starts[which] if len(places) else places
     codes = np.frombuffer(b"\xff" + b"\xff".join(texts), np.uint8)
     # The byte to the left; the start of a text is unlike any other.
-    left = np.where(places == starts[owner[places]], -1, codes[places].astype(np.int64)).tolist()
+    left = np.where(offset == 0, -1, codes[places].astype(np.int64)).tolist()
+    beside = np.r_[0, common, 0]
+    leaf = ((many[which] > 1) & (offset == 0) & (room[places] > np.maximum(beside[:-1], beside[1:]))).tolist() if len(places) else []
     stack: list[list[int]] = []  # length, first suffix of the interval, byte to the left or -1 if they differ
-    for k, length in enumerate([*common.tolist(), 0]):
+    groups: list[tuple[int, int, int]] = []
+    longest, open_ = np.zeros(len(places), np.int64), []  # open_: suffixes that no group has yet
+    for k, length in enumerate([*common.tolist(), 0][: len(places)]):
         begin, seen = k, left[k]
+        if leaf[k]:
+            longest[k] = room[places[k]]
+            groups.append((int(longest[k]), k, k + 1))
+        else:
+            open_.append(k)
         while stack and stack[-1][0] > length:
             size, begin, within = stack.pop()
             seen = within if within == seen else -1
             if seen < 0:
-                at = places[begin : k + 1]
-                yield size, owner[at], at - starts[owner[at]]
+                groups.append((size, begin, k + 1))
+                while open_ and open_[-1] >= begin:
+                    longest[open_.pop()] = size
         if length >= min_len:
             if stack and stack[-1][0] == length:
                 stack[-1][2] = seen if stack[-1][2] == seen else -1
@@ -164,16 +203,25 @@ def maximal_repeats(texts: list[bytes], min_len: int = MIN_BYTES) -> Iterator[tu
                 stack.append([length, begin, seen])
         elif stack:
             raise AssertionError("intervals are nested")
+    found = np.array(groups, np.int64).reshape(-1, 3)
+    return Tree(which, offset, found[:, 0], found[:, 1], found[:, 2], longest)
+
+
+def maximal_repeats(texts: list[bytes], min_len: int = MIN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, text numbers, places in them) of each maximal repeat, with all its occurrences."""
+    tree = interval_tree(texts, min_len)
+    for size, low, high in zip(tree.length.tolist(), tree.low.tolist(), tree.high.tolist(), strict=True):
+        yield size, tree.owner[low:high], tree.offset[low:high]
 
 
-def repeated_spans(texts: list[bytes], min_len: int = MIN_BYTES) -> list[tuple[np.ndarray, np.ndarray]]:
+def repeated_spans(texts: list[bytes], min_len: int = MIN_BYTES, counts: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """The merged spans of each text that maximal repeats cover."""
+    tree = interval_tree(texts, min_len, counts)
     offsets = np.r_[0, np.cumsum([len(t) + 1 for t in texts])]
     steps = np.zeros(offsets[-1] + 1, np.int32)
-    for size, which, at in maximal_repeats(texts, min_len):
-        flat = offsets[which] + at
-        np.add.at(steps, flat, 1)
-        np.add.at(steps, flat + size, -1)
+    flat = (offsets[tree.owner] + tree.offset)[tree.longest > 0]
+    np.add.at(steps, flat, 1)
+    np.add.at(steps, flat + tree.longest[tree.longest > 0], -1)
     covered = np.cumsum(steps) > 0
     edge = np.diff(np.r_[False, covered, False].astype(np.int8))
     begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -181,6 +229,23 @@ def repeated_spans(texts: list[bytes], min_len: int = MIN_BYTES) -> list[tuple[n
     return [(begins[a:b] - o, ends[a:b] - o) for a, b, o in zip(cuts[:-1], cuts[1:], offsets[:-1], strict=True)]
 
 
+def halves(text: bytes, start: int, known: int, size: int = MIN_BYTES) -> Iterator[tuple[int, int, bytes, int, int]]:
+    """(side, shift, bytes, start, known) of the two contexts into which one is cut, if they have windows.
+
+    All windows of the text hold its known bytes from start. Those with half of their other bytes,
+    or more, to the left go to side 0, and know these bytes too; the others to side 1.
+    """
+    rest = size - known
+    half = (rest + 1) // 2
+    last = len(text) - size
+    edge = min(start - half, last)
+    if edge >= 0:
+        yield 0, 0, text[: edge + size], start - half, known + half
+    first = max(0, start - half + 1)
+    if first <= last:
+        yield 1, first, text[first:], start - first, known + rest - half + 1
+
+
 # -- over a table -------------------------------------------------------------
 
 
@@ -188,12 +253,37 @@ def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
 
-def _offsets(counts: list[int]) -> pa.Array:
-    return pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+LEVEL = "part bigint, key bigint, n bigint, start int, known int, bytes binary"
+_LEVEL_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
 
 
-def removed(docs: DataFrame, scratch: Scratch, size: int = MIN_BYTES, gram: int = GRAM, most: int = MOST) -> DataFrame:
-    """doc_id, doc_key and the spans of bytes to remove, for documents that lose any."""
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _table(rows: list[tuple], names: list[str], kinds: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+
+@dataclass
+class Parts:
+    """What the corpus is cut into. levels: parts of at most PART contexts, and whence their contexts come."""
+
+    #: name, digest, doc_id, doc_key, first, end of every context whose name occurs twice.
+    found: DataFrame
+    #: name, digest, n, first, end of the contexts that are alone with their name and found twice.
+    leaves: DataFrame
+    #: (LEVEL, (name, digest, shift, part, key) or None where part and key are name and digest)
+    levels: list[tuple[DataFrame, DataFrame | None]]
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    """Equal contexts of a part as one, with their number."""
+    return rows.groupBy("part", "key").agg(F.sum("n").alias("n"), F.any_value("start").alias("start"), F.any_value("known").alias("known"), F.any_value("bytes").alias("bytes"))
+
+
+def parts_of(docs: DataFrame, scratch: Scratch, size: int = MIN_BYTES, gram: int = GRAM, most: int = PART) -> Parts:
+    """Cuts the texts of docs by content into parts that hold all occurrences of their repeats."""
     texts = docs.where("text is not null").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("doc_id"), doc_key().alias("doc_key"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,80 +296,153 @@ def removed(docs: DataFrame, scratch: Scratch, size: int = MIN_BYTES, gram: int
                 yield pa.RecordBatch.from_arrays([_longs(name), _longs(digest), *keys, _longs(first), _longs(end)], names=["name", "digest", "doc_id", "doc_key", "first", "end"])
 
     every = scratch.write(texts.mapInArrow(cut, "name bigint, digest bigint, doc_id bigint, doc_key bigint, first bigint, end bigint"), "every")
-    known = every.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    known = scratch.write(every.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "known")  # written, so that a hot name is split in the join
     found = scratch.write(every.join(known, "name"), "found")
-    scratch.drop("every")
+    scratch.drop("every", "known")
 
     each = found.groupBy("name", "digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "doc_key", "first", "end")).alias("at"))
     each = scratch.write(each.select("name", "digest", "n", "at.*"), "each")
-    names = each.groupBy("name").agg(F.count("*").alias("contexts"), F.sum((F.col("n") == 1).cast("int")).alias("single")).where("contexts > 1 and single > 0")
-    asked = each.join(names.select("name", "contexts"), "name")
-    wanted = asked.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("name", "digest", "n", "contexts", "first", "end")).alias("parts"))  # of one document
+    names = scratch.write(each.groupBy("name").agg(F.count("*").alias("contexts")).where("contexts > 1").select("name"), "names")
+    leaves = each.join(names, "name", "left_anti").select("name", "digest", "n", "first", "end")
+    wanted = each.join(names, "name").groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("name", "digest", "n", "first", "end")).alias("parts"))  # of one document
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            rows = [(p["name"], p["digest"], p["n"], p["contexts"], text[p["first"] : p["end"]]) for text, parts in zip(text_bytes(batch.column("text")), batch.column("parts").to_pylist(), strict=True) for p in parts]
+            rows = []
+            for text, parts in zip(text_bytes(batch.column("text")), batch.column("parts").to_pylist(), strict=True):
+                for p in parts:
+                    own = text[p["first"] : p["end"]]
+                    rows.append((p["name"], p["digest"], p["n"], _named(own, size, gram), gram, own))
+            if rows:
+                yield _table(rows, LEVEL_NAMES, _LEVEL_KINDS)
+
+    level = scratch.write(_distinct(texts.join(wanted, ["doc_id", "doc_key"]).select("text", "parts").mapInArrow(fetch, LEVEL)), "level0")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest as hashed
+
+        for batch in small(batches):
+            rows = []
+            for part, key, n, start, known, own in zip(*(batch.column(c).to_pylist() for c in LEVEL_NAMES), strict=True):
+                for side, shift, piece, at, more in halves(own, start, known, size):
+                    named = hashed(piece[at : at + more], seed=(2 * part + side) % (1 << 64))
+                    rows.append((_signed(named), _signed(hashed(piece, seed=at)), n, at, more, piece, part, key, shift))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["name", "digest", "n", "contexts", "bytes"])
+                yield _table(rows, [*LEVEL_NAMES, "of_part", "of_key", "shift"], (*_LEVEL_KINDS, pa.int64(), pa.int64(), pa.int64()))
 
-    parts = texts.join(wanted, ["doc_id", "doc_key"]).select("text", "parts").mapInArrow(fetch, "name bigint, digest bigint, n bigint, contexts bigint, bytes binary")
-    parts = scratch.write(parts, "parts")
+    levels: list[tuple[DataFrame, DataFrame | None]] = []
+    origins = None
+    while True:
+        k = len(levels)
+        large = scratch.write(level.where(F.col("known") < size).groupBy("part").agg(F.count("*").alias("contexts")).where(F.col("contexts") > most).select("part"), f"large{k}")
+        if large.isEmpty():
+            return Parts(found, leaves, [*levels, (level, origins)])
+        levels.append((level.join(large, "part", "left_anti"), origins))
+        cuts = scratch.write(level.join(large, "part").select(*LEVEL_NAMES).mapInArrow(split, f"{LEVEL}, of_part bigint, of_key bigint, shift bigint"), f"cuts{k}")
+        level = scratch.write(_distinct(cuts), f"level{k + 1}")
+        here = cuts.select("of_part", "of_key", "shift", "part", "key")
+        if origins is None:
+            origins = here.select(F.col("of_part").alias("name"), F.col("of_key").alias("digest"), "shift", "part", "key")
+        else:
+            before = origins.select("name", "digest", F.col("shift").alias("shifted"), F.col("part").alias("of_part"), F.col("key").alias("of_key"))
+            origins = before.join(here, ["of_part", "of_key"]).select("name", "digest", (F.col("shifted") + F.col("shift")).alias("shift"), "part", "key")
+        origins = scratch.write(origins, f"origins{k}")
+
+
+LEVEL_NAMES = [x.split()[0] for x in LEVEL.split(", ")]
+
+
+def _named(context: bytes, size: int, gram: int) -> int:
+    """Where the string stands that names a context."""
+    codes = BYTE_CODES[np.frombuffer(context[:size], np.uint8)]
+    grams = windows(prefix_sums(codes), gram) & ~_LOW
+    return len(grams) - 1 - int(np.argmin(grams[::-1]))
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """Whole parts, sorted by part, in lists of about BATCH_BYTES."""
+    held: list[tuple[int, int, int, bytes]] = []
+    held_bytes = 0
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("part", "key", "n", "bytes")), strict=True):
+            if held and held_bytes > BATCH_BYTES and held[-1][0] != row[0]:
+                yield held
+                held, held_bytes = [], 0
+            held.append(row)
+            held_bytes += len(row[3])
+    if held:
+        yield held
+
+
+def _together(level: DataFrame) -> DataFrame:
+    return level.select("part", "key", "n", "bytes").repartition("part").sortWithinPartitions("part", "key")
+
+
+def removed(docs: DataFrame, scratch: Scratch, size: int = MIN_BYTES, gram: int = GRAM, most: int = PART) -> DataFrame:
+    """doc_id, doc_key and the spans of bytes to remove, for documents that lose any."""
+    cut = parts_of(docs, scratch, size, gram, most)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        held_bytes = 0
-
-        def flush() -> pa.RecordBatch | None:
-            nonlocal held, held_bytes
-            got = repeated_spans([r[3] for r in held], size)
-            rows = [(r[0], r[1], a.tolist(), b.tolist()) for r, (a, b) in zip(held, got, strict=True) if len(a) and r[2] == 1]
-            held, held_bytes = [], 0
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["name", "digest", "starts", "ends"]) if rows else None
-
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("name", "digest", "n", "bytes")), strict=True):
-                if held and held_bytes > BATCH_BYTES and held[-1][0] != row[0]:
-                    if (out := flush()) is not None:
-                        yield out
-                if held and held[-1][:2] == row[:2]:
-                    continue  # the text of a row stored twice
-                held.append(row)
-                held_bytes += len(row[3])
-        if held and (out := flush()) is not None:
-            yield out
-
-    SPANS = "name bigint, digest bigint, starts array<bigint>, ends array<bigint>"
-    by_array = parts.where(F.col("contexts") <= most).select("name", "digest", "n", "bytes").repartition("name").sortWithinPartitions("name", "digest").mapInArrow(compare, SPANS)
-    by_hash = _by_hash(parts.where(F.col("contexts") > most), size)
-    whole = each.where("n > 1").select("name", "digest", F.array(F.lit(0).cast("bigint")).alias("starts"), F.array(F.col("end") - F.col("first")).alias("ends"))
-    verdicts = scratch.write(by_array.unionByName(by_hash).unionByName(whole), "verdicts")
-    scratch.drop("parts")
-
-    shift = lambda x: F.transform(x, lambda y: y + F.col("first"))
-    gone = found.join(verdicts, ["name", "digest"]).select("doc_id", "doc_key", shift("starts").alias("starts"), shift("ends").alias("ends"))
+        for held in _sets(batches):
+            got = repeated_spans([r[3] for r in held], size, [r[2] for r in held])
+            rows = [(r[0], r[1], a.tolist(), b.tolist()) for r, (a, b) in zip(held, got, strict=True) if len(a)]
+            if rows:
+                yield _table(rows, ["part", "key", "starts", "ends"], (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))
+
+    moved = lambda x, by: F.transform(x, lambda y: y + F.col(by))
+    verdicts = cut.leaves.where("n > 1").select("name", "digest", F.array(F.lit(0).cast("bigint")).alias("starts"), F.array(F.col("end") - F.col("first")).alias("ends"))
+    for level, origins in cut.levels:
+        got = _together(level).mapInArrow(compare, "part bigint, key bigint, starts array<bigint>, ends array<bigint>")
+        if origins is None:
+            verdicts = verdicts.unionByName(got.withColumnsRenamed({"part": "name", "key": "digest"}))
+        else:
+            got = scratch.write(got, f"spans{uuid.uuid4().hex}")
+            verdicts = verdicts.unionByName(origins.join(got, ["part", "key"]).select("name", "digest", moved("starts", "shift").alias("starts"), moved("ends", "shift").alias("ends")))
+    verdicts = scratch.write(verdicts, "verdicts")
+
+    gone = cut.found.join(verdicts, ["name", "digest"]).select("doc_id", "doc_key", moved("starts", "first").alias("starts"), moved("ends", "first").alias("ends"))
     gone = gone.groupBy("doc_id", "doc_key").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))  # of one document
     gone = scratch.write(gone, "gone")
-    scratch.drop("found", "each", "verdicts")
+    scratch.drop_all_but("gone")
     return gone
 
 
-def _by_hash(parts: DataFrame, size: int) -> DataFrame:
-    """The same spans for names with very many contexts: windows are counted by two hashes."""
+def repeat_groups(docs: DataFrame, size: int = MIN_BYTES, gram: int = GRAM, most: int = PART) -> tuple[DataFrame, DataFrame]:
+    """The maximal repeats as (set, length, low, high), and their occurrences as (set, rank, doc_id, start).
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, digest, n, text in zip(*(batch.column(c).to_pylist() for c in ("name", "digest", "n", "bytes")), strict=True):
-                codes = BYTE_CODES[np.frombuffer(text, np.uint8)]
-                hashes, checks = windows(prefix_sums(codes), size), windows(prefix_sums(mix(codes)), size)
-                m = len(hashes)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, name)), pa.array(np.full(m, digest)), pa.array(np.full(m, n)), _longs(hashes), _longs(checks), pa.array(np.arange(m))], names=["name", "digest", "n", "hash", "check", "place"])
-
-    each = parts.dropDuplicates(["name", "digest"]).select("name", "digest", "n", "bytes").mapInArrow(explode, "name bigint, digest bigint, n bigint, hash bigint, check bigint, place bigint")
-    twice = each.groupBy("hash", "check").agg(F.count("*").alias("m")).where("m > 1").select("hash", "check")
-    found = each.where("n = 1").join(twice, ["hash", "check"]).groupBy("name", "digest").agg(F.array_sort(F.collect_list("place")).alias("starts"))  # of one context
-    return found.select("name", "digest", "starts", F.transform("starts", lambda x: x + size).alias("ends"))
+    A group's occurrences are those of its set with low <= rank < high: nested groups
+    share them, so both tables grow as the contexts, not as their pairs. Rows without
+    doc_id have a null there. An occurrence of a row stored twice counts twice.
+    """
+    cut = parts_of(docs, Scratch(docs.sparkSession, "groups"), size, gram, most)
+    longs = pa.list_(pa.int64())
+    names = ("set", "length", "low", "high", "part", "key", "offset")
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _sets(batches):
+            tree = interval_tree([r[3] for r in held], size, [r[2] for r in held])
+            if len(tree.length):
+                part, key = np.array([r[0] for r in held], np.int64), np.array([r[1] for r in held], np.int64)
+                row = (held[0][0], *(x.tolist() for x in (tree.length, tree.low, tree.high, part[tree.owner], key[tree.owner], tree.offset)))
+                yield _table([row], list(names), (pa.int64(), *[longs] * 6))
+
+    scratch = Scratch(docs.sparkSession, "trees")
+    alone = cut.leaves.where("n > 1").select(F.xxhash64("name", "digest").alias("set"), F.col("name"), "digest", (F.col("end") - F.col("first")).alias("length"))
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    groups = alone.select("set", "length", zero.alias("low"), one.alias("high"))
+    places = alone.select("set", zero.alias("rank"), "name", "digest", zero.alias("offset"))
+    for k, (level, origins) in enumerate(cut.levels):
+        trees = scratch.write(_together(level).mapInArrow(grow, "set bigint, " + ", ".join(f"{c} array<bigint>" for c in names[1:])), f"trees{k}")
+        trees = trees.withColumn("set", F.xxhash64("set", F.lit(k)))
+        groups = groups.unionByName(trees.select("set", F.explode(F.arrays_zip("length", "low", "high")).alias("g")).select("set", "g.*"))
+        each = trees.select("set", F.posexplode(F.arrays_zip("part", "key", "offset")).alias("rank", "s")).select("set", F.col("rank").cast("bigint").alias("rank"), "s.*")
+        if origins is None:
+            each = each.withColumnsRenamed({"part": "name", "key": "digest"})
+        else:
+            each = each.join(origins, ["part", "key"]).select("set", "rank", "name", "digest", (F.col("offset") + F.col("shift")).alias("offset"))
+        places = places.unionByName(each)
+    doc_id = F.nullif("doc_id", F.lit(-(1 << 63)))
+    return groups, places.join(cut.found, ["name", "digest"]).select("set", "rank", doc_id.alias("doc_id"), (F.col("first") + F.col("offset")).alias("start"))
 
 
 def dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:

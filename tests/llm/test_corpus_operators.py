@@ -143,7 +143,7 @@ def test_maximal_repeats():
         assert got == want
 
 
-@pytest.mark.parametrize("most", [suffix_dedup.MOST, 1])
+@pytest.mark.parametrize("most", [suffix_dedup.PART, 1])
 def test_suffix_dedup(spark, make, most, monkeypatch):
     monkeypatch.setattr(suffix_dedup.removed, "__defaults__", (suffix_dedup.MIN_BYTES, suffix_dedup.GRAM, most))
     texts = [*some_texts(), "é" * 150, "xé" * 150, "ab" * 99 + "c", "ab" * 99 + "c"]
@@ -151,6 +151,61 @@ def test_suffix_dedup(spark, make, most, monkeypatch):
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == brute.repeated_bytes(texts)
 
 
+def test_cut_contexts_keep_equal_windows_together():
+    """Each window stands in one part, which its bytes alone decide."""
+    rng = random.Random(4)
+    name = bytes(rng.choices(b"xyz", k=20))
+    level = [(b"", bytes(rng.choices(b"ab", k=rng.randint(0, 30))) + name + bytes(rng.choices(b"ab", k=rng.randint(0, 30)))) for _ in range(80)]
+    level = [(part, t, t.index(name), len(name)) for part, t in level if len(t) >= 50 and 30 >= t.index(name) and len(t) - t.index(name) <= 50]
+    windows = lambda rows: sorted(t[k : k + 50] for _, t, *_ in rows for k in range(len(t) - 49))
+    want = windows(level)
+    for _ in range(8):
+        cut = lambda own, start, known: suffix_dedup.halves(own, start, known, 50) if known < 50 else [(0, 0, own, start, known)]
+        level = [(part + bytes([65 + side]) + t[at : at + more], t, at, more) for part, own, start, known in level for side, _, t, at, more in cut(own, start, known)]
+        assert windows(level) == want
+        where = defaultdict(set)
+        for part, t, at, known in level:
+            assert 0 <= at and at + known <= len(t)
+            for k in range(len(t) - 49):
+                assert k <= at and at + known <= k + 50
+                where[t[k : k + 50]].add(part)
+        assert all(len(x) == 1 for x in where.values())
+    assert all(len(t) == 50 for _, t, *_ in level)
+
+
+def test_suffix_dedup_of_a_very_frequent_name(make):
+    """10,000 different contexts around one string of 64 bytes, some of which share a window."""
+    rng = random.Random(8)
+    middle = "".join(rng.choices("abcdefghij", k=100))
+    side = lambda n: "".join(rng.choices("klmnopqr", k=n))
+    lefts, rights = [side(140) for _ in range(60)], [side(140) for _ in range(60)]
+    texts = [(rng.choice(lefts) if rng.random() < 0.05 else side(140)) + middle + (rng.choice(rights) if rng.random() < 0.05 else side(140)) for _ in range(10_000)]
+    texts += [texts[5]] * 3 + ["", None]
+    rows = suffix_dedup.dedup(make(texts)).orderBy("doc_id").collect()
+    want = brute.repeated_bytes(texts)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == want
+    assert 100 < sum(n > 0 for _, n, *_ in want) < 9000
+
+
+@pytest.mark.parametrize("most", [suffix_dedup.PART, 3])
+def test_repeat_groups(make, most):
+    """Groups list all occurrences of their string, and cover what is removed."""
+    texts = [t for t in some_texts(5) if t] + ["é" * 150]
+    groups, places = suffix_dedup.repeat_groups(make(texts), most=most)
+    at = defaultdict(list)
+    for r in places.collect():
+        at[r.set, r.rank].append((r.doc_id, r.start))
+    raw = [t.encode() for t in texts]
+    gone = [np.zeros(len(b), bool) for b in raw]
+    for g in groups.collect():
+        found = [x for k in range(g.low, g.high) for x in at[g.set, k]]
+        strings = {raw[d][s : s + g.length] for d, s in found}
+        assert len(found) > 1 and len(strings) == 1 and len(strings.pop()) == g.length >= suffix_dedup.MIN_BYTES
+        for d, s in found:
+            gone[d][s : s + g.length] = True
+    assert [int(x.sum()) for x in gone] == [n for _, n, *_ in brute.repeated_bytes(texts)]
+
+
 def test_suffix_dedup_of_documents(documents, pairs):
     rows = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup(documents).collect()}
     assert rows == dict(zip([i for i, _ in pairs], brute.repeated_bytes([t for _, t in pairs]), strict=True))
