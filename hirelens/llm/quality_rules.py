@@ -4,13 +4,23 @@ Lines are content or boilerplate; Viterbi decoding picks the likeliest sequence
 of labels for a document and the share of words in content lines decides
 whether it stays. Base rules on counts go first.
 
-The field's weights are trained on a bounded sample of labelled documents, each
-with all of its lines: those of a document marked good count as content, those
-of a bad one as boilerplate. Without labels of both kinds, DEFAULT_WEIGHTS apply.
+No line is labelled in the data, documents are. So the labels of lines stay
+hidden in training, and the label of a document only bounds their share: of a
+good document CONTENT_OF_GOOD of the lines or more are expected to be content, of a
+bad one CONTENT_OF_BAD or less. Each round takes the distribution over label
+sequences that is closest to the field's own within these bounds (posterior
+regularization: one bias for all lines of a document), and moves the field
+towards it. It starts from START_WEIGHTS, the evidence that a single line gives, and is
+held near them; without labels of both kinds they apply as they are. So a document may get both labels.
+
+The sample is bounded: SAMPLE_DOCS documents of each label, each with all of its lines.
 
 Edge cases: a null, empty or blank text has no words, so the base rules reject
-it. Rows are judged one by one, so repeated rows get equal results, and every
-input column but a clashing result name is carried through as it is.
+it; an empty table gives an empty result. Very long texts are judged whole, in memory in
+proportion to the longest. Of equally likely labels content is taken, and a content share of just the
+least one keeps a document. Rows are judged one by one, so repeated rows get equal results; of repeated
+labels of one doc_id the better one counts, of repeated documents the text that is first in order
+is learned from. Every input column but a clashing result name is carried through as it is.
 """
 
 from __future__ import annotations
@@ -36,11 +46,14 @@ SYMBOLS = b"#*$%&|<>"
 
 CUES = (b"cookie", b"copyright", b"all rights reserved", b"subscribe", b"sign in", b"log in", b"click here", b"privacy policy", b"terms of")
 FEATURES = ("bias", "symbols", "pipes", "capitals", "marks", "digits", "same_word", "few_words", "ends", "repeated", "cue", "long_words")
-#: Rows: content, boilerplate; used where no labels can be learned from.
-DEFAULT_WEIGHTS = {
-    "emit": [[0.8, -4.0, -2.0, -2.0, -3.0, -1.0, -4.0, -0.3, 0.5, -0.5, -1.0, 0.0], [-0.8, 4.0, 2.0, 2.0, 3.0, 1.0, 4.0, 0.3, -0.5, 0.5, 1.0, 0.0]],
-    "step": [[0.6, -0.6], [-0.6, 0.6]],
+#: Rows: content, boilerplate. What symbols, repeated words and the like say of a line before anything is learned.
+START_WEIGHTS = {
+    "emit": [[0.2, -1.0, -0.5, -0.5, -0.75, -0.25, -1.0, -0.1, 0.1, -0.1, -0.25, 0.0], [-0.2, 1.0, 0.5, 0.5, 0.75, 0.25, 1.0, 0.1, -0.1, 0.1, 0.25, 0.0]],
+    "step": [[0.15, -0.15], [-0.15, 0.15]],
 }
+#: Bounds on the expected share of content lines.
+CONTENT_OF_GOOD, CONTENT_OF_BAD = 0.8, 0.4
+ROUNDS, RATE, HOLD = 150, 0.5, 0.002
 
 
 def features(lines: list[bytes]) -> np.ndarray:
@@ -101,48 +114,64 @@ def batches_of(documents: list[tuple[np.ndarray, int]], most: int = FIT_LINES) -
 
 
 def padded(documents: list[tuple[np.ndarray, int]], share: dict[int, float]) -> tuple[np.ndarray, ...]:
-    """Feature rows, where there are any, one-hot labels, and the weight of a line of each document."""
+    """Feature rows, where there are any, labels, and the weight of a line of each document."""
     length, n = max(len(r) for r, _ in documents), len(documents)
     x = np.zeros((n, length, len(FEATURES)), np.float32)
     on = np.zeros((n, length), bool)
     y = np.array([label for _, label in documents])
     for k, (rows, _) in enumerate(documents):
         x[k, : len(rows)], on[k, : len(rows)] = rows, True
-    return x, on, np.eye(2)[y], np.array([share[label] for _, label in documents]) / on.sum(1)
+    return x, on, y, np.array([share[label] for _, label in documents]) / on.sum(1)
 
 
-def gradient(x: np.ndarray, on: np.ndarray, gold: np.ndarray, weight: np.ndarray, emit: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What the documents of a group add to the gradients of emit and step."""
-    length, pairs = x.shape[1], on[:, 1:] & on[:, :-1]
-    score = np.where(on[..., None], x @ emit.T, 0)
-    ahead, behind = np.zeros_like(score), np.zeros_like(score)
+def marginals(content: np.ndarray, other: np.ndarray, on: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of content by line, and of each step between lines, (documents, lines - 1, from, to)."""
+    n, length = content.shape
+    ahead, behind = np.zeros((2, length, n)), np.zeros((2, length, n))
+    score = np.stack([content.T, other.T]) * on.T
     ahead[:, 0] = score[:, 0]
     for t in range(1, length):
-        moved = np.logaddexp.reduce(ahead[:, t - 1, :, None] + step, axis=1) + score[:, t]
-        ahead[:, t] = np.where(on[:, t, None], moved, ahead[:, t - 1])
+        a, b = ahead[:, t - 1]
+        for k in (0, 1):
+            ahead[k, t] = np.where(on[:, t], np.logaddexp(a + step[0, k], b + step[1, k]) + score[k, t], ahead[k, t - 1])
     for t in range(length - 2, -1, -1):
-        moved = np.logaddexp.reduce(step + (behind[:, t + 1] + score[:, t + 1])[:, None, :], axis=2)
-        behind[:, t] = np.where(on[:, t + 1, None], moved, 0)
-    total = np.logaddexp.reduce(ahead[:, -1], axis=1)
-    at = np.exp(ahead + behind - total[:, None, None]) * on[..., None]
-    edge = np.exp(np.minimum(0, ahead[:, :-1, :, None] + step + (score + behind)[:, 1:, None, :] - total[:, None, None, None])) * pairs[..., None, None]
-    miss = (gold[:, None, :] * on[..., None] - at) * weight[:, None, None]
-    want = np.einsum("n,ni,nj->nij", pairs.sum(1) * weight, gold, gold).sum(0)
-    return np.einsum("ntk,ntf->kf", miss, x), want - np.einsum("ntij,n->ij", edge, weight)
-
-
-def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 150, rate: float = 0.5) -> dict:
-    """Weights by gradient ascent on the conditional likelihood of (feature rows, label) chains."""
+        a, b = behind[:, t + 1] + score[:, t + 1]
+        for k in (0, 1):
+            behind[k, t] = np.where(on[:, t + 1], np.logaddexp(step[k, 0] + a, step[k, 1] + b), behind[k, t + 1])
+    total = np.logaddexp(ahead[0, -1], ahead[1, -1])
+    at = np.exp(ahead[0] + behind[0] - total) * on.T
+    after = score[:, 1:] + behind[:, 1:] - total
+    edge = np.stack([[np.exp(np.minimum(0, ahead[i, :-1] + step[i, j] + after[j])) * (on.T[1:] & on.T[:-1]) for j in (0, 1)] for i in (0, 1)])
+    return at.T, edge.transpose(3, 2, 0, 1)
+
+
+def gradient(x: np.ndarray, on: np.ndarray, label: np.ndarray, weight: np.ndarray, bias: np.ndarray, emit: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the documents of a group add to the gradients of emit and step; moves their bias towards the bounds."""
+    score = x @ emit.T
+    own, own_edge = marginals(score[..., 0], score[..., 1], on, step)
+    wanted, wanted_edge = marginals(score[..., 0] + bias[:, None], score[..., 1], on, step)
+    share = np.clip(wanted.sum(1) / on.sum(1), 1e-6, 1 - 1e-6)
+    bound = np.where(label == 0, CONTENT_OF_GOOD, CONTENT_OF_BAD)
+    bias += 0.7 * (np.log(bound / (1 - bound)) - np.log(share / (1 - share)))
+    bias[:] = np.clip(bias, np.where(label == 0, 0, -30), np.where(label == 0, 30, 0))  # a bound that holds pushes nowhere
+    miss = np.einsum("nt,ntf->f", (wanted - own) * weight[:, None], x)
+    return np.stack([miss, -miss]), np.einsum("ntij,n->ij", wanted_edge - own_edge, weight)
+
+
+def fit(documents: list[tuple[np.ndarray, int]], rounds: int = ROUNDS, rate: float = RATE) -> dict:
+    """Weights from (feature rows, label) chains, labels 0 good and 1 bad."""
     documents = [(rows, label) for rows, label in documents if len(rows)]
     counts = Counter(label for _, label in documents)
     if len(counts) < 2:
-        return DEFAULT_WEIGHTS
+        return START_WEIGHTS
     groups = [padded(d, {label: 0.5 / n for label, n in counts.items()}) for d in batches_of(documents)]
-    emit, step = np.zeros((2, len(FEATURES))), np.zeros((2, 2))
+    biases = [np.zeros(len(label)) for _, _, label, _ in groups]
+    first_emit, first_step = np.array(START_WEIGHTS["emit"]), np.array(START_WEIGHTS["step"])
+    emit, step = first_emit.copy(), first_step.copy()
     for _ in range(rounds):
-        found = [gradient(*group, emit, step) for group in groups]
-        emit += rate * 8 * sum(e for e, _ in found) - 0.002 * emit
-        step += rate * sum(s for _, s in found) - 0.002 * step
+        found = [gradient(*group, bias, emit, step) for group, bias in zip(groups, biases, strict=True)]
+        emit += rate * 8 * sum(e for e, _ in found) - HOLD * (emit - first_emit)
+        step += rate * sum(s for _, s in found) - HOLD * (step - first_step)
     return {"emit": emit.tolist(), "step": step.tolist()}
 
 
@@ -215,6 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     picked = [known.where(f"quality = {q}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for q in (0, 1)]
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * sample_docs rows of two numbers
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id")
+    chosen = chosen.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # so that the bound holds for rows too
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):

@@ -16,7 +16,7 @@ CLASH = {"n_words": "clash", "kept": 7, "score": "x", "hit_starts": 1}
 
 
 def test_base_rules(make):
-    rows = quality_rules.assess(make(TEXTS, CLASH), quality_rules.DEFAULT_WEIGHTS).orderBy("doc_id").collect()
+    rows = quality_rules.assess(make(TEXTS, CLASH), quality_rules.START_WEIGHTS).orderBy("doc_id").collect()
     for text, r in zip(TEXTS, rows, strict=True):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.base_rules(text)
         assert r.kept is False or not r.base_failed
@@ -24,7 +24,7 @@ def test_base_rules(make):
 
 
 def test_base_rules_on_documents(documents, pairs):
-    got = {r.doc_id: r[1:7] for r in quality_rules.assess(documents, quality_rules.DEFAULT_WEIGHTS).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()}
+    got = {r.doc_id: r[1:7] for r in quality_rules.assess(documents, quality_rules.START_WEIGHTS).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()}
     assert got == {i: brute.base_rules(t) for i, t in pairs}
 
 
@@ -50,8 +50,8 @@ def test_rules_learn_from_labels(spark, sf_dir, documents):
 
 def test_rules_without_labels(spark, make):
     empty = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
-    assert quality_rules.train(make(TEXTS), empty) == quality_rules.DEFAULT_WEIGHTS
-    assert quality_rules.assess(make([]), quality_rules.DEFAULT_WEIGHTS).count() == 0
+    assert quality_rules.train(make(TEXTS), empty) == quality_rules.START_WEIGHTS
+    assert quality_rules.assess(make([]), quality_rules.START_WEIGHTS).count() == 0
 
 
 def test_classifier_held_out(spark):
