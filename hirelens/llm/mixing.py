@@ -15,8 +15,9 @@ a bucket a window sums documents.
 
 Edge cases: a null text has size 0; a null source is a source of its own, last
 in order; a source of size 0 has target 0; documents of size 0 are never taken;
-an empty table gives an empty result. Rows with equal doc_id and size are
-interchangeable. A result column replaces an input column of its name.
+an empty table gives an empty result. A very long text is one document like any
+other: only its number of words enters. Rows with equal doc_id and size follow the hash
+of their texts; equal rows are interchangeable. A result column replaces an input column of its name.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ SCHEDULES = {1: [(0.0, 1.5), (1.0, 0.5)], 2: [(0.0, 2.0), (1.0, 2.0)], 3: [(0.0,
 BUCKET_DIGITS = 3
 
 COLUMNS = ("size", "source_size", "target", "copies", "taken", "position")
-_OWN = ("mix_key", "mix_hash", "mix_bucket", "mix_before", "mix_start", "mix_total", "mix_target", "mix_class")
+_OWN = ("mix_key", "mix_hash", "mix_text", "mix_bucket", "mix_before", "mix_start", "mix_total", "mix_target", "mix_class")
 
 
 def integral(knots: list[tuple[float, float]]) -> float:
@@ -94,13 +95,14 @@ def curriculum(docs: DataFrame, schedules: dict = SCHEDULES, max_repeats: int =
         "mix_key": F.when(F.col("source").isNull(), F.lit("z")).otherwise(F.concat(F.lit("s"), F.col("source"))),
         "mix_hash": digest,
         "mix_bucket": F.substring(digest, 1, BUCKET_DIGITS),
+        "mix_text": F.xxhash64("text"),
     })
     sums = sized.groupBy("mix_key", "mix_bucket").agg(F.sum("size").alias("mix_total"))
     sums = Scratch(docs.sparkSession, "mixing").write(sums, "sums")
     upto = Window.partitionBy("mix_key").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("mix_key", "mix_bucket", F.coalesce(F.sum("mix_total").over(upto), F.lit(0)).alias("mix_start"))
     starts = starts.join(F.broadcast(sources(sums, schedules, max_repeats)), "mix_key") if _few(sums) else starts.join(sources(sums, schedules, max_repeats), "mix_key")
-    inside = Window.partitionBy("mix_key", "mix_bucket").orderBy("mix_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("mix_key", "mix_bucket").orderBy("mix_hash", "doc_id", "size", "mix_text").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("mix_before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["mix_key", "mix_bucket"])
     goal = F.floor(F.col("target") + 0.5).cast("bigint")
     begin = F.col("mix_start") + F.col("mix_before")
@@ -139,7 +141,7 @@ def by_position(mixed: DataFrame) -> DataFrame:
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """One row for each copy, range-sorted by its own training position."""
+    """One row for each copy, range-sorted by its own training position; ties by doc_id, then by the hash of the text."""
     kept = [c for c in mixed.columns if c not in COLUMNS]
     copies = mixed.select(*kept, F.explode("copies").alias("copy")).select(*kept, F.col("copy.position").alias("position"), F.col("copy.words").alias("words"))
-    return copies.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+    return copies.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id", F.xxhash64("text"))

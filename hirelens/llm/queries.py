@@ -80,17 +80,27 @@ with sized as (
 ), judged as (
   select *, (everything - lim_before) * w > lim * (weights - w_before) as is_full from ahead
 ), targets as (
-  select no_source, s, source_size,
+  select no_source, s, w, source_size,
     case when is_full then lim else (everything - coalesce(sum(case when is_full then lim end) over (), 0)) * w / sum(case when not is_full then w::double end) over () end as target
   from judged
 ), streams as (
-  select sized.*, source_size, target, cast(floor(target + 0.5) as bigint) as goal,
+  select sized.*, w, source_size, target, cast(floor(target + 0.5) as bigint) as goal,
     coalesce(sum(size) over (partition by sized.no_source, sized.s order by h, doc_id nulls first, size rows between unbounded preceding and 1 preceding), 0) as before
   from sized join targets on sized.no_source = targets.no_source and sized.s = targets.s
+), counted as (
+  select *, case when target > 0 then before / target else 0 end as share,
+    cast(case when source_size = 0 then 0 else (goal // source_size) * size + greatest(0, least(size, goal % source_size - before)) end as bigint) as taken
+  from streams
 )
-select doc_id, size, source_size, target,
-  cast(case when source_size = 0 then 0 else (goal // source_size) * size + greatest(0, least(size, goal % source_size - before)) end as bigint) as taken
-from streams
+-- Weights over time t are 1.5 - t, 2 and 1 + 4t: the integral from 0 to t is the share times the whole, solved for t.
+select doc_id, size, source_size, target, taken,
+  case when taken > 0 then least(1.0::double, case
+    when w = 1 then 2 * share / (1.5 + sqrt(greatest(2.25 - 2 * share, 0)))
+    when w = 2 then share
+    when 3 * share <= 1 then 2 * (3 * share) / (1 + sqrt(1 + 8 * (3 * share)))
+    else 0.5 + 2 * (3 * share - 1) / (3 + sqrt(9 + 8 * (3 * share - 1)))
+  end) end as position
+from counted
 """
 
 

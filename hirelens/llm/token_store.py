@@ -1,6 +1,7 @@
 """Operator 2, token ids in binary files coded by a range asymmetric numeral system.
 
-A table of segments in ascending order of documents. Each segment is one row:
+A table of segments in ascending order of documents: by doc_id, or in the order in which the
+rows of written files stand. The order of segments is that of (shard, segment). Each segment is one row:
 
 * `freqs`: the segment's static frequency table, shared by all of its blocks:
   zlib of the used ids (uint32) and their frequencies (uint32), scaled to sum 2**SCALE;
@@ -18,7 +19,8 @@ executor's segments are written again.
 Edge cases: a null or empty text is the end id alone; a null doc_id comes first;
 rows with one doc_id follow the order of their texts; an empty table gives no
 segments. A segment closes after SEGMENT_TOKENS ids, at the end of a document,
-so memory is bounded by that and the longest text.
+so memory is bounded by that and the longest text. Columns other than doc_id and text
+are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +48,8 @@ _LOW = np.uint64(1 << 31)
 _U32, _MASK, _M = np.uint64(32), np.uint64((1 << SCALE) - 1), np.uint64(SCALE)
 
 #: White space as Unicode defines it, which differs from that of Python's re.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 #: Where the byte-level pre-tokenizer always divides: before white space, between its last sign and a word,
 #: and between a word of letters and a mark that is none.
 _PIECES = re.compile(f" ?[{_LETTER}]+(?![^{_SPACE},.;:!?*#%&$])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
@@ -251,36 +254,55 @@ def expand(table: bytes, heads: bytes, payload: bytes, only: slice = slice(None)
     return used[flat]
 
 
-SEGMENT = "shard int, segment int, n_docs bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, freqs binary, heads binary, payload binary, ids_crc32 bigint, payload_crc32 bigint"
-_KINDS = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+SEGMENT = "shard string, segment bigint, n_docs bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, freqs binary, heads binary, payload binary, ids_crc32 bigint, payload_crc32 bigint"
+_KINDS = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
 _NAMES = [x.split()[0] for x in SEGMENT.split(", ")]
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, segment_tokens: int = SEGMENT_TOKENS) -> None:
-    """Writes the segments of docs (doc_id, text) in ascending order of doc_id."""
+def _shard(name: str) -> str:
+    """A partition's number or a file's name, with its numbers of one width, so that shards sort as text."""
+    return re.sub(r"\d+", lambda m: m[0].zfill(10), name)
+
+
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, segment_tokens: int = SEGMENT_TOKENS, as_stored: bool = False) -> None:
+    """Writes the segments of docs (doc_id, text) in ascending order of doc_id.
+
+    as_stored: in the order of the files that docs is read from instead, by file name and row, without a shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, shard = shared_encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, shard = shared_encoder(tokenizer), _shard(str(TaskContext.get().partitionId()))
         end = np.array([end_id], "<u4").tobytes()
         parts: list[bytes] = []
         owners: list[int | None] = []
         counts: list[int] = []
-        done = total = 0
+        first = total = 0
 
         def close() -> pa.RecordBatch:
-            nonlocal parts, owners, counts, done, total
+            nonlocal parts, owners, counts, total
             ids = np.frombuffer(b"".join(parts), "<u4")
             table, heads, payload = compress(ids)
-            row = (shard, done, len(owners), len(ids), owners, counts, table, heads, payload, zlib.crc32(ids), zlib.crc32(table + heads + payload))
-            parts, owners, counts, done, total = [], [], [], done + 1, 0
+            row = (shard, first, len(owners), len(ids), owners, counts, table, heads, payload, zlib.crc32(ids), zlib.crc32(table + heads + payload))
+            parts, owners, counts, total = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, _KINDS, strict=True)], names=_NAMES)
 
+        done = 0
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                for owner, ids in zip(part.column("doc_id").to_pylist(), encoder.encode([t or "" for t in part.column("text").to_pylist()]), strict=True):
+                files = part.column("file").to_pylist() if as_stored else [None] * part.num_rows
+                places = part.column("place").to_pylist() if as_stored else range(done, done + part.num_rows)
+                done += part.num_rows
+                own_ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                for owner, ids, file, place in zip(part.column("doc_id").to_pylist(), own_ids, files, places, strict=True):
+                    if as_stored and (named := _shard(file)) != shard:
+                        if owners:
+                            yield close()
+                        shard = named
+                    if not owners:
+                        first = place
                     parts += [ids, end]
                     owners.append(owner)
                     counts.append(len(ids) // 4 + 1)
@@ -290,7 +312,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, segm
         if owners:
             yield close()
 
-    ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    own = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")]
+    if as_stored:
+        stored = docs.metadataColumn("_metadata")
+        ordered = docs.select(*own, stored["file_name"].alias("file"), stored["row_index"].alias("place"))
+    else:
+        ordered = docs.select(*own).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     with Scratch(docs.sparkSession, "tokens").cleaned():
         ordered.mapInArrow(run, SEGMENT).write.option("compression", "uncompressed").option("parquet.block.size", 8 << 20).parquet(path)
 
@@ -326,12 +353,12 @@ def read_documents(spark, path: str, with_ids: bool = False) -> DataFrame:
                     small = ids.astype("<u4")
                     crc = [zlib.crc32(small[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
                     n = len(counts)
-                    columns = [pa.array(np.full(n, row["shard"], np.int32)), pa.array(np.full(n, row["segment"], np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(begins), pa.array(counts), pa.array(crc, pa.int64())]
+                    columns = [pa.array([row["shard"]] * n, pa.string()), pa.array(np.full(n, row["segment"], np.int64)), pa.array(row["doc_ids"], pa.int64()), pa.array(begins), pa.array(counts), pa.array(crc, pa.int64())]
                     if with_ids:
                         columns.append(pa.ListArray.from_arrays(pa.array(np.r_[begins, ends[-1:]].astype(np.int32)), pa.array(ids.astype(np.int64))))
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "shard int, segment int, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
+    schema = "shard string, segment bigint, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
     names = [x.split()[0] for x in schema.split(", ")]
     found = files.select(*[n for n in _NAMES if n not in ("n_docs", "n_tokens")]).mapInArrow(run, schema)
     return (
@@ -340,9 +367,17 @@ def read_documents(spark, path: str, with_ids: bool = False) -> DataFrame:
     )
 
 
-def store(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+def is_stored(docs: DataFrame) -> bool:
+    """Whether docs is read from Parquet files, so that its rows have an order."""
+    try:
+        return "row_index" in docs.select(docs.metadataColumn("_metadata").alias("m")).schema["m"].dataType.names
+    except AnalysisException:
+        return False
+
+
+def store(docs: DataFrame, tokenizer: str, end_id: int = END_ID, as_stored: bool = False) -> DataFrame:
     """Writes docs to the shared folder and returns what the files hold, by document."""
     spark = docs.sparkSession
     path = f"{Scratch(spark, 'token-files').root}/segments"
-    write(docs, path, tokenizer, end_id)
+    write(docs, path, tokenizer, end_id, as_stored=as_stored)
     return read_documents(spark, path)

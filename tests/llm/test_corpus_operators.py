@@ -248,9 +248,11 @@ def mixed(spark, rows):
 def test_mixing_against_sql(spark, sf_dir, documents):
     con = duckdb.connect()
     con.sql(f"create view documents as select * from '{sf_dir}/documents.parquet'")
-    want = sorted(con.sql(queries.OP9_ORACLE).fetchall())
-    got = sorted(tuple(r) for r in mixing.curriculum(documents).select("doc_id", "size", "source_size", "target", "taken").collect())
-    assert got == want
+    want = con.sql(queries.OP9_ORACLE)
+    got = queries.op9_curriculum_mix(spark, sf_dir)
+    assert got.columns == want.columns
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want.fetchall(), key=key)
 
 
 def test_mixing(spark):

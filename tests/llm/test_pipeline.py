@@ -1,6 +1,7 @@
 """The pipeline against its stages written out in plain Python."""
 
 import re
+from collections import Counter
 
 import brute
 from pyspark.sql import functions as F
@@ -33,14 +34,27 @@ def test_pipeline(spark, sf_dir):
     copies = {r.doc_id: r.n for r in mixed.select("doc_id", F.size("copies").alias("n")).collect()}
     assert all(r.taken == r.size * copies[r.doc_id] for r in mixed.collect())
     want, start = [], 0
-    for i in kept:
-        n, crc = brute.token_rows([(i, rows[i].text)], queries.tokenizer_path())[i][1:]
-        for _ in range(copies[i]):
-            want.append((i, start, n, crc))
-            start += n
+    encoded = {i: brute.token_rows([(i, rows[i].text)], queries.tokenizer_path())[i][1:] for i in kept}
+    order = [r.doc_id for r in mixing.training_order(mixed).collect()]  # of the curriculum
+    assert Counter(order) == {i: n for i, n in copies.items() if n} and order != sorted(order)
+    for i in order:
+        want.append((i, start, *encoded[i]))
+        start += encoded[i][0]
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, sf_dir).collect()) == sorted(want)
 
 
+def test_tokens_in_the_order_of_the_files(spark, tmp_path):
+    """Over many files, some of which go to one task or are split."""
+    path = f"file://{tmp_path}/docs"
+    order = [(k * 7919) % 1009 for k in range(1009)]
+    df = spark.createDataFrame([(i, f"text number {i} " * (1 + i % 5), k) for k, i in enumerate(order)], "doc_id bigint, text string, k int")
+    df.repartitionByRange(13, "k").sortWithinPartitions("k").drop("k").write.parquet(path)
+    got = corpus_pipeline.tokens(spark, spark.read.parquet(path), "").orderBy("start").collect()
+    assert [r.doc_id for r in got] == order
+    ends = [r.start + r.n_tokens for r in got]
+    assert [r.start for r in got] == [0, *ends[:-1]]
+
+
 def test_stages_keep_the_columns(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
