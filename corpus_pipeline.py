@@ -6,8 +6,16 @@ columns of documents; the last returns what its files hold.
 * quality rules: documents that the rules or the line labels reject go.
 * near duplicates: one document of each group of linked ones stays, that of the smallest doc_id.
 * decontamination: documents that contain a window of the benchmark go.
-* mixing: documents are taken, left or repeated so that sources meet their target weights.
-* tokens: what is left is encoded and written as files of token ids.
+* mixing: documents are taken, left or repeated so that sources meet their target weights, each copy
+  at its place in the curriculum.
+* tokens: what is left is encoded and written as files of token ids, in the order in which mixing
+  wrote the copies; documents that are not read from files stand in order of doc_id.
+
+Edge cases, in every stage: an empty table gives an empty result. Nulls: a null or empty text fails the
+rules, is no near duplicate, hits no benchmark, is never taken by the mix (its size is 0) and encodes to the
+end id; a null doc_id is kept, as no duplicate of anything; a null source is a source of its own. Very long
+texts are read whole. Ties: of linked rows with one smallest doc_id all stay; repeated rows are judged alike.
+Further columns are carried through, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm import decontam, jaccard_join, mixing, quality_rules, token_store
-from hirelens.llm.base import Scratch, table
+from hirelens.llm.base import Scratch, discarded, table
 from hirelens.llm.queries import tokenizer_path
 
 
@@ -61,7 +69,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_store.store(docs, tokenizer_path())
+    return token_store.store(docs, tokenizer_path(), as_stored=token_store.is_stored(docs))
 
 
 STAGES = [("quality_rules", rules), ("ngram_jaccard_join", near_duplicates), ("decontamination", decontaminate), ("mixing", mix), ("token_output", tokens)]
@@ -74,5 +82,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES[:-1]:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        with discarded():  # what the stage's operator wrote on its way
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
+        scratch.drop_all_but(name)
     return STAGES[-1][1](spark, docs, sf_dir)
