@@ -36,7 +36,6 @@ is dropped for them. Strings are judged on the input.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,7 +49,7 @@ from .base import BYTE_CODES, Scratch, doc_key, merged, mix, prefix_sums, slidin
 MIN_BYTES = 200
 GRAM = 64
 #: Contexts that are compared at once, of at most 2 * MIN_BYTES bytes each; a larger part is cut by content.
-PART = 2000
+PART = 1000
 #: Bytes of contexts that are sorted at once.
 BATCH_BYTES = 1_500_000
 #: Places of a long text are searched in pieces of so many, with overlap.
@@ -396,7 +395,6 @@ def removed(docs: DataFrame, scratch: Scratch, size: int = MIN_BYTES, gram: int
         if origins is None:
             verdicts = verdicts.unionByName(got.withColumnsRenamed({"part": "name", "key": "digest"}))
         else:
-            got = scratch.write(got, f"spans{uuid.uuid4().hex}")
             verdicts = verdicts.unionByName(origins.join(got, ["part", "key"]).select("name", "digest", moved("starts", "shift").alias("starts"), moved("ends", "shift").alias("ends")))
     verdicts = scratch.write(verdicts, "verdicts")
 
