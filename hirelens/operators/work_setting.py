@@ -1,7 +1,10 @@
 """Work-setting classifier: Office, Hybrid, Remote or Unknown from text evidence.
 
 All stages map over an array of text fragments inside one row, so there is no
-shuffle. Each fragment carries its source and strength:
+shuffle. Fragments without a cue word of any rule are left out first. Patterns read a copy of
+the text in which signs beyond ASCII give way to one that is no letter, so that a plain word
+boundary means what it does in RE2, and each rule first asks whether its cue is there.
+Each fragment carries its source and strength:
 
     4 description and role highlights, 3 title, 2 tags, 1 metadata, 0 a false flag,
     -1 company policy, -2 physical duties
@@ -12,11 +15,14 @@ strength gives Unknown.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.columns import captured, filled, ladder, matches, normalized_each, without
+from ..functions.columns import filled, ladder, normalized_each
 
 # Headings, tokens and phrases of the rules.
 ROLE_HEADINGS = ("responsibilities", "job responsibilities", "role", "work location", "work arrangement", "schedule", "description")
@@ -48,6 +54,15 @@ TITLE_NOT_REMOTE = r"\bnon-remote\b"
 SOMETIMES = r"\b(?:occasional|occasionally|occasions|annual|once a year|onboarding|orientation|as needed|as required|when needed|when required|periodically|periodic|from time to time|ad hoc)\b|\bif (?:this|the) (?:position|role) is (?:listed|designated)\b|\b(?:not|no) (?:required (?:to be )?)?(?:onsite|on-site|in-office|in-person)\b"
 NO_COMPONENT = r"\b(?:fully|100%|exclusively|only|strictly|annual|year|travel|onboarding|orientation)\b"
 TAG = r"#li-(?:remote|hybrid|onsite|on-site)\b"
+# Words without which no rule of their kind can hold.
+REMOTE_CUES = ("remote", "home", "wfh")
+HYBRID_CUES = ("hybrid",)
+SITE_CUES = ("onsite", "on-site", "on site", "office", "person")
+DUTY_CUES = (
+    "patient", "injection", "immunization", "vaccine", "phlebotomy", "blood draw", "physical", "forensic", "nursing care", "helicopter", "aircraft", "airplane", "air transportation",
+    "inspection", "forklift", "lathe", "machine", "equipment", "inmate", "detainee", "prisoner",
+)
+LOGISTICS_CUE = r"interview|application|recruit|training|orientation|onboarding|conference|meetup|event"
 
 #: Fields of one piece of evidence, in the order of the metadata.
 EVIDENCE = "struct<source:string,text:string,normalized:string,strength:int,setting:string,conflict:boolean,negative_remote:boolean,office_days:bigint,remote_days:bigint>"
@@ -57,8 +72,31 @@ def _any(*patterns: str) -> str:
     return "|".join(patterns)
 
 
-def _days(x: Column) -> Column:
-    return x.try_cast("bigint")
+def _says(x: Column, cues: tuple[str, ...]) -> Column:
+    return reduce(or_, (F.contains(x, F.lit(c)) for c in cues))
+
+
+def _plain(x: Column) -> Column:
+    """x with one sign that is no letter for each beyond ASCII."""
+    return F.regexp_replace(x, r"[^\x00-\x7F]", "\x01")
+
+
+def matches(x: Column, pattern: str) -> Column:
+    return F.regexp_like(x, F.lit(pattern))
+
+
+def without(x: Column, pattern: str) -> Column:
+    return F.regexp_replace(x, pattern, "")
+
+
+def _days(x: Column, pattern: str) -> Column:
+    """The number of days that a pattern captures; null without a match."""
+    return F.regexp_extract(x, pattern, 1).try_cast("bigint")
+
+
+def _with(i: Column, names: tuple[str, ...], **more: Column) -> Column:
+    """The named fields of a struct, and more."""
+    return F.struct(*(i[c].alias(c) for c in names), *(v.alias(k) for k, v in more.items()))
 
 
 def _fragment(source: Column | str, text: Column, strength: Column | int) -> Column:
@@ -84,59 +122,90 @@ def inputs() -> Column:
     return F.filter(F.concat(*(F.coalesce(p, none) for p in parts)), lambda i: filled(i["text"]).isNotNull())
 
 
-def _cleaned(i: Column) -> Column:
-    """Contexts without neutral and logistic phrases, and the days named."""
+_GIVEN = ("source", "text", "strength", "normalized")
+
+
+def _cued(i: Column) -> Column:
+    """A fragment with the copy that patterns read, and which kinds of cues it has."""
     n = i["normalized"]
+    return _with(i, _GIVEN, plain=_plain(n), far=_says(n, REMOTE_CUES), mixed=_says(n, HYBRID_CUES), site=_says(n, SITE_CUES), duty=_says(n, DUTY_CUES))
+
+
+_CUED = (*_GIVEN, "plain", "far", "mixed", "site", "duty")
+
+
+def _speaks(i: Column) -> Column:
+    return i["far"] | i["mixed"] | i["site"] | i["duty"] | (i["source"] == "serpapi_wfh")
+
+
+def _stripped(i: Column) -> Column:
+    """Without neutral phrases on remote work, and without logistics and denials of office work."""
+    n, far = i["plain"], i["far"]
     substantive = matches(n, _any(P.OFFICE_SUBSTANTIVE, P.OFFICE_WEEK, P.OFFICE_DAYS_LEAD))
-    no_duty = without(F.when(substantive, n).otherwise(without(n, P.OFFICE_LOGISTICS)), P.OFFICE_NEGATION)
-    neutral = without(n, P.REMOTE_NEUTRAL)
-    positive = without(neutral, P.NEGATION)
-    contextual = without(without(n, REMOTE_EXPERIENCE), P.REMOTE_NEUTRAL)
-    return F.struct(
-        i["source"].alias("source"), i["text"].alias("text"), i["strength"].alias("strength"), n.alias("normalized"),
-        contextual.alias("contextual"),
-        without(contextual, P.NEGATION).alias("positive"),
-        without(no_duty, P.OFFICE_LABEL_NEGATION).alias("office_context"),
-        F.coalesce(_days(captured(no_duty, P.OFFICE_WEEK)), _days(captured(no_duty, P.OFFICE_DAYS_LEAD))).alias("office_days"),
-        F.coalesce(
-            _days(captured(positive, P.REMOTE_WEEK)),
-            F.when(matches(n, _any(P.OFFICE_WEEK, P.OFFICE_DAYS_LEAD)), _days(captured(n, P.REMOTE_TAIL))),
-            F.when(matches(positive, P.FRIDAY_HOME), F.lit(1).cast("bigint")),
-        ).alias("remote_days"),
-        (i["strength"] >= 3).alias("role"),
+    at_work = F.when(i["site"] & matches(n, LOGISTICS_CUE) & ~substantive, without(n, P.OFFICE_LOGISTICS)).otherwise(n)
+    return _with(i, _CUED, at_work=at_work, neutral=F.when(far, without(n, P.REMOTE_NEUTRAL)).otherwise(n), inexperienced=far & matches(n, REMOTE_EXPERIENCE))
+
+
+def _scrubbed(i: Column) -> Column:
+    return _with(
+        i, (*_CUED, "neutral", "inexperienced"),
+        no_duty=F.when(i["site"], without(i["at_work"], P.OFFICE_NEGATION)).otherwise(i["at_work"]),
+        contextual=F.when(i["inexperienced"], without(without(i["plain"], REMOTE_EXPERIENCE), P.REMOTE_NEUTRAL)).otherwise(i["neutral"]),
     )
 
 
+def _denied(i: Column) -> Column:
+    """Without denials."""
+    deniable = i["far"] | i["mixed"]
+    return _with(
+        i, (*_CUED, "no_duty", "contextual"),
+        positive=F.when(deniable, without(i["contextual"], P.NEGATION)).otherwise(i["contextual"]),
+        offered=F.when(deniable, without(i["neutral"], P.NEGATION)).otherwise(i["neutral"]),
+        office_context=F.when(i["site"], without(i["no_duty"], P.OFFICE_LABEL_NEGATION)).otherwise(i["no_duty"]),
+    )
+
+
+_KEPT = (*_CUED, "contextual", "positive", "office_context")
+
+
+def _counted(i: Column) -> Column:
+    """With the days named."""
+    remote = F.coalesce(
+        _days(i["offered"], P.REMOTE_WEEK), F.when(i["site"] & matches(i["plain"], _any(P.OFFICE_WEEK, P.OFFICE_DAYS_LEAD)), _days(i["plain"], P.REMOTE_TAIL)),
+        F.when(matches(i["offered"], P.FRIDAY_HOME), F.lit(1).cast("bigint")),
+    )
+    office = F.coalesce(_days(i["no_duty"], P.OFFICE_WEEK), _days(i["no_duty"], P.OFFICE_DAYS_LEAD))
+    return _with(i, _KEPT, office_days=F.when(i["site"], office), remote_days=F.when(i["far"], remote), role=i["strength"] >= 3)
+
+
 def _scoped(i: Column) -> Column:
     """Whether a fragment speaks of a short introduction on site, or of a recurring mix."""
     text, both = i["contextual"], i["office_days"].isNotNull() & i["remote_days"].isNotNull()
-    short = matches(text, ONBOARDING) & matches(text, FEW_DAYS) & matches(text, _any(P.ROLE_REMOTE, THEN_REMOTE)) & ~matches(text, LONG_ONSITE)
-    remote_part = matches(i["positive"], _any(P.ROLE_REMOTE, P.REMOTE_WEEK, WEEKLY_REMOTE)) | both | (matches(text, ALTERNATING) & matches(text, ANY_REMOTE))
+    short = i["far"] & i["site"] & matches(text, ONBOARDING) & matches(text, FEW_DAYS) & matches(text, _any(P.ROLE_REMOTE, THEN_REMOTE)) & ~matches(text, LONG_ONSITE)
+    remote_part = both | matches(i["positive"], _any(P.ROLE_REMOTE, P.REMOTE_WEEK, WEEKLY_REMOTE)) | (matches(text, ALTERNATING) & matches(text, ANY_REMOTE))
     mix = (
-        (F.length(text) <= 240) & (matches(text, P.RECURRING) | both) & matches(i["office_context"], ONSITE) & remote_part
+        i["far"] & i["site"] & (F.length(text) <= 240) & (both | matches(text, P.RECURRING)) & matches(i["office_context"], ONSITE) & remote_part
         & (~both | (i["office_days"] + i["remote_days"] <= 5))
         & ~matches(i["positive"], EXCLUSIVE) & ~matches(text, _any(NOT_RECURRING, REMOTE_TECHNOLOGY))
     )
-    return F.struct(*(i[c].alias(c) for c in ("source", "text", "strength", "normalized", "contextual", "positive", "office_context", "office_days", "remote_days", "role")), short.alias("short_onboarding"), mix.alias("mix"))
+    return _with(i, (*_KEPT, "office_days", "remote_days", "role"), short_onboarding=short, mix=mix)
 
 
 def _signals(i: Column) -> Column:
-    text, positive, office, title = i["contextual"], i["positive"], i["office_context"], i["source"] == "title"
-    ambiguous = matches(positive, P.AMBIGUITY) | matches(text, SOME_CANDIDATES) | matches(text, REMOTE_OR_BASED) | (matches(text, TRANSITION) & ~i["short_onboarding"])
-    hybrid = matches(positive, P.ROLE_HYBRID) | i["mix"] | (title & matches(text, TITLE_HYBRID) & ~matches(text, HYBRID_TECHNOLOGY))
-    on_site = (matches(without(office, P.NEGATION), P.ROLE_OFFICE) | (title & matches(office, TITLE_OFFICE))) & ~matches(text, SOMETIMES)
-    remote = (
-        matches(without(positive, REMOTE_TECHNOLOGY), P.ROLE_REMOTE)
-        | (i["remote_days"].isNotNull() & ~matches(text, P.NEGATION))
+    text, positive, office, title, far = i["contextual"], i["positive"], i["office_context"], i["source"] == "title", i["far"]
+    settled = far | i["mixed"] | i["site"]
+    ambiguous = settled & (matches(positive, P.AMBIGUITY) | matches(text, SOME_CANDIDATES) | matches(text, REMOTE_OR_BASED) | (~i["short_onboarding"] & matches(text, TRANSITION)))
+    hybrid = i["mix"] | (i["mixed"] & (matches(positive, P.ROLE_HYBRID) | (title & matches(text, TITLE_HYBRID) & ~matches(text, HYBRID_TECHNOLOGY))))
+    on_site = i["site"] & (matches(without(office, P.NEGATION), P.ROLE_OFFICE) | (title & matches(office, TITLE_OFFICE))) & ~matches(text, SOMETIMES)
+    remote = far & (
+        (i["remote_days"].isNotNull() & ~matches(text, P.NEGATION))
+        | matches(without(positive, REMOTE_TECHNOLOGY), P.ROLE_REMOTE)
         | (i["short_onboarding"] & matches(text, THEN_REMOTE))
         | (title & matches(text, TITLE_REMOTE) & ~matches(text, _any(P.NEGATION, TITLE_NOT_REMOTE, REMOTE_TECHNOLOGY)))
     )
-    denied = F.exists(F.regexp_extract_all(text, F.lit(P.java(P.NEGATION)), F.lit(0)), lambda n: matches(n, NEGATED_REMOTE))
-    return F.struct(
-        *(i[c].alias(c) for c in ("source", "text", "strength", "normalized", "contextual", "office_days", "remote_days", "role", "mix")),
-        *((i["role"] & x).alias(name) for name, x in (("ambiguous", ambiguous), ("hybrid", hybrid), ("office", on_site), ("remote", remote))),
-        denied.alias("negative_remote"),
-    )
+    denied = far & F.exists(F.regexp_extract_all(text, F.lit(P.NEGATION), F.lit(0)), lambda n: matches(n, NEGATED_REMOTE))
+    role = i["role"]
+    return _with(i, (*_CUED, "contextual", "office_days", "remote_days", "role", "mix"), ambiguous=role & ambiguous, hybrid=role & hybrid, office=role & on_site, remote=role & remote, negative_remote=denied)
 
 
 def _evidence(i: Column, source: Column, strength: Column | int, setting: Column | str, conflict: Column | bool = False, negative: Column | bool = False, office: Column | None = None, remote: Column | None = None, text: Column | None = None, normalized: Column | None = None) -> Column:
@@ -168,12 +237,13 @@ def evidence(signals: Column) -> Column:
     direct = F.filter(signals, lambda i: i["hybrid"] | i["office"] | i["remote"] | i["ambiguous"] | i["negative_remote"] | of_metadata(i) | (i["source"] == "serpapi_wfh"))
     roles = F.filter(signals, lambda i: i["role"])
     tag_setting = lambda t: ladder([(t == "#li-remote", "Remote"), (t == "#li-hybrid", "Hybrid")], "Office")
-    tags = F.flatten(F.transform(roles, lambda i: F.transform(F.regexp_extract_all(i["normalized"], F.lit(P.java(TAG)), F.lit(0)), lambda t: _evidence(i, F.concat(i["source"], F.lit(":li_tag")), 2, tag_setting(t)))))
+    tagged = F.filter(roles, lambda i: F.contains(i["plain"], F.lit("#li-")))
+    tags = F.flatten(F.transform(tagged, lambda i: F.transform(F.regexp_extract_all(i["plain"], F.lit(TAG), F.lit(0)), lambda t: _evidence(i, F.concat(i["source"], F.lit(":li_tag")), 2, tag_setting(t)))))
     prose = F.filter(roles, lambda i: i["source"] != "title")
-    remote, hybrid = (lambda i: matches(i["contextual"], P.COMPANY_REMOTE)), (lambda i: matches(i["contextual"], P.COMPANY_HYBRID))
+    remote, hybrid = (lambda i: i["far"] & matches(i["contextual"], P.COMPANY_REMOTE)), (lambda i: i["mixed"] & matches(i["contextual"], P.COMPANY_HYBRID))
     policy = F.filter(prose, lambda i: (remote(i) | hybrid(i)) & ~matches(i["contextual"], P.COMPANY_GUARD))
     policy = F.transform(policy, lambda i: _evidence(i, F.concat(F.lit("company_policy:"), i["source"]), -1, ladder([(remote(i) & hybrid(i), "Unknown"), (remote(i), "Remote")], "Hybrid"), remote(i) & hybrid(i)))
-    duties = F.filter(prose, lambda i: ~i["ambiguous"] & ~i["negative_remote"] & matches(i["contextual"], _any(P.PHYSICAL_CARE, P.PHYSICAL_OPERATIONS)) & ~matches(i["contextual"], P.PHYSICAL_GUARD))
+    duties = F.filter(prose, lambda i: i["duty"] & ~i["ambiguous"] & ~i["negative_remote"] & matches(i["contextual"], _any(P.PHYSICAL_CARE, P.PHYSICAL_OPERATIONS)) & ~matches(i["contextual"], P.PHYSICAL_GUARD))
     duties = F.transform(duties, lambda i: _evidence(i, F.concat(F.lit("physical_duties:"), i["source"]), -2, "Office"))
     return F.concat(F.transform(direct, _direct), tags, policy, duties)
 
@@ -195,12 +265,13 @@ def classify(listings: DataFrame) -> DataFrame:
         listings.withColumn("ws_raw", inputs())
         .withColumn("ws_text", normalized_each(F.transform("ws_raw", lambda i: i["text"])))
         .withColumn("ws_in", F.zip_with("ws_raw", "ws_text", lambda i, n: F.struct(i["source"].alias("source"), i["text"].alias("text"), i["strength"].alias("strength"), n.alias("normalized"))))
-        .withColumn("ws_clean", F.transform("ws_in", _cleaned))
-        .withColumn("ws_scope", F.transform("ws_clean", _scoped))
-        .withColumn("ws_signals", F.transform("ws_scope", _signals))
-        .withColumn("ws_found", evidence(F.col("ws_signals")))
-        .withColumn("ws_evidence", F.concat("ws_found", weekly_mixes(F.col("ws_found"))))
+        .withColumn("ws_cued", F.filter(F.transform("ws_in", _cued), _speaks))
     )
+    before = "ws_cued"
+    for k, stage in enumerate((_stripped, _scrubbed, _denied, _counted, _scoped, _signals)):
+        steps, before = steps.withColumn(f"ws_{k}", F.transform(before, stage)), f"ws_{k}"
+    steps = steps.withColumn("ws_found", evidence(F.col(before)))
+    steps = steps.withColumn("ws_evidence", F.concat("ws_found", weekly_mixes(F.col("ws_found"))))
     speaks = lambda e: (e["setting"] != "Unknown") | e["conflict"] | e["negative_remote"]
     steps = steps.withColumn("ws_strength", F.array_max(F.transform(F.filter("ws_evidence", speaks), lambda e: e["strength"])))
     steps = steps.withColumn("ws_top", F.filter("ws_evidence", lambda e: F.coalesce(e["strength"] == F.col("ws_strength"), F.lit(False))))
