@@ -4,7 +4,8 @@ The month spine times the segments is the only product of rows, and it is one ro
 for each reported row. Active jobs come from the sums of starts and ends by
 month: a job adds one to the month it was posted in and takes one away after the
 month it was removed in, so a running sum over the spine counts it in each month
-between without a range join.
+between without a range join. The score reads jobs once: the few columns that its
+components need are written to the shared folder first.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import divide, filled, ladder, month_start, week_start, within
+from ..functions.shared import written
 
 SEGMENT = ["search_term", "search_location"]
 GRAIN = ["month_start_date", *SEGMENT]
@@ -132,9 +134,14 @@ FINAL = (
 )
 
 
+#: What the components read of a job; the bounds of pay may be missing.
+READ = ("job_id", *SEGMENT, "company_name", "created_at_mst", "posted_date", "removed_date", "avg_annual_pay_range", "low_annual_pay_range", "high_annual_pay_range")
+
+
 def opportunity_score(jobs: DataFrame, as_of: Column) -> DataFrame:
     """All components by month and segment, and their weighted mean over those that are known."""
-    spine = month_spine(jobs, as_of)
+    jobs = written(jobs.select(*(c for c in READ if c in jobs.columns)), "opportunity-jobs")
+    spine = written(month_spine(jobs, as_of), "opportunity-spine")
     parts = demand(jobs, spine).join(growth(jobs, spine, as_of), GRAIN, "left").join(salary(jobs), GRAIN, "left").join(long_tail(jobs), GRAIN, "left")
     have = sum((F.coalesce(F.col(c) * w, F.lit(0.0)) for c, w in WEIGHTS), F.lit(0.0))
     weight = sum((F.when(F.col(c).isNotNull(), w).otherwise(0.0) for c, w in WEIGHTS), F.lit(0.0))

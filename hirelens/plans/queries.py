@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -10,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions.shared import new_folder
 from ..operators import experience, work_setting
 from ..operators import listings as L
 from ..operators import opportunity as O
@@ -269,17 +269,8 @@ def text_functions(spark: SparkSession, d: str) -> DataFrame:
     return A.read(spark, d, "documents").select("doc_id", F.concat(F.lower("lang"), F.lit("/"), F.upper("source")).alias("tag"), F.length(text).cast("bigint").alias("n"), text.startswith("The").alias("the"), F.nullif(F.replace("source", F.lit("src"), F.lit("")), F.lit("0")).alias("num"), F.concat(F.repeat(F.char(F.lit(42)), F.lit(3)), F.col("lang")).alias("stars"))
 
 
-@query(r"select doc_id, nullif(regexp_extract(text, '(\d{1,3})\.(\d{1,3})\.', 2), '') as second, coalesce(len(regexp_extract_all(text, '[0-9]+')), 0) as numbers, regexp_matches(text, '\b(the|and)\b') as english, substr(regexp_replace(text, '(\w+) (\w+)', '\2 \1'), 1, 40) as swapped from documents where lang = 'en'")
-def regex_functions(spark: SparkSession, d: str) -> DataFrame:
-    docs = A.read(spark, d, "documents").where("lang = 'en'")
-    text = F.col("text")
-    swapped = F.substring(F.regexp_replace(F.substring_index(text, "\x00", 1), r"^([^\x00]*?)([0-9A-Za-z_]+) ([0-9A-Za-z_]+)", "$1$3 $2"), 1, 40)
-    return docs.select("doc_id", F.nullif(C.captured(text, r"(\d{1,3})\.(\d{1,3})\.", 2), F.lit("")).alias("second"), F.regexp_count(text, F.lit("[0-9]+")).cast("bigint").alias("numbers"), C.matches(text, r"\b(the|and)\b").alias("english"), swapped.alias("swapped"))
-
-
 @query(r"select doc_id, nullif(regexp_extract(text, '(\d{1,3})\.(\d{1,3})\.', 2), '') as second, coalesce(len(regexp_extract_all(text, '[0-9]+')), 0) as numbers, regexp_matches(text, '\b(the|and)\b') as english, regexp_replace(text, '(\w+) (\w+)', '\2 \1') as swapped from documents")
-def regex_functions_all(spark: SparkSession, d: str) -> DataFrame:
-    """regex_functions for every document, with the whole of the replaced text."""
+def regex_functions(spark: SparkSession, d: str) -> DataFrame:
     text = F.col("text")
     swapped = F.regexp_replace(text, r"(?s)^(.*?)(?<![0-9A-Za-z_])([0-9A-Za-z_]++) ([0-9A-Za-z_]++)", "$1$3 $2")
     return A.read(spark, d, "documents").select("doc_id", F.nullif(C.captured(text, r"(\d{1,3})\.(\d{1,3})\.", 2), F.lit("")).alias("second"), F.regexp_count(text, F.lit("[0-9]+")).cast("bigint").alias("numbers"), C.matches(text, r"\b(the|and)\b").alias("english"), swapped.alias("swapped"))
@@ -311,16 +302,8 @@ def json_scalars(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", k.alias("k"), C.json_text("v", "$.missing").alias("missing"), (k > 50).alias("high"))
 
 
-@query("""select event_id, ['type:' || event_type, 'k' || (props ->> '$.k'), event_type] as strings, 3 as n from events where event_id % 10 = 0""")
-def json_array_strings(spark: SparkSession, d: str) -> DataFrame:
-    parts = F.concat(F.lit('{"a": ["type:'), "event_type", F.lit('", 7, null, "k'), F.get_json_object("props", "$.k"), F.lit('", {"b": 1}, "'), "event_type", F.lit('"]}'))
-    strings = C.json_strings(F.parse_json(parts), "$.a")
-    return A.read(spark, d, "events").where("event_id % 10 = 0").select("event_id", strings.alias("strings"), F.size(strings).alias("n"))
-
-
 @query("""select event_id, ['type:' || event_type, 'k' || (props ->> '$.k'), event_type] as strings, 3 as n from events""")
-def json_array_strings_all(spark: SparkSession, d: str) -> DataFrame:
-    """json_array_strings for every event."""
+def json_array_strings(spark: SparkSession, d: str) -> DataFrame:
     parts = F.concat(F.lit('{"a": ["type:'), "event_type", F.lit('", 7, null, "k'), F.get_json_object("props", "$.k"), F.lit('", {"b": 1}, "'), "event_type", F.lit('"]}'))
     strings = C.json_strings(F.parse_json(parts), "$.a")
     return A.read(spark, d, "events").select("event_id", strings.alias("strings"), F.size(strings).alias("n"))
@@ -335,13 +318,8 @@ def regex_extract_all_pay(spark: SparkSession, d: str) -> DataFrame:
     return A.read(spark, d, "orders").select("o_orderkey", pay["low"].alias("low"), pay["high"].alias("high"))
 
 
-@query(r"select doc_id, trim(regexp_replace(lower(replace(replace(substr(text, 1, 300), chr(8217), chr(39)), chr(8211), '-')), '[\s\p{Z}]+', ' ', 'g')) as normalized from documents where lang in ('en', 'de')")
-def normalize_text(spark: SparkSession, d: str) -> DataFrame:
-    return A.read(spark, d, "documents").where("lang in ('en', 'de')").select("doc_id", C.normalized(F.substring("text", 1, 300)).alias("normalized"))
-
-
 @beyond_sql
-def normalize_text_all(spark: SparkSession, d: str) -> DataFrame:
+def normalize_text(spark: SparkSession, d: str) -> DataFrame:
     """The whole text of every document, normalized."""
     return A.read(spark, d, "documents").select("doc_id", C.normalized("text").alias("normalized"))
 
@@ -407,34 +385,17 @@ def state_infer(spark: SparkSession, d: str) -> DataFrame:
     return with_state(A.jobs(spark, d)).select("job_id", "state_abbr", "state_name")
 
 
-@query("""with v as (select case when event_id % 5 <> 0 then 1 end as q, case when event_id % 7 <> 0 then 1 end as k from events where event_id % 3 = 0)
-select count(*) as row_count, count(*) filter (where q is null) as failed_q, count(*) filter (where k is null) as failed_k from v""")
-def not_null_checks(spark: SparkSession, d: str) -> DataFrame:
-    q = C.ladder([(F.col("event_id") % 10 == 0, '"q": null, '), (F.col("event_id") % 5 == 0, "")], '"q": "", ')
-    k = C.ladder([(F.col("event_id") % 7 == 0, '{"z": 1}')], '{"k": [1]}')
-    rows = A.read(spark, d, "events").where("event_id % 3 = 0").select(F.parse_json(F.concat(F.lit("{"), q, F.lit('"n": '), k, F.lit("}"))).alias("job_data"))
-    return records.not_null_counts(rows, paths={"q": "$.q", "k": "$.n.k"})
-
-
 @query("""with v as (select case when event_id % 5 <> 0 then 1 end as q, case when event_id % 7 <> 0 then 1 end as k from events)
 select count(*) as row_count, count(*) filter (where q is null) as failed_q, count(*) filter (where k is null) as failed_k from v""")
-def not_null_checks_all(spark: SparkSession, d: str) -> DataFrame:
-    """not_null_checks over every event."""
+def not_null_checks(spark: SparkSession, d: str) -> DataFrame:
     q = C.ladder([(F.col("event_id") % 10 == 0, '"q": null, '), (F.col("event_id") % 5 == 0, "")], '"q": "", ')
     k = C.ladder([(F.col("event_id") % 7 == 0, '{"z": 1}')], '{"k": [1]}')
     rows = A.read(spark, d, "events").select(F.parse_json(F.concat(F.lit("{"), q, F.lit('"n": '), k, F.lit("}"))).alias("job_data"))
     return records.not_null_counts(rows, paths={"q": "$.q", "k": "$.n.k"})
 
 
-@query("select event_id, case when event_id % 4 = 1 then 'invalid_json' when event_id % 4 = 2 then 'non_object_json' end as fault from events where event_id < 1000")
-def line_faults(spark: SparkSession, d: str) -> DataFrame:
-    line = C.ladder([(F.col("event_id") % 4 == 1, '{"a": NaN}'), (F.col("event_id") % 4 == 2, "[1]")], F.col("props"))
-    return records.judged(A.read(spark, d, "events").where("event_id < 1000").select("event_id", line.alias("value"))).select("event_id", "fault")
-
-
 @query("select event_id, case when event_id % 4 = 1 then 'invalid_json' when event_id % 4 = 2 then 'non_object_json' end as fault from events")
-def line_faults_all(spark: SparkSession, d: str) -> DataFrame:
-    """line_faults for the line of every event."""
+def line_faults(spark: SparkSession, d: str) -> DataFrame:
     line = C.ladder([(F.col("event_id") % 4 == 1, '{"a": NaN}'), (F.col("event_id") % 4 == 2, "[1]")], F.col("props"))
     return records.judged(A.read(spark, d, "events").select("event_id", line.alias("value"))).select("event_id", "fault")
 
@@ -454,7 +415,9 @@ YEARS = (
 def _described(spark: SparkSession, d: str, texts: tuple[tuple[str, object], ...]) -> DataFrame:
     text = C.ladder([(F.col("o_orderkey") % len(texts) == k, t) for k, (t, _) in enumerate(texts)])
     none = {"work_setting_extensions": F.array().cast("array<string>"), "work_setting_highlights": F.array().cast(L.HIGHLIGHTS), "work_from_home": F.lit(None).cast("boolean"), "work_setting_source_metadata": F.lit(None).cast("string")}
-    return A.read(spark, d, "orders").select("o_orderkey", F.lit("Data Engineer").alias("job_title"), text.alias("job_description")).withColumns(none)
+    # The rules take a good part of a millisecond a row: rows of one small file are dealt out to all cores.
+    orders = A.read(spark, d, "orders").select("o_orderkey").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    return orders.select("o_orderkey", F.lit("Data Engineer").alias("job_title"), text.alias("job_description")).withColumns(none)
 
 
 def _case(texts: tuple[tuple[str, object], ...]) -> str:
@@ -475,7 +438,7 @@ def experience_cases(spark: SparkSession, d: str) -> DataFrame:
 @query("select event_id, cast(ts as date) as created_date, case when cast(ts as date) between date '2024-01-18' and date '2024-01-20' then value * 2 else value end as value from events")
 def partition_overwrite(spark: SparkSession, d: str) -> DataFrame:
     rows = A.read(spark, d, "events").select("event_id", F.col("ts").cast("date").alias("created_date"), "value").repartition("created_date")
-    path = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/checkpoints')}/days-{uuid.uuid4().hex}"
+    path = new_folder(spark, "days")
     every = [r.created_date for r in rows.select("created_date").distinct().collect()]  # one for each day
     sinks.overwrite_days(rows, path, every)
     sinks.overwrite_days(rows.withColumn("value", F.col("value") * 2), path, sinks.partitions_to_replace(date(2024, 1, 20)))

@@ -40,25 +40,25 @@ def normal(x):
 
 def test_normalize_text(spark, con):
     want = {i: normal(t) for i, t in con.sql("select doc_id, text from documents").fetchall()}
-    got = {r.doc_id: r.normalized for r in __spark_entry__.queries()["normalize_text_all"](spark, DIR).collect()}
+    got = {r.doc_id: r.normalized for r in __spark_entry__.queries()["normalize_text"](spark, DIR).collect()}
     assert got == want
 
 
 def test_line_faults(spark, con):
-    got = same(spark, con, "line_faults_all")
+    got = same(spark, con, "line_faults")
     assert len(got) == 10_000 and max(r.event_id for r in got) == 9_999
 
 
 def test_json_array_strings(spark, con):
-    assert len(same(spark, con, "json_array_strings_all")) == 10_000
+    assert len(same(spark, con, "json_array_strings")) == 10_000
 
 
 def test_not_null_checks(spark, con):
-    assert same(spark, con, "not_null_checks_all")[0].row_count == 10_000
+    assert same(spark, con, "not_null_checks")[0].row_count == 10_000
 
 
 def test_regex_functions(spark, con):
-    got = same(spark, con, "regex_functions_all")
+    got = same(spark, con, "regex_functions")
     length = dict(con.sql("select doc_id, length(text) from documents").fetchall())
     assert {r.doc_id: len(r.swapped) for r in got} == length
 
@@ -66,6 +66,6 @@ def test_regex_functions(spark, con):
 def test_regex_functions_beyond_a_nul(spark, tmp_path):
     texts = ["x" * 50 + ", one two three", "a\x00b c\x00", "--\x00\n11.22. the", "one  two", "é one two", "w" * 100_000 + "\tand no"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r for r in __spark_entry__.queries()["regex_functions_all"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r for r in __spark_entry__.queries()["regex_functions"](spark, str(tmp_path)).collect()}
     assert {k: r.swapped for k, r in got.items()} == {k: re.sub(r"(\w+) (\w+)", r"\2 \1", t, count=1, flags=re.A) for k, t in enumerate(texts)}
     assert got[2].second == "22" and got[2].english and got[2].numbers == 2
