@@ -106,4 +106,11 @@ def enrich(candidates: DataFrame, make: Callable[[], Callable[[str], str]] = lam
                 yield pd.DataFrame(found, columns=["job_id", "data_source", "skills"])
 
     made = candidates.mapInPandas(run, "job_id string, data_source string, skills string")
-    return made.where("skills <> ''").withColumn("created_at", F.current_timestamp())
+    return skill_rows(made.where("skills <> ''").withColumn("created_at", F.current_timestamp()))
+
+
+def skill_rows(rows: DataFrame) -> DataFrame:
+    """Rows as the skill table takes them: texts, and the time of now where created_at is missing or no time."""
+    when = F.col("created_at").cast("string")
+    texts = (F.col(c).cast("string").alias(c) for c in ("job_id", "data_source", "skills"))
+    return rows.select(*texts, F.coalesce(F.try_to_timestamp(when), F.current_timestamp()).alias("created_at"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,12 +17,8 @@ from ..operators.filters import FilterSpec, Tokens, apply_filters
 from ..operators.states import STATES, with_state
 from ..sources import records, sinks
 from . import adapter as A
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-#: Queries that DuckDB's SQL cannot express; tests compare them with plain Python.
-BEYOND_SQL: dict[str, Query] = {}
+from . import parsing  # noqa: F401  its queries are registered too
+from .registry import BEYOND_SQL, ORACLES, QUERIES, beyond_sql, query  # noqa: F401
 
 # -- shared SQL ------------------------------------------------------------------
 
@@ -97,21 +92,6 @@ tail as (
 SCORED = "scored as (select jobs.*, opportunity_score, opportunity_tier from jobs left join scores s on cast(date_trunc('month', posted_date) as date) = s.m and jobs.search_term = s.search_term and jobs.search_location = s.search_location)"
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLES[fn.__name__] = sql
-        return fn
-
-    return add
-
-
-def beyond_sql(fn: Query) -> Query:
-    BEYOND_SQL[fn.__name__] = fn
-    return fn
-
-
 def rounded(df: DataFrame, *names: str, places: int = 4) -> DataFrame:
     return df.withColumns({n: F.round(n, places) for n in names})
 

@@ -57,6 +57,26 @@ def schema_name(custom: str | None, target: str, default: str) -> str:
     return default if target == "dev" or not custom else custom.strip()
 
 
-def write_json_lines(df: DataFrame, path: str, source: str, stamp: str) -> None:
-    """Records by search under incoming/; a search without records leaves nothing."""
-    df.write.partitionBy("query_id").mode("append").json(f"{path}/{source}/incoming/{stamp}")
+def write_json_lines(df: DataFrame, path: str, source: str, stamp: str, prefix: str = "") -> list[str]:
+    """Records (query_id, ...) as <prefix>/<source>/incoming/<query_id>_<stamp>.jsonl; a search without records leaves nothing.
+
+    The records of a search are one file, as the ingest takes a file as a whole: a search is limited to some hundred
+    records. Spark writes them to a folder of their own, from which each file is renamed to its place.
+    """
+    spark = df.sparkSession
+    base = "/".join(x.strip("/") if k else x.rstrip("/") for k, x in enumerate((path, prefix, source, "incoming")) if x)
+    staged = f"{base}/.{stamp}"
+    df.withColumn("search", F.col("query_id")).repartition("search").write.partitionBy("search").mode("overwrite").json(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(staged)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    made = []
+    for folder in fs.globStatus(hadoop.Path(f"{staged}/search=*")):  # one for each search
+        name = folder.getPath().getName().split("=", 1)[1]
+        for k, part in enumerate(fs.globStatus(hadoop.Path(f"{folder.getPath()}/part-*"))):
+            target = f"{base}/{name}_{stamp}{f'_{k}' * (k > 0)}.jsonl"
+            if not fs.rename(part.getPath(), hadoop.Path(target)):
+                raise OSError(f"{part.getPath()} could not be moved to {target}")
+            made.append(target)
+    fs.delete(top, True)
+    return made

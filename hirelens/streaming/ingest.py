@@ -1,15 +1,22 @@
 """File ingest: validate each file as a whole, append the good ones, archive or reject.
 
 A file with one bad line or one failed check is rejected with the reason beside it; a file that
-fails to load for a passing reason stays and is tried again, MAX_ATTEMPTS times in all. Loading is
-at least once: later steps remove duplicates.
+fails to load for a passing reason stays and is tried again, MAX_ATTEMPTS times in all, after a delay.
+What waits for that is kept in a ledger in files, so that neither the end of the program nor the
+stream's checkpoint, which offers each file once, loses it. A file that changes while it is loaded is
+tried again as it then is. Loading is at least once: later steps remove duplicates.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import random
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+from pyspark.errors import DateTimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,7 +50,7 @@ def verdicts(spark: SparkSession, files: list[str]) -> list[Verdict]:
     """What is wrong with each file, if anything; one row for each file comes to the driver."""
     wrong = [Verdict(f, UNSUPPORTED) for f in files if not f.endswith(".jsonl")]
     named = [f for f in files if f.endswith(".jsonl")]
-    if not named:
+    if not named:  # nor any file at all
         return wrong
     lines = json_lines(spark, named)
     order = F.array(*map(F.lit, BAD_LINE))
@@ -67,35 +74,119 @@ def _tail(path: str) -> str:
     return path.split(":", 1)[-1].lstrip("/")
 
 
+@dataclass
+class Waiting:
+    """How often a file has failed, and when it is tried again."""
+
+    file: str
+    attempts: int
+    due: float
+
+
+@dataclass
+class Ledger:
+    """What waits, in memory."""
+
+    rows: dict[str, Waiting] = field(default_factory=dict)
+
+    def get(self, file: str) -> Waiting | None:
+        return self.rows.get(file)
+
+    def put(self, row: Waiting) -> None:
+        self.rows[row.file] = row
+
+    def drop(self, file: str) -> None:
+        self.rows.pop(file, None)
+
+    def all(self) -> list[Waiting]:
+        return list(self.rows.values())
+
+
+class FileLedger(Ledger):
+    """What waits, one small file for each in a folder of any store that Hadoop knows."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        super().__init__()
+        fs, place = self._at("")
+        if fs.exists(place):
+            for status in fs.listStatus(place):
+                with_text = spark.read.option("wholetext", "true").text(str(status.getPath())).first()
+                row = Waiting(**json.loads(with_text.value))
+                self.rows[row.file] = row
+
+    def _at(self, name: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _name(self, file: str) -> str:
+        return hashlib.sha256(file.encode()).hexdigest() + ".json"
+
+    def put(self, row: Waiting) -> None:
+        super().put(row)
+        fs, place = self._at(self._name(row.file))
+        out = fs.create(place, True)
+        out.write(bytearray(json.dumps(row.__dict__).encode()))
+        out.close()
+
+    def drop(self, file: str) -> None:
+        if file in self.rows:
+            super().drop(file)
+            fs, place = self._at(self._name(file))
+            fs.delete(place, False)
+
+
 class Ingest:
-    """load appends rows of ENVELOPE; move(file, folder, reason) puts a file away; notify tells somebody, and may fail."""
+    """load appends rows of ENVELOPE; move(file, folder, reason) puts a file away; notify tells somebody, and may fail.
+
+    version(file) tells one content of a file from another; clock gives seconds.
+    """
 
-    def __init__(self, spark: SparkSession, load: Callable[[DataFrame], None], move: Callable[[str, str, str | None], None], notify: Callable[[str], None] = lambda text: None):
+    def __init__(
+        self, spark: SparkSession, load: Callable[[DataFrame], None], move: Callable[[str, str, str | None], None], notify: Callable[[str], None] = lambda text: None,
+        ledger: Ledger | None = None, version: Callable[[str], object] = lambda file: None, clock: Callable[[], float] = time.time, jitter: Callable[[], float] = lambda: random.uniform(0, 10),
+    ):
         self.spark, self.load, self.move, self.notify = spark, load, move, notify
-        self.attempts: dict[str, int] = {}
+        self.ledger, self.version, self.clock, self.jitter = Ledger() if ledger is None else ledger, version, clock, jitter
+
+    def due(self) -> list[str]:
+        """Files whose next attempt is due, the longest waiting first."""
+        now = self.clock()
+        return [w.file for w in sorted(self.ledger.all(), key=lambda w: (w.due, w.file)) if w.due <= now]
 
     def run(self, files: list[str]) -> dict[str, str]:
         """The state of each file: archived, rejected:<reason> or incoming."""
-        return {v.file: self._one(v) for v in verdicts(self.spark, files)}
+        versions = {f: self.version(f) for f in files}
+        return {v.file: self._one(v, versions[v.file]) for v in verdicts(self.spark, files)}
 
-    def _one(self, verdict: Verdict) -> str:
+    def _one(self, verdict: Verdict, version: object) -> str:
+        file = verdict.file
+        if self.version(file) != version:
+            return self._wait(file, 0)
         if verdict.reason:
-            return self._reject(verdict.file, verdict.reason)
+            return self._reject(file, verdict.reason)
         try:
-            self.load(envelopes(json_lines(self.spark, verdict.file)))
-        except PermanentError:
-            return self._reject(verdict.file, PERMANENT)
+            self.load(envelopes(json_lines(self.spark, file)))
+        except (PermanentError, DateTimeException):  # a time that is none fails each time
+            return self._reject(file, PERMANENT)
         except Exception:
-            self.attempts[verdict.file] = self.attempts.get(verdict.file, 0) + 1
-            if self.attempts[verdict.file] >= MAX_ATTEMPTS:
-                return self._reject(verdict.file, EXHAUSTED)
-            return "incoming"
-        self.move(verdict.file, "archive", None)
-        self._tell(f"loaded {verdict.file}: {verdict.rows} rows")
+            before = self.ledger.get(file)
+            attempts = 1 + (before.attempts if before else 0)
+            return self._reject(file, EXHAUSTED) if attempts >= MAX_ATTEMPTS else self._wait(file, attempts)
+        if self.version(file) != version:
+            return self._wait(file, 0)
+        self.move(file, "archive", None)
+        self.ledger.drop(file)
+        self._tell(f"loaded {file}: {verdict.rows} rows")
         return "archived"
 
+    def _wait(self, file: str, attempts: int) -> str:
+        self.ledger.put(Waiting(file, attempts, self.clock() + (retry_delay(attempts, self.jitter()) if attempts else 0)))
+        return "incoming"
+
     def _reject(self, file: str, reason: str) -> str:
         self.move(file, "rejected", reason)
+        self.ledger.drop(file)
         self._tell(f"rejected {file}: {reason}")
         return f"rejected:{reason}"
 
@@ -106,32 +197,57 @@ class Ingest:
             return
 
 
+def hadoop_version(spark: SparkSession) -> Callable[[str], object]:
+    """Length and time of change of a file; None if it is gone."""
+
+    def version(file: str) -> object:
+        place = spark._jvm.org.apache.hadoop.fs.Path(file)
+        fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(place):
+            return None
+        status = fs.getFileStatus(place)
+        return status.getLen(), status.getModificationTime()
+
+    return version
+
+
 def hadoop_move(spark: SparkSession, root: str) -> Callable[[str, str, str | None], None]:
-    """Moves files to root/<folder>/ in any store Hadoop knows; a reason is written beside the file."""
+    """Moves files to root/<folder>/ in any store Hadoop knows, in place of one of that name; a reason is written beside the file."""
 
     def move(file: str, folder: str, reason: str | None) -> None:
         path = spark._jvm.org.apache.hadoop.fs.Path
         source, target = path(file), path(f"{root}/{folder}/{file.rsplit('/', 1)[-1]}")
         fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
         fs.mkdirs(target.getParent())
-        fs.rename(source, target)
+        fs.delete(target, False)
+        if not fs.rename(source, target):
+            raise OSError(f"{file} could not be moved to {target}")
         if reason:
-            out = fs.create(path(f"{target}.reason"))
+            out = fs.create(path(f"{target}.reason"), True)
             out.write(bytearray(reason.encode()))
             out.close()
 
     return move
 
 
-def watch(spark: SparkSession, incoming: str, checkpoint: str, ingest: Ingest, once: bool = False) -> StreamingQuery:
-    """Runs ingest over new files, at most MAX_FILES a batch, oldest first; the checkpoint remembers them."""
+def watch(spark: SparkSession, incoming: str, checkpoint: str, ingest: Ingest, once: bool = False, interval: str = INTERVAL) -> StreamingQuery:
+    """Runs ingest over new files, at most MAX_FILES a batch, oldest first, and over those whose retry is due.
+
+    The checkpoint remembers which files were offered; a clock stream makes a batch at each interval even if no file came.
+    """
     names = spark.readStream.format("text").option("maxFilesPerTrigger", MAX_FILES).option("wholetext", "true").load(incoming).select(F.col("_metadata.file_path").alias("file"))
+    if once:
+        ingest.run(ingest.due())
+    else:
+        ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.lit(None).cast("string").alias("file"))
+        names = names.unionByName(ticks)
 
     def batch(df: DataFrame, _: int) -> None:
-        ingest.run(sorted(r.file for r in df.distinct().collect()))  # at most MAX_FILES names
+        new = [r.file for r in df.where("file is not null").distinct().collect()]  # at most MAX_FILES names
+        ingest.run(sorted({*new, *(ingest.due()[:MAX_FILES])}))
 
     writer = names.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=INTERVAL)).start()
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
 def weekly_stream(events: DataFrame, time: str, keys: list[str], late: str = "3 days") -> DataFrame:

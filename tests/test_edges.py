@@ -116,6 +116,13 @@ def test_enrich(spark):
     assert got == {"1": "python, sql, machine learning, c++"}
 
 
+def test_skill_rows_have_a_time(spark):
+    rows = spark.createDataFrame([(1, "a", "x", "2026-01-02 03:04:05"), (2, "a", "y", "soon"), (3, "a", "z", None)], "job_id int, data_source string, skills string, created_at string")
+    got = E.skill_rows(rows).collect()
+    assert [r.job_id for r in got] == ["1", "2", "3"] and str(got[0].created_at) == "2026-01-02 03:04:05"
+    assert all(r.created_at.year >= 2024 for r in got)
+
+
 def test_dispatcher(capsys):
     tasks = {"ok": "tests.test_edges:fine", "bad": "tests.test_edges:broken"}
     assert cli.main(["x", "ok"], {}, tasks) == 0

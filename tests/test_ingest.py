@@ -1,12 +1,14 @@
 """File validation and the states of an ingest."""
 
+import itertools
 import json
 import shutil
+import time
 from pathlib import Path
 
 import pytest
 
-from hirelens.sources import records
+from hirelens.sources import records, sinks
 from hirelens.streaming import ingest as I
 
 GOOD = {"source_name": "s", "query_id": 1, "q": "q", "location": "l", "fetched_at": "2026-01-01T00:00:00Z", "job": {"job_id": "j"}}
@@ -65,6 +67,86 @@ def test_retries(spark, folder):
     assert [I.retry_delay(1), I.retry_delay(2), I.retry_delay(1, 99)] == [60, 120, 70]
 
 
+def test_retries_outlive_the_checkpoint(spark, tmp_path):
+    """A file that failed is offered again after its delay, by a new program too, though the stream has seen it."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "good.jsonl").write_text(FILES["good.jsonl"])
+    now, calls = [1000.0], []
+
+    def load(df):
+        calls.append(df.count())
+        if len(calls) < 3:
+            raise TimeoutError
+
+    def program():
+        ledger = I.FileLedger(spark, f"file://{tmp_path}/waiting")
+        box = I.Ingest(spark, load, I.hadoop_move(spark, f"file://{tmp_path}"), ledger=ledger, version=I.hadoop_version(spark), clock=lambda: now[0], jitter=lambda: 5.0)
+        I.watch(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/checkpoint", box, once=True).awaitTermination(60)
+        return {w.file.rsplit("/", 1)[-1]: (w.attempts, w.due) for w in box.ledger.all()}
+
+    assert program() == {"good.jsonl": (1, 1065.0)}
+    assert program() == {"good.jsonl": (1, 1065.0)} and len(calls) == 1
+    now[0] = 1065.0
+    assert program() == {"good.jsonl": (2, 1190.0)} and len(calls) == 2
+    now[0] = 1190.0
+    assert program() == {} and calls == [2, 2, 2]
+    assert (tmp_path / "archive/good.jsonl").exists() and not (tmp_path / "in/good.jsonl").exists()
+
+
+def test_watch_goes_on_without_new_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "good.jsonl").write_text(FILES["good.jsonl"])
+    calls, seconds = [], itertools.count(0, 1000)
+
+    def load(df):
+        calls.append(1)
+        if len(calls) == 1:
+            raise TimeoutError
+
+    box = I.Ingest(spark, load, I.hadoop_move(spark, f"file://{tmp_path}"), clock=lambda: next(seconds))
+    stream = I.watch(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/checkpoint", box, interval="1 second")
+    end = time.time() + 60
+    while not (tmp_path / "archive/good.jsonl").exists() and time.time() < end:
+        time.sleep(0.5)
+    stream.stop()
+    assert len(calls) == 2 and (tmp_path / "archive/good.jsonl").exists()
+
+
+def test_a_file_that_changes_waits(spark, folder):
+    name, moved = f"file://{folder}/good.jsonl", []
+    versions = iter([1, 1, 2, 3, 3, 3])
+    box = I.Ingest(spark, lambda df: None, lambda f, to, why: moved.append(to), version=lambda f: next(versions), clock=lambda: 0.0)
+    assert list(box.run([name]).values()) == ["incoming"] and not moved
+    assert box.due() == [name]
+    assert list(box.run(box.due()).values()) == ["archived"] and moved == ["archive"] and not box.due()
+
+
+def test_a_time_that_is_none_is_permanent(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text(line(fetched_at="soon"))
+    box = I.Ingest(spark, lambda df: df.collect(), lambda *a: None)
+    assert list(box.run([f"file://{tmp_path}/x.jsonl"]).values()) == ["rejected:permanent_failure"]
+
+
+def test_moves(spark, tmp_path):
+    (tmp_path / "archive").mkdir()
+    (tmp_path / "archive" / "a.jsonl").write_text("old")
+    (tmp_path / "a.jsonl").write_text("new")
+    move = I.hadoop_move(spark, f"file://{tmp_path}")
+    move(f"file://{tmp_path}/a.jsonl", "archive", None)
+    assert (tmp_path / "archive/a.jsonl").read_text() == "new"
+    with pytest.raises(Exception, match="a.jsonl"):
+        move(f"file://{tmp_path}/a.jsonl", "archive", None)
+
+
+def test_json_lines_by_search(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (1, "c")], "query_id int, x string")
+    made = sinks.write_json_lines(rows, f"file://{tmp_path}", "api", "20260101T000000", prefix="raw/")
+    names = ["1_20260101T000000.jsonl", "2_20260101T000000.jsonl"]
+    assert sorted(m.rsplit("/", 1)[-1] for m in made) == names
+    assert sorted(p.name for p in (tmp_path / "raw/api/incoming").glob("*.jsonl")) == names
+    assert sorted(json.loads(x)["x"] for x in (tmp_path / "raw/api/incoming" / names[0]).read_text().split()) == ["a", "c"]
+
+
 def test_watch(spark, folder, tmp_path_factory):
     incoming, out = tmp_path_factory.mktemp("incoming"), tmp_path_factory.mktemp("out")
     for name in ("good.jsonl", "json.jsonl"):
