@@ -110,11 +110,11 @@ def bench(spark, items):
     return spark.createDataFrame(items, "item_id bigint, text string")
 
 
-@pytest.mark.parametrize("block", [decontam.BLOCK_BYTES, 60])
-def test_decontamination(spark, make, block):
+@pytest.mark.parametrize("most", [decontam.PRINTS, 3])
+def test_decontamination(spark, make, most):
     items = [(1, ITEM), (2, None), (3, ""), (4, "Short item"), (5, "one"), (None, "the the the the the the the the the the the"), (10, ITEM.upper() + " nu"), (7, "a b a b a b a b a b a b")]
     texts = [None, "", "!!", ITEM.replace(" ", ", ").title(), "x " + " ".join(ITEM.split()[:9]), "x " + " ".join(ITEM.split()[1:11]) + " y " + ITEM, "short ITEM, one", "the " * 5000, "b a " * 30, "beta " * 9]
-    got = {r.doc_id: r[1:] for r in decontam.report(decontam.scan(make(texts, CLASH), bench(spark, items), block_bytes=block)).collect()}
+    got = {r.doc_id: r[1:] for r in decontam.report(decontam.scan(make(texts, CLASH), bench(spark, items), most=most)).collect()}
     assert got == brute.contamination(list(enumerate(texts)), items)
 
 
@@ -127,6 +127,32 @@ def test_decontamination_of_documents(spark, sf_dir, documents, pairs):
     assert decontam.scan(documents.where("false"), items).count() == 0
 
 
+@pytest.mark.parametrize("most", [decontam.PRINTS, 0])
+def test_decontamination_drops_rows(spark, make, most):
+    """Whatever their other columns are called, and however often a row is stored."""
+    hit = "and " + ITEM
+    pairs = [(1, hit), (1, hit), (1, "clean text"), (None, hit), (None, "clean"), (2, None), (None, None), (3, ""), (4, hit.upper())]
+    docs = make(pairs, {c: "x" for c in ("hit_id", "hit_key", "doc_key", "start", "size", "a", "item", "n_words", "hit_starts")})
+    left = decontam.clean(docs, bench(spark, [(1, ITEM)]), most=most)
+    assert left.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in left.collect()) == sorted([("1", "clean text"), ("None", "clean"), ("2", "None"), ("None", "None"), ("3", "")])
+    found = decontam.report(decontam.scan(docs, bench(spark, [(1, ITEM)]), most=most))
+    assert sorted((str(r.doc_id), r.n_words, r.contaminated) for r in found.collect()) == sorted(
+        [("1", 13, True), ("1", 13, True), ("1", 2, False), ("None", 13, True), ("None", 1, False), ("2", 0, False), ("None", 0, False), ("3", 0, False), ("4", 13, True)]
+    )
+
+
+@pytest.mark.parametrize("most", [decontam.PRINTS, 100])
+def test_decontamination_of_long_texts(spark, make, most):
+    rng = random.Random(6)
+    texts = [" ".join(str(rng.randint(0, 5000)) for _ in range(n)) for n in (150_000, 20, 3000)]
+    texts[2] += " " + " ".join(texts[0].split()[149_000:149_040])
+    items = [(1, " ".join(texts[0].split()[70_000:70_030])), (2, " ".join(texts[0].split()[149_010:149_030]))]
+    got = {r.doc_id: r[1:] for r in decontam.report(decontam.scan(make(texts), bench(spark, items), most=most)).collect()}
+    assert got == brute.contamination(list(enumerate(texts)), items)
+    assert [got[k][1] for k in range(3)] == [50, 0, 20]
+
+
 def test_decontamination_of_random_words(spark, make):
     rng = random.Random(2)
     items = [(k, " ".join(rng.choices("abc", k=rng.randint(0, 25)))) for k in range(30)]
