@@ -24,7 +24,6 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hirelens.llm import decontam, jaccard_join, mixing, quality_rules, token_store
 from hirelens.llm.base import Scratch, discarded, table
@@ -59,8 +58,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @keeping_columns
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.scan(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("hit_starts") == 0).select(*docs.columns)
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 @keeping_columns
