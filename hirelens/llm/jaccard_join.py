@@ -6,30 +6,30 @@ shingles in that order (the prefix) have k of the smaller set in common, where k
 SHARE-th of the size, 1 at least; and the smaller has at least 3/4 of the larger's size.
 
 1. Equal sets become one class.
-2. Classes with identical prefixes and size become one group.
-3. Groups are filtered one by one, no pair of groups is formed: prefix shingles that occur
-   in one class only are out, and so are groups that share fewer than k of them with all others
-   together; what is left (the runs) is small.
-4. Groups are expanded to their members, and pairs of the right sizes, formed between
-   members, verified on whole sets.
-
-Pairs inside a run are not all formed. First, in LEADER_ROUNDS rounds, each class
-is compared with one class of about its size in another component that shares a run, that
-which shares most with all others to begin with; links found merge components. Then classes that chose
-one leader but stand apart are compared with all others that chose it, and each class that
-shares k runs with a larger component elsewhere with all members of that. These stand
-together in blocks of BLOCK shingles. So no link between components is lost: the components
-are exact, while a group of thousands of copies costs about as many comparisons as it
-has members.
+2. Classes with identical prefixes and size become one group, for which the first of them stands. Prefix
+   shingles of one group only are out, and so are groups that share fewer than k of them with all others together.
+3. Pairs of groups are formed and filtered: each group is paired with the one of about its size that leads most of
+   its shingles, if it shares enough of them with it.
+4. Pairs that are left are expanded to members and verified on whole sets: the first members of two groups,
+   and each other member of a group with the first. Links make components.
+5. What then stands apart is paired again, as the members of a group in one component: those of a group, or of
+   groups with one leader, with each other, and the rest with a component elsewhere in which there are
+   sets of about their size that share k shingles of their prefix. These pairs are filtered by that
+   number, expanded to members and verified on whole sets.
+
+So no pairs inside a component are formed beyond those that made it: the components are exact, while
+thousands of near copies cost about as many comparisons as there are of them. Comparisons of step 5 stand
+in blocks of at most BLOCK shingles of one side and ASK sets of the other, so no task takes an unbounded group.
 
 The order of shingles only steers cost, never results. The frequent ones are found in a
 hash sample of one document in SAMPLE; at most ORDER_LIMIT of them, 16 bytes
 each, are broadcast.
 
 Edge cases: texts with 1 to 4 words have one shingle, the whole sequence; null,
-empty and wordless texts have none and are linked with nothing; rows with one
-doc_id belong to one component; rows without doc_id are linked with nothing and
-have no component.
+empty and wordless texts have none and are linked with nothing; very long texts are read whole, in memory
+in proportion to the longest; rows with one doc_id belong to one component; rows without doc_id have their
+number of shingles, are linked with nothing and have no component. An empty table gives an empty result.
+Columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import Codes, Scratch, binary_longs, doc_key, mix, prefix_sums, small, spans, text_bytes, windows
@@ -48,9 +48,8 @@ WORDS = 5
 #: Two sets link when PER * intersection >= NUM * union.
 NUM, PER = 75, 100
 SAMPLE, SAMPLE_DF, ORDER_LIMIT = 16, 3, 400_000
-LEADER_ROUNDS = 1
-#: Shingles of sets of one component that are compared with others at once.
-BLOCK = 300_000
+#: Shingles of sets of one component that are compared with others at once, and how many others at most.
+BLOCK, ASK = 200_000, 256
 #: A prefix is longer by a SHARE-th of the set, and so many of its shingles must be shared.
 SHARE = 10
 
@@ -150,26 +149,34 @@ def verify_blocks(asked: DataFrame, members: DataFrame, bodies: DataFrame) -> Da
     """Links (a, b) between classes and members of components they are asked to be compared with.
 
     asked is (id, part), members (id, part, n). Members are numbered into blocks by a hash; a class
-    goes to each block of its component, and there meets all members at once.
+    goes to each block of its component, and there meets all members at once. The classes asked for
+    one component are dealt over copies of its blocks, a copy for each ASK of them.
     """
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK).cast("int"))
-    sizes = members.groupBy("part").agg(F.sum("n").alias("size")).select("part", blocks.alias("blocks")).join(asked.select("part").distinct(), "part")
-    inside = members.join(sizes, "part").select("id", "part", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("kind"))
-    outside = asked.join(sizes, "part").select("id", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"))
-    placed = inside.unionByName(outside).join(bodies, "id").repartition("part", "block").sortWithinPartitions("part", "block", "kind", "id")
+    copies = F.greatest(F.lit(1), F.ceil(F.col("many") / ASK).cast("int"))
+    counted = asked.groupBy("part").agg(F.count("*").alias("many"))
+    sizes = members.groupBy("part").agg(F.sum("n").alias("size")).join(counted, "part").select("part", blocks.alias("blocks"), copies.alias("copies"))
+    each = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    hashed = lambda name, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(name)).cast("int")
+    inside = members.join(sizes, "part").select("id", "part", hashed("blocks", 0).alias("block"), each("copies").alias("copy"), F.lit(0).alias("kind"))
+    outside = asked.join(sizes, "part").select("id", "part", each("blocks").alias("block"), hashed("copies", 1).alias("copy"), F.lit(1).alias("kind"))
+    cell = ("part", "block", "copy")
+    placed = inside.unionByName(outside).join(bodies, "id").repartition(*cell).sortWithinPartitions(*cell, "kind", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, ids, held, index = None, [], [], None
         for batch in batches:
             links = []
-            keys = zip(*(batch.column(c).to_pylist() for c in ("part", "block", "kind", "id")), strict=True)
+            keys = zip(*(batch.column(c).to_pylist() for c in (*cell, "kind", "id")), strict=True)
             for row, own in zip(keys, binary_longs(batch.column("body")), strict=True):
-                if row[:2] != at:
-                    at, ids, held, index = row[:2], [], [], None
-                if row[2] == 0:
-                    ids.append(row[3])
+                if row[:3] != at:
+                    at, ids, held, index = row[:3], [], [], None
+                if row[3] == 0:
+                    ids.append(row[4])
                     held.append(own.copy())
                     continue
+                if not ids:
+                    continue  # no member has come to this block
                 if index is None:
                     sizes = np.array([len(x) for x in held])
                     shingle, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
@@ -181,10 +188,10 @@ def verify_blocks(asked: DataFrame, members: DataFrame, bodies: DataFrame) -> Da
                 place = np.repeat(low - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
                 both = np.bincount(owner[place], minlength=len(sizes))
                 good = np.flatnonzero(PER * both >= NUM * (len(own) + sizes - both))
-                links += [(row[3], ids[k]) for k in good.tolist()]
+                links += [(row[4], ids[k]) for k in good.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return placed.select("part", "block", "kind", "id", "body").mapInArrow(run, "a bigint, b bigint")
+    return placed.select(*cell, "kind", "id", "body").mapInArrow(run, "a bigint, b bigint")
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -213,7 +220,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def link(docs: DataFrame) -> DataFrame:
-    """doc_id, doc_key, n_shingles and component_id for every row of docs."""
+    """doc_id, n_shingles and component_id for every row of docs."""
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -227,26 +234,46 @@ def link(docs: DataFrame) -> DataFrame:
     every = scratch.write(every.drop("prefix"), "every")
     scratch.drop("sets")
     members = scratch.write(every.where("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("id"), F.min("prefix_hash").alias("prefix_hash")), "members")
-    tokens = groups.select("group", "members", F.explode("prefix").alias("token"))
-    several = scratch.write(tokens.groupBy("token").agg(F.sum("members").alias("n")).where("n > 1").select("token"), "several")
-    shared = scratch.write(tokens.select("group", "token").join(several, "token"), "shared")
-    by_group = members.join(groups.select("n_shingles", "prefix_hash", "group"), ["n_shingles", "prefix_hash"]).select("group", "id", F.col("n_shingles").alias("n"))
-    enough = shared.groupBy("group").agg(F.count("*").alias("tokens"))
+    by_group = members.join(groups.select("n_shingles", "prefix_hash", "group", "members"), ["n_shingles", "prefix_hash"]).select("group", "members", "id", F.col("n_shingles").alias("n"))
+    tokens = groups.select("group", F.col("n_shingles").alias("n"), F.explode("prefix").alias("token"))
+    several = scratch.write(tokens.groupBy("token").agg(F.count("*").alias("length")).where("length > 1"), "several")
+    shared = scratch.write(tokens.join(several, "token"), "shared")
     # The smaller of two linked sets has 3/4 of n at least.
-    kept = by_group.join(enough, "group").where(F.col("tokens") >= F.greatest(F.lit(1), F.expr(f"(3 * n div 4) div {SHARE}"))).select("group", "id", "n")
-    runs = scratch.write(shared.join(kept, "group").select("token", "id", "n"), "found")
-    lengths = runs.groupBy("token").agg(F.count("*").alias("length"))
-    scores = runs.join(lengths, "token").groupBy("id").agg(F.sum("length").alias("score"))
-    runs = scratch.write(runs.join(scores, "id"), "runs")
-    scratch.drop("groups", "several", "shared", "found")
-
-    bodies = _bodies(texts, runs.select("id").distinct(), scratch)
-    links, parts = _links(runs, bodies, scratch)
+    enough = shared.groupBy("group").agg(F.count("*").alias("tokens"), F.sum("length").alias("score"), F.first("n").alias("n")).where(F.col("tokens") >= least_shared("n"))
+    runs = scratch.write(shared.join(scratch.write(enough.select("group", "score"), "enough"), "group").select("token", "group", "n", "score", band("n").alias("band")), "runs")
+    scratch.drop("several", "shared")
+
+    ids = by_group.join(runs.select("group").distinct().withColumn("paired", F.lit(True)), "group", "left").where("paired or members > 1").select("id", "group", "n")
+    ids = scratch.write(ids, "ids")
+    bodies = _bodies(texts, ids.select("id"), scratch)
+    parts = _components(runs, ids, bodies, scratch)
     reps = members.join(parts, "id", "left").select(*same_set, F.coalesce("component", "id").alias("component_id"))
     rows = every.groupBy("doc_id", *same_set).agg(F.count("*").alias("rows"))
     found = rows.join(reps, same_set, "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("row")).drop("row")
-    nameless = docs.where("doc_id is null").select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
-    return found.unionByName(nameless)
+    return found.unionByName(_nameless(docs))
+
+
+def _nameless(docs: DataFrame) -> DataFrame:
+    """Rows without doc_id: the size of their set, and no component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Codes()
+        for batch in small(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([len(shingles(t, codes)) for t in text_bytes(batch.column("text"))], pa.int64())], names=["n_shingles"])
+
+    counted = docs.where("doc_id is null").select("text").mapInArrow(run, "n_shingles bigint")
+    none = F.lit(None).cast("bigint")
+    return counted.select(none.alias("doc_id"), "n_shingles", none.alias("component_id"))
+
+
+def band(n: str) -> Column:
+    """Sizes by powers of 4/3: linked sets are in one band or in two beside each other."""
+    return F.floor(F.log(n) / math.log(4 / 3)).cast("int")
+
+
+def least_shared(n: str) -> Column:
+    """The least number of prefix shingles that a set of this size shares with a linked one."""
+    return F.greatest(F.lit(1), F.expr(f"(3 * {n} div 4) div {SHARE}"))
 
 
 def _bodies(texts: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
@@ -261,58 +288,59 @@ def _bodies(texts: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(asked.mapInArrow(run, "id bigint, body binary"), "bodies")
 
 
-def _links(runs: DataFrame, bodies: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The links found, and the component of every id that has one."""
-    edges = done = leaders = None
-    parts = runs.sparkSession.createDataFrame([], "id bigint, component bigint")
-    for k in range(LEADER_ROUNDS):
-        placed = runs.join(parts, "id", "left").select("token", "id", "n", F.floor(F.log("n") / math.log(4 / 3)).alias("band"), F.coalesce("component", "id").alias("part"), (F.xxhash64("id", F.lit(k)) if k else F.col("score")).alias("h"))
-        ends = placed.groupBy("token", "band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(F.struct("h", "id", "part")).alias("lead")).where("low < high")
-        chosen = (
-            placed.select("token", "band", "id", "part").join(ends.select("token", "band", F.col("lead.h").alias("h"), F.col("lead.id").alias("leader"), F.col("lead.part").alias("other")), ["token", "band"])
-            .where("part <> other")
-            .groupBy("id").agg(F.max(F.struct("h", "leader")).alias("best")).select("id", F.col("best.leader").alias("leader"))
-        )
-        chosen = scratch.write(chosen, f"chosen{k}")
-        leaders = chosen if k == 0 else leaders
-        asked = chosen.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-        asked = scratch.write(asked if done is None else asked.join(done, ["a", "b"], "left_anti"), f"asked{k}")
-        if asked.isEmpty():
-            continue
-        done = asked if done is None else done.unionByName(asked)
-        got = scratch.write(verify(asked, bodies), f"links{k}")
-        edges = got if edges is None else edges.unionByName(got)
-        parts = components(edges, scratch, f"parts{k}_")
-    if runs.isEmpty():
-        return edges, parts
-    got = scratch.write(_rest(runs, parts, leaders, bodies, scratch), "rest")
-    edges = got if edges is None else edges.unionByName(got)
-    return edges, components(edges, scratch, "parts_")
-
-
-def _rest(runs: DataFrame, parts: DataFrame, leaders: DataFrame, bodies: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links between components that the rounds left apart.
-
-    Classes that chose one leader share most with it, and so with each other: they form a bucket,
-    in which all but its largest component are compared with everything. Pairs from different buckets
-    are looked for by the shingles they share.
+def _components(runs: DataFrame, ids: DataFrame, bodies: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, component) of every class that has a link. runs is (token, group, n, score, band), ids (id, group, n)."""
+    ends = runs.groupBy("token", "band").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max(F.struct("score", "group", "n")).alias("lead")).where("low < high")
+    ends = scratch.write(ends.select("token", "band", F.col("lead.group").alias("leader"), F.col("lead.n").alias("leader_n"), F.col("lead.score").alias("leader_score")), "ends")
+    # Pairs of groups: one for each group, which leads most of its shingles.
+    pairs = (
+        runs.join(ends, ["token", "band"]).where("group <> leader").groupBy("group", "n", "leader", "leader_n", "leader_score").agg(F.count("*").alias("led"))
+        .groupBy("group", "n").agg(F.max(F.struct("led", "leader_score", "leader", "leader_n")).alias("best")).select("group", "n", "best.*")
+    )
+    pairs = scratch.write(pairs.where(4 * F.least("n", "leader_n") >= 3 * F.greatest("n", "leader_n")), "pairs")
+    scratch.drop("ends")
+    # Expanded: the first of each group with that of its leader, the others of a group with its first.
+    asked = pairs.select(F.least("group", "leader").alias("a"), F.greatest("group", "leader").alias("b")).unionByName(ids.where("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b"))).distinct()
+    edges = scratch.write(verify(asked, bodies), "links")
+    parts = components(edges, scratch, "parts0_")
+    if ids.isEmpty():
+        return parts
+    placed = ids.join(parts, "id", "left").join(pairs.select("group", "leader"), "group", "left")
+    placed = scratch.write(placed.select("id", "group", "n", F.coalesce("component", "id").alias("part"), F.coalesce("leader", "group").alias("bucket")), "placed")
+    rest = scratch.write(_rest(runs, placed, bodies, scratch), "rest")
+    return components(edges.unionByName(rest), scratch, "parts_")
+
+
+def _inside(placed: DataFrame, key: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(id, part) to compare with (id, part, n): in each bucket of this key that is in several components, all but the largest with all."""
+    sizes = placed.groupBy(key, "part").agg(F.count("*").alias("many")).groupBy(key).agg(F.max(F.struct("many", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    sizes = scratch.write(sizes.select(key, F.col("top.part").alias("top")), f"several_{key}")  # written, so that a hot bucket is split in the join
+    mixed = scratch.write(placed.join(sizes, key), f"mixed_{key}")
+    name = F.xxhash64(F.lit(key), F.col(key)).alias("part")
+    return mixed.where("part <> top").select("id", name), mixed.select("id", name, "n")
+
+
+def _rest(runs: DataFrame, placed: DataFrame, bodies: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between components that are still apart. placed is (id, group, n, part, bucket).
+
+    Groups with one leader share most with it, and so with each other: they form a bucket,
+    in which all but its largest component are compared with everything; so do the members of a group.
+    Pairs from different buckets are looked for by the shingles they share.
     """
-    known = runs.groupBy("id").agg(F.min("n").alias("n")).join(parts, "id", "left").join(leaders, "id", "left")
-    ids = scratch.write(known.select("id", "n", F.coalesce("component", "id").alias("part"), F.coalesce("leader", "id").alias("bucket")), "ids")
-
-    sizes = ids.groupBy("bucket", "part").agg(F.count("*").alias("many")).groupBy("bucket").agg(F.max(F.struct("many", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = ids.join(sizes.select("bucket", F.col("top.part").alias("top")), "bucket")
-    inside = verify_blocks(mixed.where("part <> top").select("id", F.col("bucket").alias("part")), mixed.select("id", F.col("bucket").alias("part"), "n"), bodies)
-
-    many = ids.groupBy("part").agg(F.count("*").alias("many"))
-    placed = runs.select("token", "id").join(ids.join(many, "part"), "id").select("token", "id", "n", "bucket", F.struct("many", "part").alias("rank"))
-    ends = placed.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high"), F.min("bucket").alias("from"), F.max("bucket").alias("to")).where("low < high and from < to").select("token")
-    open_ = scratch.write(placed.join(ends, "token"), "open")
-    others = open_.select("token", F.col("rank").alias("other"), F.col("bucket").alias("far")).distinct()
-    least = F.greatest(F.lit(1), F.expr(f"(3 * first(n) div 4) div {SHARE}"))
-    asked = open_.join(others, "token").where("rank < other and bucket <> far").groupBy("id", "other").agg(F.count("*").alias("shared"), least.alias("least")).where("shared >= least")
-    asked = scratch.write(asked.select("id", F.col("other.part").alias("part")), "asked")
-    return inside.unionByName(verify_blocks(asked, ids.select("id", "part", "n"), bodies))
+    buckets = [_inside(placed, key, scratch) for key in ("bucket", "group")]
+    asked_inside, members_inside = (x.unionByName(y) for x, y in zip(*buckets, strict=True))
+
+    many = placed.groupBy("part").agg(F.count("*").alias("many"))
+    # The members of a group in one component are one unit.
+    units = placed.select("group", "part", "bucket").distinct().join(many, "part").select("group", "bucket", F.struct("many", "part").alias("rank"))
+    spread = runs.select("token", "group", "n", "band").join(units, "group")
+    ends = spread.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high"), F.min("bucket").alias("from"), F.max("bucket").alias("to")).where("low < high and from < to").select("token")
+    open_ = scratch.write(spread.join(scratch.write(ends, "apart"), "token"), "open")
+    others = open_.select("token", F.col("rank").alias("other"), F.col("bucket").alias("far"), F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band")).distinct()
+    pairs = open_.join(others, ["token", "band"]).where("rank < other and bucket <> far").groupBy("group", "n", "rank", "other").agg(F.countDistinct("token").alias("shared")).where(F.col("shared") >= least_shared("n"))
+    pairs = scratch.write(pairs.select("group", F.col("rank.part").alias("part"), F.col("other.part").alias("far")), "far")
+    asked = scratch.write(pairs.join(placed.select("group", "part", "id"), ["group", "part"]).select("id", F.col("far").alias("part")).distinct(), "asked")
+    return verify_blocks(asked_inside, members_inside, bodies).unionByName(verify_blocks(asked, placed.select("id", "part", "n"), bodies))
 
 
 def join(docs: DataFrame) -> DataFrame:

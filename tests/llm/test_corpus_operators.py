@@ -56,10 +56,43 @@ def test_jaccard_join_of_chains(make):
     assert got == brute.jaccard(list(enumerate(texts)))
 
 
+def near_copies(seed, n):
+    """Families of texts with edits at their start, end and inside, and strangers that share passages with them."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghij", k=4))
+    stems = [[word() for _ in range(rng.choice([8, 30, 60, 120]))] for _ in range(5)]
+    for _ in range(n):
+        own = list(rng.choice(stems))
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 6])):
+            at = rng.randrange(len(own))
+            own[at : at + rng.randint(0, 2)] = [word() for _ in range(rng.randint(0, 2))]
+        if rng.random() < 0.2:
+            own = own[: len(own) // 2] + [word() for _ in range(20)]
+        yield " ".join(own)
+
+
+@pytest.mark.parametrize(("seed", "block", "ask"), [(1, 200_000, 256), (2, 100, 2), (3, 1, 1)])
+def test_jaccard_join_of_near_copies(make, seed, block, ask, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "ASK", ask)
+    texts = list(near_copies(seed, 400))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join(make(texts)).collect()}
+    assert got == brute.jaccard(list(enumerate(texts)))
+
+
+def test_jaccard_join_of_long_texts(make):
+    rng = random.Random(2)
+    own = [str(rng.randint(0, 50_000)) for _ in range(120_000)]
+    texts = [" ".join(own), " ".join(own[5000:]), " ".join(own[60_000:]), "short"]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join(make(texts)).collect()}
+    assert got == brute.jaccard(list(enumerate(texts)))
+    assert [got[k][1] for k in range(4)] == [0, 0, 2, 3]
+
+
 def test_jaccard_join_edges(make):
     assert jaccard_join.join(make([])).count() == 0
-    rows = jaccard_join.join(make([(3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (5, "a b c d e f")])).collect()
-    assert sorted(((r.doc_id, r.component_id) for r in rows), key=str) == [(3, 3), (3, 3), (5, 3), (None, None)]
+    rows = jaccard_join.join(make([(3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f g"), (5, "a b c d e f"), (None, None)])).collect()
+    assert sorted((tuple(r) for r in rows), key=str) == [(3, 2, 3), (3, 2, 3), (5, 2, 3), (None, 0, None), (None, 3, None)]
     left = jaccard_join.representatives(make([(3, "a b c d e f"), (None, "a b c d e f"), (5, "A b c d e f"), (6, None), (7, "")]))
     assert {r.doc_id for r in left.collect()} == {3, None, 6, 7}
 
