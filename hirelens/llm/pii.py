@@ -3,11 +3,13 @@
 One automaton finds at-signs, URL schemes, digit patterns and identifier cues.
 Each hit starts a deterministic parser that widens it to the left and right and
 validates it: email, IPv4 address, card number, telephone number, and beyond
-these the login part of a URL, account numbers (IBAN) and secrets after a cue.
+these the login part of a URL, account numbers (IBAN), secrets after a cue, and numbers of
+13 to 19 digits that are no card number by their check digit: accounts, and cards with a slip.
 
 Spans are half-open, in code points; spans of one kind never overlap, and the
-leftmost wins. Edge cases: null and empty texts have no spans; repeated rows get
-equal results; texts are scanned whole, in time proportional to their length.
+leftmost wins. Edge cases: null and empty texts have no spans; an empty table gives an
+empty result; repeated rows get equal results; very long texts are scanned whole, in time
+proportional to their length; columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from .base import small
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "login", "account", "secret")
+KINDS = (*BASE_KINDS, "login", "account", "secret", "number")
 
 _DIGITS = "0123456789"
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -102,8 +104,8 @@ def find(text: str, cues: ahocorasick.Automaton) -> dict[str, list[tuple[int, in
         elif what == "card":
             if start >= over["card"] and (m := _CARD.match(text, start)):
                 over["card"] = m.end()
-                if m.end() - start >= 13 and 13 <= len(d := _digits(m[0])) <= 19 and luhn(d):
-                    spans["card"].append(m.span())
+                if m.end() - start >= 13 and 13 <= len(d := _digits(m[0])) <= 19:
+                    spans["card" if luhn(d) else "number"].append(m.span())
         elif what == "phone":
             if start >= over["phone"] and (m := _PHONE.match(text, start)):
                 over["phone"] = m.end()
@@ -134,7 +136,7 @@ def redact(text: str, spans: dict[str, list[tuple[int, int]]]) -> str:
 
 
 def scan(docs: DataFrame, redacted: bool = False) -> DataFrame:
-    """doc_id, the counts and digests of spans, all spans as text, and the redacted text if asked for."""
+    """doc_id, the counts and digests of spans, all spans as text and their number, and the redacted text if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cues = automaton()
@@ -144,9 +146,10 @@ def scan(docs: DataFrame, redacted: bool = False) -> DataFrame:
             columns = [batch.column("doc_id"), *(pa.array([len(s[k]) for s in found], pa.int64()) for k in BASE_KINDS)]
             columns.append(pa.array([hashlib.sha256(joined(s, BASE_KINDS).encode()).hexdigest() for s in found], pa.string()))
             columns.append(pa.array([joined(s, KINDS) for s in found], pa.string()))
+            columns.append(pa.array([sum(map(len, s.values())) for s in found], pa.int64()))
             if redacted:
                 columns.append(pa.array([redact(t, s) for t, s in zip(texts, found, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string" + ", redacted string" * redacted
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_spans bigint" + ", redacted string" * redacted
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -103,6 +103,39 @@ def test_more_personal_data(make):
     assert pii.scan(make([])).count() == 0
 
 
+def planted(rng):
+    """(kind, text, what of it must be found) of each kind."""
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    name = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(3, 9)))
+    key = "".join(rng.choices("0123456789abcdef", k=30)) + digits(2)
+    yield "email", (x := f"{name()}.{digits(2)}@{name()}.example.com"), x
+    yield "ip", (x := ".".join(str(rng.randint(0, 255)) for _ in range(4))), x
+    yield "phone", (x := f"+{rng.randint(1, 99)} ({digits(3)}) 555-{digits(4)}"), x
+    body = digits(rng.randint(12, 18))
+    for d in "0123456789":
+        yield "card" if brute.luhn(body + d) else "number", body + d, body + d
+    yield "login", f"https://{(x := f'{name()}:{name()}@')}host.org/", x
+    country = "".join(rng.choices("ABCDEFGH", k=2)), digits(16)
+    value = int("".join(str(int(c, 36)) for c in country[1] + country[0] + "00"))
+    yield "account", f"IBAN: {(x := f'{country[0]}{98 - value % 97:02d}{country[1]}')}", x
+    yield "secret", f'{rng.choice(["token", "password", "API_KEY", "secret"])} = "{key}"', key
+
+
+def test_recall_of_each_kind(make):
+    """Every planted piece is found whole, under its kind, in any surroundings, and clean texts have none."""
+    rng = random.Random(11)
+    cases = [(kind, text, piece) for _ in range(40) for kind, text, piece in planted(rng)]
+    filler = lambda: " ".join(rng.choices(["the", "of", "größe", "2.0.", "version 3.", "and,", "\n", "1234", "x=y", "CC BY-NC 4.0"], k=rng.randint(0, 30)))
+    mark = lambda: rng.choice([" ", "\n", "\t"])
+    texts = [filler() + " q" + mark() + text + mark() + "q " + filler() for _, text, _ in cases] + [filler() for _ in range(100)]
+    rows = pii.scan(make(texts)).orderBy("doc_id").collect()
+    for (kind, _, piece), text, r in zip(cases, texts, rows, strict=False):
+        found = [x.split(":") for x in r.spans.split(",")]
+        assert (kind, piece) in [(k, text[int(a) : int(b)]) for k, a, b in found], (kind, text, r.spans)
+        assert r.n_spans == len(found)
+    assert all(r.n_spans == 0 and r.spans == "" for r in rows[len(cases) :])
+
+
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
 
 
