@@ -1,7 +1,7 @@
 """Operator 6, quality classifier: nearest-neighbour voting in a latent semantic space.
 
-Terms are hashed byte pairs, hashed triples of character classes, and bins of a
-few counts (shares of repeated words, capitals, symbols). Weighted by inverse
+Terms are hashed words and word pairs, hashed byte pairs, hashed triples of character classes, and
+bins of a few counts (shares of repeated words, capitals, symbols). Weighted by inverse
 document frequency and reduced by a truncated singular value decomposition they
 give one unit vector for a text. The labelled vectors are broadcast: their
 number and width are parameters, so they take at most
@@ -12,7 +12,10 @@ of their cosine.
 Edge cases: null and empty texts have no terms, hence no neighbours, and get the
 share of good labels in the sample (with a balanced sample 0.5); the same holds
 for every text if there are no labels of both kinds. Repeated rows get equal
-scores, which are rounded to four places. Nothing but the text enters a score.
+scores, which are rounded to four places. Cosines count to the nearest 2**-20; of labelled vectors at one
+distance the one with the smaller doc_id is nearer. Of repeated labels of one doc_id the better one counts, of
+repeated documents the text that is first in order is learned from. Very long texts are read whole, an empty
+table gives an empty result, and columns other than doc_id and text are not read. Nothing but the text enters a score.
 """
 
 from __future__ import annotations
@@ -24,21 +27,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import small, text_bytes
+from .base import Codes, mix, small, text_bytes
 
 #: Bound of the training sample, for each label, and sizes of the model.
 SAMPLE_DOCS = 1500
-PAIRS, SHAPES, BINS = 4096, 1024, 12
+WORDS, PAIRS, SHAPES, BINS = 2048, 4096, 1024, 12
 WIDTH, NEIGHBOURS, POWER, BLOCK = 48, 15, 12, 512
 COUNTS = 6
-TERMS = PAIRS + SHAPES + COUNTS * BINS
+TERMS = PAIRS + SHAPES + COUNTS * BINS + WORDS
 
 _CLASS = np.full(256, 7, np.int64)
 for _k, _group in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\r\n", b".,;:?'\"()-", b"#*$%&|<>=_~^\\/{}[]@+", b"!")):
     _CLASS[list(_group)] = _k
 
 
-def terms(text: bytes) -> np.ndarray:
+def terms(text: bytes, codes: Codes) -> np.ndarray:
     """Weights of the hashed terms of one text."""
     out = np.zeros(TERMS, np.float32)
     b = np.frombuffer(text, np.uint8).astype(np.int64)
@@ -60,6 +63,11 @@ def terms(text: bytes) -> np.ndarray:
     counts = (len(set(words)) / n, same, of[1] / m, of[5] / m, of[6] / m, min(1.0, m / n / 20))
     for k, x in enumerate(counts):
         out[PAIRS + SHAPES + k * BINS + min(BINS - 1, int(BINS * np.sqrt(x)))] = 0.5
+    if words:
+        own = codes.of([w.lower() for w in words])
+        both = np.r_[own, mix(own[:-1] * np.uint64(3) + own[1:])]
+        out[-WORDS:] = np.log1p(np.bincount((mix(both) >> np.uint64(53)).astype(np.int64), minlength=WORDS))
+        out[-WORDS:] *= 0.5 / np.linalg.norm(out[-WORDS:])
     return out
 
 
@@ -85,10 +93,12 @@ def vote(rows: np.ndarray, model: dict | None, neighbours: int = NEIGHBOURS) ->
     """Scores of a block of documents from the exact cosines with all labelled vectors."""
     if model is None:
         return np.full(len(rows), 0.5)
-    near = unit(rows @ model["project"]) @ model["vectors"].T
-    k = min(neighbours, near.shape[1])
-    at = np.argpartition(-near, k - 1, axis=1)[:, :k]
-    weight = np.maximum(np.take_along_axis(near, at, 1), 0).astype(np.float64) ** POWER
+    near = np.rint(unit(rows @ model["project"]) @ model["vectors"].T * 2**20).astype(np.int64)
+    n = near.shape[1]
+    k = min(neighbours, n)
+    ranked = near * -n + np.arange(n)  # without ties
+    at = np.sort(np.argpartition(ranked, k - 1, axis=1)[:, :k], axis=1)
+    weight = (np.maximum(np.take_along_axis(near, at, 1), 0) / 2**20) ** POWER
     total = weight.sum(1)
     prior = model["quality"].mean()
     score = np.where(total > 0, (weight * model["quality"][at]).sum(1) / np.maximum(total, 1e-300), prior)
@@ -102,16 +112,23 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * sample_docs rows of two numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Codes()
         for batch in small(batches):
-            made = [terms(t or b"").tobytes() for t in text_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(made, pa.binary())], names=["doc_id", "quality", "f"])
+            made = [terms(t or b"", codes) for t in text_bytes(batch.column("text"))]
+            used = [np.flatnonzero(x) for x in made]
+            places, values = ([x.astype(np.uint16).tobytes() for x in used], [x[u].tobytes() for x, u in zip(made, used, strict=True)])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(places, pa.binary()), pa.array(values, pa.binary())], names=["doc_id", "quality", "places", "weights"])
 
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id")
-    got = chosen.mapInArrow(run, "doc_id bigint, quality int, f binary").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("f", "ascending")])
+    chosen = chosen.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # so that the bound holds for rows too
+    got = chosen.mapInArrow(run, "doc_id bigint, quality int, places binary, weights binary").toArrow().sort_by("doc_id")
     quality = np.array(got["quality"].to_pylist())
     if len(set(quality.tolist())) < 2:
         return None
-    return learn(np.stack([np.frombuffer(x, np.float32) for x in got["f"].to_pylist()]), quality)
+    rows = np.zeros((len(quality), TERMS), np.float32)
+    for row, places, weights in zip(rows, got["places"].to_pylist(), got["weights"].to_pylist(), strict=True):
+        row[np.frombuffer(places, np.uint16)] = np.frombuffer(weights, np.float32)
+    return learn(rows, quality)
 
 
 def classify(docs: DataFrame, model: dict | None) -> DataFrame:
@@ -119,9 +136,10 @@ def classify(docs: DataFrame, model: dict | None) -> DataFrame:
     kept = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Codes()
         for batch in small(batches):
             texts = text_bytes(batch.column("text"))
-            score = np.concatenate([np.empty(0), *(vote(np.stack([terms(t or b"") for t in texts[k : k + BLOCK]]), kept.value) for k in range(0, len(texts), BLOCK))])
+            score = np.concatenate([np.empty(0), *(vote(np.stack([terms(t or b"", codes) for t in texts[k : k + BLOCK]]), kept.value) for k in range(0, len(texts), BLOCK))])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hirelens.llm import decontam, knn_quality, pii, quality_rules
+from hirelens.llm import base, decontam, knn_quality, pii, quality_rules, queries
 
 TEXTS = [None, "", " \n\t", "one", "a b c d " * 40, "word " * 100_000, "x\n\nx\n x\n", "é ñ z y " * 20, "The cat sat. " * 3 + "\nA | b | c |\n" * 30, "a@b.c"]
 CLASH = {"n_words": "clash", "kept": 7, "score": "x", "hit_starts": 1}
@@ -64,6 +64,45 @@ def test_classifier_held_out(spark):
     assert got.where("score < 0 or score > 1").isEmpty()
 
 
+def test_votes_against_single_vectors():
+    """The scores of a block, with every cosine and every vote worked out one by one."""
+    rng = np.random.default_rng(3)
+    rows, quality = rng.random((40, 30)).astype(np.float32) * (rng.random((40, 30)) < 0.3), rng.integers(0, 2, 40)
+    rows[20:25] = rows[3]  # ties
+    model = knn_quality.learn(rows, quality, width=8)
+    asked = np.vstack([rows[:10], rng.random((10, 30)).astype(np.float32), np.zeros((1, 30), np.float32)])
+    got = knn_quality.vote(asked, model, neighbours=7)
+    unit = lambda v: v / n if (n := float(np.linalg.norm(v))) > 1e-12 else v * 0
+    for x, score in zip(asked, got, strict=True):
+        own = unit(x.astype(np.float64) @ model["project"])
+        near = sorted(((-round(float(own @ v) * 2**20), k) for k, v in enumerate(model["vectors"].astype(np.float64))))[:7]
+        votes = [(max(0.0, -c / 2**20) ** knn_quality.POWER, quality[k]) for c, k in near]
+        total = sum(w for w, _ in votes)
+        want = sum(w * q for w, q in votes) / total if total else quality.mean()
+        assert score == pytest.approx(want, abs=2e-3)
+    assert set(knn_quality.vote(rows[20:25], model, neighbours=7).tolist()) == {got[3]}
+
+
+def test_terms_tell_words_and_pairs():
+    codes = base.Codes()
+    one, two, three = (knn_quality.terms(t, codes)[-knn_quality.WORDS :] for t in (b"alpha beta gamma", b"ALPHA beta gamma", b"gamma beta alpha"))
+    assert (one == two).all() and (one > 0).sum() == 5 and not (one == three).all()
+
+
+def test_classifier_takes_a_row_for_each_labelled_document(spark, make, monkeypatch):
+    labels = spark.createDataFrame([(k % 6, k % 2, 0) for k in range(300)], "doc_id bigint, quality int, toxic int")
+    seen, learn = [], knn_quality.learn
+    monkeypatch.setattr(knn_quality, "learn", lambda rows, quality: seen.append(rows.shape) or learn(rows, quality))
+    model = knn_quality.train(make([(k % 6, f"text {k % 6} " * 9) for k in range(300)]), labels)
+    assert seen == [(6, knn_quality.TERMS)] and len(model["quality"]) == 6
+
+
+def test_held_out_without_doc_id(spark, make, tmp_path):
+    make([(None, "some text"), (1, "more"), (2, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert {r.held_out for r in queries.op6_quality_classifier(spark, str(tmp_path)).where("doc_id is null").collect()} == {False}
+
+
 def test_classifier_edges(spark, make):
     labels = spark.createDataFrame([(8, 1, 0), (4, 0, 0), (None, 1, 0), (3, None, 0), (5, 0, 0)], "doc_id bigint, quality int, toxic int")
     model = knn_quality.train(make(TEXTS), labels)
