@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import re
+import threading
 import uuid
 from contextlib import suppress
 
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Serves a single machine, as in tests.
 LOCAL_DIR = "/tmp/checkpoints"
 
-_live: dict[str, SparkSession] = {}
+#: Folders still there, with their session and the thread that made them.
+_live: dict[str, tuple[SparkSession, int]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,12 +35,13 @@ def shared_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder of its own, deleted when the program ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _live[path] = spark
+    _live[path] = spark, threading.get_ident()
     return path
 
 
 def folders() -> set[str]:
-    return set(_live)
+    """Those that this thread has made."""
+    return {path for path, (_, thread) in _live.items() if thread == threading.get_ident()}
 
 
 def delete(spark: SparkSession, folder: str) -> None:
@@ -48,7 +51,7 @@ def delete(spark: SparkSession, folder: str) -> None:
 
 def discard(found: set[str]) -> None:
     for folder in found & set(_live):
-        delete(_live.pop(folder), folder)
+        delete(_live.pop(folder)[0], folder)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -61,6 +64,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 @atexit.register
 def _discard_all() -> None:
-    for folder, spark in _live.items():
+    for folder, (spark, _) in _live.items():
         with suppress(Exception):  # the session may have ended
             delete(spark, folder)
