@@ -2,37 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
-import re
 import threading
-import uuid
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager, suppress
-from typing import ClassVar
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import shared
+
 #: Shuffle files of a finished write are of no further use: its result is in the table.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-DEFAULT_DIR = "/tmp/checkpoints"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from the session.
-
-    Where it is unset, a folder of this machine serves a local master, as in tests; a cluster,
-    whose executors would each write to a disk of their own, gets an error.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = DEFAULT_DIR
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
 
 
 class Scratch:
@@ -43,16 +25,14 @@ class Scratch:
     until the end of the program, or of the block `with discarded():` they were made in.
     """
 
-    live: ClassVar[dict[str, SparkSession]] = {}
     _lock = threading.Lock()
     _writing = 0
     _before = "false"
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.root = shared.new_folder(spark, name)
         self.tables: list[str] = []
-        Scratch.live[self.root] = spark
 
     def write(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         path = f"{self.root}/{name}"
@@ -80,32 +60,19 @@ class Scratch:
     def drop(self, *names: str) -> None:
         """Deletes tables that no later step reads."""
         for name in names:
-            _delete(self.spark, f"{self.root}/{name}")
+            shared.delete(self.spark, f"{self.root}/{name}")
         self.tables = [t for t in self.tables if t not in names]
 
     def drop_all_but(self, *names: str) -> None:
         self.drop(*(t for t in self.tables if t not in names))
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 @contextmanager
 def discarded():
     """Tables of operators called inside are deleted at the end: their results must have been written by then."""
-    before = set(Scratch.live)
+    before = shared.folders()
     yield
-    for root in set(Scratch.live) - before:
-        _delete(Scratch.live.pop(root), root)
-
-
-@atexit.register
-def _discard_all() -> None:
-    for root, spark in Scratch.live.items():
-        with suppress(Exception):  # the session may have ended
-            _delete(spark, root)
+    shared.discard(shared.folders() - before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,12 +6,14 @@ that stand on MIN_PAGES pages or more are dropped from all pages of the host.
 
 Lines are counted once a page and aggregated before the shuffle. A host has
 fewer than (mean lines of a page / ratio) dropped lines, however many pages it
-has, so they travel as one array; pages meet it under SALTS salts of the host, so
-that a host with a third of all pages is dealt over many tasks.
+has, so they travel as one array. Counts, totals and these arrays are written as tables
+before they are joined, so that adaptive execution can split a host that holds a third of all
+pages, whatever their number; hosts are not salted.
 
 Edge cases: a null html has no lines; a null url or one without host leaves the
 page as it is; an empty table gives an empty result; a page stored twice counts
-twice. Blank lines are no lines.
+twice; a host of fewer than MIN_PAGES pages loses nothing. Blank lines are no lines. Very long
+pages are read whole. Columns other than page_id, url and html are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RATIO, MIN_PAGES, SALTS = 0.3, 3, 64
+from .base import Scratch
+
+RATIO, MIN_PAGES = 0.3, 3
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]+)"
 UNSEEN = r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
@@ -37,8 +41,9 @@ def lines(html: Column) -> Column:
     return F.coalesce(F.filter(F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\n"))), lambda x: x != ""), F.array().cast("array<string>"))
 
 
-def dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, salts: int = SALTS) -> DataFrame:
+def dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, host, n_lines, n_dropped and the kept lines joined by line feeds, for every page."""
+    scratch = Scratch(pages.sparkSession, "lines")
     cut = pages.select("page_id", host(F.col("url")).alias("host"), lines(F.col("html")).alias("lines"))
     counts = (
         cut.where("host is not null")
@@ -46,16 +51,11 @@ def dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, sa
         .groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     )
     totals = pages.select(host(F.col("url")).alias("host")).where("host is not null").groupBy("host").agg(F.count("*").alias("pages"))
-    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    common = (
-        counts.withColumn("salt", F.pmod("line", F.lit(salts)).cast("int"))
-        .join(totals.select("*", salt), ["host", "salt"])
-        .where(F.col("n") > ratio * F.col("pages"))
-        .groupBy("host").agg(F.collect_list("line").alias("common"))
-    )
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int"))
+    frequent = scratch.write(counts, "counts").join(scratch.write(totals, "totals"), "host").where(F.col("n") > ratio * F.col("pages"))
+    common = scratch.write(frequent.groupBy("host").agg(F.collect_list("line").alias("common")), "common")
+    scratch.drop("counts", "totals")
     kept = F.filter("lines", lambda x: ~F.coalesce(F.array_contains("common", F.xxhash64(x)), F.lit(False)))
-    return salted.join(common.select("*", salt), ["host", "salt"], "left").select(
+    return cut.join(common, "host", "left").select(
         "page_id", "host", F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(kept)).cast("bigint").alias("n_dropped"), F.array_join(kept, "\n").alias("kept"),
     )

@@ -274,6 +274,16 @@ def test_line_dedup_edges(spark):
     assert line_dedup.dedup(df.where("false")).count() == 0
 
 
+def test_line_dedup_of_long_pages(spark):
+    """A page of 100,000 lines, and a host with most of the pages."""
+    rows = [(k, "http://big.org/x", f"<p>Menu</p><p>text {k}</p>") for k in range(3000)] + [(9000 + k, f"http://h{k}.org", f"<p>Menu</p><p>{k}</p>") for k in range(50)]
+    rows.append((9999, "http://big.org/y", "".join(f"<p>line {k}</p>" for k in range(100_000)) + "<p>Menu</p>"))
+    got = {r.page_id: r for r in line_dedup.dedup(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert got[9999].n_lines == 100_001 and got[9999].n_dropped == 1 and got[9999].kept.count("\n") == 99_999
+    assert all(got[k].kept == f"text {k}" for k in range(3000)) and got[9003].n_dropped == 0
+
+
 def mixed(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumns({c: F.lit("clash") for c in ("size", "target", "taken", "mix_key")})
 
@@ -308,6 +318,17 @@ def test_mixing(spark):
     assert mixing.curriculum(mixed(spark, [])).count() == 0
 
 
+def test_mixing_of_long_texts_and_ties(spark):
+    """A text of 200,000 words beside short ones, and rows equal in doc_id and size but not in text."""
+    rows = [(1, "w " * 200_000, "a"), (2, "x y", "a"), (3, "z", "b")] + [(5, f"t{k} u", "c") for k in range(40)]
+    got = mixing.curriculum(mixed(spark, rows), whole=True).collect()
+    assert {r.size for r in got if r.doc_id == 1} == {200_000}
+    again = mixing.curriculum(mixed(spark, rows[::-1]).repartition(7), whole=True).collect()
+    key = lambda r: (r.doc_id, r.text)
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert {key(r): r.taken for r in got} == {key(r): r.taken for r in again}
+
+
 def test_positions_follow_the_schedule(spark):
     rows = [(k, "w " * 20, s) for k, s in enumerate("abc" * 200)]
     order = mixing.training_order(mixing.curriculum(mixed(spark, rows))).select("source", "position", "words").collect()
@@ -335,6 +356,17 @@ def test_token_store(make, documents, pairs):
     assert token_store.store(make([]), PATH).count() == 0
 
 
+def test_long_texts(make):
+    """Far longer than any of the tables, in the operators on words and tokens."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefg", k=5))
+    own = [word() for _ in range(150_000)]
+    texts = [" ".join(own), "x " + " ".join(own[70_000:70_080]), " ".join(own[:30]) + " y"]
+    docs = make(texts)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_cover.dedup(docs).collect()} == brute.repeated_windows(list(enumerate(texts)))
+    assert {r.doc_id: tuple(r[1:]) for r in token_store.store(docs, PATH).collect()} == brute.token_rows(list(enumerate(texts)), PATH)
+
+
 def test_token_files_in_small_segments(spark, make, tmp_path):
     texts = ODD * 3
     path = f"file://{tmp_path}/tokens"
