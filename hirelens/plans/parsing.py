@@ -157,6 +157,24 @@ def salary_from_bounds(spark: SparkSession, d: str) -> DataFrame:
     return O.salary(jobs).select("month_start_date", "search_term", "salary_total_jobs_count", "jobs_with_salary_count", F.round("avg_salary", 4).alias("avg_salary"))
 
 
+TITLES = ("Principal X", "Distinguished X", "Lead X", "Sr. X", "Senior X", "Mid X", "Staff X", "X III", "X II", "X 3", "Entry X", "Junior X", "X")
+RUNGS = ("Principal", "Principal", "Lead", "Senior", "Senior", "Mid Level", "Staff", "Mid Level", "Mid Level", "Mid Level", "Entry", "Entry", "Mid Level")
+
+
+@query("select o_orderkey, case o_orderkey % 13 " + " ".join(f"when {k} then '{level}'" for k, level in enumerate(RUNGS)) + " end as job_level from orders")
+def job_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Every rung of the ladder of titles."""
+    return A.read(spark, d, "orders").select("o_orderkey", L.job_level(_of(F.col("o_orderkey"), *TITLES)).alias("job_level"))
+
+
+@query("select o_orderkey, 'a' || " + "case o_orderkey % 16 " + " ".join(f"when {k} then {mark}" for k, mark in enumerate(["chr(39)"] * 4 + ["chr(34)"] * 4 + ["'-'"] * 7 + ["' '"])) + " end || 'b ' || lower(o_orderpriority) as normalized from orders")
+def folded_marks(spark: SparkSession, d: str) -> DataFrame:
+    """Each quote, dash and blank beyond ASCII in its plain form."""
+    marks = ("\u2018", "\u2019", "\u201a", "\u201b", "\u201c", "\u201d", "\u201e", "\u201f", "\u2010", "\u2011", "\u2012", "\u2013", "\u2014", "\u2015", "\u2212", "\xa0")
+    text = _text(" \tA", _of(F.col("o_orderkey"), *marks), "B\n ", F.upper("o_orderpriority"), "\u3000")
+    return A.read(spark, d, "orders").select("o_orderkey", C.normalized(text).alias("normalized"))
+
+
 # -- the cases of the text rules -----------------------------------------------------
 
 

@@ -339,6 +339,20 @@ def wow_trend(spark: SparkSession, d: str) -> DataFrame:
     return rounded(O.jobs_flow_week_trends(O.jobs_flow_week(A.jobs(spark, d))), "wow_percent_change", places=6)
 
 
+@query(f"""with {JOBS}, new as (select posted_date - cast(dayofweek(posted_date) as int) as week_beginning, search_term, search_location, count(distinct job_id) as jobs_count from jobs group by all) select * from new""")
+def flow_extract(spark: SparkSession, d: str) -> DataFrame:
+    """Typed again from the texts of an exported table."""
+    flow = O.jobs_flow_week(A.jobs(spark, d)).where("type = 'New Jobs'").groupBy("week_beginning", "search_term", "search_location").agg(F.sum("jobs_count").alias("jobs_count"))
+    return R.flow_extract(flow.select(F.col("week_beginning").cast("string").alias("week_beginning"), "search_term", "search_location", F.col("jobs_count").cast("string").alias("jobs_count")))
+
+
+@query(f"with {JOBS}, {TRENDS} select week_beginning, search_term, search_location, jobs_count, previous_week_jobs_count, round((jobs_count - previous_week_jobs_count) / nullif(previous_week_jobs_count, 0), 6) as wow_percent_change from trends")
+def trends_extract(spark: SparkSession, d: str) -> DataFrame:
+    trends = O.jobs_flow_week_trends(O.jobs_flow_week(A.jobs(spark, d)))
+    texts = trends.select(*(F.col(c).cast("string").alias(c) for c in ("week_beginning", "search_term", "search_location", "jobs_count", "previous_week_jobs_count", "wow_percent_change")))
+    return rounded(R.trends_extract(texts), "wow_percent_change", places=6)
+
+
 _SCORE = ("smoothed_monthly_growth_rate", "weighted_growth", "salary_coverage_pct", "avg_salary", "demand_score", "growth_score", "salary_score", "long_tail_score", "opportunity_score")
 
 
