@@ -16,7 +16,9 @@ adaptive execution where one hash is frequent.
 
 Edge cases: null, empty and short texts lose nothing; rows without doc_id have
 no order and neither lose words nor take any; rows with one doc_id never take
-words from each other; extra columns are ignored.
+words from each other, so repeated rows lose the same; very long texts are read whole, in
+memory in proportion to the longest; an empty table gives an empty result; columns other
+than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations

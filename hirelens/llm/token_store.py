@@ -74,7 +74,8 @@ class Encoder:
     """The tokenizer with a bounded memory of words already encoded.
 
     Lines of words with one blank between them are put together from `front` (no blank before) and
-    `inner` (one blank before). Texts with other white space go by _PIECES.
+    `inner` (one blank before). Texts with other white space go by _PIECES. Both know where a byte-level
+    pre-tokenizer divides; with a tokenizer that works in another way the library encodes every text as a whole.
     """
 
     LIMIT = 1_500_000
@@ -83,14 +84,21 @@ class Encoder:
         import os
 
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        before, model = self.tokenizer.pre_tokenizer, self.tokenizer.model
+        self.byte_level = (
+            self.tokenizer.normalizer is None and isinstance(before, ByteLevel) and before.use_regex and not before.add_prefix_space
+            and isinstance(model, BPE) and not (model.dropout or model.unk_token or model.continuing_subword_prefix or model.end_of_word_suffix)
+        )
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
-        self.line_feed = self._encode(["\n"])[0]
+        self.line_feed = self._encode(["\n"])[0] if self.byte_level else b""
         self.front: dict[str, bytes] = {"": b""}
         self.inner: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -105,7 +113,7 @@ class Encoder:
         return [self._one(text) for text in texts]
 
     def _one(self, text: str) -> bytes:
-        if any(s in text for s in self.special):  # what the library makes of them reaches over words
+        if not self.byte_level or any(s in text for s in self.special):  # what the library makes of those reaches over words
             return self._encode([text])[0]
         if "\n\n\n" in text or "\n\n " in text or text.endswith("\n\n"):  # line feeds that make one token
             return self._by_pieces(text)

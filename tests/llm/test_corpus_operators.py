@@ -356,6 +356,14 @@ def test_token_store(make, documents, pairs):
     assert token_store.store(make([]), PATH).count() == 0
 
 
+def test_another_tokenizer(make):
+    """One that lowers and drops white space: the library does it all."""
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    texts = [*ODD, "Some Words here, don't they?"]
+    assert not token_store.shared_encoder(path).byte_level and token_store.shared_encoder(PATH).byte_level
+    assert {r.doc_id: tuple(r[1:]) for r in token_store.store(make(texts), path).collect()} == brute.token_rows(list(enumerate(texts)), path)
+
+
 def test_long_texts(make):
     """Far longer than any of the tables, in the operators on words and tokens."""
     rng = random.Random(12)
