@@ -2,7 +2,8 @@
 
 `jobs` is the jobs report with state columns, `skills` the job-skill report,
 `flow` and `trends` the weekly flows. Rankings run on aggregated rows: a row for
-each company, skill or title. Every order that decides a limit is total.
+each company, skill or title. Every order that decides a limit is total. What a report
+reads several times, the few columns of its filtered rows, is written to the shared folder first.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import divide, filled, ladder, month_start, week_start
+from ..functions.shared import written
 from .filters import CHOICES, FilterSpec, apply_filters
 
 # The degrees in their order, the label for all options, the kinds of flow, the match methods.
@@ -128,7 +130,7 @@ def jobs_by_location(jobs: DataFrame, spec: FilterSpec) -> DataFrame:
 
 def company_concentration(jobs: DataFrame, spec: FilterSpec, top: int = 20) -> DataFrame:
     """Active jobs of the largest companies, the rest as Others, with their share; jobs without company have a slice."""
-    active = apply_filters(jobs.where("listing_status = 'Active'"), spec, only=_NO_STATUS)
+    active = written(apply_filters(jobs.where("listing_status = 'Active'"), spec, only=_NO_STATUS).select("job_id", "company_name"), "companies")
     company = filled("company_name")
     key = F.coalesce(F.concat(F.lit("company:"), company), F.lit("synthetic:missing-company"))
     shown = ladder([(company.isNull(), NO_COMPANY), (company == "Others", "Others (Company)")], company)
@@ -237,14 +239,14 @@ def skill_demand_salary(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, ra
         jobs_of().alias("distinct_job_count"), F.avg("avg_annual_pay_range").alias("avg_annual_pay_range"), jobs_of(F.col("avg_annual_pay_range").isNotNull()).alias("salary_job_count"),
     ).where(f"avg_annual_pay_range is not null and salary_job_count >= {least}")
     order = [F.desc("distinct_job_count"), F.desc_nulls_last("avg_annual_pay_range"), F.col("skill")]
-    paid = sums.withColumn("salary_coverage_pct", divide("salary_job_count", "distinct_job_count"))
+    paid = written(sums.withColumn("salary_coverage_pct", divide("salary_job_count", "distinct_job_count")), "skills")  # a row for each skill
     either = paid.orderBy(order[0], order[2]).limit(rank).union(paid.orderBy(order[1], order[2]).limit(rank)).distinct()  # 2 * rank rows
     return either.orderBy(*order).limit(limit)
 
 
 def skill_trend(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, k: int = 10) -> DataFrame:
     """Jobs by month for the most frequent skills."""
-    rows = chosen_skills(skills, jobs, spec)
+    rows = written(chosen_skills(skills, jobs, spec).select("job_id", "skill", "posted_date"), "job-skills")
     few = F.broadcast(top_skills(rows, k).select("skill"))  # k rows
     sums = rows.join(few, "skill").groupBy(month_start("posted_date").alias("day"), "skill").agg(jobs_of().alias("distinct_job_count"))
     return sums.orderBy("day", "skill").select(F.date_format("day", "MMM yyyy").alias("month"), "skill", "distinct_job_count")
@@ -252,10 +254,10 @@ def skill_trend(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, k: int = 1
 
 def skill_penetration(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, titles: int = 20, k: int = 10) -> DataFrame:
     """The share of jobs of each frequent title that ask for each frequent skill; absent pairs are 0."""
-    named = apply_filters(jobs.where(filled("job_title").isNotNull()), spec.but(location_like=True)).select("job_id", "job_title").distinct()
+    named = written(apply_filters(jobs.where(filled("job_title").isNotNull()), spec.but(location_like=True)).select("job_id", "job_title").distinct(), "titles")
     top = named.groupBy("job_title").agg(jobs_of().alias("title_job_count")).orderBy(F.desc("title_job_count"), "job_title").limit(titles)
     asked = skills.where(filled("skill").isNotNull()).select("job_id", F.trim("skill").alias("skill"))
-    cohort = named.join(F.broadcast(top.select("job_title")), "job_title").join(asked, "job_id").distinct()  # top: titles rows
+    cohort = written(named.join(F.broadcast(top.select("job_title")), "job_title").join(asked, "job_id").distinct(), "cohort")  # top: titles rows
     few = top_skills(cohort, k, "skill_job_count")
     pairs = cohort.join(F.broadcast(few.select("skill")), "skill").groupBy("job_title", "skill").agg(jobs_of().alias("pair"))
     count = F.coalesce("pair", F.lit(0))

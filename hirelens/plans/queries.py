@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.shared import new_folder
+from ..functions.shared import new_folder, written
 from ..operators import experience, work_setting
 from ..operators import listings as L
 from ..operators import opportunity as O
@@ -141,7 +141,7 @@ def left_join_using(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES} select m as month_start_date, search_term, search_location, active_jobs_count from active")
 def interval_overlap_active(spark: SparkSession, d: str) -> DataFrame:
-    jobs = A.jobs(spark, d)
+    jobs = written(A.jobs(spark, d).select("job_id", *O.SEGMENT, "created_at_mst", "posted_date", "removed_date"), "jobs")
     return O.demand(jobs, O.month_spine(jobs, F.lit(A.AS_OF))).select(*O.GRAIN, "active_jobs_count")
 
 
