@@ -35,12 +35,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def append(df: DataFrame, table: str) -> None:
-    """Appends to a table that must exist."""
+def append(df: DataFrame, table: str, batch_rows: int | None = None) -> None:
+    """Appends to a table that must exist, all rows or none; batch_rows bounds the rows of a file, as a loader in batches does."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         raise ValueError(f"table {table} does not exist")
-    df.select(*spark.table(table).columns).write.mode("append").insertInto(table)
+    rows = df.select(*spark.table(table).columns).write.mode("append")
+    (rows.option("maxRecordsPerFile", batch_rows) if batch_rows else rows).insertInto(table)
 
 
 def materialize(df: DataFrame, name: str, layer: str) -> DataFrame:

@@ -7,6 +7,7 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from hirelens.sources import records, sinks
 from hirelens.streaming import ingest as I
@@ -138,6 +139,19 @@ def test_moves(spark, tmp_path):
         move(f"file://{tmp_path}/a.jsonl", "archive", None)
 
 
+def test_append_in_batches(spark):
+    spark.sql("create table batches (a int, b string) using parquet")
+    try:
+        rows = spark.range(1200).selectExpr("'x' as b", "cast(id as int) as a").coalesce(1)
+        sinks.append(rows, "batches", batch_rows=500)
+        files = spark.table("batches").groupBy(F.col("_metadata.file_name")).count().collect()
+        assert sorted(r["count"] for r in files) == [200, 500, 500]
+        with pytest.raises(ValueError, match="missing"):
+            sinks.append(rows, "missing", batch_rows=500)
+    finally:
+        spark.sql("drop table batches")
+
+
 def test_json_lines_by_search(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (1, "c")], "query_id int, x string")
     made = sinks.write_json_lines(rows, f"file://{tmp_path}", "api", "20260101T000000", prefix="raw/")
@@ -168,7 +182,6 @@ def test_ledger(spark):
 
 def test_weekly_stream(spark, sf_dir, tmp_path):
     import duckdb
-    from pyspark.sql import functions as F
 
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     (tmp_path / "in").mkdir()
