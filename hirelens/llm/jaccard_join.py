@@ -8,8 +8,8 @@ SHARE-th of the size, 1 at least; and the smaller has at least 3/4 of the larger
 1. Equal sets become one class.
 2. Classes with identical prefixes and size become one group, for which the first of them stands. Prefix
    shingles of one group only are out, and so are groups that share fewer than k of them with all others together.
-3. Pairs of groups are formed and filtered: each group is paired with the one of about its size that leads most of
-   its shingles, if it shares enough of them with it.
+3. Pairs of groups are formed and filtered by size: each group is paired with the one in its band of sizes that
+   leads most of its shingles.
 4. Pairs that are left are expanded to members and verified on whole sets: the first members of two groups,
    and each other member of a group with the first. Links make components.
 5. What then stands apart is paired again, as the members of a group in one component: those of a group, or of
