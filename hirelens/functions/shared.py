@@ -6,7 +6,7 @@ import atexit
 import re
 import threading
 import uuid
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +54,16 @@ def discard(found: set[str]) -> None:
         delete(_live.pop(folder)[0], folder)
 
 
+@contextmanager
+def temporary():
+    """Folders made inside, by this thread, are deleted at the end: for programs that live long. Results must have been written or collected by then."""
+    before = folders()
+    try:
+        yield
+    finally:
+        discard(folders() - before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table, for what several branches of a plan read: it is computed once, and lost executors cost no more than a task."""
     spark = df.sparkSession

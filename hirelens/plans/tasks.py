@@ -7,6 +7,7 @@ from datetime import UTC, date, datetime
 
 from pyspark.sql import SparkSession
 
+from ..functions.shared import temporary
 from ..operators import enrich, listings
 from ..sources import records
 from .models import MODELS, Context
@@ -29,9 +30,14 @@ def context(spark: SparkSession) -> Context:
 
 
 def build_models() -> int:
+    """Writes every table once, in the order of their references; later tables read what was written."""
     ctx = context(session())
     for name in MODELS:
-        ctx.ref(name).write.mode("overwrite").parquet(f"{os.environ['OUT_DIR']}/{name}")
+        path = f"{os.environ['OUT_DIR']}/{name}"
+        with temporary():
+            ctx.ref(name).write.mode("overwrite").parquet(path)
+        ctx.built[name].unpersist()
+        ctx.built[name] = ctx.spark.read.parquet(path)
     return 0
 
 

@@ -57,3 +57,14 @@ def test_a_cluster_needs_a_shared_folder():
     for master in ("yarn", "spark://h:1", "local-cluster[3,2,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared_dir(Session(master))
+
+
+def test_temporary_folders_are_deleted(spark):
+    from hirelens.functions import shared
+
+    before = shared.folders()
+    with shared.temporary():
+        rows = shared.written(spark.range(3), "numbers")
+        path = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert rows.count() == 3 and Path(path).is_dir() and len(shared.folders()) == len(before) + 1
+    assert not Path(path).exists() and shared.folders() == before

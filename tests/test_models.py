@@ -135,3 +135,26 @@ def test_append_needs_a_table(spark):
     sinks.append(rows, "present_table")
     assert spark.table("present_table").count() == 2
     spark.sql("drop table present_table")
+
+
+def test_every_model_is_written_once(spark, ctx, tmp_path, monkeypatch):
+    """The task writes each table and reads it back for those that follow; rows are those of one plan."""
+    from hirelens.plans import tasks
+    from hirelens.plans.models import MODELS
+
+    lines = [record(JOB), record(JOB, "2026-09-10T12:00:00Z"), record(JOB | {"job_id": "b", "title": "Pilot II"}, "2026-10-09T01:00:00Z", 2)]
+    (tmp_path / "api").mkdir()
+    (tmp_path / "api" / "x.jsonl").write_text("\n".join([*lines, "{broken"]))
+    ctx.raw["linkedin_jobs"].write.parquet(f"{tmp_path}/linkedin")
+    spark.createDataFrame([("a", "Serpapi", "python, sql", datetime(2026, 9, 2))], records.ENRICHED).write.parquet(f"{tmp_path}/enriched")
+    names = [c.split()[0] for c in records.SEED.split(", ")]
+    (tmp_path / "query_versions.csv").write_text(",".join(names) + "\n1,data+engineer,united states,en,us,200,google.com,1\n")
+    for name, value in (("RAW_DIR", str(tmp_path)), ("OUT_DIR", f"{tmp_path}/out"), ("AS_OF", "2026-10-10")):
+        monkeypatch.setenv(name, value)
+    assert tasks.build_models() == 0
+    whole = tasks.context(spark)
+    for name in MODELS:
+        made, want = spark.read.parquet(f"{tmp_path}/out/{name}"), whole.ref(name)
+        assert made.columns == want.columns and made.count() == want.count(), name
+    detail = spark.read.parquet(f"{tmp_path}/out/jobs_detail")
+    assert {r.work_setting for r in detail.where("platform_job_id = 'a'").collect()} == {"Remote"}
