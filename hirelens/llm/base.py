@@ -67,12 +67,8 @@ class Scratch:
         self.drop(*(t for t in self.tables if t not in names))
 
 
-@contextmanager
-def discarded():
-    """Tables of operators called inside are deleted at the end: their results must have been written by then."""
-    before = shared.folders()
-    yield
-    shared.discard(shared.folders() - before)
+#: Around a stage whose result has been written at the end: the tables of the operators called inside are deleted.
+discarded = shared.temporary
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -316,7 +316,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, segm
             parts, owners, counts, total = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, _KINDS, strict=True)], names=_NAMES)
 
-        done = 0
+        done = after = 0
+        shard_file = None
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
@@ -325,10 +326,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, segm
                 done += part.num_rows
                 own_ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
                 for owner, ids, file, place in zip(part.column("doc_id").to_pylist(), own_ids, files, places, strict=True):
-                    if as_stored and (named := _shard(file)) != shard:
-                        if owners:
+                    if as_stored:  # a task may have several parts of a file, between which others have theirs
+                        if owners and (file != shard_file or place != after):
                             yield close()
-                        shard = named
+                        if file != shard_file:
+                            shard_file, shard = file, _shard(file)
+                        after = place + 1
                     if not owners:
                         first = place
                     parts += [ids, end]

@@ -55,6 +55,25 @@ def test_tokens_in_the_order_of_the_files(spark, tmp_path):
     assert [r.start for r in got] == [0, *ends[:-1]]
 
 
+def test_tokens_in_the_order_of_files_in_parts(spark, tmp_path):
+    """Row groups of two files, dealt over tasks by their size and not by their place."""
+    path = f"file://{tmp_path}/docs"
+    df = spark.range(6000).selectExpr("(id * 7919) % 6007 as doc_id", "repeat(concat('word', id, ' '), cast(id % 37 as int)) as text", "id as k")
+    df.repartitionByRange(2, "k").sortWithinPartitions("k").drop("k").write.option("parquet.block.size", 4096).option("parquet.page.size", 512).option("parquet.page.row.count.limit", 100).parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "2k")
+    try:
+        docs = spark.read.parquet(path)
+        assert docs.rdd.getNumPartitions() > 4
+        got = corpus_pipeline.tokens(spark, docs, "").orderBy("start").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert [r.doc_id for r in got] == [k * 7919 % 6007 for k in range(6000)]
+    assert [r.start for r in got[1:]] == [r.start + r.n_tokens for r in got[:-1]]
+
+
 def test_stages_keep_the_columns(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
