@@ -80,7 +80,7 @@ class Encoder:
     pre-tokenizer divides; with a tokenizer that works in another way the library encodes every text as a whole.
     """
 
-    LIMIT = 1_500_000
+    LIMIT = 600_000
 
     def __init__(self, path: str):
         import os
