@@ -164,7 +164,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 class Codes(dict):
     """64-bit codes of words, kept between documents and emptied when there are many."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

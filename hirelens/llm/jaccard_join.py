@@ -49,7 +49,7 @@ WORDS = 5
 NUM, PER = 75, 100
 SAMPLE, SAMPLE_DF, ORDER_LIMIT = 16, 3, 400_000
 #: Shingles of sets of one component that are compared with others at once, and how many others at most.
-BLOCK, ASK = 200_000, 256
+BLOCK, ASK = 40_000, 256
 #: A prefix is longer by a SHARE-th of the set, and so many of its shingles must be shared.
 SHARE = 10
 
