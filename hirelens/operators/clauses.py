@@ -215,8 +215,9 @@ class Clause:
     def text(self) -> str:
         return self._rendered[0]
 
-    @property
+    @cached_property
     def conflicts(self) -> list[int]:
+        """Where the numbers start that are given twice, unlike themselves."""
         return [at for t, at in zip(self.tokens, self._rendered[1], strict=True) if t.conflict]
 
     def has(self, kind: str) -> bool:
@@ -273,35 +274,52 @@ class Clause:
         return found
 
 
+@dataclass
+class _Seen:
+    """What a run of tokens has named so far."""
+
+    number: bool = False
+    time: bool = False  # a unit after a number
+    experience: bool = False  # the word, after a number
+    degree: bool = False
+
+    def add(self, t: Token) -> None:
+        self.number |= t.kind == "number"
+        self.time |= self.number and t.among(("year", "years", "month", "months"))
+        self.experience |= self.number and t.text == "experience"
+        self.degree |= t.among(DEGREE_NAMES)
+
+
 class Reader:
-    """Cuts tokens into pieces. What has been taken into the open piece decides where it ends."""
+    """Cuts tokens into pieces. What has been taken into the open piece, and its last sentence, decides where it ends."""
 
     def __init__(self, found: list[Token]):
         self.at = _Cursor(found)
         self.open: list[Token] = []
         self.pieces: list[list[Token]] = []
+        self.piece, self.sentence = _Seen(), _Seen()
 
     def close(self) -> None:
-        while self.open and self.open[0].text in ("-", "*"):
-            del self.open[0]
-        if self.open:
-            self.pieces.append(self.open)
+        begin = next((k for k, t in enumerate(self.open) if t.text not in ("-", "*")), len(self.open))
+        if begin < len(self.open):
+            self.pieces.append(self.open[begin:])
         self.open = []
+        self.piece, self.sentence = _Seen(), _Seen()
 
     def take(self, k: int, n: int = 1) -> int:
-        self.open += self.at.tokens[k : k + n]
+        for t in self.at.tokens[k : k + n]:
+            self.open.append(t)
+            self.piece.add(t)
+            if t.text == ".":
+                self.sentence = _Seen()
+            else:
+                self.sentence.add(t)
         return k + n
 
     def drop_separator(self) -> None:
         if self.open and self.open[-1].text in (",", "and", "but"):
             del self.open[-1]
 
-    @property
-    def complete(self) -> bool:
-        """An amount, and experience after it."""
-        first = next((k for k, t in enumerate(self.open) if t.kind == "number"), None)
-        return first is not None and any(t.text == "experience" for t in self.open[first:])
-
     def read(self) -> list[list[Token]]:
         k = 0
         while k < len(self.at.tokens):
@@ -324,7 +342,7 @@ class Reader:
         if t.text in (",", "and", "but") and "preference" in at[k + 1].labels:
             self.close()
             return k + 1
-        if t.text == "," and self.complete and self.degree_ahead(k + 1):
+        if t.text == "," and self.piece.experience and self.degree_ahead(k + 1):
             self.close()
             return k + 1
         if t.kind == "number" and not t.space and at[k - 1].kind == "word" and at.amount(k, ("year", "years", "month", "months"), ("-", "to", "+")):
@@ -335,7 +353,7 @@ class Reader:
             return k + 1
         after = k + max(t.labels.get("wish", 0), 1)
         ends = (
-            ("wish" in t.labels and at.amount(after, ("year", "years", "month", "months"), ("-", "")) and self.only_a_degree())
+            ("wish" in t.labels and at.amount(after, ("year", "years", "month", "months"), ("-", "")) and self.sentence.degree and not self.sentence.time)
             or (t.text in ("required", "preferred") and self.credential_ahead(k + 1))
             or (t.text == ")" and at.amount(k + 1, ("year", "years", "month", "months")) and self.aside())
         )
@@ -373,16 +391,6 @@ class Reader:
         k += self.at[k].among(CREDENTIAL_KINDS)
         return self.at[k].space and self.at[k].among((*CREDENTIALS, "degree", "bachelor", "master"))
 
-    def only_a_degree(self) -> bool:
-        """The open sentence names a degree and no duration yet."""
-        begin = max((k + 1 for k, t in enumerate(self.open) if t.text == "."), default=0)
-        timed = counted = degree = False
-        for t in self.open[begin:]:
-            counted |= t.kind == "number"
-            timed |= counted and t.among(("year", "years", "month", "months"))
-            degree |= t.among(DEGREE_NAMES)
-        return degree and not timed
-
     def aside(self) -> bool:
         """The brackets that close here hold a preference."""
         begin = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k].text in "()"), None)

@@ -71,3 +71,9 @@ def test_only_speaking_texts_reach_python(spark):
             assert experience.parse(inputs(c)) == {"years": None, "status": "unspecified", "evidence": []}
     got = {r.id: r for r in experience.with_years(rows).select("id", "required_years_experience", F.try_variant_get("required_years_experience_metadata", "$.status", "string").alias("s")).collect()}
     assert got["silent"].s == "unspecified" and got["hidden"].required_years_experience == 3
+
+
+@pytest.mark.parametrize(("text", "years"), [("3 years of x, y and z, " * 10_000, None), ("5 years experience, a, b, " * 10_000, 5), ("word " * 100_000 + "2 years experience", 2), ("or 3 years, " * 3000, None)])
+def test_very_long_texts(text, years):
+    """One clause of many durations, commas or alternatives takes time in proportion to its length."""
+    assert experience.parse([{"source": "description", "heading": None, "text": text}])["years"] == years
