@@ -62,6 +62,8 @@ DUTY_CUES = (
     "patient", "injection", "immunization", "vaccine", "phlebotomy", "blood draw", "physical", "forensic", "nursing care", "helicopter", "aircraft", "airplane", "air transportation",
     "inspection", "forklift", "lathe", "machine", "equipment", "inmate", "detainee", "prisoner",
 )
+# A sentence is tried from its start only: the pattern begins with all signs of a sentence, so no later start finds more.
+LOGISTICS = r"(?:^|(?<=[.;]))" + P.OFFICE_LOGISTICS
 LOGISTICS_CUE = r"interview|application|recruit|training|orientation|onboarding|conference|meetup|event"
 
 #: Fields of one piece of evidence, in the order of the metadata.
@@ -142,7 +144,7 @@ def _stripped(i: Column) -> Column:
     """Without neutral phrases on remote work, and without logistics and denials of office work."""
     n, far = i["plain"], i["far"]
     substantive = matches(n, _any(P.OFFICE_SUBSTANTIVE, P.OFFICE_WEEK, P.OFFICE_DAYS_LEAD))
-    at_work = F.when(i["site"] & matches(n, LOGISTICS_CUE) & ~substantive, without(n, P.OFFICE_LOGISTICS)).otherwise(n)
+    at_work = F.when(i["site"] & matches(n, LOGISTICS_CUE) & ~substantive, without(n, LOGISTICS)).otherwise(n)
     return _with(i, _CUED, at_work=at_work, neutral=F.when(far, without(n, P.REMOTE_NEUTRAL)).otherwise(n), inexperienced=far & matches(n, REMOTE_EXPERIENCE))
 
 
