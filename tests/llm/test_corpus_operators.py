@@ -270,7 +270,7 @@ def test_line_dedup_edges(spark):
     rows = [(k, "http://a.org/x", page("Menu", f"text {k}", "Menu")) for k in range(4)] + [(9, None, page("Menu")), (10, "http://b.org", page("Menu")), (11, "http://a.org", None), (12, "", ""), (13, "http://A.org/y", page("Menu"))]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({"host": F.lit(1), "lines": F.lit(2), "salt": F.lit(3)})
     got = {r.page_id: (r.n_lines, r.n_dropped, r.kept) for r in line_dedup.dedup(df).collect()}
-    assert got[0] == (3, 2, "text 0") and got[9] == (1, 0, "Menu") and got[10] == (1, 0, "Menu") and got[11] == (0, 0, "") and got[12] == (0, 0, "") and got[13] == (1, 1, "")
+    assert got[0] == (3, 2, "text 0") and got[9] == (1, 0, "Menu") and got[10] == (1, 1, "") and got[11] == (0, 0, "") and got[12] == (0, 0, "") and got[13] == (1, 1, "")
     assert line_dedup.dedup(df.where("false")).count() == 0
 
 
@@ -281,7 +281,19 @@ def test_line_dedup_of_long_pages(spark):
     got = {r.page_id: r for r in line_dedup.dedup(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert len(got) == len(rows)
     assert got[9999].n_lines == 100_001 and got[9999].n_dropped == 1 and got[9999].kept.count("\n") == 99_999
-    assert all(got[k].kept == f"text {k}" for k in range(3000)) and got[9003].n_dropped == 0
+    assert all(got[k].kept == f"text {k}" for k in range(3000)) and got[9003].n_dropped == 2
+
+
+def test_line_dedup_goes_by_the_ratio_alone(spark):
+    """2 of 2 pages and 2 of 6 (33 %) are above 30 %; 3 of 10 is exactly the ratio, 1 of 4 below it."""
+    page = lambda *x: "".join(f"<p>{t}</p>" for t in x)
+    rows = [(host, k, page("Menu" if k < some else f"own {k}", f"text {k}")) for host, some, all_ in (("two", 2, 2), ("six", 2, 6), ("ten", 3, 10), ("four", 1, 4)) for k in range(all_)]
+    df = spark.createDataFrame([(k, f"http://{host}.org/{i}", html) for k, (host, i, html) in enumerate(rows)], "page_id bigint, url string, html string")
+    got, con = {r.page_id: r[1:] for r in line_dedup.dedup(df).collect()}, duckdb.connect()
+    con.register("pages", df.toArrow())
+    assert got == {r[0]: r[1:] for r in con.sql(line_dedup.ORACLE).fetchall()}
+    dropped = {h: [got[k][2] for k, (host, _, _) in enumerate(rows) if host == h] for h in ("two", "six", "ten", "four")}
+    assert dropped == {"two": [2, 2], "six": [1, 1, 0, 0, 0, 0], "ten": [0] * 10, "four": [0] * 4}
 
 
 def mixed(spark, rows):
