@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import shared
 
@@ -102,6 +103,21 @@ def doc_key(text: str = "text"):
     return F.xxhash64(F.col(text))
 
 
+def numbered(rows: DataFrame, key: str, order: Sequence[str], scratch: Scratch, name: str) -> DataFrame:
+    """rows with `place`, from 0 among the rows of their key in this order (nulls first), and `many`, how many these are.
+
+    All rows are sorted over all tasks, so a key with most of them is no one task's. A row knows its task and its
+    number there; the keys' shares of tasks are counted, and what stands in earlier tasks is added. Rows that tie must be alike.
+    """
+    at = scratch.write(rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order).withColumn("at", F.monotonically_increasing_id()), name)
+    at = at.withColumn("task", F.shiftright("at", 33))  # the function's documented layout: task, then 33 bits of row number
+    of_key = Window.partitionBy(key)  # a row for each task that has the key
+    shares = at.groupBy(key, "task").agg(F.min("at").alias("first"), F.count("*").alias("here"))
+    before = F.coalesce(F.sum("here").over(of_key.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("first")
+    shares = scratch.write(shares.select(key, "task", before.alias("shift"), F.sum("here").over(of_key).alias("many")), f"{name}_shares")
+    return at.join(shares, [key, "task"]).withColumn("place", F.col("at") + F.col("shift")).drop("at", "task", "shift")
+
+
 # -- rolling hashes -----------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard_join, knn_quality, line_dedup, mixing, pii, quality_rules, substring_cover, suffix_dedup, token_store
+from . import decontam, jaccard_join, knn_quality, line_dedup, merkle_manifest, mixing, pii, quality_rules, substring_cover, suffix_dedup, token_store
 from .base import table
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The vocabulary file is a parameter; it stays where it is installed.
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -108,6 +109,15 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in merkle_manifest.FIELDS}
+    changed = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0, F.lit(False))
+    lowered = F.when(changed, F.translate("text", UPPER, UPPER.lower())).otherwise(F.col("text"))
+    rows = merkle_manifest.manifest(docs, list(fields.values()), list((fields | {"text": lowered}).values()))
+    return merkle_manifest.verify(rows)
+
+
 WORDS = "coalesce(regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+'), cast([] as varchar[]))"
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -164,6 +174,51 @@ from d left join sums on d.doc_id = sums.doc_id left join kept on d.doc_id = kep
 """
 
 
+OP11_ORACLE = f"""
+with recursive crc as (
+  -- A byte is xored in, then eight shifts, each written as a -1.
+  select doc_id, xor(list_reduce(flatten([[4294967295::bigint], flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))]),
+    lambda a, x: case when x < 0 then xor(a >> 1, 3988292384 * (a & 1)) else xor(a, x) end), 4294967295::bigint) as crc
+  from (select distinct doc_id from documents)
+), fields as (
+  select *, case when crc % 3 = 0 then {LOWER} else text end as now from documents left join crc using (doc_id)
+), leaves as (
+  select doc_id, coalesce(':' || lang, '-') as tree,
+    sha256(coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+    sha256(coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || coalesce(strlen(now) || ':' || now, '-')) as claimed
+  from fields
+), placed as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as place, count(*) over (partition by tree) as many from leaves
+), nodes as (
+  select tree, 0 as level, place, leaf as h, many from placed
+  union all
+  select tree, level + 1, place // 8, sha256(string_agg(h, '' order by place)), (many + 7) // 8 from nodes where many > 1 group by tree, level, place // 8, many
+), tops as (
+  select tree, h, level, row_number() over (order by encode(tree)) - 1 as place, count(*) over () as many from nodes where many = 1
+), above as (
+  select 0 as level, place, h, many from tops
+  union all
+  select level + 1, place // 8, sha256(string_agg(h, '' order by place)), (many + 7) // 8 from above where many > 1 group by level, place // 8, many
+), every as (
+  select tree, level, place, h from nodes where many > 1
+  union all
+  select t.tree, t.level + a.level, a.place, a.h from tops t join above a on a.many > 1
+), runs as (
+  select tree, level, place // 8 as run, list(h order by place) as hs from every group by all
+), ways as (
+  select p.tree, p.place as leaf_place, p.claimed, 0 as level, '' as proof, p.place, t.place as top_place, t.level as height, p.claimed as h from placed p join tops t using (tree)
+  union all
+  select w.tree, leaf_place, claimed, w.level + 1, proof || array_to_string(hs[1 : spot] || hs[spot + 2 : 8], ''), w.place, top_place, height, sha256(array_to_string(hs[1 : spot], '') || h || array_to_string(hs[spot + 2 : 8], ''))
+  from (select *, node % 8 as spot from (select *, case when level < height then place >> (3 * level) else top_place >> (3 * (level - height)) end as node from ways)) w
+    join runs r on w.tree = r.tree and w.level = r.level and node // 8 = r.run
+), last as (
+  select tree, leaf_place, arg_max(proof, level) as proof, arg_max(h, level) as folded from ways group by all
+)
+select p.doc_id, p.leaf, t.h as subroot, (select h from above where many = 1) as root, sha256(proof) as proof_sha256, folded as folded_root, folded = (select h from above where many = 1) as verified
+from placed p join tops t using (tree) join last l on l.tree = p.tree and l.leaf_place = p.place
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_jaccard_join": op1_jaccard_join,
@@ -176,11 +231,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_personal_data": op8_personal_data,
         "op9_curriculum_mix": op9_curriculum_mix,
         "op10_suffix_repeats": op10_suffix_repeats,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_jaccard_join": OP1_ORACLE, "op3_substring_cover": OP3_ORACLE, "op4_decontaminate": OP4_ORACLE, "op7_line_dedup": line_dedup.ORACLE,
-        "op9_curriculum_mix": OP9_ORACLE, "op10_suffix_repeats": OP10_ORACLE,
+        "op9_curriculum_mix": OP9_ORACLE, "op10_suffix_repeats": OP10_ORACLE, "op11_merkle_manifest": OP11_ORACLE,
     }

@@ -156,3 +156,43 @@ def repeated_bytes(texts, size=200):
         spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
         out.append((len(b), int(gone.sum()), spans, sha(bytes(x for x, g in zip(b, gone, strict=False) if not g))))
     return out
+
+
+def merkle_row(row):
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def merkle(rows, tampers=lambda doc: zlib.crc32(str(doc).encode()) % 3 == 0):
+    """[(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)] for rows (doc_id, source, lang, n_chars, text)."""
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([sha("".join(out[-1][k : k + 8])) for k in range(0, len(out[-1]), 8)])
+        return out
+
+    def way(tree, at):
+        for nodes in tree[:-1]:
+            first = at // 8 * 8
+            yield nodes[first:at], nodes[at + 1 : first + 8]
+            at //= 8
+
+    by_lang = defaultdict(list)
+    for row in rows:
+        by_lang[row[2]].append((row[0] is not None, row[0] or 0, merkle_row(row), row))
+    names = sorted(by_lang, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {x: levels([leaf for *_, leaf, _ in sorted(by_lang[x])]) for x in names}
+    top = levels([trees[x][-1][0] for x in names])
+    out = []
+    for place, name in enumerate(names):
+        for at, (_, _, leaf, row) in enumerate(sorted(by_lang[name])):
+            path = [*way(trees[name], at), *way(top, place)]
+            now = row
+            if row[0] is not None and tampers(row[0]) and row[4] is not None:
+                now = (*row[:4], lower(row[4]))
+            h = merkle_row(now)
+            for left, right in path:
+                h = sha("".join([*left, h, *right]))
+            proof = sha("".join(x for left, right in path for x in left + right))
+            out.append((row[0], leaf, trees[name][-1][0], top[-1][0], proof, h, h == top[-1][0]))
+    return out
