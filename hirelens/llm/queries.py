@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard_join, knn_quality, line_dedup, merkle_manifest, mixing, pii, quality_rules, substring_cover, suffix_dedup, token_store
+from . import decontam, jaccard_join, knn_quality, line_dedup, merkle_manifest, mixing, pii, quality_rules, simhash_ring, substring_cover, suffix_dedup, token_store
 from .base import table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -118,6 +118,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verify(rows)
 
 
+def op12_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 WORDS = "coalesce(regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+'), cast([] as varchar[]))"
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -232,6 +236,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_curriculum_mix": op9_curriculum_mix,
         "op10_suffix_repeats": op10_suffix_repeats,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_simhash_ring": op12_simhash_ring,
     }
 
 

@@ -104,19 +104,18 @@ def chain(start: int) -> Column:
 
 
 def own_keys() -> Column:
-    return F.explode(F.array(*(F.struct(chain(k).alias("key"), F.lit(k).alias("start")) for k in range(SEGMENTS))))
+    return F.explode(F.array(*map(chain, range(SEGMENTS))))
 
 
 def asked_keys() -> Column:
     """Own keys, and those with one bit of the second segment turned."""
-    turns = F.array(*(F.lit(x).cast("bigint") for x in (0, *(1 << b for b in range(WIDTH)))))
-    each = F.flatten(F.array(*(F.transform(turns, lambda t, k=k: F.struct(chain(k).bitwiseXOR(t).alias("key"), F.lit(k).alias("start"))) for k in range(SEGMENTS))))
-    return F.explode(each)
+    turns = (0, *(1 << b for b in range(WIDTH)))
+    return F.explode(F.array(*(chain(k).bitwiseXOR(F.lit(t).cast("bigint")) for k in range(SEGMENTS) for t in turns)))
 
 
-def within(a: str, b: str, start: str) -> Column:
-    """Whether three segments from here keep their budget of two bits, and all four theirs of three."""
-    difference = f"({a} ^ {b})"
+def within(a: str, b: str) -> Column:
+    """Whether three segments from where the key starts keep their budget of two bits, and all four theirs of three."""
+    difference, start = f"({a} ^ {b})", f"cast(shiftright(key, {2 * WIDTH}) as int)"
     ring = f"(shiftleft({difference}, {WIDTH} * {start}) | if({start} = 0, 0L, shiftrightunsigned({difference}, 64 - {WIDTH} * {start})))"
     return F.expr(f"bit_count(shiftrightunsigned({ring}, {WIDTH})) <= 2 and bit_count({difference}) <= {BITS}")
 
@@ -144,10 +143,10 @@ def _compare(cells: DataFrame) -> DataFrame:
         for batch in batches:
             links = []
             cell = np.stack([batch.column(c).to_numpy() for c in ("key", "block", "copy")], axis=1)
-            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("print", "component", "top", "kind", "start")], axis=1)
+            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("print", "component", "top", "kind")], axis=1)
             ends = np.r_[np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1, len(cell)]
             for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True):
-                name, part = tuple(cell[a]), rows[a:b]
+                name, part = tuple(cell[a].tolist()), rows[a:b]
                 if name != held_at:
                     held_at, held = name, np.empty((0, 3), np.int64)
                 stand, ask = part[part[:, 3] == 0], part[part[:, 3] == 1]
@@ -155,7 +154,7 @@ def _compare(cells: DataFrame) -> DataFrame:
                 for p, o in ((ask[ask[:, 2] == 0], held), (ask[ask[:, 2] == 1], held[held[:, 2] == 0])):
                     if not len(p) or not len(o):
                         continue
-                    at, to = matches(p[:, 0].view(np.uint64) if p[:, 0].flags.c_contiguous else np.ascontiguousarray(p[:, 0]).view(np.uint64), np.ascontiguousarray(o[:, 0]).view(np.uint64), int(p[0, 4]))
+                    at, to = matches(p[:, 0].astype(np.uint64), o[:, 0].astype(np.uint64), name[0] >> 2 * WIDTH)
                     other = p[at, 1] != o[to, 1]
                     at, to = at[other], to[other]
                     _, first = np.unique(np.stack([at, o[to, 1]], axis=1), axis=0, return_index=True)  # one link for each component
@@ -163,11 +162,11 @@ def _compare(cells: DataFrame) -> DataFrame:
             every = np.concatenate([np.empty((0, 2), np.int64), *links])
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(every[:, k])) for k in (0, 1)], names=["a", "b"])
 
-    return cells.select("key", "block", "copy", "print", "component", "top", "kind", "start").mapInArrow(run, "a bigint, b bigint")
+    return cells.select("key", "block", "copy", "print", "component", "top", "kind").mapInArrow(run, "a bigint, b bigint")
 
 
 def _hot_links(own: DataFrame, asked: DataFrame, parts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links under hot keys between components. own and asked are (key, start, print), parts (id, component)."""
+    """Links under hot keys between components. own and asked are (key, print), parts (id, component)."""
     rows = own.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1))).join(parts.withColumnRenamed("id", "print"), "print", "left")
     rows = scratch.write(rows.withColumn("component", F.coalesce("component", "print")), "hot_rows")
     sizes = rows.groupBy("key", "component").agg(F.count_if(F.col("kind") == 0).alias("stand"), F.count_if(F.col("kind") == 1).alias("ask"))
@@ -177,7 +176,7 @@ def _hot_links(own: DataFrame, asked: DataFrame, parts: DataFrame, scratch: Scra
     rows = rows.join(mixed, "key").withColumn("top", (F.col("component") == F.col("largest")).cast("int"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     hashed = lambda n, seed: F.pmod(F.xxhash64("print", F.lit(seed)), F.col(n)).cast("int")
-    keep = ("key", "start", "print", "component", "top", "kind")
+    keep = ("key", "print", "component", "top", "kind")
     inside = rows.where("kind = 0").select(*keep, hashed("blocks", 0).alias("block"), every("copies").alias("copy"))
     outside = rows.where("kind = 1").select(*keep, every("blocks").alias("block"), hashed("copies", 1).alias("copy"))
     cell = ("key", "block", "copy")
@@ -186,23 +185,23 @@ def _hot_links(own: DataFrame, asked: DataFrame, parts: DataFrame, scratch: Scra
 
 def links(prints: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component) of distinct prints that have a link. prints is (print)."""
-    own = scratch.write(prints.select("print", own_keys().alias("k")).select("print", "k.*"), "own")
+    own = scratch.write(prints.select("print", own_keys().alias("key")), "own")
     sizes = own.groupBy("key").agg(F.count("*").alias("many"), F.min("print").alias("leader"))
     hot = scratch.write(sizes.where(F.col("many") > HOT).select("key", "leader"), "hot")
-    asked = prints.select("print", asked_keys().alias("k")).select("print", "k.*")
+    asked = prints.select("print", asked_keys().alias("key"))
     # Of a pair the smaller print asks; under a hot key nobody stands here.
     cold = own.join(hot, "key", "left_anti").withColumnRenamed("print", "b")
-    near = asked.withColumnRenamed("print", "a").join(cold, ["key", "start"]).where((F.col("a") < F.col("b")) & within("a", "b", "start")).select("a", "b")
+    near = asked.withColumnRenamed("print", "a").join(cold, "key").where((F.col("a") < F.col("b")) & within("a", "b")).select("a", "b")
     edges = scratch.write(near, "near")
     hot_own = own.join(hot, "key")
-    led = hot_own.where((F.col("print") != F.col("leader")) & within("print", "leader", "start")).select(F.col("leader").alias("a"), F.col("print").alias("b"))
+    led = hot_own.where((F.col("print") != F.col("leader")) & within("print", "leader")).select(F.col("leader").alias("a"), F.col("print").alias("b"))
     edges = edges.unionByName(scratch.write(led, "led"))
     parts = components(edges, scratch, "parts0_")
     if hot.isEmpty():
         return parts
-    # A pair is under the own key of either side; where one of the two is hot and the other is not, it may have been left out above.
+    # Each pair meets under the own key of its larger print: above if that is cold, below if it is hot.
     hot_asked = asked.join(hot.select("key"), "key", "left_semi")
-    rest = scratch.write(_hot_links(hot_own.select("key", "start", "print"), hot_asked.select("key", "start", "print"), parts, scratch), "rest")
+    rest = scratch.write(_hot_links(hot_own.select("key", "print"), hot_asked.select("key", "print"), parts, scratch), "rest")
     return components(edges.unionByName(rest), scratch, "parts_")
 
 

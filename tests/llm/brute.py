@@ -196,3 +196,43 @@ def merkle(rows, tampers=lambda doc: zlib.crc32(str(doc).encode()) % 3 == 0):
             proof = sha("".join(x for left, right in path for x in left + right))
             out.append((row[0], leaf, trees[name][-1][0], top[-1][0], proof, h, h == top[-1][0]))
     return out
+
+
+def simhash(text):
+    import xxhash
+
+    w, counts = words(lower(text)), [0] * 64
+    n = min(3, len(w))
+    grams = [" ".join(w[k : k + n]) for k in range(len(w) - n + 1)] if n else []
+    for g in grams:
+        h = xxhash.xxh64_intdigest(g.encode(), seed=42)
+        for k in range(64):
+            counts[k] += h >> k & 1
+    return sum(1 << k for k in range(64) if 2 * counts[k] > len(grams))
+
+
+def near_prints(prints, bits=3):
+    """Component ids, by pairs, for (doc_id, fingerprint) rows: the smallest doc_id, without null, that links reach."""
+    distinct = sorted({p for _, p in prints})
+    values, parent = np.array(distinct, np.uint64), list(range(len(distinct)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(distinct)):
+        for b in np.flatnonzero(np.bitwise_count(values[a + 1 :] ^ values[a]) <= bits).tolist():
+            x, y = root(a), root(a + 1 + b)
+            parent[max(x, y)] = min(x, y)
+    at, low = {p: root(k) for k, p in enumerate(distinct)}, {}
+    for i, p in prints:
+        if i is not None:
+            low[at[p]] = min(low.get(at[p], i), i)
+    return [low.get(at[p]) for _, p in prints]
+
+
+def simhash_rows(docs):
+    """[(doc_id, fingerprint, component_id)] in order."""
+    prints = [(i, simhash(t)) for i, t in docs]
+    return [(i, f"{p:016x}", c) for (i, p), c in zip(prints, near_prints(prints), strict=True)]
