@@ -9,9 +9,9 @@ the same, those whose initials (D, I, K, R) come first are taken.
 1. Rows are numbered over all tasks by conversation and turn (`numbered`) and cut into pieces of PIECE rows. A
    piece is a signature: one sign a row for its role and its fault. Texts play no part in it.
 2. Each distinct signature is solved once, by a memoised recursion, for every state in which a piece may begin
-   and end: its cost and its edits. Whole conversations of PIECE rows or fewer are one piece.
-3. Solutions are joined back; pieces of a conversation are put together, state by state, from left to right. As no
-   edits of a piece are the beginning of others that cost the same, the first edits of all are those of the pieces.
+   and end: its cost and its edits. Conversations of PIECE rows or fewer are one piece.
+3. Solutions are joined back; pieces of a conversation are put together, state by state, from left to right. As
+   edits of a piece end in a row, none are the beginning of others, and the first of all are those of the pieces.
 4. Edits are replayed on the rows of each piece, in place: no row moves and no texts are gathered.
 
 A conversation of any length is numbered, solved and replayed in pieces; only its edits, a sign a
@@ -20,7 +20,7 @@ pass through one task in order, one batch at a time.
 
 Edge cases: a null conv_id is a conversation of its own; null turns come first and are none of the numbers that gaps
 count; a null role or text is one space, so such a text is blank and such a role is neither user nor assistant. Rows of one turn
-stand by role and text. An empty table gives an empty result; a conversation without rows has nothing to repair. Very
+stand by role and a hash of the text. An empty table gives an empty result; a conversation without rows has nothing to repair. Very
 long texts are read whole. Columns other than conv_id, turn, role and text are not read, whatever their names.
 """
 
@@ -44,7 +44,8 @@ KEEP, REROLE, DELETE, TRUNCATED, INSERT = 0, 1, 2, 5, 5
 #: States: nothing yet, after system, after user, after assistant. NEXT: the role due there, and the state after it.
 STATES = "0sua"
 NEXT = {"0": "u", "s": "u", "u": "a", "a": "u"}
-ENDS = "0a"
+#: What ends a conversation in each state: cost and edits.
+CLOSING = {"0": (0, ""), "a": (0, ""), "u": (INSERT, "I"), "s": (2 * INSERT, "II")}
 ROLES = {"u": "user", "a": "assistant"}
 
 #: Signs of a signature: the role's initial (o: any other), in capitals if the row is truncated; a row that must go has
@@ -55,10 +56,15 @@ LEGAL = {"su", "ua", "au"}
 
 
 def solve(signature: str) -> dict[str, dict[str, tuple[int, str]]]:
-    """For each state before the rows, and each state after them that can be reached: the least cost and the first edits of that cost."""
+    """For each state before the rows, and each state after them that can be reached: the least cost and the first edits of that cost.
+
+    Inserts stand before a row; those after the last row of all are CLOSING.
+    """
 
     @cache
     def best(at: int, state: str, inserted: int) -> dict[str, tuple[int, str]]:
+        if at == len(signature):
+            return {state: (0, "")}
         found: dict[str, tuple[int, str]] = {}
 
         def offer(cost: int, edit: str, rest: dict[str, tuple[int, str]]) -> None:
@@ -66,16 +72,13 @@ def solve(signature: str) -> dict[str, dict[str, tuple[int, str]]]:
                 if end not in found or (cost + more, edit + edits) < found[end]:
                     found[end] = cost + more, edit + edits
 
-        if at == len(signature):
-            found[state] = 0, ""
-        else:
-            sign = signature[at]
-            offer(DELETE, "D", best(at + 1, state, 0))
-            if sign.isalpha():
-                stays = TRUNCATED * sign.isupper()
-                if sign.lower() == NEXT[state] or state == "0" and sign.lower() == "s":
-                    offer(KEEP + stays, "K", best(at + 1, sign.lower(), 0))
-                offer(REROLE + stays, "R", best(at + 1, NEXT[state], 0))
+        sign = signature[at]
+        offer(DELETE, "D", best(at + 1, state, 0))
+        if sign.isalpha():
+            stays = TRUNCATED * sign.isupper()
+            if sign.lower() == NEXT[state] or state == "0" and sign.lower() == "s":
+                offer(KEEP + stays, "K", best(at + 1, sign.lower(), 0))
+            offer(REROLE + stays, "R", best(at + 1, NEXT[state], 0))
         if inserted < 2:  # two more turns would lead back to the same state
             offer(INSERT, "I", best(at, NEXT[state], inserted + 1))
         return found
@@ -83,29 +86,48 @@ def solve(signature: str) -> dict[str, dict[str, tuple[int, str]]]:
     return {state: best(0, state, 0) for state in STATES}
 
 
+def joined(ways: list[list[dict]]) -> tuple[int, str, list[tuple[str, str]]]:
+    """Cost, edits, and (state before, edits) of each piece, of the best way through pieces of these ways."""
+    now: dict[str, tuple[int, int, tuple | None]] = {"0": (0, 0, None)}  # of each state: cost, rank among the edits so far, and the way back
+    for piece in ways:
+        after: dict[str, tuple[int, int, str, str]] = {}
+        for w in piece:
+            if w["start"] in now:
+                cost, rank, _ = now[w["start"]]
+                new = cost + w["cost"], rank, w["edits"], w["start"]
+                after[w["end"]] = min(new, after.get(w["end"], new))
+        # Edits that end in a row are no beginnings of each other, so those of earlier pieces decide first.
+        ranks = {end: k for k, end in enumerate(sorted(after, key=lambda s: after[s][1:3]))}
+        now = {end: (cost, ranks[end], (now[start][2], start, edits)) for end, (cost, _, edits, start) in after.items()}
+    ends = []
+    for state, (cost, _, back) in now.items():
+        more, last = CLOSING[state]
+        steps = []
+        while back is not None:
+            steps.append((back[1], back[2]))
+            back = back[0]
+        steps.reverse()
+        if last:
+            steps[-1] = steps[-1][0], steps[-1][1] + last
+        ends.append((cost + more, "".join(x for _, x in steps), steps))
+    return min(ends)
+
+
 def replay(signature: str, state: str, edits: str) -> list[str]:
-    """What each row becomes, as signs: U and A are inserted turns, u and a rerole the row, = keeps it, - deletes it. Inserts after the last row are its own."""
-    out, now, at = [], "", 0
+    """What each row becomes, as signs: U and A are inserted turns before it, u and a rerole it, = keeps it, - deletes it. Inserts after the last row stand with it."""
+    out, now = [], ""
     for edit in edits:
         if edit == "I":
             state = NEXT[state]
             now += state.upper()
             continue
-        if at:
-            # Inserts stand before the row whose edit follows them.
-            pass
-        if edit == "D":
-            now += "-"
-        elif edit == "R":
+        if edit == "R":
             state = NEXT[state]
-            now += state
-        else:
-            state = _INITIAL[signature[at]]
-            now += "="
-        out.append(now)
-        now, at = "", at + 1
-    if now:
-        out[-1] += now
+        elif edit == "K":
+            state = _INITIAL[signature[len(out)]]
+        out.append(now + {"D": "-", "R": state, "K": "="}[edit])
+        now = ""
+    out[-1] += now
     return out
 
 
@@ -176,20 +198,8 @@ def plans(pieces: DataFrame) -> DataFrame:
 
     def one(found: list[dict]) -> tuple[int, int, str, list[dict]]:
         illegal = sum(x["inside"] for x in found) + sum(_INITIAL[a["signature"][-1]] + _INITIAL[b["signature"][0]] not in LEGAL for a, b in zip(found, found[1:], strict=False))
-        # Of each state: the cost so far, the edits of each piece, and the states between them.
-        now: dict[str, tuple[int, list[str], list[str]]] = {"0": (0, [], [])}
-        for x in found:
-            after: dict[str, tuple[int, list[str], list[str]]] = {}
-            for w in x["ways"]:
-                if w["start"] in now:
-                    cost, edits, states = now[w["start"]]
-                    new = cost + w["cost"], [*edits, w["edits"]], [*states, w["start"]]
-                    old = after.get(w["end"])
-                    if old is None or new[0] < old[0] or new[0] == old[0] and "".join(new[1]) < "".join(old[1]):
-                        after[w["end"]] = new
-            now = after
-        cost, edits, states = min((now[s] for s in ENDS if s in now), key=lambda x: (x[0], "".join(x[1])))
-        return illegal, cost, "".join(edits), [{"piece": x["piece"], "plan": replay(x["signature"], s, e)} for x, s, e in zip(found, states, edits, strict=True)]
+        cost, edits, steps = joined([x["ways"] for x in found])
+        return illegal, cost, edits, [{"piece": x["piece"], "plan": replay(x["signature"], *step)} for x, step in zip(found, steps, strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,8 +217,8 @@ def planned(rows: DataFrame, scratch: Scratch) -> DataFrame:
     signed = F.array_join(F.sort_array(F.collect_list(F.struct("place", "sign")))["sign"], "")  # of one piece
     pieces = scratch.write(rows.groupBy("conv", "piece").agg(signed.alias("signature")), "pieces")
     solved = scratch.write(solutions(pieces.select("signature").distinct()), "solved")
-    joined = pieces.join(solved, "signature").groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("piece", "signature", "inside", "ways"))).alias("pieces"))
-    return scratch.write(plans(joined), "plans")
+    gathered = pieces.join(solved, "signature").groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("piece", "signature", "inside", "ways"))).alias("pieces"))
+    return scratch.write(plans(gathered), "plans")
 
 
 def repaired(rows: DataFrame, plans: DataFrame) -> DataFrame:
@@ -260,8 +270,9 @@ def report(every: DataFrame, rows: DataFrame, made: DataFrame, turns: DataFrame)
     """A row for each conv_id of every: what was wrong, the edits and the digest of the repaired turns."""
     nothing = hashlib.sha256(b"").hexdigest()
     of = lambda name: F.count_if(F.col("fault") == name).alias(name)
-    gaps = F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")
-    counts = rows.groupBy("conv").agg(F.coalesce(gaps.cast("bigint"), F.lit(0)).alias("gaps"), of("blank"), of("duplicate"), of("truncated"))
+    turn = F.col("turn").cast("bigint")
+    gaps = F.max(turn) - F.min(turn) + 1 - F.count_distinct(turn)
+    counts = rows.groupBy("conv").agg(F.coalesce(gaps, F.lit(0).cast("bigint")).alias("gaps"), of("blank"), of("duplicate"), of("truncated"))
     found = counts.join(made.select("conv", "illegal", "cost", "audit"), "conv").join(digests(turns), "conv", "left")
     ids = every.select("conv_id", named(F.col("conv_id")).alias("conv")).distinct()
     number = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)

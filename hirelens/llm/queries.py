@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard_join, knn_quality, line_dedup, merkle_manifest, mixing, pii, quality_rules, simhash_ring, substring_cover, suffix_dedup, token_store
+from . import conversation_repair, decontam, jaccard_join, knn_quality, line_dedup, merkle_manifest, mixing, pii, quality_rules, simhash_ring, substring_cover, suffix_dedup, token_store
 from .base import table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -122,6 +122,11 @@ def op12_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(every, *conversation_repair.repair(conversation_repair.damage(every)))
+
+
 WORDS = "coalesce(regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+'), cast([] as varchar[]))"
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -237,6 +242,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_suffix_repeats": op10_suffix_repeats,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_simhash_ring": op12_simhash_ring,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 

@@ -236,3 +236,67 @@ def simhash_rows(docs):
     """[(doc_id, fingerprint, component_id)] in order."""
     prints = [(i, simhash(t)) for i, t in docs]
     return [(i, f"{p:016x}", c) for (i, p), c in zip(prints, near_prints(prints), strict=True)]
+
+
+def damaged(rows):
+    """Rows (conv_id, turn, role, text) after damage."""
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind:
+            text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+            yield from [(conv, turn, "user" if kind == 4 else role, text)] * (1 + (kind == 3))
+
+
+def fault_of(rows):
+    """blank, duplicate, truncated or None of each (role, text) in order."""
+    seen = set()
+    for role, text in rows:
+        marks = re.findall(WORD, text)
+        yield "blank" if not marks else "duplicate" if (role, text) in seen else "truncated" if marks[-1][-1] not in ".!?" else None
+        seen.add((role, text))
+
+
+def cheapest(rows):
+    """(cost, audit, turns) of rows (role, text, fault): forward over rows, with inserts before and after each."""
+    due = {"0": "user", "s": "user", "u": "assistant", "a": "user"}
+
+    def more(now):
+        for _ in range(2):
+            for state, (cost, audit, turns) in list(now.items()):
+                offer(now, due[state][0], cost + 5, audit + "I", (*turns, (due[state], "")))
+        return now
+
+    def offer(now, state, cost, audit, turns):
+        if state not in now or (cost, audit) < now[state][:2]:
+            now[state] = cost, audit, turns
+
+    now = more({"0": (0, "", ())})
+    for role, text, fault in rows:
+        after = {}
+        for state, (cost, audit, turns) in now.items():
+            offer(after, state, cost + 2, audit + "D", turns)
+            if fault not in ("blank", "duplicate"):
+                extra = 5 * (fault == "truncated")
+                if role[:1] == due[state][0] or state == "0" and role[:1] == "s":
+                    offer(after, role[0], cost + extra, audit + "K", (*turns, (role, text)))
+                offer(after, due[state][0], cost + 1 + extra, audit + "R", (*turns, (due[state], text)))
+        now = more(after)
+    return min(now[s] for s in "0a" if s in now)
+
+
+def repairs(rows):
+    """[(conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256)] for rows (conv_id, turn, role, text)."""
+    by_conv = {r[0]: [] for r in rows}
+    for conv, turn, role, text in damaged(rows):
+        by_conv[conv].append((turn is not None, turn or 0, role, sha(text), text))
+    out = []
+    for conv, own in by_conv.items():
+        own.sort()
+        turns = [t for there, t, *_ in own if there]
+        faults = list(fault_of([(r, t) for *_, r, _, t in own]))
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:], strict=False))
+        cost, audit, left = cheapest([(r, t, f) for (*_, r, _, t), f in zip(own, faults, strict=True)])
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        out.append((conv, gaps, *(faults.count(k) for k in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(f"{r}:{t}" for r, t in left))))
+    return out
