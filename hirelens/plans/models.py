@@ -14,6 +14,8 @@ from ..sources import records
 
 Model = Callable[["Context"], DataFrame]
 MODELS: dict[str, Model] = {}
+#: Models that are kept by day, and the column of the day: an incremental run replaces some days of them.
+INCREMENTAL = {"int_api_jobs": "created_date", "int_linkedin_jobs": "created_date", "fact_scraped_jobs": "created_date"}
 
 
 def model(fn: Model) -> Model:

@@ -17,7 +17,8 @@ from ..operators.filters import FilterSpec, Tokens, apply_filters
 from ..operators.states import STATES, with_state
 from ..sources import records, sinks
 from . import adapter as A
-from . import parsing  # noqa: F401  its queries are registered too
+from . import parsing, tasks  # noqa: F401  the queries of parsing are registered too
+from .models import INCREMENTAL, Context
 from .registry import BEYOND_SQL, ORACLES, QUERIES, beyond_sql, query  # noqa: F401
 
 # -- shared SQL ------------------------------------------------------------------
@@ -270,9 +271,14 @@ def sunday_week(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""select strftime(d, '%Y-%m-%d') as date_id, d as date, cast(epoch(d) as bigint) as epoch, lpad(cast(day(d) as varchar), 2, ' ') as day_suffix, strftime(d, '%A') as day_name, strftime(d, '%a') as day_name_abbr, cast(dayofweek(d) + 1 as int) as day_of_week,
 cast(day(d) as int) as day_of_month, cast(dayofyear(d) as int) as day_of_year, cast(strftime(d, '%U') as int) as week_of_year, cast(isoyear(d) as int) as iso_year, strftime(d, '%W') as week_of_year_iso, cast(month(d) as int) as month_, strftime(d, '%B') as month_name, strftime(d, '%b') as month_name_abbr,
-cast(quarter(d) as int) as quarter_, cast(year(d) as int) as year_, dayofweek(d) in (0, 6) as is_weekend from (select cast(unnest(generate_series(timestamp '2018-01-01', timestamp '2050-12-31', interval 1 day)) as date) as d)""")
+cast(quarter(d) as int) as quarter_, cast(year(d) as int) as year_, dayofweek(d) in (0, 6) as is_weekend, coalesce(n, 0) as n_orders
+from (select cast(unnest(generate_series((select min(o_orderdate) from orders), (select max(o_orderdate) from orders), interval 1 day)) as date) as d) left join (select cast(o_orderdate as date) as d, count(*) as n from orders group by 1) using (d)""")
 def date_dim(spark: SparkSession, d: str) -> DataFrame:
-    return records.dim_dates(spark)
+    """Every day between the first and the last order, with how many there were."""
+    counts = A.read(spark, d, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(F.count("*").alias("n_orders"))
+    first, last = counts.agg(F.min("date"), F.max("date")).first()
+    days = records.dim_dates(spark, str(first), str(last)).join(counts, "date", "left")
+    return days.withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
 
 
 @query("select event_id, cast(props ->> '$.k' as bigint) as k, props ->> '$.missing' as missing, cast(props ->> '$.k' as bigint) > 50 as high from events")
@@ -439,6 +445,48 @@ def partition_overwrite(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).select("event_id", "created_date", "value")
 
 
+@query("""select event_id, cast(ts as date) as created_date, case when cast(ts as date) in (date '2024-01-18', date '2024-01-20') then value * 2 else value end as value from events where cast(ts as date) <> date '2024-01-19'""")
+def partition_overwrite_emptied(spark: SparkSession, d: str) -> DataFrame:
+    """Three days are replaced; one of them has no rows any more."""
+    rows = A.read(spark, d, "events").select("event_id", F.col("ts").cast("date").alias("created_date"), "value")
+    table = sinks.DayTable(spark, new_folder(spark, "days"))
+    table.replace(rows)
+    table.replace(rows.where("created_date <> date '2024-01-19'").withColumn("value", F.col("value") * 2), sinks.partitions_to_replace(date(2024, 1, 20)))
+    return table.read().select("event_id", "created_date", "value")
+
+
+def _scrapes(spark: SparkSession, d: str, description: str) -> dict[str, DataFrame]:
+    """Raw tables in which each event is a listing of the second source."""
+    text = lambda c: F.lit(c).cast("string")
+    linked = A.read(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("job_id"), text(description).alias("job_description"), F.col("ts").cast("timestamp").alias("created_at"), F.col("event_type").alias("search_term"),
+        text("utah").alias("job_location"), text("Analyst").alias("job_title"), text("Provo, UT · 3 days ago").alias("listing_details"), text("$50/hr").alias("fit_level_preferences"),
+    )
+    none = spark.createDataFrame([], records.SEED)
+    return {"linkedin_jobs": linked, "api_jobs": spark.createDataFrame([], records.ENVELOPE), "query_versions": none, "enriched": spark.createDataFrame([], records.ENRICHED)}
+
+
+@query("""select event_id, cast(ts as date) as created_date, case when cast(ts as date) in (date '2024-01-18', date '2024-01-20') then 'second' else 'first' end as job_description, 96000.0::double as low_annual_pay_range
+from events where cast(ts as date) <> date '2024-01-19'""")
+def incremental_build(spark: SparkSession, d: str) -> DataFrame:
+    """Facts after two runs of the table graph: the second replaces three days, one of which raw has lost."""
+    out, as_of = new_folder(spark, "graph"), date(2024, 1, 20)
+    tasks.refresh(Context(spark, _scrapes(spark, d, "first"), as_of), out, names=INCREMENTAL)
+    raw = _scrapes(spark, d, "second")
+    raw["linkedin_jobs"] = raw["linkedin_jobs"].where("cast(created_at as date) <> date '2024-01-19'")
+    tasks.refresh(Context(spark, raw, as_of), out, 3, names=INCREMENTAL)
+    facts = sinks.DayTable(spark, f"{out}/fact_scraped_jobs").read()
+    return facts.select(F.col("platform_job_id").cast("bigint").alias("event_id"), "created_date", "job_description", "low_annual_pay_range")
+
+
+@query("select max(ts) as last_loaded_at, date_diff('hour', max(ts), timestamp '2024-02-05 00:00:00') >= 75 as is_stale from events")
+def freshness(spark: SparkSession, d: str) -> DataFrame:
+    """Of a table kept by day: only its newest day is read."""
+    table = sinks.DayTable(spark, new_folder(spark, "loads"))
+    table.replace(A.read(spark, d, "events").select("event_id", "ts", F.col("ts").cast("date").alias("created_date")))
+    return records.stale(table.newest(), F.lit("2024-02-05 00:00:00").cast("timestamp_ntz"), "ts")
+
+
 # -- reports ------------------------------------------------------------------------------
 
 
@@ -472,14 +520,21 @@ def platform_options(spark: SparkSession, d: str) -> DataFrame:
     return R.platform_options(A.jobs(spark, d))
 
 
-@query(f"select 'All' as value, '{R.ALL_LABEL}' as label, 0 as ordinal union all select 'United States', 'United States', 1")
+@query(f"with {JOBS} select 'All' as value, '{R.ALL_LABEL}' as label, 0 as ordinal, count(distinct job_id) as record_count from jobs union all select 'United States', 'United States', 1, count(distinct case when state_name is not null then job_id end) from jobs")
 def location_options(spark: SparkSession, d: str) -> DataFrame:
-    return R.location_options(spark)
+    """The places to choose from, with how many jobs each finds."""
+    jobs = A.placed(A.jobs(spark, d))
+    counts = jobs.agg(R.jobs_of().alias("All"), R.jobs_of(F.col("state_name").isNotNull()).alias("United States"))
+    return R.location_options(spark).join(counts.unpivot([], ["All", "United States"], "value", "record_count"), "value")
 
 
-@query("select 'contains' as value, 'Contains' as label, 0 as ordinal union all select 'is', 'Is', 1 union all select 'does_not_contain', 'Does Not Contain', 2")
+@query(f"""with {JOBS} select 'contains' as value, 'Contains' as label, 0 as ordinal, count(distinct case when lower(job_title) like '%building%' then job_id end) as record_count from jobs
+union all select 'is', 'Is', 1, count(distinct case when lower(job_title) = 'building' then job_id end) from jobs union all select 'does_not_contain', 'Does Not Contain', 2, count(distinct case when not lower(job_title) like '%building%' then job_id end) from jobs""")
 def match_method_options(spark: SparkSession, d: str) -> DataFrame:
-    return R.match_method_options(spark)
+    """The ways to match a text, with how many jobs each finds for one title."""
+    jobs = written(A.jobs(spark, d).select("job_id", "job_title"), "titles")
+    found = [apply_filters(jobs, FilterSpec(job_title=Tokens("Building", m))).agg(F.lit(m).alias("value"), R.jobs_of().alias("record_count")) for m, *_ in R.MATCH_METHODS]
+    return R.match_method_options(spark).join(found[0].unionByName(found[1]).unionByName(found[2]), "value")
 
 
 @query(f"""with {JOBS}, {SCORES}, {SCORED} select job_id, job_title, '<a class="apply-link-button markdown" href="' || replace(source_link, '"', '%22') || '" target="_blank" rel="noopener noreferrer">Apply</a>' as apply_link, company_name, posted_date, round(opportunity_score, 4) as opportunity_score

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 from datetime import UTC, date, datetime
 
 from pyspark.sql import SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import SparkSession
 from ..functions.shared import temporary
 from ..operators import enrich, listings
 from ..sources import records
-from .models import MODELS, Context
+from ..sources.sinks import DayTable, partitions_to_replace
+from .models import INCREMENTAL, MODELS, Context
 
 
 def session() -> SparkSession:
@@ -29,15 +31,30 @@ def context(spark: SparkSession) -> Context:
     return Context(spark, raw, date.fromisoformat(as_of) if as_of else datetime.now(UTC).date())
 
 
-def build_models() -> int:
-    """Writes every table once, in the order of their references; later tables read what was written."""
-    ctx = context(session())
-    for name in MODELS:
-        path = f"{os.environ['OUT_DIR']}/{name}"
+def refresh(ctx: Context, out: str, num_days: object = None, names: Iterable[str] = MODELS) -> None:
+    """Writes each table once, in the order of their references; later tables read what was written.
+
+    With num_days the tables kept by day replace that many days, to the day that counts as today, and leave
+    all others as they are: raw rows of other days are not parsed, and rows that are gone from raw go. Tables that are
+    not there yet, and those not kept by day, are built whole.
+    """
+    days = None if num_days in (None, "") else partitions_to_replace(ctx.as_of, num_days)
+    for name in names:
+        path = f"{out}/{name}"
         with temporary():
-            ctx.ref(name).write.mode("overwrite").parquet(path)
-        ctx.built[name].unpersist()
-        ctx.built[name] = ctx.spark.read.parquet(path)
+            made = ctx.ref(name)
+            if name in INCREMENTAL:
+                table = DayTable(ctx.spark, path, INCREMENTAL[name])
+                table.replace(made, days if table.schema is not None else None)
+            else:
+                made.write.mode("overwrite").parquet(path)
+        made.unpersist()
+        ctx.built[name] = table.read().select(*made.columns) if name in INCREMENTAL else ctx.spark.read.parquet(path)
+
+
+def build_models() -> int:
+    """All tables to OUT_DIR; NUM_DAYS makes it an incremental run."""
+    refresh(context(session()), os.environ["OUT_DIR"], os.environ.get("NUM_DAYS"))
     return 0
 
 

@@ -155,6 +155,6 @@ def test_every_model_is_written_once(spark, ctx, tmp_path, monkeypatch):
     whole = tasks.context(spark)
     for name in MODELS:
         made, want = spark.read.parquet(f"{tmp_path}/out/{name}"), whole.ref(name)
-        assert made.columns == want.columns and made.count() == want.count(), name
+        assert sorted(made.columns) == sorted(want.columns) and made.count() == want.count(), name  # the day of a folder is read last
     detail = spark.read.parquet(f"{tmp_path}/out/jobs_detail")
     assert {r.work_setting for r in detail.where("platform_job_id = 'a'").collect()} == {"Remote"}

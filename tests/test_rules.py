@@ -1,7 +1,6 @@
 """The golden cases of the two text rules, and normalization."""
 
 import json
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +8,9 @@ from pyspark.sql import functions as F
 from hirelens.functions.columns import normalized
 from hirelens.operators import experience, work_setting
 from hirelens.operators.listings import HIGHLIGHTS
+from hirelens.plans.parsing import CASES
 
-DATA = Path(__file__).parent / "data"
-SETTINGS, YEARS = (json.loads((DATA / f"{n}.json").read_text()) for n in ("work_setting", "required_experience"))
+SETTINGS, YEARS = (json.loads((CASES / f"{n}.json").read_text()) for n in ("work_setting", "required_experience"))
 
 
 def listings(spark, cases):
