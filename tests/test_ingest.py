@@ -43,7 +43,7 @@ def test_verdicts(spark, folder):
 
 def test_states(spark, folder):
     loaded, moved, told = [], [], []
-    box = I.Ingest(spark, lambda df: loaded.append(df.count()), lambda f, to, why: moved.append((Path(f).name, to, why)), told.append)
+    box = I.Ingest(spark, lambda df: loaded.append(df.count()), lambda f, to, why, _: moved.append((Path(f).name, to, why)), told.append)
     states = box.run([f"file://{folder}/good.jsonl", f"file://{folder}/json.jsonl"])
     assert list(states.values()) == ["archived", "rejected:invalid_json"]
     assert loaded == [2]
@@ -56,7 +56,7 @@ def test_retries(spark, folder):
         raise TimeoutError
 
     moved = []
-    box = I.Ingest(spark, fail, lambda f, to, why: moved.append((to, why)))
+    box = I.Ingest(spark, fail, lambda f, to, why, _: moved.append((to, why)))
     states = [next(iter(box.run([f"file://{folder}/good.jsonl"]).values())) for _ in range(3)]
     assert states == ["incoming", "incoming", "rejected:transient_failure_exhausted"]
 
@@ -115,7 +115,7 @@ def test_watch_goes_on_without_new_files(spark, tmp_path):
 def test_a_file_that_changes_waits(spark, folder):
     name, moved = f"file://{folder}/good.jsonl", []
     versions = iter([1, 1, 2, 3, 3, 3])
-    box = I.Ingest(spark, lambda df: None, lambda f, to, why: moved.append(to), version=lambda f: next(versions), clock=lambda: 0.0)
+    box = I.Ingest(spark, lambda df: None, lambda f, to, why, _: moved.append(to), version=lambda f: next(versions), clock=lambda: 0.0)
     assert list(box.run([name]).values()) == ["incoming"] and not moved
     assert box.due() == [name]
     assert list(box.run(box.due()).values()) == ["archived"] and moved == ["archive"] and not box.due()
@@ -180,3 +180,186 @@ def test_weekly_stream(spark, sf_dir, tmp_path):
     want = duckdb.sql(f"select cast(ts as date) - cast(dayofweek(ts) as int) as week, event_type, count(distinct ts) as n from '{sf_dir}/events.parquet' group by all").fetchall()
     assert got
     assert set(got.items()) <= {((w, k), n) for w, k, n in want}
+
+
+def incoming(tmp_path, many=3):
+    (tmp_path / "in").mkdir(exist_ok=True)
+    names = [f"f{k}.jsonl" for k in range(many)]
+    for k, name in enumerate(names):
+        (tmp_path / "in" / name).write_text("\n".join(line(q=f"{name} {j}") for j in range(k + 1)))
+    return [f"file://{tmp_path}/in/{n}" for n in names]
+
+
+def rows_in(log):
+    return sorted(r.q for r in log.read().selectExpr("variant_get(job_data, '$.q', 'string') as q").collect())
+
+
+@pytest.mark.parametrize("step", range(1, 16))
+def test_a_crash_after_any_step_leaves_no_double_row(spark, tmp_path, step, monkeypatch):
+    """Whichever change to the store is the last before the program ends, the next one has each row once and each file archived."""
+    files, made = incoming(tmp_path, 2), []
+    want = ["f0.jsonl 0", "f1.jsonl 0", "f1.jsonl 1"]
+
+    def program():
+        log = I.LoadLog(spark, f"file://{tmp_path}/landing")
+        box = I.Ingest(spark, log, I.hadoop_move(spark, f"file://{tmp_path}"), ledger=I.FileLedger(spark, f"file://{tmp_path}/waiting"))
+        return box.run(files), log
+
+    def ends_at(own):
+        def run(self, *args):
+            made.append(own.__name__)
+            if len(made) >= step:
+                raise KeyboardInterrupt  # no failure of the load: the program itself ends
+            return own(self, *args)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        for name in ("rename", "delete", "write"):
+            patch.setattr(sinks.Folder, name, ends_at(getattr(sinks.Folder, name)))
+        try:
+            program()
+        except KeyboardInterrupt:
+            pass
+    program()
+    _, log = program()
+    assert rows_in(log) == want
+    assert sorted(p.name for p in (tmp_path / "archive").glob("[!.]*")) == ["f0.jsonl", "f1.jsonl"] and not list((tmp_path / "in").glob("*.jsonl"))
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    def jobs(many):
+        folder = tmp_path / str(many)
+        folder.mkdir()
+        files = incoming(folder, many)
+        spark.sparkContext.setJobGroup(f"tick{many}", "")
+        log = I.LoadLog(spark, f"file://{folder}/landing")
+        states = I.Ingest(spark, log, I.hadoop_move(spark, f"file://{folder}")).run(files)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert set(states.values()) == {"archived"} and len(rows_in(log)) == many * (many + 1) // 2
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"tick{many}"))
+
+    assert jobs(12) == jobs(2)
+
+
+def test_a_file_that_spoils_a_load_is_tried_alone(spark, tmp_path):
+    files, now, calls = incoming(tmp_path, 3), [0.0], []
+
+    class Log(I.LoadLog):
+        def add(self, rows, files, unchanged):
+            calls.append(len(files))
+            if any("f1" in f for f in files):
+                raise TimeoutError
+            return super().add(rows, files, unchanged)
+
+    log = Log(spark, f"file://{tmp_path}/landing")
+    box = I.Ingest(spark, log, I.hadoop_move(spark, f"file://{tmp_path}"), clock=lambda: now[0], jitter=lambda: 0.0)
+    assert set(box.run(files).values()) == {"incoming"}
+    now[0] = 60.0
+    assert [s for _, s in sorted(box.run(box.due()).items())] == ["archived", "incoming", "archived"]
+    now[0] = 180.0
+    assert list(box.run(box.due()).values()) == ["rejected:transient_failure_exhausted"]
+    assert calls == [3, 1, 1, 1, 1] and len(rows_in(log)) == 4
+
+
+def test_a_changed_file_is_not_loaded_as_it_was(spark, tmp_path):
+    """Rows of a version that is gone when they are written are not committed; the new version is, once."""
+    files = incoming(tmp_path, 2)
+
+    class Log(I.LoadLog):
+        def add(self, rows, files, unchanged):
+            if len(files) == 2 and not (tmp_path / "changed").exists():
+                (tmp_path / "changed").touch()
+                (tmp_path / "in" / "f1.jsonl").write_text(line(q="anew and longer than before"))
+            return super().add(rows, files, unchanged)
+
+    log = Log(spark, f"file://{tmp_path}/landing")
+    box = I.Ingest(spark, log, I.hadoop_move(spark, f"file://{tmp_path}"))
+    assert [s for _, s in sorted(box.run(files).items())] == ["archived", "incoming"]
+    assert list(box.run(box.due()).values()) == ["archived"]
+    assert rows_in(log) == ["anew and longer than before", "f0.jsonl 0"]
+    # The same content under the same name, stored again: another version, and so loaded again.
+    assert list(box.run(files).values()) == ["gone", "gone"]
+
+
+@pytest.mark.parametrize("step", range(1, 9))
+def test_a_move_that_ends_at_any_step(spark, tmp_path, step, monkeypatch):
+    """Neither the file nor one archived before under its name is lost, and the next call finishes."""
+    (tmp_path / "archive").mkdir()
+    (tmp_path / "archive" / "a.jsonl").write_text("older")
+    (tmp_path / "a.jsonl").write_text("newer")
+    file, made = f"file://{tmp_path}/a.jsonl", []
+    version = I.hadoop_version(spark)(file)
+
+    def ends_at(own):
+        def run(self, *args):
+            made.append(own.__name__)
+            if len(made) >= step:
+                raise KeyboardInterrupt
+            return own(self, *args)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        for name in ("rename", "delete", "write"):
+            patch.setattr(sinks.Folder, name, ends_at(getattr(sinks.Folder, name)))
+        try:
+            I.hadoop_move(spark, f"file://{tmp_path}")(file, "archive", "why", version)
+        except KeyboardInterrupt:
+            pass
+    texts = sorted(p.read_text() for p in [*(tmp_path / "archive").glob("a.jsonl*"), tmp_path / "a.jsonl"] if p.exists() and not p.name.endswith(".reason"))
+    assert "older" in texts and "newer" in texts
+    I.hadoop_move(spark, f"file://{tmp_path}")(file, "archive", "why", version)
+    assert (tmp_path / "archive/a.jsonl").read_text() == "newer" and not (tmp_path / "a.jsonl").exists()
+    assert (tmp_path / "archive/a.jsonl.reason").read_text() == "why"
+    assert [p.read_text() for p in (tmp_path / "archive").glob("a.jsonl.[0-9]*")] == ["older"]
+
+
+def test_a_move_takes_one_version_only(spark, tmp_path):
+    file = tmp_path / "a.jsonl"
+    file.write_text("one")
+    move, version = I.hadoop_move(spark, f"file://{tmp_path}"), I.hadoop_version(spark)(f"file://{file}")
+    file.write_text("another")
+    with pytest.raises(I.ChangedError):
+        move(f"file://{file}", "archive", None, version)
+    assert file.read_text() == "another" and not list(tmp_path.glob("archive/a*"))
+
+
+def test_discovery_goes_on_where_it_was(spark, tmp_path):
+    """A program that ends in the middle of a tick: the next offers that tick again, without what is gone, and then the rest, oldest first."""
+    import os
+
+    (tmp_path / "in").mkdir()
+    for k, name in enumerate(["d", "b", "a", "c", "e"]):  # b and a are of one time
+        (tmp_path / "in" / f"{name}.jsonl").write_text(name)
+        os.utime(tmp_path / "in" / f"{name}.jsonl", (1000 + max(k, 2), 1000 + max(k, 2)) if name in "ab" else (1000 + k, 1000 + k))
+    (tmp_path / "in" / ".hidden").write_text("x")
+    seen = []
+
+    def run(fail=None):
+        from hirelens.streaming.discovery import new_files
+
+        def batch(df, _):
+            names = [r.file.rsplit("/", 1)[-1][0] for r in sorted(df.collect(), key=lambda r: (r.time, r.file))]
+            seen.append("".join(names))
+            if fail and fail in names:
+                raise RuntimeError("ended")
+
+        query = new_files(spark, f"file://{tmp_path}/in", 2).writeStream.foreachBatch(batch).option("checkpointLocation", f"file://{tmp_path}/checkpoint").trigger(processingTime="100 milliseconds").start()
+        try:
+            end = time.time() + 60
+            while query.isActive and time.time() < end and not (seen and seen[-1] in ("e", "f")):
+                time.sleep(0.2)
+            query.stop()
+        except Exception:
+            pass
+
+    run(fail="b")
+    assert seen == ["da", "bc"] or seen == ["da"] + ["bc"] * (len(seen) - 1)
+    seen.clear()
+    run()
+    assert [x for x in seen if x] == ["bc", "e"]
+    seen.clear()
+    (tmp_path / "in" / "f.jsonl").write_text("f")
+    run()
+    assert [x for x in seen if x] == ["f"]
