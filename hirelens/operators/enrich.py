@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,9 +42,11 @@ class Key:
 
 @dataclass
 class KeyRing:
-    """Calls an extractor in turn with each key, PER_MINUTE times a minute; a limited key rests."""
+    """Calls an extractor in turn with each key, per_minute times a minute; a limited key rests."""
 
     keys: list[Key]
+    per_minute: int = PER_MINUTE
+    minute: float = 60.0
     clock: Callable[[], float] = time.monotonic
     sleep: Callable[[float], None] = time.sleep
     jitter: Callable[[], float] = random.random
@@ -55,8 +58,10 @@ class KeyRing:
         self.at = (self.keys.index(key) + 1) % len(self.keys)
         if (wait := key.free_at - self.clock()) > 0:
             self.sleep(wait)
-        if key.sent >= PER_MINUTE:
-            if (left := 60 - (self.clock() - key.since)) > 0:
+        if not key.sent:
+            key.since = self.clock()  # its minute begins with the first call
+        if key.sent >= self.per_minute:
+            if (left := self.minute - (self.clock() - key.since)) > 0:
                 self.sleep(left)
             key.sent, key.since = 0, self.clock()
         return key
@@ -86,26 +91,43 @@ def dictionary(text: str) -> str:
     return ", ".join(dict.fromkeys(m.lower() for m in _KNOWN.findall(text)))
 
 
-def enrich(candidates: DataFrame, make: Callable[[], Callable[[str], str]] = lambda: dictionary) -> DataFrame:
-    """ENRICHED rows of candidates (job_id, data_source, job_description); make builds an extractor in each task.
+def enrich(candidates: DataFrame, keys: Sequence[Callable[[str], str]] | None = None, per_minute: int = PER_MINUTE, minute: float = 60.0) -> DataFrame:
+    """ENRICHED rows of candidates (job_id, data_source, job_description), by the dictionary or by calls with these keys.
 
-    Rows whose extraction fails for good are left out and come up again as candidates.
+    Each key has a partition of its own, to which its share of the rows is dealt, so its budget of per_minute calls is
+    one for the whole job, however many tasks read the candidates. A second attempt of a task waits out the minute of the
+    first; do not run these jobs with speculative tasks. Rows whose extraction fails for good are left out and
+    come up again as candidates.
     """
+    key = F.pmod(F.xxhash64("job_id"), F.lit(len(keys) if keys else 1)).cast("int")
+    dealt = candidates.select("job_id", "data_source", "job_description", key.alias("key"))
+    if keys:
+        dealt = dealt.repartitionById(len(keys), "key")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        extract = make()
+        if keys and TaskContext.get().attemptNumber():
+            time.sleep(minute)
+        rings: dict[int, KeyRing] = {}  # of this task: one, or some where small partitions are read together
+
+        def extract(number: int, text: str) -> str:
+            if not keys:
+                return dictionary(text)
+            if number not in rings:
+                rings[number] = KeyRing([Key(keys[number])], per_minute, minute)
+            return rings[number].extract(text)
+
         for batch in batches:
             for start in range(0, len(batch), FLUSH):
                 part, found = batch.iloc[start : start + FLUSH], []
                 for row in part.itertuples():
                     try:
-                        skills = extract(row.job_description)
+                        skills = extract(row.key, row.job_description)
                     except (RateLimited, Passing):
                         continue
                     found.append((row.job_id, row.data_source, skills))
                 yield pd.DataFrame(found, columns=["job_id", "data_source", "skills"])
 
-    made = candidates.mapInPandas(run, "job_id string, data_source string, skills string")
+    made = dealt.mapInPandas(run, "job_id string, data_source string, skills string")
     return skill_rows(made.where("skills <> ''").withColumn("created_at", F.current_timestamp()))
 
 

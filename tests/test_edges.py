@@ -143,3 +143,28 @@ def broken():
 def test_unknown_method():
     with pytest.raises(ValueError):
         Tokens("x", "like").test("c")
+
+
+def test_a_budget_for_each_key(spark, tmp_path):
+    """Four tasks read candidates, two keys call: each key is one process's, five calls a minute (here: a second)."""
+
+    def key(name):
+        def call(text):
+            import os
+            import time
+
+            with open(f"{tmp_path}/{name}", "a") as out:
+                out.write(f"{os.getpid()} {time.time()}\n")
+            return "sql"
+
+        return call
+
+    rows = spark.createDataFrame([(str(k), "s", "text") for k in range(40)], "job_id string, data_source string, job_description string").repartition(4)
+    got = E.enrich(rows, [key("a"), key("b")], per_minute=5, minute=1.0).collect()
+    assert sorted(int(r.job_id) for r in got) == list(range(40))
+    calls = {n: [x.split() for x in (tmp_path / n).read_text().splitlines()] for n in ("a", "b")}
+    assert sum(map(len, calls.values())) == 40 and min(map(len, calls.values())) > 10
+    for made in calls.values():
+        assert len({pid for pid, _ in made}) == 1
+        times = sorted(float(t) for _, t in made)
+        assert all(times[k + 5] - times[k] > 0.5 for k in range(0, len(times) - 5, 5)) and times[-1] - times[0] >= (len(times) - 1) // 5 * 0.9
