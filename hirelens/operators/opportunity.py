@@ -4,8 +4,12 @@ The month spine times the segments is the only product of rows, and it is one ro
 for each reported row. Active jobs come from the sums of starts and ends by
 month: a job adds one to the month it was posted in and takes one away after the
 month it was removed in, so a running sum over the spine counts it in each month
-between without a range join. The score reads jobs once: the few columns that its
-components need are written to the shared folder first.
+between without a range join.
+
+The score has two layers. Facts are sums by month and segment: jobs that entered and
+left, new jobs, their pay and companies. A changed job touches only the month it was created
+in and those it enters and leaves, so facts are kept and updated (`updated_facts`). Scores follow from
+the facts alone, which are a row for each month and segment, however many jobs there are.
 """
 
 from __future__ import annotations
@@ -53,12 +57,107 @@ def segments(jobs: DataFrame) -> DataFrame:
     return jobs.where("search_term is not null and search_location is not null")
 
 
-def month_spine(jobs: DataFrame, as_of: Column) -> DataFrame:
+# Facts: each is a sum over the jobs of a month and segment.
+
+
+def steps(jobs: DataFrame) -> DataFrame:
+    """entered: jobs posted in the month; left: those removed in the month before."""
+    known = segments(jobs).where("posted_date is not null").groupBy("job_id", *SEGMENT).agg(F.min("posted_date").alias("posted"), F.max(F.coalesce("removed_date", F.lit("9000-01-01").cast("date"))).alias("removed"))
+    month = lambda at, name: F.struct(at.alias("month_start_date"), *(F.lit(int(name == n)).alias(n) for n in ("entered", "left")))
+    both = F.array(month(month_start("posted"), "entered"), month(F.add_months(month_start("removed"), 1), "left"))
+    each = known.where("removed >= trunc(posted, 'month')").select(*SEGMENT, F.explode(both).alias("s"))
+    return each.groupBy(F.col("s.month_start_date").alias("month_start_date"), *SEGMENT).agg(F.sum("s.entered").alias("entered"), F.sum("s.left").alias("left"))
+
+
+def dated(jobs: DataFrame) -> DataFrame:
+    """Jobs with the month they were created in and their pay; low and high bounds stand in where the jobs have those columns."""
+    low, high = (F.col(c).cast("double") if c in jobs.columns else F.lit(None).cast("double") for c in ("low_annual_pay_range", "high_annual_pay_range"))
+    estimate = F.coalesce(F.col("avg_annual_pay_range").cast("double"), (low + high) / 2, low, high)
+    return jobs.select(month_start(F.col("created_at_mst").cast("date")).alias("month_start_date"), *SEGMENT, "job_id", filled("company_name").alias("company") if "company_name" in jobs.columns else F.lit(None).cast("string").alias("company"), estimate.alias("estimate"))
+
+
+def per_job(rows: DataFrame) -> DataFrame:
+    """The first of two levels: a row for each job and company of a month, so that no count of distinct jobs needs one of its own."""
+    return rows.groupBy(*GRAIN, "job_id", "company").agg(F.sum("estimate").alias("pay"), F.count("estimate").alias("paid"))
+
+
+def new_jobs(each: DataFrame) -> DataFrame:
+    """Distinct jobs, in all and with pay, and the mean pay, by whatever month and segment is known: these also say from when on and for which segments there are scores."""
+    jobs = each.groupBy(*GRAIN, "job_id").agg(F.sum("pay").alias("pay"), F.sum("paid").alias("paid"))
+    count = F.count("job_id")
+    return jobs.groupBy(*GRAIN).agg(
+        count.alias("new_jobs_count"), count.alias("salary_total_jobs_count"), F.count_if(F.col("job_id").isNotNull() & (F.col("paid") > 0)).alias("jobs_with_salary_count"),
+        divide(F.sum("pay"), F.sum("paid")).alias("avg_salary"),
+    )
+
+
+def medians(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*GRAIN).agg(F.percentile_approx("estimate", 0.5, 10_000).alias("median_salary"))
+
+
+def companies(each: DataFrame) -> DataFrame:
+    """New jobs of the ten companies with most of them, and of all others."""
+    sizes = each.where("company is not null").groupBy(*GRAIN, "company").agg(F.count("job_id").alias("n"))
+    rank = F.row_number().over(Window.partitionBy(*GRAIN).orderBy(F.desc("n"), "company"))
+    large, n = F.col("rank") <= LARGE_COMPANIES, F.col("n")
+    return sizes.withColumn("rank", rank).groupBy(*GRAIN).agg(
+        F.sum("n").alias("long_tail_total_jobs_count"), F.count("*").alias("company_count"),
+        F.sum(F.when(large, n).otherwise(0)).alias("top_10_company_jobs_count"), F.sum(F.when(large, 0).otherwise(n)).alias("long_tail_jobs_count"),
+    )
+
+
+COUNTED = ("new_jobs_count", "salary_total_jobs_count", "jobs_with_salary_count", "avg_salary", "median_salary", "long_tail_total_jobs_count", "company_count", "top_10_company_jobs_count", "long_tail_jobs_count")
+
+#: What the facts read of a job; the bounds of pay may be missing.
+READ = ("job_id", *SEGMENT, "company_name", "created_at_mst", "posted_date", "removed_date", "avg_annual_pay_range", "low_annual_pay_range", "high_annual_pay_range")
+
+
+def _together(parts: list[DataFrame], *key: Column | str) -> DataFrame:
+    """One row of each month and segment, null ones too, from parts that have different columns."""
+    first, *rest = parts
+    for part in rest:
+        first = first.unionByName(part, allowMissingColumns=True)
+    have = [c for c in COUNTED if c in first.columns]
+    return first.groupBy(*(key or GRAIN)).agg(*(F.sum(c).alias(c) for c in ("entered", "left") if c in first.columns), *(F.max(c).alias(c) for c in have))
+
+
+def _of_new(jobs: DataFrame) -> list[DataFrame]:
+    rows = dated(jobs)
+    each = per_job(rows)
+    return [new_jobs(each), medians(rows), companies(each)]
+
+
+def month_facts(jobs: DataFrame) -> DataFrame:
+    """All facts. jobs is read several times: a table, or `written`."""
+    return _together([steps(jobs), *_of_new(jobs)])
+
+
+def updated_facts(facts: DataFrame, before: DataFrame, after: DataFrame, jobs: DataFrame) -> DataFrame:
+    """The facts of jobs, from those of an earlier time, and the rows of the changed jobs as they were and as they are.
+
+    What left and entered is taken away and added; months in which a changed job was or is created are counted
+    again, from the jobs of these months and segments alone. Equal to month_facts(jobs).
+    """
+    moved = steps(after).unionByName(steps(before).select(*GRAIN, (-F.col("entered")).alias("entered"), (-F.col("left")).alias("left")))
+    grain = lambda df: df.select(month_start(F.col("created_at_mst").cast("date")).alias("month_start_date"), *SEGMENT)
+    touched = grain(before).unionByName(grain(after)).distinct()
+    same = lambda df: [df[c].eqNullSafe(touched[c]) for c in SEGMENT]
+    again = jobs.join(touched, [month_start(jobs["created_at_mst"].cast("date")).eqNullSafe(touched["month_start_date"]), *same(jobs)], "left_semi")
+    kept = facts.join(touched, [facts["month_start_date"].eqNullSafe(touched["month_start_date"]), *same(facts)], "left_anti").select(*GRAIN, *COUNTED)
+    made = _together([facts.select(*GRAIN, "entered", "left"), moved, kept, *_of_new(again)])
+    gone = " and ".join(["coalesce(entered, 0) = 0", "coalesce(left, 0) = 0", *(f"{c} is null" for c in COUNTED)])
+    return made.where(f"not ({gone})")
+
+
+# Scores.
+
+
+def month_spine(facts: DataFrame, as_of: Column) -> DataFrame:
     """Every month from the first sighting to as_of, for every segment that has jobs."""
     last = month_start(as_of)
-    bounds = jobs.agg(F.coalesce(month_start(F.min("created_at_mst").cast("date")), last).alias("low"))
+    bounds = facts.where("new_jobs_count > 0").agg(F.coalesce(F.min("month_start_date"), last).alias("low"))
     months = bounds.select(F.explode(F.when(F.col("low") <= last, F.sequence("low", last, F.expr("interval 1 month")))).alias("month_start_date"))
-    return segments(jobs).select(*SEGMENT).distinct().crossJoin(F.broadcast(months))  # a row for each month of the table's time
+    return segments(facts.where("new_jobs_count > 0")).select(*SEGMENT).distinct().crossJoin(F.broadcast(months))  # a row for each month of the table's time
 
 
 def _month_segment() -> Window:
@@ -71,27 +170,28 @@ def _scaled(x: Column, tied: Column | float) -> Column:
     return F.when(high == low, tied).otherwise(divide(x - low, high - low) * 100)
 
 
-def demand(jobs: DataFrame, spine: DataFrame) -> DataFrame:
-    """Jobs active in each month: posted by its end and not removed before its start."""
-    known = segments(jobs).where("posted_date is not null").groupBy("job_id", *SEGMENT).agg(F.min("posted_date").alias("posted"), F.max(F.coalesce("removed_date", F.lit("9000-01-01").cast("date"))).alias("removed"))
-    first = spine.agg(F.min("month_start_date").alias("first"))
-    known = known.where("removed >= trunc(posted, 'month')").crossJoin(F.broadcast(first))
-    enter = F.greatest(month_start("posted"), F.col("first"))
-    leave = F.add_months(month_start("removed"), 1)
-    steps = known.where("removed >= first").select(*SEGMENT, F.explode(F.array(F.struct(enter.alias("month_start_date"), F.lit(1).alias("n")), F.struct(leave.alias("month_start_date"), F.lit(-1).alias("n")))).alias("step"))
-    steps = steps.groupBy(F.col("step.month_start_date").alias("month_start_date"), *SEGMENT).agg(F.sum("step.n").alias("n"))
+def on_spine(facts: DataFrame, as_of: Column) -> DataFrame:
+    """The facts of each month of the spine; jobs that entered before its first month have entered in it."""
+    spine = month_spine(facts, as_of)
+    first = facts.where("new_jobs_count > 0").agg(F.coalesce(F.min("month_start_date"), month_start(as_of)).alias("first_month"))
+    clipped = facts.crossJoin(F.broadcast(first))  # one row
+    return spine.join(_together([clipped], F.greatest("month_start_date", "first_month").alias("month_start_date"), *SEGMENT), GRAIN, "left")
+
+
+def demand(counted: DataFrame) -> DataFrame:
+    """Jobs active in each month of the spine: posted by its end and not removed before its start."""
     running = Window.partitionBy(*SEGMENT).orderBy("month_start_date")
-    counted = spine.join(steps, GRAIN, "left").withColumn("active_jobs_count", F.sum(F.coalesce("n", F.lit(0))).over(running)).drop("n")
+    step = F.coalesce("entered", F.lit(0)) - F.coalesce("left", F.lit(0))
+    active = counted.withColumn("active_jobs_count", F.sum(step).over(running)).drop("entered", "left")
     none = F.max("active_jobs_count").over(_month_segment()) == 0
-    logged = counted.withColumn("weight", F.log1p("active_jobs_count"))
+    logged = active.withColumn("weight", F.log1p("active_jobs_count"))
     return logged.withColumn("demand_score", _scaled(F.col("weight"), F.when(none, 0.0).otherwise(100.0))).drop("weight")
 
 
-def growth(jobs: DataFrame, spine: DataFrame, as_of: Column) -> DataFrame:
+def growth(counted: DataFrame, as_of: Column) -> DataFrame:
     """New jobs against the month before, smoothed and weighted by the logarithm of their number."""
-    created = segments(jobs).where("created_at_mst is not null").groupBy(month_start(F.col("created_at_mst").cast("date")).alias("month_start_date"), *SEGMENT).agg(F.countDistinct("job_id").alias("n"))
     new, before = F.col("new_jobs_count"), F.col("prior_month_new_jobs_count")
-    counted = spine.join(created, GRAIN, "left").withColumn("new_jobs_count", F.coalesce("n", F.lit(0))).drop("n")
+    counted = counted.withColumn("new_jobs_count", F.coalesce("new_jobs_count", F.lit(0)))
     counted = counted.withColumn("prior_month_new_jobs_count", F.coalesce(F.lag("new_jobs_count").over(Window.partitionBy(*SEGMENT).orderBy("month_start_date")), F.lit(0)))
     rated = counted.withColumn("smoothed_monthly_growth_rate", divide(new - before, before + 1)).withColumn("weighted_growth", F.col("smoothed_monthly_growth_rate") * F.log1p(new))
     idle = (F.max(new).over(_month_segment()) == 0) & (F.max(before).over(_month_segment()) == 0)
@@ -99,31 +199,16 @@ def growth(jobs: DataFrame, spine: DataFrame, as_of: Column) -> DataFrame:
     return rated.withColumn("growth_score", F.when((new == 0) & (before == 0), 0.0).otherwise(scaled)).withColumn("is_partial_month", F.col("month_start_date") == month_start(as_of))
 
 
-def salary(jobs: DataFrame) -> DataFrame:
-    """Pay by month and segment; low and high bounds stand in where the jobs have those columns."""
-    low, high = (F.col(c).cast("double") if c in jobs.columns else F.lit(None).cast("double") for c in ("low_annual_pay_range", "high_annual_pay_range"))
-    estimate = F.coalesce(F.col("avg_annual_pay_range").cast("double"), (low + high) / 2, low, high)
-    rows = segments(jobs).where("created_at_mst is not null").select("job_id", month_start(F.col("created_at_mst").cast("date")).alias("month_start_date"), *SEGMENT, estimate.alias("estimate"))
-    sums = rows.groupBy(*GRAIN).agg(
-        F.countDistinct("job_id").alias("salary_total_jobs_count"), F.countDistinct(F.when(F.col("estimate").isNotNull(), F.col("job_id"))).alias("jobs_with_salary_count"),
-        F.avg("estimate").alias("avg_salary"), F.percentile_approx("estimate", 0.5, 10_000).alias("median_salary"),
-    )
+def salary(paid: DataFrame) -> DataFrame:
+    """Pay with its coverage and score."""
     score = F.when(F.col("avg_salary").isNotNull(), within(_scaled(F.col("avg_salary"), F.lit(100.0)), 0.0, 100.0))
-    return sums.withColumn("salary_coverage_pct", divide("jobs_with_salary_count", "salary_total_jobs_count")).withColumn("salary_score", score)
+    return paid.withColumn("salary_coverage_pct", divide("jobs_with_salary_count", "salary_total_jobs_count")).withColumn("salary_score", score)
 
 
-def long_tail(jobs: DataFrame) -> DataFrame:
+def long_tail(sizes: DataFrame) -> DataFrame:
     """The share of jobs that companies beyond the ten largest offer."""
-    named = segments(jobs).where("created_at_mst is not null").withColumn("company", filled("company_name")).where("company is not null")
-    sizes = named.groupBy(month_start(F.col("created_at_mst").cast("date")).alias("month_start_date"), *SEGMENT, "company").agg(F.countDistinct("job_id").alias("n"))
-    rank = F.row_number().over(Window.partitionBy(*GRAIN).orderBy(F.desc("n"), "company"))
-    large, n = F.col("rank") <= LARGE_COMPANIES, F.col("n")
-    sums = sizes.withColumn("rank", rank).groupBy(*GRAIN).agg(
-        F.sum("n").alias("long_tail_total_jobs_count"), F.count("*").alias("company_count"),
-        F.sum(F.when(large, n).otherwise(0)).alias("top_10_company_jobs_count"), F.sum(F.when(large, 0).otherwise(n)).alias("long_tail_jobs_count"),
-    )
     share = lambda c: divide(c, "long_tail_total_jobs_count")
-    return sums.withColumns({"top_10_company_share": share("top_10_company_jobs_count"), "long_tail_share": share("long_tail_jobs_count"), "long_tail_score": share("long_tail_jobs_count") * 100})
+    return sizes.withColumns({"top_10_company_share": share("top_10_company_jobs_count"), "long_tail_share": share("long_tail_jobs_count"), "long_tail_score": share("long_tail_jobs_count") * 100})
 
 
 FINAL = (
@@ -134,15 +219,9 @@ FINAL = (
 )
 
 
-#: What the components read of a job; the bounds of pay may be missing.
-READ = ("job_id", *SEGMENT, "company_name", "created_at_mst", "posted_date", "removed_date", "avg_annual_pay_range", "low_annual_pay_range", "high_annual_pay_range")
-
-
-def opportunity_score(jobs: DataFrame, as_of: Column) -> DataFrame:
-    """All components by month and segment, and their weighted mean over those that are known."""
-    jobs = written(jobs.select(*(c for c in READ if c in jobs.columns)), "opportunity-jobs")
-    spine = written(month_spine(jobs, as_of), "opportunity-spine")
-    parts = demand(jobs, spine).join(growth(jobs, spine, as_of), GRAIN, "left").join(salary(jobs), GRAIN, "left").join(long_tail(jobs), GRAIN, "left")
+def scores(facts: DataFrame, as_of: Column) -> DataFrame:
+    """All components by month and segment, and their weighted mean over those that are known. Reads facts only."""
+    parts = long_tail(salary(growth(demand(on_spine(facts, as_of)), as_of)))
     have = sum((F.coalesce(F.col(c) * w, F.lit(0.0)) for c, w in WEIGHTS), F.lit(0.0))
     weight = sum((F.when(F.col(c).isNotNull(), w).otherwise(0.0) for c, w in WEIGHTS), F.lit(0.0))
     raw = divide(have, weight)
@@ -150,6 +229,11 @@ def opportunity_score(jobs: DataFrame, as_of: Column) -> DataFrame:
     return parts.withColumns({"month": F.col("month_start_date"), "opportunity_score": within(raw, 0.0, 100.0), "opportunity_tier": tier}).select(*FINAL)
 
 
+def opportunity_score(jobs: DataFrame, as_of: Column) -> DataFrame:
+    """Scores of jobs whose facts are not kept: these are made first and written, a few thousand rows as a rule. Eager."""
+    return scores(written(month_facts(jobs), "opportunity-facts"), as_of)
+
+
 def with_score(jobs: DataFrame, scores: DataFrame) -> DataFrame:
     """jobs with the score and tier of the month they were posted in."""
     few = scores.select(F.col("month_start_date").alias("score_month"), *SEGMENT, "opportunity_score", "opportunity_tier")

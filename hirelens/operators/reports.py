@@ -26,6 +26,17 @@ NO_COMPANY = "Company Not Specified (Missing)"
 jobs_of = lambda *c: F.countDistinct(F.when(c[0], F.col("job_id")) if c else F.col("job_id"))
 
 
+def job_counts(rows: DataFrame, keys: list[str], flags: dict[str, Column], means: dict[str, Column]) -> DataFrame:
+    """By keys: jobs, the distinct ones; of flags, how many of them have a row where it holds; of means, the mean over rows.
+
+    In two levels, a row for each job of a group first, so rows are not multiplied for each count.
+    """
+    sums = [x for n, c in means.items() for x in (F.sum(c).alias(f"{n}_sum"), F.count(c).alias(f"{n}_rows"))]
+    each = rows.groupBy(*keys, "job_id").agg(F.count("*").alias("rows"), *(F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in flags.items()), *sums)
+    counts = [F.count("job_id").alias("jobs"), *(F.count_if(F.col(n) & F.col("job_id").isNotNull()).alias(n) for n in flags)]
+    return each.groupBy(*keys).agg(*counts, *(divide(F.sum(f"{n}_sum"), F.sum(f"{n}_rows")).alias(n) for n in means))
+
+
 def _rank(*order: Column) -> Column:
     return F.row_number().over(Window.orderBy(*order))
 
@@ -74,12 +85,12 @@ def kpis(jobs: DataFrame, spec: FilterSpec) -> DataFrame:
     """One row; the status filter does not count here, active jobs are picked by each measure."""
     active = F.col("listing_status") == "Active"
     recent = F.col("posted_date") >= F.date_sub(F.lit(spec.end), 7)
-    of_active = lambda c: F.when(active, F.col(c))
-    return apply_filters(jobs, spec, only=_NO_STATUS).agg(
-        jobs_of(active).alias("active_jobs"), jobs_of(recent).alias("new_jobs_last_7_days"), F.countDistinct(of_active("company_name")).alias("companies_hiring"),
-        F.avg(of_active("days_listed")).alias("avg_days_listed_active"), F.avg(of_active("avg_annual_pay_range")).alias("avg_salary_active"),
-        F.countDistinct(of_active("job_platform")).alias("job_platforms_active"),
-    )
+    chosen = apply_filters(jobs, spec, only=_NO_STATUS).select("job_id", "company_name", "job_platform", active.alias("active"), recent.alias("recent"), *(F.when(active, F.col(c)).alias(c) for c in ("days_listed", "avg_annual_pay_range")))
+    chosen = written(chosen, "kpis")
+    counts = job_counts(chosen, [], {"active_jobs": F.col("active"), "new_jobs_last_7_days": F.col("recent")}, {"avg_days_listed_active": F.col("days_listed"), "avg_salary_active": F.col("avg_annual_pay_range")})
+    of_active = lambda c, name: F.broadcast(chosen.where("active").agg(F.countDistinct(c).alias(name)))  # noqa: E731  one row
+    both = counts.crossJoin(of_active("company_name", "companies_hiring")).crossJoin(of_active("job_platform", "job_platforms_active"))
+    return both.select("active_jobs", "new_jobs_last_7_days", "companies_hiring", "avg_days_listed_active", "avg_salary_active", "job_platforms_active")
 
 
 _DETAIL = ("company_name", "search_term", "job_location", "search_location", "job_platform", "schedule_type", "job_level", "degree_requirement", "avg_annual_pay_range", "posted_date", "days_listed", "opportunity_score", "opportunity_tier", "data_source", "job_id")
@@ -217,9 +228,8 @@ def chosen_skills(skills: DataFrame, jobs: DataFrame, spec: FilterSpec) -> DataF
 
 def skill_kpis(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, least: int = 100) -> DataFrame:
     """The most frequent skill, the best paid one with enough jobs, and the number of skills."""
-    sums = chosen_skills(skills, jobs, spec).groupBy("skill").agg(
-        jobs_of().alias("n"), F.avg("avg_annual_pay_range").alias("pay"), jobs_of(F.col("avg_annual_pay_range").isNotNull()).alias("paid"),
-    )
+    pay = F.col("avg_annual_pay_range")
+    sums = job_counts(chosen_skills(skills, jobs, spec), ["skill"], {"paid": pay.isNotNull()}, {"pay": pay}).withColumnRenamed("jobs", "n")
     paid = F.when((F.col("paid") >= least) & F.col("pay").isNotNull(), F.struct((-F.col("pay")).alias("pay"), F.col("skill").alias("skill")))
     top = F.min(F.struct((-F.col("n")).alias("n"), F.col("skill").alias("skill")))["skill"]
     return sums.agg(F.coalesce(top, F.lit("No skills")).alias("top_skill"), F.coalesce(F.min(paid)["skill"], F.lit("No salary data")).alias("highest_salary_skill"), F.count("*").alias("skills_tracked"))
@@ -235,9 +245,9 @@ def top_requested_skills(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, k
 
 def skill_demand_salary(skills: DataFrame, jobs: DataFrame, spec: FilterSpec, rank: int = 40, least: int = 3, limit: int = 25) -> DataFrame:
     """Skills among the first by demand or by pay."""
-    sums = chosen_skills(skills, jobs, spec).groupBy("skill").agg(
-        jobs_of().alias("distinct_job_count"), F.avg("avg_annual_pay_range").alias("avg_annual_pay_range"), jobs_of(F.col("avg_annual_pay_range").isNotNull()).alias("salary_job_count"),
-    ).where(f"avg_annual_pay_range is not null and salary_job_count >= {least}")
+    pay = F.col("avg_annual_pay_range")
+    sums = job_counts(chosen_skills(skills, jobs, spec), ["skill"], {"salary_job_count": pay.isNotNull()}, {"avg_annual_pay_range": pay}).withColumnRenamed("jobs", "distinct_job_count")
+    sums = sums.where(f"avg_annual_pay_range is not null and salary_job_count >= {least}")
     order = [F.desc("distinct_job_count"), F.desc_nulls_last("avg_annual_pay_range"), F.col("skill")]
     paid = written(sums.withColumn("salary_coverage_pct", divide("salary_job_count", "distinct_job_count")), "skills")  # a row for each skill
     either = paid.orderBy(order[0], order[2]).limit(rank).union(paid.orderBy(order[1], order[2]).limit(rank)).distinct()  # 2 * rank rows

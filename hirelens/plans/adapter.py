@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ladder
+from ..functions.shared import written
 from ..operators import listings as L
 from ..operators import opportunity as O
 from ..operators.filters import FilterSpec, Tokens
@@ -63,9 +64,10 @@ def placed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("state_abbr", F.substring("job_location", -2, 2)).join(F.broadcast(centers(rows.sparkSession)), "state_abbr", "left")
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The jobs report: with score, tier and place."""
+def scored(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The jobs report, or these columns of it: with score, tier and place. Jobs are joined once, for the score and for the report."""
     rows = jobs(spark, sf_dir)
+    rows = written(rows.select(*(c for c in rows.columns if not columns or c in (*columns, *O.READ, "job_location"))), "jobs")
     return placed(O.with_score(rows, O.opportunity_score(rows, F.lit(AS_OF))))
 
 
@@ -73,8 +75,8 @@ def skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(job_id, data_source, skill) from the part names of an order, in the form of an enrichment."""
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     named = lines.join(read(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-    enriched = named.select(F.col("l_orderkey").cast("string").alias("job_id"), F.explode(F.split("p_name", " ")).alias("skill")).distinct()
-    return enriched.select("job_id", F.lit("Orders").alias("data_source"), F.upper(F.btrim("skill")).alias("skill")).where("skill <> ''").distinct()
+    each = named.select(F.col("l_orderkey").alias("key"), F.explode(F.split("p_name", " ")).alias("skill")).select("key", F.upper(F.btrim("skill")).alias("skill")).where("skill <> ''").distinct()
+    return each.select(F.col("key").cast("string").alias("job_id"), F.lit("Orders").alias("data_source"), "skill")
 
 
 def job_skills(spark: SparkSession, sf_dir: str) -> DataFrame:

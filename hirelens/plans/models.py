@@ -111,9 +111,15 @@ def jobs_detail(ctx: Context) -> DataFrame:
     return work_setting.classify(experience.with_years(lived)).persist()
 
 
+@model
+def opportunity_facts(ctx: Context) -> DataFrame:
+    """Sums by month and segment, from which the scores follow."""
+    return opportunity.month_facts(ctx.ref("jobs_detail"))
+
+
 @model
 def opportunity_month(ctx: Context) -> DataFrame:
-    return opportunity.opportunity_score(ctx.ref("jobs_detail"), ctx.today)
+    return opportunity.scores(ctx.ref("opportunity_facts"), ctx.today)
 
 
 @model

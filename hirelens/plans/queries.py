@@ -97,6 +97,11 @@ def rounded(df: DataFrame, *names: str, places: int = 4) -> DataFrame:
     return df.withColumns({n: F.round(n, places) for n in names})
 
 
+def _facts(spark: SparkSession, d: str) -> DataFrame:
+    jobs = A.jobs(spark, d)
+    return written(O.month_facts(written(jobs.select(*(c for c in O.READ if c in jobs.columns)), "jobs")), "facts")
+
+
 # -- projection, predicates, joins --------------------------------------------------
 
 
@@ -142,8 +147,7 @@ def left_join_using(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES} select m as month_start_date, search_term, search_location, active_jobs_count from active")
 def interval_overlap_active(spark: SparkSession, d: str) -> DataFrame:
-    jobs = written(A.jobs(spark, d).select("job_id", *O.SEGMENT, "created_at_mst", "posted_date", "removed_date"), "jobs")
-    return O.demand(jobs, O.month_spine(jobs, F.lit(A.AS_OF))).select(*O.GRAIN, "active_jobs_count")
+    return O.demand(O.on_spine(_facts(spark, d), F.lit(A.AS_OF))).select(*O.GRAIN, "active_jobs_count")
 
 
 @query("""with days as (select cast(unnest(generate_series(timestamp '2024-01-01', timestamp '2024-02-04', interval 1 day)) as date) as day), kinds as (select distinct event_type from events),
@@ -224,8 +228,7 @@ def first_seen_dedupe(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES} select m as month_start_date, search_term, search_location, new_jobs_count, prior_month_new_jobs_count, round(smoothed_monthly_growth_rate, 6) as smoothed_monthly_growth_rate from growth")
 def lag_growth(spark: SparkSession, d: str) -> DataFrame:
-    jobs = A.jobs(spark, d)
-    grown = O.growth(jobs, O.month_spine(jobs, F.lit(A.AS_OF)), F.lit(A.AS_OF))
+    grown = O.growth(O.on_spine(_facts(spark, d), F.lit(A.AS_OF)), F.lit(A.AS_OF))
     return rounded(grown.select(*O.GRAIN, "new_jobs_count", "prior_month_new_jobs_count", "smoothed_monthly_growth_rate"), "smoothed_monthly_growth_rate", places=6)
 
 
@@ -365,12 +368,30 @@ _SCORE = ("smoothed_monthly_growth_rate", "weighted_growth", "salary_coverage_pc
 @query(f"""with {JOBS}, {SCORES} select month_start_date, search_term, search_location, active_jobs_count, new_jobs_count, prior_month_new_jobs_count, salary_total_jobs_count, jobs_with_salary_count, median_salary,
 long_tail_total_jobs_count, company_count, top_10_company_jobs_count, long_tail_jobs_count, {', '.join(f'round({c}, 4) + 0.0 as {c}' for c in _SCORE)}, opportunity_tier, month_start_date = date '2001-08-01' as is_partial_month from scores""")
 def opportunity_final(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(O.opportunity_score(A.jobs(spark, d), F.lit(A.AS_OF)).drop("month", "top_10_company_share", "long_tail_share"), *_SCORE)
+    return rounded(O.scores(_facts(spark, d), F.lit(A.AS_OF)).drop("month", "top_10_company_share", "long_tail_share"), *_SCORE)
+
+
+CHANGED = JOBS.replace("case when o_orderstatus <> 'O' then last_ship end as removed_date", "case when o_orderdate >= timestamp '1998-01-01' then date '2000-01-01' when o_orderstatus <> 'O' then last_ship end as removed_date").replace(
+    "then o_totalprice end as avg_annual_pay_range", "then o_totalprice * case when o_orderdate >= timestamp '1998-01-01' then 2 else 1 end end as avg_annual_pay_range"
+)
+
+
+@query(f"with {CHANGED}, {SCORES} select month_start_date, search_term, search_location, active_jobs_count, new_jobs_count, jobs_with_salary_count, long_tail_jobs_count, round(opportunity_score, 4) as opportunity_score from scores")
+def opportunity_updated(spark: SparkSession, d: str) -> DataFrame:
+    """Scores after the jobs posted from 1998 on have changed, from the facts of before and the rows of these jobs."""
+    jobs = A.jobs(spark, d)
+    jobs = written(jobs.select(*(c for c in O.READ if c in jobs.columns)), "jobs")
+    recent = F.col("posted_date") >= F.lit(date(1998, 1, 1))
+    before = jobs.where(recent)
+    after = before.withColumns({"removed_date": F.lit(date(2000, 1, 1)), "avg_annual_pay_range": 2 * F.col("avg_annual_pay_range")})
+    now = written(jobs.where(~recent).unionByName(after), "jobs-now")
+    facts = written(O.updated_facts(written(O.month_facts(jobs), "facts"), before, after, now), "facts-now")
+    return rounded(O.scores(facts, F.lit(A.AS_OF)).select(*O.GRAIN, "active_jobs_count", "new_jobs_count", "jobs_with_salary_count", "long_tail_jobs_count", "opportunity_score"), "opportunity_score")
 
 
 @query(f"with {JOBS}, {SCORES}, {SCORED} select job_id, round(opportunity_score, 4) as opportunity_score, opportunity_tier from scored")
 def score_attach(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(A.scored(spark, d).select("job_id", "opportunity_score", "opportunity_tier"), "opportunity_score")
+    return rounded(A.scored(spark, d, "job_id").select("job_id", "opportunity_score", "opportunity_tier"), "opportunity_score")
 
 
 @query(f"with {JOBS}, {SKILLS} select job_id, skill from skills where skill not like '%YEARS%' and skill not like '%DEGREE%'")
@@ -545,13 +566,13 @@ def active_jobs_detail(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES}, {SCORED} select search_term, round(avg(opportunity_score), 1) as opportunity_score from scored where opportunity_score is not null and {WINDOW} group by search_term order by 2 desc nulls last, 1 limit 10")
 def top_terms(spark: SparkSession, d: str) -> DataFrame:
-    return R.top_terms(A.scored(spark, d), A.WINDOW)
+    return R.top_terms(A.scored(spark, d, "search_term", "listing_status"), A.WINDOW)
 
 
 @query(f"""with {JOBS}, {SCORES}, {SCORED} select search_term, count(*) filter (where listing_status = 'Active') as active_jobs, round(avg(avg_annual_pay_range), 4) as avg_annual_pay_range, round(coalesce(avg(opportunity_score), 1), 1) as opportunity_score
 from scored where {SOME} group by search_term having active_jobs > 0 order by opportunity_score desc, search_term limit 25""")
 def demand_vs_pay(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(R.demand_vs_pay(A.scored(spark, d), A.SOME), "avg_annual_pay_range")
+    return rounded(R.demand_vs_pay(A.scored(spark, d, "listing_status", "job_title"), A.SOME), "avg_annual_pay_range")
 
 
 @query(f"with {JOBS} select degree_requirement as name, count(distinct job_id) as value, case degree_requirement when 'High School' then 1 when 'Bachelor''s' then 3 when 'Master''s' then 4 else 6 end as degree_order from jobs where {WINDOW} group by all")
@@ -642,7 +663,7 @@ def skills_extract(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES} select search_term, search_location, count(*) as months, round(max(opportunity_score), 4) as best from scores group by all")
 def opportunity_summary(spark: SparkSession, d: str) -> DataFrame:
-    scores = O.opportunity_score(A.jobs(spark, d), F.lit(A.AS_OF))
+    scores = O.scores(_facts(spark, d), F.lit(A.AS_OF))
     return rounded(scores.groupBy("search_term", "search_location").agg(F.count("*").alias("months"), F.max("opportunity_score").alias("best")), "best")
 
 
