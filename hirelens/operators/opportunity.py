@@ -14,6 +14,8 @@ the facts alone, which are a row for each month and segment, however many jobs t
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,47 +59,46 @@ def segments(jobs: DataFrame) -> DataFrame:
     return jobs.where("search_term is not null and search_location is not null")
 
 
-# Facts: each is a sum over the jobs of a month and segment.
-
-
-def steps(jobs: DataFrame) -> DataFrame:
-    """entered: jobs posted in the month; left: those removed in the month before."""
-    known = segments(jobs).where("posted_date is not null").groupBy("job_id", *SEGMENT).agg(F.min("posted_date").alias("posted"), F.max(F.coalesce("removed_date", F.lit("9000-01-01").cast("date"))).alias("removed"))
-    month = lambda at, name: F.struct(at.alias("month_start_date"), *(F.lit(int(name == n)).alias(n) for n in ("entered", "left")))
-    both = F.array(month(month_start("posted"), "entered"), month(F.add_months(month_start("removed"), 1), "left"))
-    each = known.where("removed >= trunc(posted, 'month')").select(*SEGMENT, F.explode(both).alias("s"))
-    return each.groupBy(F.col("s.month_start_date").alias("month_start_date"), *SEGMENT).agg(F.sum("s.entered").alias("entered"), F.sum("s.left").alias("left"))
+# Facts: each is a sum over the jobs of a month and segment, in two levels. The first has a row for each job, month, company
+# and pay, so jobs are read once and no count of distinct jobs needs a level of its own.
 
 
-def dated(jobs: DataFrame) -> DataFrame:
-    """Jobs with the month they were created in and their pay; low and high bounds stand in where the jobs have those columns."""
-    low, high = (F.col(c).cast("double") if c in jobs.columns else F.lit(None).cast("double") for c in ("low_annual_pay_range", "high_annual_pay_range"))
+def per_job(jobs: DataFrame) -> DataFrame:
+    """The first level: how many rows, first posting and last removal; low and high bounds stand in for pay where the jobs have those columns."""
+    have = lambda c, kind: F.col(c).cast(kind) if c in jobs.columns else F.lit(None).cast(kind)
+    low, high = have("low_annual_pay_range", "double"), have("high_annual_pay_range", "double")
     estimate = F.coalesce(F.col("avg_annual_pay_range").cast("double"), (low + high) / 2, low, high)
-    return jobs.select(month_start(F.col("created_at_mst").cast("date")).alias("month_start_date"), *SEGMENT, "job_id", filled("company_name").alias("company") if "company_name" in jobs.columns else F.lit(None).cast("string").alias("company"), estimate.alias("estimate"))
+    posted = have("posted_date", "date")
+    rows = jobs.select(
+        month_start(F.col("created_at_mst").cast("date")).alias("month_start_date"), *SEGMENT, "job_id", filled(have("company_name", "string")).alias("company"), estimate.alias("estimate"),
+        posted.alias("posted"), F.when(posted.isNotNull(), F.coalesce(have("removed_date", "date"), F.lit("9000-01-01").cast("date"))).alias("removed"),
+    )
+    return rows.groupBy(*GRAIN, "job_id", "company", "estimate").agg(F.count("*").alias("rows"), F.min("posted").alias("posted"), F.max("removed").alias("removed"))
 
 
-def per_job(rows: DataFrame) -> DataFrame:
-    """The first of two levels: a row for each job and company of a month, so that no count of distinct jobs needs one of its own."""
-    return rows.groupBy(*GRAIN, "job_id", "company").agg(F.sum("estimate").alias("pay"), F.count("estimate").alias("paid"))
+def steps(each: DataFrame) -> DataFrame:
+    """entered: jobs posted in the month; left: those removed in the month before."""
+    known = segments(each).where("posted is not null").groupBy("job_id", *SEGMENT).agg(F.min("posted").alias("posted"), F.max("removed").alias("removed"))
+    month = lambda at, name: F.struct(at.alias("month_start_date"), *(F.lit(int(name == n)).alias(n) for n in ("entered", "left")))
+    both = F.array(month(month_start("posted"), "entered"), month(F.add_months(month_start("removed"), 1), "left"))
+    moved = known.where("removed >= trunc(posted, 'month')").select(*SEGMENT, F.explode(both).alias("s"))
+    return moved.groupBy(F.col("s.month_start_date").alias("month_start_date"), *SEGMENT).agg(F.sum("s.entered").alias("entered"), F.sum("s.left").alias("left"))
 
 
 def new_jobs(each: DataFrame) -> DataFrame:
-    """Distinct jobs, in all and with pay, and the mean pay, by whatever month and segment is known: these also say from when on and for which segments there are scores."""
-    jobs = each.groupBy(*GRAIN, "job_id").agg(F.sum("pay").alias("pay"), F.sum("paid").alias("paid"))
-    count = F.count("job_id")
-    return jobs.groupBy(*GRAIN).agg(
-        count.alias("new_jobs_count"), count.alias("salary_total_jobs_count"), F.count_if(F.col("job_id").isNotNull() & (F.col("paid") > 0)).alias("jobs_with_salary_count"),
-        divide(F.sum("pay"), F.sum("paid")).alias("avg_salary"),
-    )
+    """new_jobs_count, by whatever month and segment is known: these also say from when on and for which segments there are scores."""
+    return each.groupBy(*GRAIN).agg(F.countDistinct("job_id").alias("new_jobs_count"))
 
 
-def medians(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*GRAIN).agg(F.percentile_approx("estimate", 0.5, 10_000).alias("median_salary"))
+def pay(each: DataFrame) -> DataFrame:
+    """Distinct jobs with pay, mean and median over rows."""
+    rows = each.where("estimate is not null").select(*GRAIN, "job_id", F.explode(F.array_repeat("estimate", F.col("rows").cast("int"))).alias("estimate"))
+    return rows.groupBy(*GRAIN).agg(F.countDistinct("job_id").alias("jobs_with_salary_count"), F.avg("estimate").alias("avg_salary"), F.percentile_approx("estimate", 0.5, 10_000).alias("median_salary"))
 
 
 def companies(each: DataFrame) -> DataFrame:
     """New jobs of the ten companies with most of them, and of all others."""
-    sizes = each.where("company is not null").groupBy(*GRAIN, "company").agg(F.count("job_id").alias("n"))
+    sizes = each.where("company is not null").groupBy(*GRAIN, "company").agg(F.countDistinct("job_id").alias("n"))
     rank = F.row_number().over(Window.partitionBy(*GRAIN).orderBy(F.desc("n"), "company"))
     large, n = F.col("rank") <= LARGE_COMPANIES, F.col("n")
     return sizes.withColumn("rank", rank).groupBy(*GRAIN).agg(
@@ -106,7 +107,7 @@ def companies(each: DataFrame) -> DataFrame:
     )
 
 
-COUNTED = ("new_jobs_count", "salary_total_jobs_count", "jobs_with_salary_count", "avg_salary", "median_salary", "long_tail_total_jobs_count", "company_count", "top_10_company_jobs_count", "long_tail_jobs_count")
+COUNTED = ("new_jobs_count", "jobs_with_salary_count", "avg_salary", "median_salary", "long_tail_total_jobs_count", "company_count", "top_10_company_jobs_count", "long_tail_jobs_count")
 
 #: What the facts read of a job; the bounds of pay may be missing.
 READ = ("job_id", *SEGMENT, "company_name", "created_at_mst", "posted_date", "removed_date", "avg_annual_pay_range", "low_annual_pay_range", "high_annual_pay_range")
@@ -121,15 +122,14 @@ def _together(parts: list[DataFrame], *key: Column | str) -> DataFrame:
     return first.groupBy(*(key or GRAIN)).agg(*(F.sum(c).alias(c) for c in ("entered", "left") if c in first.columns), *(F.max(c).alias(c) for c in have))
 
 
-def _of_new(jobs: DataFrame) -> list[DataFrame]:
-    rows = dated(jobs)
-    each = per_job(rows)
-    return [new_jobs(each), medians(rows), companies(each)]
+#: Facts of the jobs that are new in a month.
+OF_NEW = (new_jobs, pay, companies)
 
 
-def month_facts(jobs: DataFrame) -> DataFrame:
-    """All facts. jobs is read several times: a table, or `written`."""
-    return _together([steps(jobs), *_of_new(jobs)])
+def month_facts(jobs: DataFrame, parts: Sequence[Callable[[DataFrame], DataFrame]] = (steps, *OF_NEW)) -> DataFrame:
+    """All facts, or these parts of them. Jobs are read once: the first level is written, when this is called."""
+    each = written(per_job(jobs), "jobs-by-month")
+    return _together([part(each) for part in parts])
 
 
 def updated_facts(facts: DataFrame, before: DataFrame, after: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -138,13 +138,13 @@ def updated_facts(facts: DataFrame, before: DataFrame, after: DataFrame, jobs: D
     What left and entered is taken away and added; months in which a changed job was or is created are counted
     again, from the jobs of these months and segments alone. Equal to month_facts(jobs).
     """
-    moved = steps(after).unionByName(steps(before).select(*GRAIN, (-F.col("entered")).alias("entered"), (-F.col("left")).alias("left")))
+    moved = steps(per_job(after)).unionByName(steps(per_job(before)).select(*GRAIN, (-F.col("entered")).alias("entered"), (-F.col("left")).alias("left")))
     grain = lambda df: df.select(month_start(F.col("created_at_mst").cast("date")).alias("month_start_date"), *SEGMENT)
     touched = grain(before).unionByName(grain(after)).distinct()
     same = lambda df: [df[c].eqNullSafe(touched[c]) for c in SEGMENT]
     again = jobs.join(touched, [month_start(jobs["created_at_mst"].cast("date")).eqNullSafe(touched["month_start_date"]), *same(jobs)], "left_semi")
     kept = facts.join(touched, [facts["month_start_date"].eqNullSafe(touched["month_start_date"]), *same(facts)], "left_anti").select(*GRAIN, *COUNTED)
-    made = _together([facts.select(*GRAIN, "entered", "left"), moved, kept, *_of_new(again)])
+    made = _together([facts.select(*GRAIN, "entered", "left"), moved, kept, month_facts(again, OF_NEW)])
     gone = " and ".join(["coalesce(entered, 0) = 0", "coalesce(left, 0) = 0", *(f"{c} is null" for c in COUNTED)])
     return made.where(f"not ({gone})")
 
@@ -202,6 +202,8 @@ def growth(counted: DataFrame, as_of: Column) -> DataFrame:
 def salary(paid: DataFrame) -> DataFrame:
     """Pay with its coverage and score."""
     score = F.when(F.col("avg_salary").isNotNull(), within(_scaled(F.col("avg_salary"), F.lit(100.0)), 0.0, 100.0))
+    new = F.col("new_jobs_count") > 0
+    paid = paid.withColumns({"salary_total_jobs_count": F.when(new, F.col("new_jobs_count")), "jobs_with_salary_count": F.when(new, F.coalesce("jobs_with_salary_count", F.lit(0)))})
     return paid.withColumn("salary_coverage_pct", divide("jobs_with_salary_count", "salary_total_jobs_count")).withColumn("salary_score", score)
 
 

@@ -154,7 +154,7 @@ def salary_from_bounds(spark: SparkSession, d: str) -> DataFrame:
         key.cast("string").alias("job_id"), F.col("o_orderpriority").alias("search_term"), F.lit("x").alias("search_location"), F.col("o_orderdate").alias("created_at_mst"),
         F.when(key % 3 == 0, price).alias("avg_annual_pay_range"), F.when(key % 5 != 0, price / 2).alias("low_annual_pay_range"), F.when(key % 7 != 0, price * 2).alias("high_annual_pay_range"),
     )
-    return O.salary(O.new_jobs(O.per_job(O.dated(jobs)))).select("month_start_date", "search_term", "salary_total_jobs_count", "jobs_with_salary_count", F.round("avg_salary", 4).alias("avg_salary"))
+    return O.salary(O.month_facts(jobs, (O.new_jobs, O.pay))).select("month_start_date", "search_term", "salary_total_jobs_count", "jobs_with_salary_count", F.round("avg_salary", 4).alias("avg_salary"))
 
 
 TITLES = ("Principal X", "Distinguished X", "Lead X", "Sr. X", "Senior X", "Mid X", "Staff X", "X III", "X II", "X 3", "Entry X", "Junior X", "X")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -97,9 +98,8 @@ def rounded(df: DataFrame, *names: str, places: int = 4) -> DataFrame:
     return df.withColumns({n: F.round(n, places) for n in names})
 
 
-def _facts(spark: SparkSession, d: str) -> DataFrame:
-    jobs = A.jobs(spark, d)
-    return written(O.month_facts(written(jobs.select(*(c for c in O.READ if c in jobs.columns)), "jobs")), "facts")
+def _facts(spark: SparkSession, d: str, *parts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return written(O.month_facts(A.jobs(spark, d), parts or (O.steps, *O.OF_NEW)), "facts")
 
 
 # -- projection, predicates, joins --------------------------------------------------
@@ -147,7 +147,7 @@ def left_join_using(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES} select m as month_start_date, search_term, search_location, active_jobs_count from active")
 def interval_overlap_active(spark: SparkSession, d: str) -> DataFrame:
-    return O.demand(O.on_spine(_facts(spark, d), F.lit(A.AS_OF))).select(*O.GRAIN, "active_jobs_count")
+    return O.demand(O.on_spine(_facts(spark, d, O.steps, O.new_jobs), F.lit(A.AS_OF))).select(*O.GRAIN, "active_jobs_count")
 
 
 @query("""with days as (select cast(unnest(generate_series(timestamp '2024-01-01', timestamp '2024-02-04', interval 1 day)) as date) as day), kinds as (select distinct event_type from events),
@@ -228,7 +228,7 @@ def first_seen_dedupe(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES} select m as month_start_date, search_term, search_location, new_jobs_count, prior_month_new_jobs_count, round(smoothed_monthly_growth_rate, 6) as smoothed_monthly_growth_rate from growth")
 def lag_growth(spark: SparkSession, d: str) -> DataFrame:
-    grown = O.growth(O.on_spine(_facts(spark, d), F.lit(A.AS_OF)), F.lit(A.AS_OF))
+    grown = O.growth(O.on_spine(_facts(spark, d, O.new_jobs), F.lit(A.AS_OF)), F.lit(A.AS_OF))
     return rounded(grown.select(*O.GRAIN, "new_jobs_count", "prior_month_new_jobs_count", "smoothed_monthly_growth_rate"), "smoothed_monthly_growth_rate", places=6)
 
 
@@ -391,7 +391,7 @@ def opportunity_updated(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES}, {SCORED} select job_id, round(opportunity_score, 4) as opportunity_score, opportunity_tier from scored")
 def score_attach(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(A.scored(spark, d, "job_id").select("job_id", "opportunity_score", "opportunity_tier"), "opportunity_score")
+    return rounded(A.scored(spark, d).select("job_id", "opportunity_score", "opportunity_tier"), "opportunity_score")
 
 
 @query(f"with {JOBS}, {SKILLS} select job_id, skill from skills where skill not like '%YEARS%' and skill not like '%DEGREE%'")
@@ -566,13 +566,13 @@ def active_jobs_detail(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {JOBS}, {SCORES}, {SCORED} select search_term, round(avg(opportunity_score), 1) as opportunity_score from scored where opportunity_score is not null and {WINDOW} group by search_term order by 2 desc nulls last, 1 limit 10")
 def top_terms(spark: SparkSession, d: str) -> DataFrame:
-    return R.top_terms(A.scored(spark, d, "search_term", "listing_status"), A.WINDOW)
+    return R.top_terms(A.scored(spark, d), A.WINDOW)
 
 
 @query(f"""with {JOBS}, {SCORES}, {SCORED} select search_term, count(*) filter (where listing_status = 'Active') as active_jobs, round(avg(avg_annual_pay_range), 4) as avg_annual_pay_range, round(coalesce(avg(opportunity_score), 1), 1) as opportunity_score
 from scored where {SOME} group by search_term having active_jobs > 0 order by opportunity_score desc, search_term limit 25""")
 def demand_vs_pay(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(R.demand_vs_pay(A.scored(spark, d, "listing_status", "job_title"), A.SOME), "avg_annual_pay_range")
+    return rounded(R.demand_vs_pay(A.scored(spark, d), A.SOME), "avg_annual_pay_range")
 
 
 @query(f"with {JOBS} select degree_requirement as name, count(distinct job_id) as value, case degree_requirement when 'High School' then 1 when 'Bachelor''s' then 3 when 'Master''s' then 4 else 6 end as degree_order from jobs where {WINDOW} group by all")
