@@ -13,7 +13,7 @@ Edge cases: null and empty texts have no terms, hence no neighbours, and get the
 share of good labels in the sample (with a balanced sample 0.5); the same holds
 for every text if there are no labels of both kinds. Repeated rows get equal
 scores, which are rounded to four places. Cosines count to the nearest 2**-20; of labelled vectors at one
-distance the one with the smaller doc_id is nearer. Of repeated labels of one doc_id the better one counts, of
+distance the one whose text has the smaller hash is nearer. Of repeated labels of one doc_id the better one counts, of
 repeated documents the text that is first in order is learned from. Very long texts are read whole, an empty
 table gives an empty result, and columns other than doc_id and text are not read. Nothing but the text enters a score.
 """
@@ -117,11 +117,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
             made = [terms(t or b"", codes) for t in text_bytes(batch.column("text"))]
             used = [np.flatnonzero(x) for x in made]
             places, values = ([x.astype(np.uint16).tobytes() for x in used], [x[u].tobytes() for x, u in zip(made, used, strict=True)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(places, pa.binary()), pa.array(values, pa.binary())], names=["doc_id", "quality", "places", "weights"])
+            yield pa.RecordBatch.from_arrays([batch.column("text_key"), batch.column("quality"), pa.array(places, pa.binary()), pa.array(values, pa.binary())], names=["text_key", "quality", "places", "weights"])
 
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(few, "doc_id")
     chosen = chosen.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # so that the bound holds for rows too
-    got = chosen.mapInArrow(run, "doc_id bigint, quality int, places binary, weights binary").toArrow().sort_by("doc_id")
+    chosen = chosen.select(F.xxhash64("text").alias("text_key"), "quality", "text")
+    got = chosen.mapInArrow(run, "text_key bigint, quality int, places binary, weights binary").toArrow()
+    got = got.sort_by([("text_key", "ascending"), ("quality", "ascending")])  # the order that decides ties; alike in both are alike
     quality = np.array(got["quality"].to_pylist())
     if len(set(quality.tolist())) < 2:
         return None

@@ -17,7 +17,8 @@ Edge cases: a null text has size 0; a null source is a source of its own, last
 in order; a source of size 0 has target 0; documents of size 0 are never taken;
 an empty table gives an empty result. A very long text is one document like any
 other: only its number of words enters. Rows with equal doc_id and size follow the hash
-of their texts; equal rows are interchangeable. A result column replaces an input column of its name.
+of their texts; equal rows are interchangeable. A result column replaces an input column of its name; others
+are carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +36,6 @@ SCHEDULES = {1: [(0.0, 1.5), (1.0, 0.5)], 2: [(0.0, 2.0), (1.0, 2.0)], 3: [(0.0,
 BUCKET_DIGITS = 3
 
 COLUMNS = ("size", "source_size", "target", "copies", "taken", "position")
-_OWN = ("mix_key", "mix_hash", "mix_text", "mix_bucket", "mix_before", "mix_start", "mix_total", "mix_target", "mix_class")
 
 
 def integral(knots: list[tuple[float, float]]) -> float:
@@ -88,7 +88,9 @@ def curriculum(docs: DataFrame, schedules: dict = SCHEDULES, max_repeats: int =
     The last pass over a source ends inside one document; with whole, copies are
     entire documents, and that document stays if half of it or more is needed.
     """
-    kept = [c for c in docs.columns if c not in COLUMNS + _OWN]
+    safe = {c: f"mix_carried_{k}" for k, c in enumerate(docs.columns) if c.startswith("mix_")}  # while helpers of such names are there
+    docs = docs.withColumnsRenamed(safe)
+    kept = [c for c in docs.columns if c not in COLUMNS]
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = docs.select(*kept).withColumns({
         "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"),
@@ -125,7 +127,7 @@ def curriculum(docs: DataFrame, schedules: dict = SCHEDULES, max_repeats: int =
         placed.withColumn("copies", copies)
         .withColumn("taken", F.aggregate("copies", F.lit(0).cast("bigint"), lambda a, c: a + c["words"]))
         .withColumn("position", F.get("copies", F.lit(0))["position"])
-        .select(*kept, *COLUMNS)
+        .select(*kept, *COLUMNS).withColumnsRenamed({new: old for old, new in safe.items()})
     )
 
 

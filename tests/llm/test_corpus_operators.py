@@ -330,6 +330,13 @@ def test_mixing(spark):
     assert mixing.curriculum(mixed(spark, [])).count() == 0
 
 
+def test_mixing_carries_all_columns(spark):
+    """Input columns named like the helpers are in the result as they were; those named like results are replaced."""
+    df = spark.createDataFrame([(k, "a b c", "s", f"k{k}", k, "old") for k in range(4)], "doc_id bigint, text string, source string, mix_key string, mix_total bigint, taken string")
+    rows = mixing.curriculum(df).orderBy("doc_id").collect()
+    assert [(r.mix_key, r.mix_total, r.taken, r.target) for r in rows] == [(f"k{k}", k, 3, 12.0) for k in range(4)]
+
+
 def test_mixing_of_long_texts_and_ties(spark):
     """A text of 200,000 words beside short ones, and rows equal in doc_id and size but not in text."""
     rows = [(1, "w " * 200_000, "a"), (2, "x y", "a"), (3, "z", "b")] + [(5, f"t{k} u", "c") for k in range(40)]

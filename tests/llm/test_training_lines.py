@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from hirelens.llm import quality_rules
+from hirelens.llm import knn_quality, quality_rules
 
 
 def junk(rng):
@@ -117,3 +117,19 @@ def test_groups_do_not_change_the_fit(monkeypatch):
     monkeypatch.setattr(quality_rules.batches_of, "__defaults__", (20,))
     split = quality_rules.fit(documents)
     assert np.allclose(whole["emit"], split["emit"]) and np.allclose(whole["step"], split["step"])
+
+
+def test_scores_do_not_know_ids(spark, make):
+    """The same texts under other doc_ids, ties among neighbours included, get the same scores."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(["the", "a", "cat", "sat", "on", "mat"] if k % 2 else ["$$$", "BUY", "now", "###"], k=12)) for k in range(40)]
+    texts += texts[:20]  # equal texts, with labels that differ
+
+    def scores(ids):
+        rows = make(list(zip(ids, texts, strict=True)))
+        labels = spark.createDataFrame([(i, (k + (k >= 40)) % 2, 0) for k, i in enumerate(ids)], "doc_id bigint, quality int, toxic int")
+        return {ids.index(r.doc_id): r.score for r in knn_quality.classify(rows, knn_quality.train(rows, labels)).collect()}
+
+    ids = list(range(60))
+    other = ids[::-1]
+    assert scores(ids) == scores([7 * i + 5 for i in other])
