@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,6 +18,7 @@ from ..operators import reports as R
 from ..operators.filters import FilterSpec, Tokens, apply_filters
 from ..operators.states import STATES, with_state
 from ..sources import records, sinks
+from ..streaming import ingest
 from . import adapter as A
 from . import parsing, tasks  # noqa: F401  the queries of parsing are registered too
 from .models import INCREMENTAL, Context
@@ -500,6 +502,27 @@ def incremental_build(spark: SparkSession, d: str) -> DataFrame:
     return facts.select(F.col("platform_job_id").cast("bigint").alias("event_id"), "created_date", "job_description", "low_annual_pay_range")
 
 
+@query("select event_id, event_type as q from events")
+def loaded_once(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of files that were loaded by a program that ended before it moved them, and then met by another: each once."""
+    root, lit = new_folder(spark, "ingest"), lambda c: F.lit(c).cast("string")
+    lines = A.read(spark, d, "events").select(
+        F.crc32(F.col("event_type").cast("binary")).alias("query_id"), lit("s").alias("source_name"), F.col("event_type").alias("q"), lit("l").alias("location"),
+        lit("2024-01-01T00:00:00Z").alias("fetched_at"), F.struct(F.col("event_id").cast("string").alias("job_id")).alias("job"),
+    )
+    files = sinks.write_json_lines(lines, root, "events", "20240101T000000")
+    log = ingest.LoadLog(spark, f"{root}/landing")
+
+    def ended(*_: object) -> None:
+        raise OSError("the program ends here")
+
+    with suppress(OSError):
+        ingest.Ingest(spark, log, ended).run(files)
+    ingest.Ingest(spark, log, ingest.hadoop_move(spark, root)).run(files)
+    field = lambda path, kind: F.variant_get("job_data", path, kind)
+    return log.read().select(field("$.job.job_id", "bigint").alias("event_id"), field("$.q", "string").alias("q"))
+
+
 @query("select max(ts) as last_loaded_at, date_diff('hour', max(ts), timestamp '2024-02-05 00:00:00') >= 75 as is_stale from events")
 def freshness(spark: SparkSession, d: str) -> DataFrame:
     """Of a table kept by day: only its newest day is read."""
