@@ -13,7 +13,8 @@ So that a bounded set holds all occurrences of a repeat, texts are cut by conten
    distance. Consecutive windows that name one place form a context: the bytes
    from the first window's start to the last window's end.
 2. Names that occur once in the corpus are out: their windows occur once.
-3. Equal contexts are aggregated into one, with their number.
+3. Equal contexts are aggregated into one, with their number. Equality is that of hashes, 64 bits of the name
+   and 64 of a digest of the context; two contexts of one name are told apart by the digest alone, and no bytes are compared.
 4. Different contexts of one name form a part and meet in one task, where the
    tree of their suffixes is built; a name with one context has a tree of one leaf.
 5. A part of more than PART contexts is cut further by content: all its windows
