@@ -124,8 +124,14 @@ def _nfkc_each(texts: pd.Series) -> pd.Series:
     return texts.map(lambda a: None if a is None else [None if x is None else unicodedata.normalize("NFKC", x) for x in a])
 
 
+# Ranges of signs that stay as they are and join no neighbour under NFKC: ASCII, the letters and most marks of the languages
+# of western and central Europe, general quotes and dashes, the euro.
+STABLE = r"\x00-\x7F\u00A1-\u00A7\u00A9\u00AB-\u00AE\u00B0\u00B1\u00B6\u00B7\u00BB\u00BF-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u2010\u2012-\u2015\u2018-\u2022\u20AC"
+
+
 def _plain(x: Column) -> Column:
-    return F.regexp_like(x, F.lit(r"^\p{ASCII}*$"))
+    """A quick check: whether NFKC leaves a text as it is, told from its signs alone."""
+    return F.regexp_like(x, F.lit(f"^[{STABLE}]*+$"))
 
 
 def _folded(x: Column) -> Column:
@@ -135,7 +141,7 @@ def _folded(x: Column) -> Column:
 def normalized(x: Column | str) -> Column:
     """Compatibility-composed lower case with plain quotes, dashes and single blanks. Null stays null.
 
-    Only texts beyond ASCII go to Python.
+    Only texts with signs beyond STABLE go to Python.
     """
     x = col(x)
     return _folded(F.coalesce(_nfkc(F.when(~_plain(x), x)), x))

@@ -44,6 +44,17 @@ def test_normalize_text(spark, con):
     assert got == want
 
 
+def test_the_quick_check_knows_its_signs(spark):
+    """Each sign of STABLE, alone and after each other one, is as it is under NFKC; texts with others are normalized."""
+    from hirelens.functions.columns import STABLE, normalized
+
+    signs = re.findall(f"[{STABLE}]", "".join(map(chr, range(0x2100))))
+    assert len(signs) > 300 and all(unicodedata.normalize("NFKC", a + b) == a + b for a in signs for b in signs)
+    texts = ["".join(signs), "e\u0301", "\u0149 \u017f \u0132 \ufb01", "\u00b2\u00bd", "a\u0300\u0301", "\u1100\u1161", "日本 ﾊﾝ", "Ünïcode – “quotes”", "x\n"]
+    got = [r.n for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k").select(normalized("t").alias("n")).collect()]
+    assert got[1:] == [normal(t) for t in texts[1:]]
+
+
 def test_line_faults(spark, con):
     got = same(spark, con, "line_faults")
     assert len(got) == 10_000 and max(r.event_id for r in got) == 9_999
