@@ -15,7 +15,7 @@ def test_registered():
     found = __spark_entry__.queries()
     assert [n for n in found if re.match(r"op\d+_", n)] == list(queries.queries())
     assert "pipeline" in found
-    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "ngram_jaccard_join", "decontamination", "mixing", "token_output"]
 
 
