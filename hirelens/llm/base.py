@@ -194,6 +194,43 @@ class Codes(dict):
         return np.fromiter(map(self.__getitem__, words), _U64, len(words))
 
 
+def reading(alphabet: bytes) -> np.ndarray:
+    """Codes of bytes by what a table for bytes.translate makes of them; what becomes white space parts words and has 0."""
+    meant = np.frombuffer(alphabet, np.uint8)
+    return np.where(np.isin(meant, list(b" \t\n\v\f\r")), _U64(0), BYTE_CODES[meant])
+
+
+AS_IS, LOWER = reading(bytes(range(256))), reading(bytes(range(256)).lower())
+#: Bytes of a long text whose words are coded at once.
+WORD_PIECE = 1 << 18
+
+
+def word_codes(text: bytes | None, read: np.ndarray = AS_IS, piece: int = WORD_PIECE) -> np.ndarray:
+    """64-bit codes of the words of a text, in order: hashes of spans of bytes, so that no word is cut out or remembered.
+
+    A long text is read in pieces; a word that runs over the end of one begins the next, which is longer if need be.
+    """
+    data = np.frombuffer(text or b"", np.uint8)
+    found, begin, size = [np.empty(0, _U64)], 0, piece
+    while begin < len(data):
+        own = data[begin : begin + size]
+        codes = np.zeros(len(own) + 2, _U64)  # a gap at each end
+        codes[1:-1] = read[own]
+        inside = codes != 0
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        ahead = len(own)
+        if begin + ahead < len(data) and len(ends) and ends[-1] == ahead:
+            ahead = int(starts[-1])
+            if not ahead:
+                size *= 2
+                continue
+            starts, ends = starts[:-1], ends[:-1]
+        found.append(spans(prefix_sums(codes[1:-1]), starts, ends))
+        begin, size = begin + ahead, piece
+    return found[1] if len(found) == 2 else np.concatenate(found)
+
+
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted half-open spans without overlap or touch, covering the same places."""
     if not len(starts):

@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Codes, mix, small, text_bytes
+from .base import LOWER, mix, small, text_bytes, word_codes
 
 #: Bound of the training sample, for each label, and sizes of the model.
 SAMPLE_DOCS = 1500
-WORDS, PAIRS, SHAPES, BINS = 2048, 4096, 1024, 12
+WORDS, PAIRS, SHAPES, BINS = 2048, 4096, 1024, 12  # PAIRS is a power of two
 WIDTH, NEIGHBOURS, POWER, BLOCK = 48, 15, 12, 512
 COUNTS = 6
 TERMS = PAIRS + SHAPES + COUNTS * BINS + WORDS
@@ -41,30 +41,30 @@ for _k, _group in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQR
     _CLASS[list(_group)] = _k
 
 
-def terms(text: bytes, codes: Codes) -> np.ndarray:
+def terms(text: bytes) -> np.ndarray:
     """Weights of the hashed terms of one text."""
     out = np.zeros(TERMS, np.float32)
     b = np.frombuffer(text, np.uint8).astype(np.int64)
     if not len(b):
         return out
     if len(b) > 1:
-        pairs = np.bincount((b[:-1] * 2654435761 + b[1:] * 40503 >> 7) % PAIRS, minlength=PAIRS)
+        pairs = np.bincount((b[:-1] * 2654435761 + b[1:] * 40503 >> 7) & (PAIRS - 1), minlength=PAIRS)
         out[:PAIRS] = np.log1p(pairs)
         out[:PAIRS] /= np.linalg.norm(out[:PAIRS])
+    c = _CLASS[b]
     if len(b) > 2:
-        c = _CLASS[b]
         shapes = np.bincount(c[:-2] * 64 + c[1:-1] * 8 + c[2:], minlength=SHAPES)
         out[PAIRS : PAIRS + SHAPES] = np.sqrt(shapes)
         out[PAIRS : PAIRS + SHAPES] /= np.linalg.norm(out[PAIRS : PAIRS + SHAPES])
-    words = text.split()
+    words = word_codes(text)
     n, m = max(1, len(words)), len(b)
-    of = np.bincount(_CLASS[b], minlength=8)
-    same = sum(map(bytes.__eq__, words[1:], words[:-1])) / n
-    counts = (len(set(words)) / n, same, of[1] / m, of[5] / m, of[6] / m, min(1.0, m / n / 20))
+    of = np.bincount(c, minlength=8)
+    same = np.count_nonzero(words[1:] == words[:-1]) / n
+    counts = (len(np.unique(words)) / n, same, of[1] / m, of[5] / m, of[6] / m, min(1.0, m / n / 20))
     for k, x in enumerate(counts):
         out[PAIRS + SHAPES + k * BINS + min(BINS - 1, int(BINS * np.sqrt(x)))] = 0.5
-    if words:
-        own = codes.of([w.lower() for w in words])
+    if len(words):
+        own = word_codes(text, LOWER)
         both = np.r_[own, mix(own[:-1] * np.uint64(3) + own[1:])]
         out[-WORDS:] = np.log1p(np.bincount((mix(both) >> np.uint64(53)).astype(np.int64), minlength=WORDS))
         out[-WORDS:] *= 0.5 / np.linalg.norm(out[-WORDS:])
@@ -112,9 +112,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * sample_docs rows of two numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
-            made = [terms(t or b"", codes) for t in text_bytes(batch.column("text"))]
+            made = [terms(t or b"") for t in text_bytes(batch.column("text"))]
             used = [np.flatnonzero(x) for x in made]
             places, values = ([x.astype(np.uint16).tobytes() for x in used], [x[u].tobytes() for x, u in zip(made, used, strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column("text_key"), batch.column("quality"), pa.array(places, pa.binary()), pa.array(values, pa.binary())], names=["text_key", "quality", "places", "weights"])
@@ -138,10 +137,9 @@ def classify(docs: DataFrame, model: dict | None) -> DataFrame:
     kept = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
             texts = text_bytes(batch.column("text"))
-            score = np.concatenate([np.empty(0), *(vote(np.stack([terms(t or b"", codes) for t in texts[k : k + BLOCK]]), kept.value) for k in range(0, len(texts), BLOCK))])
+            score = np.concatenate([np.empty(0), *(vote(np.stack([terms(t or b"") for t in texts[k : k + BLOCK]]), kept.value) for k in range(0, len(texts), BLOCK))])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")

@@ -84,8 +84,7 @@ def test_votes_against_single_vectors():
 
 
 def test_terms_tell_words_and_pairs():
-    codes = base.Codes()
-    one, two, three = (knn_quality.terms(t, codes)[-knn_quality.WORDS :] for t in (b"alpha beta gamma", b"ALPHA beta gamma", b"gamma beta alpha"))
+    one, two, three = (knn_quality.terms(t)[-knn_quality.WORDS :] for t in (b"alpha beta gamma", b"ALPHA beta gamma", b"gamma beta alpha"))
     assert (one == two).all() and (one > 0).sum() == 5 and not (one == three).all()
 
 
