@@ -34,18 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Codes, Scratch, doc_key, merged, mix, prefix_sums, sliding_min, small, text_bytes, windows
+from .base import Scratch, doc_key, merged, mix, prefix_sums, reading, sliding_min, small, text_bytes, windows, word_codes
 
 T, K = 10, 5
 #: Fingerprints that are broadcast at most: 64 MB, of some 28 million words.
 PRINTS = 8_000_000
 
-_WORDS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-
-
-def words(text: bytes | None) -> list[bytes]:
-    """Lower-cased runs of ASCII letters, digits and anything beyond ASCII."""
-    return (text or b"").translate(_WORDS).split()
+#: Words are lower-cased runs of ASCII letters, digits and anything beyond ASCII.
+WORDS = reading(bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)))
 
 
 def winnow(sums: np.ndarray, k: int, t: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,12 +82,11 @@ def benchmark_tables(benchmark: DataFrame, scratch: Scratch, t: int = T, k: int
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").where("text is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
             found: dict[str, list[np.ndarray]] = {"size": [], "a": [], "b": []}
             names: list[str] = []
             for name, text in zip(batch.column("item").to_pylist(), text_bytes(batch.column("text")), strict=True):
-                own = codes.of(words(text))
+                own = word_codes(text, WORDS)
                 if not len(own):
                     continue
                 sums, size = prefix_sums(own), min(t, len(own))
@@ -161,11 +156,10 @@ def _candidates(texts: DataFrame, prints: DataFrame, scratch: Scratch, t: int, k
         known = spark.sparkContext.broadcast(table)
 
         def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            codes = Codes()
             for batch in small(batches):
                 found = []
                 for text in text_bytes(batch.column("text")):
-                    own = codes.of(words(text))
+                    own = word_codes(text, WORDS)
                     hits = ((n, at[_among(hashes, known.value[n])]) for n, at, hashes in fingerprints(own, sizes, t, k))
                     found.append((len(own), [(n, *_extended(own, n, at, t, k)) for n, at in hits if len(at)]))
                 yield _marked(batch, found)
@@ -173,11 +167,10 @@ def _candidates(texts: DataFrame, prints: DataFrame, scratch: Scratch, t: int, k
         return scratch.write(texts.mapInArrow(seek, MARKS), "marks")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
             columns: dict[str, list[np.ndarray]] = {"doc_id": [], "doc_key": [], "size": [], "print": [], "place": []}
             for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("doc_key").to_pylist(), text_bytes(batch.column("text")), strict=True):
-                for n, at, hashes in fingerprints(codes.of(words(text)), sizes, t, k):
+                for n, at, hashes in fingerprints(word_codes(text, WORDS), sizes, t, k):
                     for name, x in zip(columns, (np.full(len(at), doc), np.full(len(at), key), np.full(len(at), n), hashes, at), strict=True):
                         columns[name].append(x)
             yield _rows(columns)
@@ -188,11 +181,10 @@ def _candidates(texts: DataFrame, prints: DataFrame, scratch: Scratch, t: int, k
     scratch.drop("prints")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
             found = []
             for text, places in zip(text_bytes(batch.column("text")), batch.column("near").to_pylist(), strict=True):
-                own = codes.of(words(text))
+                own = word_codes(text, WORDS)
                 by_size = {n: np.array(sorted(p["place"] for p in places or () if p["size"] == n), np.int64) for n in sizes}
                 found.append((len(own), [(n, *_extended(own, n, at, t, k)) for n, at in by_size.items() if len(at)]))
             yield _marked(batch, found)

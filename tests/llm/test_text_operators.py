@@ -234,5 +234,18 @@ def test_decontamination_of_random_words(spark, make):
 
 def test_words_are_those_of_the_pattern():
     text = "".join(map(chr, range(1, 700)))
-    assert [w.decode() for w in decontam.words(text.encode())] == brute.bench_words(text)
-    assert text.encode().split() == [w.encode() for w in re.findall(brute.WORD, text)]
+    alone = lambda words, read: [base.word_codes(w.encode(), read)[0] for w in words]
+    assert base.word_codes(text.encode(), decontam.WORDS).tolist() == alone(brute.bench_words(text), decontam.WORDS)
+    assert base.word_codes(text.encode()).tolist() == alone(re.findall(brute.WORD, text), base.AS_IS)
+    assert base.word_codes(text.encode(), base.LOWER).tolist() == alone(re.findall(brute.WORD, brute.lower(text)), base.AS_IS)
+
+
+def test_codes_of_words_in_pieces():
+    """Codes are those of the words alone, wherever a long text is cut; different words have different ones."""
+    rng = random.Random(8)
+    for text in [b"", None, b" \n", b"a", b" ab ", b"x" * 5000, b"y" * 70 + b" z " + b"x" * 300, bytes(range(256)) * 3, *(bytes(rng.choices(b"aB \t\xc3\x00", k=rng.randint(1, 300))) for _ in range(200))]:
+        words = (text or b"").split()
+        want = [base.word_codes(w)[0] for w in words]
+        for piece in (1, 2, 7, 64, base.WORD_PIECE):
+            assert base.word_codes(text, piece=piece).tolist() == want
+        assert len(set(want)) == len(set(words))
