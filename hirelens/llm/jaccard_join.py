@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import Codes, Scratch, binary_longs, doc_key, mix, prefix_sums, small, spans, text_bytes, windows
+from .base import LOWER, Scratch, binary_longs, doc_key, mix, prefix_sums, small, spans, text_bytes, windows, word_codes
 
 WORDS = 5
 #: Two sets link when PER * intersection >= NUM * union.
@@ -54,12 +54,12 @@ BLOCK, ASK = 40_000, 256
 SHARE = 10
 
 
-def shingles(text: bytes | None, codes: Codes, n: int = WORDS) -> np.ndarray:
+def shingles(text: bytes | None, n: int = WORDS) -> np.ndarray:
     """Hashes of the distinct shingles, sorted."""
-    own = (text or b"").lower().split()
-    if not own:
-        return np.empty(0, np.uint64)
-    sums = prefix_sums(codes.of(own))
+    own = word_codes(text, LOWER)
+    if not len(own):
+        return own
+    sums = prefix_sums(own)
     if len(own) < n:
         return spans(sums, np.array([0]), np.array([len(own)]))
     return np.unique(windows(sums, n))
@@ -92,9 +92,8 @@ def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(sorted hashes, rank of each by frequency) of shingles that the sampled documents share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
-            found = [shingles(t, codes) for t in text_bytes(batch.column("text"))]
+            found = [shingles(t) for t in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["shingle"])
 
     counted = texts.where(F.pmod(doc_key(), F.lit(SAMPLE)) == 0).select("text").mapInArrow(run, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"))
@@ -109,11 +108,11 @@ def sets(texts: DataFrame) -> DataFrame:
     order = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, (frequent, rank) = Codes(), order.value
+        frequent, rank = order.value
         for batch in small(batches):
             rows = []
             for text in text_bytes(batch.column("text")):
-                own = shingles(text, codes)
+                own = shingles(text)
                 first = prefix(own, frequent, rank) if len(own) else own
                 rows.append((len(own), _sum(own), _sum(mix(own)), _sum(mix(first * np.uint64(3))), first.view(np.int64)))
             kinds = (pa.int64(),) * 4
@@ -257,9 +256,8 @@ def _nameless(docs: DataFrame) -> DataFrame:
     """Rows without doc_id: the size of their set, and no component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([len(shingles(t, codes)) for t in text_bytes(batch.column("text"))], pa.int64())], names=["n_shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array([len(shingles(t)) for t in text_bytes(batch.column("text"))], pa.int64())], names=["n_shingles"])
 
     counted = docs.where("doc_id is null").select("text").mapInArrow(run, "n_shingles bigint")
     none = F.lit(None).cast("bigint")
@@ -280,9 +278,8 @@ def _bodies(texts: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, sorted shingles as bytes) of the classes that are in a run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([shingles(t, codes).tobytes() for t in text_bytes(batch.column("text"))], pa.binary())], names=["id", "body"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([shingles(t).tobytes() for t in text_bytes(batch.column("text"))], pa.binary())], names=["id", "body"])
 
     asked = texts.join(ids.select(F.col("id").alias("doc_id")), "doc_id")
     return scratch.write(asked.mapInArrow(run, "id bigint, body binary"), "bodies")
