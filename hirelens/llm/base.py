@@ -177,23 +177,6 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return low
 
 
-class Codes(dict):
-    """64-bit codes of words, kept between documents and emptied when there are many."""
-
-    LIMIT = 100_000
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        self[word] = code = xxhash.xxh3_64_intdigest(word) | 1
-        return code
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), _U64, len(words))
-
-
 def reading(alphabet: bytes) -> np.ndarray:
     """Codes of bytes by what a table for bytes.translate makes of them; what becomes white space parts words and has 0."""
     meant = np.frombuffer(alphabet, np.uint8)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Codes, Scratch, doc_key, merged, mix, prefix_sums, small, text_bytes, windows
+from .base import Scratch, doc_key, merged, mix, prefix_sums, small, text_bytes, windows, word_codes
 
 WINDOW = 50
 #: A perfect difference set of six residues modulo 31.
@@ -61,9 +61,8 @@ def removed(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> DataFram
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), doc_key().alias("doc_key"), "text")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
-            found = [anchors(prefix_sums(codes.of(t.split())), window) for t in text_bytes(batch.column("text"))]
+            found = [anchors(prefix_sums(word_codes(t)), window) for t in text_bytes(batch.column("text"))]
             counts = [len(a) for a, _ in found]
             if sum(counts):
                 places, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -77,11 +76,10 @@ def removed(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> DataFram
     near = near.groupBy("doc_id").agg(F.collect_list("place").alias("places"))  # of one document
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
         for batch in small(batches):
             hashes, checks, places = [], [], []
             for text, marked in zip(text_bytes(batch.column("text")), batch.column("places").to_pylist(), strict=True):
-                own = codes.of(text.split())
+                own = word_codes(text)
                 low = np.unique(np.array(marked, np.int64))
                 starts, ends = merged(low - PERIOD + 1, low + 1)
                 lengths = ends - starts
