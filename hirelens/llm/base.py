@@ -76,6 +76,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shuffled(rows: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input, which is never broadcast.
+
+    Spark tells the size of a Parquet table from its compressed files: a million rows of two longs may take 7 MB there, less than
+    spark.sql.autoBroadcastJoinThreshold, and hundreds in the driver.
+    """
+    return rows.hint("merge")
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     large = pa.types.is_large_string(column.type)

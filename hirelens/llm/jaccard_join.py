@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import LOWER, Scratch, binary_longs, doc_key, mix, prefix_sums, small, spans, text_bytes, windows, word_codes
+from .base import LOWER, Scratch, binary_longs, doc_key, mix, prefix_sums, shuffled, small, spans, text_bytes, windows, word_codes
 
 WORDS = 5
 #: Two sets link when PER * intersection >= NUM * union.
@@ -204,15 +204,15 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(shuffled(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
+        joined = large.join(shuffled(low), "u")
         small = joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         now = scratch.write(small, f"{name}{k}")
         if k:
             scratch.drop(f"{name}{k - 1}")
         edges_now, nodes = now.agg(F.count("*"), F.countDistinct("u")).first()
-        if edges_now == nodes and now.join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+        if edges_now == nodes and now.join(shuffled(now.select(F.col("u").alias("v"))), "v", "left_semi").isEmpty():
             roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
             return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
         k += 1

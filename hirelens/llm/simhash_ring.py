@@ -38,13 +38,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, small, text_bytes
+from .base import Scratch, shuffled, small, text_bytes
 from .jaccard_join import components
 
 WORDS, SEED = 3, 42
 BITS, SEGMENTS, WIDTH = 3, 4, 16
 #: Fingerprints under a key beyond which it is hot, and the size of a block of a hot one.
 HOT, BLOCK, ASK = 64, 4096, 1024
+#: Hot keys up to which they are broadcast.
+FEW = 100_000
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -165,15 +167,15 @@ def _compare(cells: DataFrame) -> DataFrame:
     return cells.select("key", "block", "copy", "print", "component", "top", "kind").mapInArrow(run, "a bigint, b bigint")
 
 
-def _hot_links(own: DataFrame, asked: DataFrame, parts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links under hot keys between components. own and asked are (key, print), parts (id, component)."""
-    rows = own.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1))).join(parts.withColumnRenamed("id", "print"), "print", "left")
+def _hot_links(own: DataFrame, asked: DataFrame, parts: DataFrame, few: bool, scratch: Scratch) -> DataFrame:
+    """Links under hot keys between components. own and asked are (key, print), parts (id, component); few: whether a row for each hot key may be broadcast."""
+    rows = own.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1))).join(shuffled(parts.withColumnRenamed("id", "print")), "print", "left")
     rows = scratch.write(rows.withColumn("component", F.coalesce("component", "print")), "hot_rows")
     sizes = rows.groupBy("key", "component").agg(F.count_if(F.col("kind") == 0).alias("stand"), F.count_if(F.col("kind") == 1).alias("ask"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct(F.col("stand") + F.col("ask"), "component"))["component"].alias("largest"), F.count("*").alias("parts"), F.sum("stand").alias("stand"), F.sum("ask").alias("ask")).where("parts > 1")
     dealt = lambda n, most: F.greatest(F.lit(1), F.ceil(F.col(n) / most).cast("int"))
     mixed = scratch.write(mixed.select("key", "largest", dealt("stand", BLOCK).alias("blocks"), dealt("ask", ASK).alias("copies")), "mixed")
-    rows = rows.join(mixed, "key").withColumn("top", (F.col("component") == F.col("largest")).cast("int"))
+    rows = rows.join(F.broadcast(mixed) if few else shuffled(mixed), "key").withColumn("top", (F.col("component") == F.col("largest")).cast("int"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     hashed = lambda n, seed: F.pmod(F.xxhash64("print", F.lit(seed)), F.col(n)).cast("int")
     keep = ("key", "print", "component", "top", "kind")
@@ -188,20 +190,23 @@ def links(prints: DataFrame, scratch: Scratch) -> DataFrame:
     own = scratch.write(prints.select("print", own_keys().alias("key")), "own")
     sizes = own.groupBy("key").agg(F.count("*").alias("many"), F.min("print").alias("leader"))
     hot = scratch.write(sizes.where(F.col("many") > HOT).select("key", "leader"), "hot")
+    many = hot.count()
+    few = many <= FEW
+    hot = F.broadcast(hot) if few else shuffled(hot)
     asked = prints.select("print", asked_keys().alias("key"))
     # Of a pair the smaller print asks; under a hot key nobody stands here.
     cold = own.join(hot, "key", "left_anti").withColumnRenamed("print", "b")
-    near = asked.withColumnRenamed("print", "a").join(cold, "key").where((F.col("a") < F.col("b")) & within("a", "b")).select("a", "b")
+    near = asked.withColumnRenamed("print", "a").join(shuffled(cold), "key").where((F.col("a") < F.col("b")) & within("a", "b")).select("a", "b")
     edges = scratch.write(near, "near")
     hot_own = own.join(hot, "key")
     led = hot_own.where((F.col("print") != F.col("leader")) & within("print", "leader")).select(F.col("leader").alias("a"), F.col("print").alias("b"))
     edges = edges.unionByName(scratch.write(led, "led"))
     parts = components(edges, scratch, "parts0_")
-    if hot.isEmpty():
+    if not many:
         return parts
     # Each pair meets under the own key of its larger print: above if that is cold, below if it is hot.
     hot_asked = asked.join(hot.select("key"), "key", "left_semi")
-    rest = scratch.write(_hot_links(hot_own.select("key", "print"), hot_asked.select("key", "print"), parts, scratch), "rest")
+    rest = scratch.write(_hot_links(hot_own.select("key", "print"), hot_asked.select("key", "print"), parts, few, scratch), "rest")
     return components(edges.unionByName(rest), scratch, "parts_")
 
 
@@ -211,8 +216,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     every = scratch.write(fingerprints(docs), "every")
     prints = scratch.write(every.groupBy("print").agg(F.min("doc_id").alias("id")), "prints")
     parts = links(prints.select("print"), scratch)
-    named = prints.join(parts.withColumnRenamed("id", "print"), "print", "left").withColumn("component", F.coalesce("component", "print"))
+    named = prints.join(shuffled(parts.withColumnRenamed("id", "print")), "print", "left").withColumn("component", F.coalesce("component", "print"))
     named = scratch.write(named, "named")
     lowest = scratch.write(named.groupBy("component").agg(F.min("id").alias("component_id")), "lowest")
-    named = scratch.write(named.join(lowest, "component").select("print", "component_id"), "by_print")
-    return every.join(named, "print").select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    named = scratch.write(named.join(shuffled(lowest), "component").select("print", "component_id"), "by_print")
+    return every.join(shuffled(named), "print").select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")

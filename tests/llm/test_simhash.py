@@ -90,3 +90,24 @@ def test_the_ring_has_a_start():
             d |= 1 << k
         found = [k for k in range(4) if all((turn(d, k) >> 64 - 16 * n).bit_count() <= n * 3 // 4 for n in (1, 2, 3, 4))]
         assert found
+
+
+@pytest.mark.parametrize("few", [-1, simhash_ring.FEW])
+def test_what_grows_is_not_broadcast(make, few, monkeypatch):
+    """Files of a table may be small where its rows are many: only a known number of hot keys is broadcast."""
+    plans, write = {}, base.Scratch.write
+
+    def seen(self, df, name, *rest):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return write(self, df, name, *rest)
+
+    monkeypatch.setattr(base.Scratch, "write", seen)
+    monkeypatch.setattr(simhash_ring, "HOT", 2)
+    monkeypatch.setattr(simhash_ring, "FEW", few)
+    docs = [(k, " ".join(str(k if n == 99 else n) for n in range(200))) for k in range(300, 360)]
+    found = simhash_ring.near_duplicates(make(docs))
+    plans["found"] = found._jdf.queryExecution().sparkPlan().toString()
+    assert rows(found) == sorted(brute.simhash_rows(docs), key=str)
+    wide = {name for name, plan in plans.items() if "Broadcast" in plan}
+    assert wide <= ({"near", "led", "hot_rows", "rest"} if few > 0 else set())
+    assert all("SortMergeJoin" in plans[name] for name in ("near", "hot_rows", "named", "by_print", "found"))
