@@ -238,10 +238,13 @@ def lifecycle(listings: DataFrame, days: DataFrame, as_of: Column, unseen_days:
 
 
 def dim_job_skills(enriched: DataFrame) -> DataFrame:
-    """Distinct upper-cased skills of the latest enrichment of each job and source."""
+    """Distinct upper-cased skills of the latest enrichment of each job and source.
+
+    That is one row, so its skills are told apart inside it: no table of all of them is kept by a task.
+    """
     latest = first_of(enriched, ["job_id", "data_source"], [F.col("created_at").desc(), F.col("skills")])
-    each = latest.select("job_id", "data_source", F.explode(F.split("skills", ",")).alias("skill"))
-    return each.withColumn("skill", F.upper(F.btrim("skill"))).where("skill <> ''").dropDuplicates(["job_id", "data_source", "skill"])
+    each = F.array_distinct(F.transform(F.split("skills", ","), lambda x: F.upper(F.btrim(x))))
+    return latest.select("job_id", "data_source", F.explode(each).alias("skill")).where("skill <> ''")
 
 
 def format_skills(skills: DataFrame) -> DataFrame:

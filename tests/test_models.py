@@ -158,3 +158,12 @@ def test_every_model_is_written_once(spark, ctx, tmp_path, monkeypatch):
         assert sorted(made.columns) == sorted(want.columns) and made.count() == want.count(), name  # the day of a folder is read last
     detail = spark.read.parquet(f"{tmp_path}/out/jobs_detail")
     assert {r.work_setting for r in detail.where("platform_job_id = 'a'").collect()} == {"Remote"}
+
+
+def test_skills_are_told_apart_inside_a_row(spark):
+    """No aggregation over all skills, which a task would keep in memory."""
+    rows = [("j1", "a", "SQL, sql ,, Spark", 1), ("j1", "a", "Go", 0), ("j1", "b", "sql", 1), (None, "a", "X,x", 1), ("j2", "a", None, 1)]
+    enriched = spark.createDataFrame(rows, "job_id string, data_source string, skills string, n int").selectExpr("job_id", "data_source", "skills", "timestamp_seconds(n) as created_at")
+    got = L.dim_job_skills(enriched)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("j1", "a", "SQL"), ("j1", "a", "SPARK"), ("j1", "b", "SQL"), (None, "a", "X")], key=str)
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
