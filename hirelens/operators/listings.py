@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,12 @@ DEGREES = (
     ("Master's", r"\b(master'?s?|masters?|master degree|master'?s degree|mba|m\.s\.|m\.a\.|m\.sc\.?)\b"),
     ("Doctorate", r"\b(ph\.?d\.?|p\.?h\.?d\.?|doctorate|doctoral)\b"),
 )
+# Parts of which each match of a degree's pattern has one.
+DEGREE_CUES = {
+    "High School": ("high school d", "ged"), "Associate's": ("associate", "a.s.", "a.a.", "year degree"),
+    "Bachelor's": ("bachelor", "b.s.", "b.a.", "b.sc", "undergraduate degree", "year degree"), "Master's": ("master", "mba", "m.s.", "m.a.", "m.sc"),
+    "Doctorate": ("ph", "p.h", "doctora"),
+}
 NO_DEGREE = "Degree Not Specified"
 # Parts of lower-cased titles and the level they stand for; the first that fits counts.
 LEVELS = (
@@ -39,8 +48,9 @@ def job_level(title: Column | str) -> Column:
 
 
 def degree(text: Column) -> Column:
-    """The lowest degree that lower-cased text names."""
-    return ladder([(matches(text, pattern), name) for name, pattern in DEGREES], NO_DEGREE)
+    """The lowest degree that lower-cased text names. A pattern runs only where one of its cues is."""
+    cue = lambda name: reduce(or_, (text.contains(c) for c in DEGREE_CUES[name]))
+    return ladder([(cue(name) & matches(text, pattern), name) for name, pattern in DEGREES], NO_DEGREE)
 
 
 # -- pay ----------------------------------------------------------------------
@@ -130,7 +140,7 @@ def parse_api(staged: DataFrame, searches: DataFrame) -> DataFrame:
         json_tree(data, "$.job.apply_options").alias("apply_options_json"), json_tree(data, "$.job.extensions").alias("extensions_json"),
         json_tree(data, "$.job.job_highlights").alias("job_highlights_json"), json_strings(data, "$.job.extensions").alias("work_setting_extensions"),
         highlights(data).alias("work_setting_highlights"), F.try_variant_get(data, "$.job.detected_extensions.work_from_home", "boolean").alias("work_from_home"),
-        F.lit(None).cast("string").alias("work_setting_source_metadata"),
+        F.lit(None).cast("string").alias("work_setting_source_metadata"), F.lower(F.to_json("job_data")).alias("payload_text"),
     )
     since = F.lower("posted_since")
     pay = annual_pay("work_setting_extensions")
@@ -138,10 +148,10 @@ def parse_api(staged: DataFrame, searches: DataFrame) -> DataFrame:
         "page": F.col("page").try_cast("bigint"), "query_id": F.col("query_id").try_cast("bigint"), "created_date": F.col("created_at_utc").cast("date"),
         "posted_date_parsed": posted_date(since, F.col("created_at_utc"), F.col("created_at_mst").cast("date"), captured(since, r"(\d+)").try_cast("bigint")),
         "low_annual_pay_range": pay["low"], "high_annual_pay_range": pay["high"],
-        "degree_requirement": degree(F.lower(F.to_json("job_data"))),
+        "degree_requirement": degree(F.col("payload_text")),
         "job_title_normalized": normalized("job_title"), "job_description_normalized": normalized("job_description"), "job_location_normalized": normalized("job_location"),
         "data_source": F.lit("Serpapi"),
-    })
+    }).drop("payload_text")
     return typed.join(F.broadcast(searches.select("query_id", F.col("q_plain_text").alias("search_term"))), "query_id", "left")
 
 

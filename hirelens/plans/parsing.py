@@ -34,7 +34,10 @@ def searches(spark: SparkSession) -> DataFrame:
 
 
 def api_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Typed listings of the search API, from payloads that orders are told as."""
+    """Typed listings of the search API, from payloads that orders are told as.
+
+    An order of a few bytes becomes a payload of a kilobyte, so a file's split holds millions; orders are dealt over all tasks first.
+    """
     key = F.col("o_orderkey")
     amount = (key % 50 + 10).cast("string")
     company = F.when(key % 5 != 0, _text('"company_name": "Company ', (key % 100).cast("string"), '", ')).otherwise("")
@@ -46,7 +49,8 @@ def api_rows(spark: SparkSession, d: str) -> DataFrame:
         '}, "job_highlights": [{"title": "Qualifications", "items": ["item ', key.cast("string"), '", 3, null, "B"]}, {"items": ["c"]}]}}',
     )
     value = F.replace(value, F.lit("\\'"), F.lit("'"))
-    raw = A.read(spark, d, "orders").select(F.col("o_orderdate").alias("created_at"), F.parse_json(value).alias("job_data"), key.alias("query_version_id"), F.lit("f").alias("gcs_uri"))
+    dealt = A.read(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority").repartition("o_orderkey")
+    raw = dealt.select(F.col("o_orderdate").alias("created_at"), F.parse_json(value).alias("job_data"), key.alias("query_version_id"), F.lit("f").alias("gcs_uri"))
     return L.parse_api(L.stage_api(raw), searches(spark))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hirelens.functions.columns import json_strings, json_text
 from hirelens.operators import listings as L
+from hirelens.plans import parsing
 from hirelens.plans.models import Context
 from hirelens.sources import records, sinks
 
@@ -167,3 +168,14 @@ def test_skills_are_told_apart_inside_a_row(spark):
     got = L.dim_job_skills(enriched)
     assert sorted(map(tuple, got.collect()), key=str) == sorted([("j1", "a", "SQL"), ("j1", "a", "SPARK"), ("j1", "b", "SQL"), (None, "a", "X")], key=str)
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_degree_cues(spark):
+    """A text that a degree's pattern matches has one of its cues, and its JSON is written once and orders are dealt over all tasks."""
+    texts = ["high school diploma", "a high school degree", "ged", "associate", "associates", "associate's degree", "a.s. or", "x a.a. y", "2 year degree", "2-year degree", "bachelors", "b.s. x", "b.a. x", "b.sc", "b.sc.", "undergraduate degree", "4 year degree"]
+    texts += ["masters", "master's", "mba", "m.s. x", "m.a. x", "m.sc", "phd", "ph.d", "p.hd", "p.h.d.", "doctorate", "doctoral", "pledged", "ambassador", "morpheus", "", None]
+    plain = L.ladder([(L.matches("t", pattern), name) for name, pattern in L.DEGREES], L.NO_DEGREE)
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", L.degree(F.col("t")).alias("got"), plain.alias("want")).collect()
+    assert [(r.t, r.got) for r in got] == [(r.t, r.want) for r in got]
+    plan = parsing.api_listing_parse(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [o_orderkey" in plan and plan.count("evaluate(job_data") == 1
